@@ -237,29 +237,35 @@ def lags_v1(df: DataFrame, k_max=3, entity=ENTITY, name="sales_lag_v1") -> DataF
 
 
 def momentum_v1(df: DataFrame, entity=ENTITY) -> DataFrame:
-    """pct_change 1/3/6, momentum short/long, acceleration, volatility ratio,
-    deviation and rolling z against the 6-row window."""
+    """Pct change 1/3/6, momentum short/long, acceleration, volatility ratio,
+    deviation and rolling z against the 6-row window (v1 names)."""
     w = entity_window(entity)
     q = F.col("sales_quantity")
     mean = {k: F.avg(q).over(frame(k, entity)) for k in (3, 6, 12)}
-    std6 = F.stddev_samp(q).over(frame(6, entity))
-    cols = [F.coalesce(pct_change(q, F.lag(q, k).over(w)), F.lit(0.0)).alias(f"pct_change_{k}")
+    std6 = F.coalesce(F.stddev_samp(q).over(frame(6, entity)), F.lit(0.0))
+    cols = [F.coalesce(pct_change(q, F.lag(q, k).over(w)), F.lit(0.0)).alias(f"sales_pct_change_{k}")
             for k in (1, 3, 6)]
-    cols += [F.coalesce(safe_div(mean[6], mean[3]), F.lit(1.0)).alias("momentum_short"),
-             F.coalesce(safe_div(mean[12], mean[6]), F.lit(1.0)).alias("momentum_long"),
-             F.coalesce(safe_div(std6, mean[6]), F.lit(0.0)).alias("volatility_ratio"),
-             F.when(mean[6] > 0, (q - mean[6]) / mean[6]).otherwise(0.0).alias("deviation_from_mean"),
+    cols += [F.when(mean[3] != 0, mean[6] / mean[3]).otherwise(1.0).alias("sales_momentum_short"),
+             F.when(mean[6] != 0, mean[12] / mean[6]).otherwise(1.0).alias("sales_momentum_long"),
+             F.when(mean[6] != 0, std6 / mean[6]).otherwise(0.0).alias("sales_volatility_ratio"),
+             F.when(mean[6] > 0, (q - mean[6]) / mean[6]).otherwise(0.0).alias("deviation_from_rolling_mean"),
              F.when(std6 > 0, (q - mean[6]) / std6).otherwise(0.0).alias("rolling_z_score")]
     df = df.select("*", *cols)
-    pc1 = F.col("pct_change_1")
-    return df.withColumn("acceleration_v1", F.coalesce(_finite_diff(pc1, F.lag(pc1, 1).over(w)), F.lit(0.0)))
+    pc1 = F.col("sales_pct_change_1")
+    return df.withColumn("sales_acceleration_v1",
+                         F.coalesce(_finite_diff(pc1, F.lag(pc1, 1).over(w)), F.lit(0.0)))
 
 
-def running_spike_propensity(df: DataFrame, spike_col="is_spike_95", entity=ENTITY) -> DataFrame:
-    """Entity spike total / running row number."""
-    w = entity_window(entity)
-    return df.withColumn("running_spike_propensity",
-                         F.sum(spike_col).over(whole(entity)) / F.row_number().over(w))
+def spike_history(df: DataFrame, q95: float, q99: float, entity=ENTITY) -> DataFrame:
+    """A43 + W24: global q95/q99 spike flags, per-entity spike totals, running propensity."""
+    q = F.col("sales_quantity")
+    we = whole(entity)
+    df = df.select("*", flag(q > F.lit(q99)).alias("is_extreme_spike"),
+                   flag(q > F.lit(q95)).alias("is_major_spike"))
+    return df.select("*", F.sum("is_extreme_spike").over(we).alias("historical_extreme_spikes"),
+                     F.sum("is_major_spike").over(we).alias("historical_major_spikes"),
+                     (F.sum("is_major_spike").over(we) / F.row_number().over(entity_window(entity)))
+                     .alias("spike_propensity"))
 
 
 def strict_rolling_mean(df: DataFrame, k=3, entity=ENTITY) -> DataFrame:

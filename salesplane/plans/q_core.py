@@ -84,3 +84,267 @@ FROM base WINDOW {', '.join(f'w{k} AS ({WE} ROWS BETWEEN {k - 1} PRECEDING AND C
 def w3_rolling(spark, d):
     out = tp.rolling_features(base(spark, d))
     return finalize(out.select("sales_month", *tp.ENTITY, "product_code", *ROLL_COLS))
+
+
+def _pct_sql(cur, prev):
+    return (f"(CASE WHEN ({prev}) IS NULL OR ({cur}) IS NULL THEN NULL "
+            f"WHEN ({prev}) = 0 THEN (CASE WHEN ({cur}) > 0 THEN 'Infinity'::DOUBLE "
+            f"WHEN ({cur}) < 0 THEN '-Infinity'::DOUBLE END) "
+            f"ELSE (({cur}) - ({prev})) / ({prev}) END)")
+
+
+KEYS_SQL = f"{D('sales_month')} AS sales_month, {E}, product_code"
+KEYS = ["sales_month", *tp.ENTITY, "product_code"]
+
+MOM_COLS = ["sales_mom_change", "sales_mom_abs_change", "sales_trend_3m", "sales_trend_6m",
+            "sales_volatility_3m", "sales_volatility_6m", "sales_acceleration"]
+MOM_FLAGS = ["momentum_up", "momentum_down", "momentum_stable"]
+
+
+@register("w6_momentum", with_base_ctes(f"""
+r AS (SELECT *, CAST(row_number() OVER ({WE}) AS DOUBLE) AS rn,
+              coalesce({_pct_sql('sales_quantity', f'lag(sales_quantity) OVER ({WE})')}, 0) AS mom,
+              coalesce(sales_quantity - lag(sales_quantity) OVER ({WE}), 0) AS absch
+        FROM base),
+s AS (SELECT *,
+        CASE WHEN count(*) OVER f3 < 2 THEN 0 ELSE coalesce(regr_slope(sales_quantity, rn) OVER f3, 0) END AS tr3,
+        CASE WHEN count(*) OVER f6 < 2 THEN 0 ELSE coalesce(regr_slope(sales_quantity, rn) OVER f6, 0) END AS tr6,
+        coalesce(stddev_samp(sales_quantity) OVER f3, 0) AS v3,
+        coalesce(stddev_samp(sales_quantity) OVER f6, 0) AS v6,
+        coalesce(CASE WHEN isnan(mom - lag(mom) OVER ({WE})) THEN NULL ELSE mom - lag(mom) OVER ({WE}) END, 0) AS acc
+      FROM r WINDOW f3 AS ({WE} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW),
+                    f6 AS ({WE} ROWS BETWEEN 5 PRECEDING AND CURRENT ROW))""", f"""
+SELECT {KEYS_SQL}, {R('mom')} AS sales_mom_change, {R('absch')} AS sales_mom_abs_change,
+       {R('tr3')} AS sales_trend_3m, {R('tr6')} AS sales_trend_6m,
+       {R('v3')} AS sales_volatility_3m, {R('v6')} AS sales_volatility_6m, {R('acc')} AS sales_acceleration,
+       CAST(mom > 0.1 AS INTEGER) AS momentum_up, CAST(mom < -0.1 AS INTEGER) AS momentum_down,
+       CAST(mom >= -0.1 AND mom <= 0.1 AS INTEGER) AS momentum_stable FROM s"""))
+def w6_momentum(spark, d):
+    out = tp.momentum_features(base(spark, d))
+    return finalize(out.select(*KEYS, *MOM_COLS, *MOM_FLAGS))
+
+
+def _f(k):
+    return f"({WE} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
+
+
+def _nan0(expr):
+    return f"coalesce(CASE WHEN isnan({expr}) THEN NULL ELSE {expr} END, 0)"
+
+
+@register("w12_yoy", with_base(f"""
+SELECT {KEYS_SQL}, {R('y')} AS sales_yoy, {R('g')} AS sales_yoy_growth, {R('pc')} AS sales_yoy_pct_change,
+       {R('sc')} AS seasonal_consistency,
+       CAST(g > 0.1 AS INTEGER) AS yoy_trend_up, CAST(g < -0.1 AS INTEGER) AS yoy_trend_down,
+       CAST(g >= -0.1 AND g <= 0.1 AS INTEGER) AS yoy_trend_stable
+FROM (SELECT *, coalesce((sales_quantity - y) / (y + 1), 0) AS g,
+             coalesce({_pct_sql('sales_quantity', 'y')}, 0) AS pc
+      FROM (SELECT *, lag(sales_quantity, 12) OVER ({WE}) AS y,
+                   coalesce(CASE WHEN count(sales_quantity) OVER wm > 1
+                            THEN stddev_samp(sales_quantity) OVER wm / (avg(sales_quantity) OVER wm + 1)
+                            ELSE 0 END, 0) AS sc
+            FROM base WINDOW wm AS (PARTITION BY {E}, month(sales_month))))"""))
+def w12_yoy(spark, d):
+    out = tp.yoy_features(base(spark, d))
+    return finalize(out.select(*KEYS, "sales_yoy", "sales_yoy_growth", "sales_yoy_pct_change",
+                               "seasonal_consistency", "yoy_trend_up", "yoy_trend_down", "yoy_trend_stable"))
+
+
+@register("w14_momentum_advanced", with_base(f"""
+SELECT {KEYS_SQL}, {R('m2')} AS momentum_2m, {R('m3')} AS momentum_3m, {R('m6')} AS momentum_6m,
+       {R('tc')} AS trend_consistency_3m, {R('ma')} AS momentum_acceleration
+FROM (SELECT *,
+        CASE WHEN sum(CASE WHEN isfinite(m2) THEN 1 ELSE 0 END) OVER {_f(3)} = 3
+             THEN sum(CASE WHEN isfinite(m2) AND m2 > 0 THEN 1 ELSE 0 END) OVER {_f(3)} / 3.0 ELSE 0 END AS tc,
+        {_nan0(f'mom - lag(mom) OVER ({WE})')} AS ma
+      FROM (SELECT *, coalesce({_pct_sql('sales_quantity', f'lag(sales_quantity) OVER ({WE})')}, 0) AS mom,
+                   coalesce({_pct_sql('sales_quantity', f'lag(sales_quantity, 2) OVER ({WE})')}, 0) AS m2,
+                   coalesce({_pct_sql('sales_quantity', f'lag(sales_quantity, 3) OVER ({WE})')}, 0) AS m3,
+                   coalesce({_pct_sql('sales_quantity', f'lag(sales_quantity, 6) OVER ({WE})')}, 0) AS m6
+            FROM base))"""))
+def w14_momentum_advanced(spark, d):
+    out = tp.advanced_momentum(tp.momentum_features(base(spark, d)))
+    return finalize(out.select(*KEYS, "momentum_2m", "momentum_3m", "momentum_6m",
+                               "trend_consistency_3m", "momentum_acceleration"))
+
+
+@register("w17_spikes", with_base(f"""
+SELECT {KEYS_SQL}, {R('z')} AS sales_z_score, {R('ma3')} AS sales_ma_3,
+       sales_spike_major, sales_spike_moderate, sales_drop_major, sales_drop_moderate,
+       {R('(sales_quantity - ma3) / (ma3 + 1)')} AS sales_deviation_from_ma,
+       {R(f'avg(sales_spike_major) OVER (PARTITION BY {E}) + 0.5 * avg(sales_spike_moderate) OVER (PARTITION BY {E})')}
+         AS spike_propensity_score
+FROM (SELECT *, CAST(coalesce(z > 2.5, false) AS INTEGER) AS sales_spike_major,
+             CAST(coalesce(z > 1.5 AND z <= 2.5, false) AS INTEGER) AS sales_spike_moderate,
+             CAST(coalesce(z < -2.5, false) AS INTEGER) AS sales_drop_major,
+             CAST(coalesce(z < -1.5 AND z >= -2.5, false) AS INTEGER) AS sales_drop_moderate
+      FROM (SELECT *, (sales_quantity - avg(sales_quantity) OVER (PARTITION BY {E}))
+                      / (stddev_samp(sales_quantity) OVER (PARTITION BY {E}) + 1e-6) AS z,
+                   avg(sales_quantity) OVER {_f(3)} AS ma3 FROM base))"""))
+def w17_spikes(spark, d):
+    out = tp.spike_features(base(spark, d))
+    return finalize(out.select(*KEYS, "sales_z_score", "sales_ma_3", "sales_spike_major",
+                               "sales_spike_moderate", "sales_drop_major", "sales_drop_moderate",
+                               "sales_deviation_from_ma", "spike_propensity_score"))
+
+
+@register("w2_lags_v1", with_base(f"""
+SELECT {KEYS_SQL}, {', '.join(f"{R(f'lag(sales_quantity, {k}) OVER ({WE})')} AS sales_lag_v1_{k}" for k in (1, 2, 3))}
+FROM base"""))
+def w2_lags_v1(spark, d):
+    out = tp.lags_v1(base(spark, d))
+    return finalize(out.select(*KEYS, *[f"sales_lag_v1_{k}" for k in (1, 2, 3)]))
+
+
+V1_MOM = ["sales_pct_change_1", "sales_pct_change_3", "sales_pct_change_6", "sales_momentum_short",
+          "sales_momentum_long", "sales_volatility_ratio", "deviation_from_rolling_mean", "rolling_z_score",
+          "sales_acceleration_v1"]
+
+
+@register("w20_momentum_v1", with_base(f"""
+SELECT {KEYS_SQL}, {R('p1')} AS sales_pct_change_1, {R('p3')} AS sales_pct_change_3, {R('p6')} AS sales_pct_change_6,
+       {R('CASE WHEN m3 <> 0 THEN m6 / m3 ELSE 1 END')} AS sales_momentum_short,
+       {R('CASE WHEN m6 <> 0 THEN m12 / m6 ELSE 1 END')} AS sales_momentum_long,
+       {R('CASE WHEN m6 <> 0 THEN s6 / m6 ELSE 0 END')} AS sales_volatility_ratio,
+       {R('CASE WHEN m6 > 0 THEN (sales_quantity - m6) / m6 ELSE 0 END')} AS deviation_from_rolling_mean,
+       {R('CASE WHEN s6 > 0 THEN (sales_quantity - m6) / s6 ELSE 0 END')} AS rolling_z_score,
+       {R(_nan0(f'p1 - lag(p1) OVER ({WE})'))} AS sales_acceleration_v1
+FROM (SELECT *, avg(sales_quantity) OVER {_f(3)} AS m3, avg(sales_quantity) OVER {_f(6)} AS m6,
+             avg(sales_quantity) OVER {_f(12)} AS m12, coalesce(stddev_samp(sales_quantity) OVER {_f(6)}, 0) AS s6,
+             {', '.join(f"coalesce({_pct_sql('sales_quantity', f'lag(sales_quantity, {k}) OVER ({WE})')}, 0) AS p{k}" for k in (1, 3, 6))}
+      FROM base)"""))
+def w20_momentum_v1(spark, d):
+    out = tp.momentum_v1(base(spark, d))
+    return finalize(out.select(*KEYS, *V1_MOM))
+
+
+@register("w25_strict_rolling_mean", with_base(f"""
+SELECT {KEYS_SQL}, {R(f'CASE WHEN count(sales_quantity) OVER {_f(3)} = 3 THEN avg(sales_quantity) OVER {_f(3)} ELSE 0 END')}
+       AS rolling_mean_3_strict FROM base"""))
+def w25_strict(spark, d):
+    out = tp.strict_rolling_mean(base(spark, d))
+    return finalize(out.select(*KEYS, "rolling_mean_3_strict"))
+
+
+@register("w31_gap_detection", with_base(f"""
+SELECT {E}, CAST(count(*) AS BIGINT) AS gap_count, max(g) AS max_gap_days
+FROM (SELECT {E}, CAST(sales_month - lag(sales_month) OVER (PARTITION BY {E} ORDER BY sales_month) AS INTEGER) AS g
+      FROM (SELECT DISTINCT {E}, sales_month FROM base))
+WHERE g > 62 GROUP BY {E}"""))
+def w31_gaps(spark, d):
+    return finalize(tp.gap_detection(base(spark, d)))
+
+
+CAL_PARTS = ["month", "quarter", "year", "day_of_year", "week_of_year", "days_since_epoch"]
+CAL_DBL = ["month_progress", "quarter_progress", "month_sin", "month_cos", "quarter_sin", "quarter_cos",
+           "day_of_year_sin", "day_of_year_cos", "week_sin", "week_cos"]
+CAL_FLAGS = ["is_holiday_season", "is_mid_year_shopping", "is_back_to_school"]
+
+
+@register("t1_calendar_parts", with_base(f"""
+SELECT {KEYS_SQL}, month, quarter, year, day_of_year, week_of_year, days_since_epoch,
+       {R('(month - 1) / 11')} AS month_progress, {R('(quarter - 1) / 3')} AS quarter_progress,
+       {R('sin(2 * pi() * (month - 1) / 12)')} AS month_sin, {R('cos(2 * pi() * (month - 1) / 12)')} AS month_cos,
+       {R('sin(2 * pi() * (quarter - 1) / 4)')} AS quarter_sin, {R('cos(2 * pi() * (quarter - 1) / 4)')} AS quarter_cos,
+       {R('sin(2 * pi() * day_of_year / 365.25)')} AS day_of_year_sin,
+       {R('cos(2 * pi() * day_of_year / 365.25)')} AS day_of_year_cos,
+       {R('sin(2 * pi() * week_of_year / 52)')} AS week_sin, {R('cos(2 * pi() * week_of_year / 52)')} AS week_cos,
+       CAST(month IN (12, 1, 2) AS INTEGER) AS is_holiday_season,
+       CAST(month IN (6, 7) AS INTEGER) AS is_mid_year_shopping,
+       CAST(month IN (8, 9) AS INTEGER) AS is_back_to_school
+FROM (SELECT *, CAST(month(sales_month) AS INTEGER) AS month, CAST(quarter(sales_month) AS INTEGER) AS quarter,
+             CAST(year(sales_month) AS INTEGER) AS year, CAST(dayofyear(sales_month) AS INTEGER) AS day_of_year,
+             CAST(weekofyear(sales_month) AS INTEGER) AS week_of_year,
+             CAST(sales_month - DATE '2021-01-01' AS INTEGER) AS days_since_epoch FROM base)"""))
+def t1_calendar_parts(spark, d):
+    out = tp.calendar_parts(base(spark, d))
+    return finalize(out.select(*KEYS, *CAL_PARTS, *CAL_DBL, *CAL_FLAGS))
+
+
+PROMO_V1 = ["is_promo_month", "months_to_promo", "distance_to_nearest_promo", "distance_to_next_promo",
+            "is_pre_promo_month", "season_group", "season_spring_summer", "season_summer", "season_fall",
+            "season_winter_holiday", "season_other"]
+
+
+@register("t7_promo_months_v1", with_base(f"""
+SELECT {KEYS_SQL}, CAST(m IN (1, 6, 9, 11, 12) AS INTEGER) AS is_promo_month,
+       CAST(list_min([least(abs(m - p), 12 - abs(m - p)) FOR p IN [1, 6, 9, 11, 12]]) AS INTEGER) AS months_to_promo,
+       CAST(list_min([abs(m - p) FOR p IN [1, 6, 9, 11, 12]]) AS INTEGER) AS distance_to_nearest_promo,
+       CAST(coalesce(list_min([p FOR p IN [1, 6, 9, 11, 12] IF p > m]) - m, 12 - m + 1) AS INTEGER) AS distance_to_next_promo,
+       CAST(m IN (12, 5, 8, 10, 11) AS INTEGER) AS is_pre_promo_month, sg AS season_group,
+       CAST(sg = 'spring_summer' AS INTEGER) AS season_spring_summer, CAST(sg = 'summer' AS INTEGER) AS season_summer,
+       CAST(sg = 'fall' AS INTEGER) AS season_fall, CAST(sg = 'winter_holiday' AS INTEGER) AS season_winter_holiday,
+       CAST(sg = 'other' AS INTEGER) AS season_other
+FROM (SELECT *, CASE WHEN m IN (4, 5, 6) THEN 'spring_summer' WHEN m IN (7, 8) THEN 'summer'
+                     WHEN m IN (9, 10) THEN 'fall' WHEN m IN (11, 12) THEN 'winter_holiday' ELSE 'other' END AS sg
+      FROM (SELECT *, CAST(month(sales_month) AS INTEGER) AS m FROM base))"""))
+def t7_promo_months(spark, d):
+    b = base(spark, d).withColumn("month", F.month("sales_month"))
+    out = tp.promo_month_features(b)
+    return finalize(out.select(*KEYS, *PROMO_V1))
+
+
+# ---------------------------------------------------------------- C ----------
+
+CAL_EVENT_COLS = [cal.event_column(n) for n, *_ in cal.K.PROMO_EVENTS]
+CAL_OUT = (["is_promotional_period"] + CAL_EVENT_COLS
+           + ["days_to_next_promo", "days_from_last_promo", "true_days_since_last_promo",
+              "promotional_intensity", "monthly_promo_score"]
+           + ["is_" + n.lower().replace(" ", "_") for n, *_ in cal.K.SEASONS])
+
+
+def _anchor_values():
+    rows = []
+    for i, (_, dates, dur, inten) in enumerate(cal.K.PROMO_EVENTS):
+        for m, dd in dates:
+            rows.append(f"({i}, {m}, {dd}, {float(dur)}, {float(inten)})")
+    return ", ".join(rows)
+
+
+def _calendar_sql(dates_sql: str) -> str:
+    ev = ", ".join(
+        f'CAST(bool_or(ev = {i} AND 2 * abs(d - make_date(year(d), am, ad)) <= dur) AS INTEGER) AS "{c}"'
+        for i, c in enumerate(CAL_EVENT_COLS))
+    season = " , ".join(f"CASE WHEN month(d) IN ({', '.join(map(str, ms))}) THEN {inten * 0.3} ELSE 0 END"
+                        for _, ms, inten in cal.K.SEASONS)
+    seasons = ", ".join(f"CAST(month(d) IN ({', '.join(map(str, ms))}) AS INTEGER) AS is_{n.lower().replace(' ', '_')}"
+                        for n, ms, _ in cal.K.SEASONS)
+    score = " ".join(f"WHEN {i + 1} THEN {v}" for i, v in enumerate(cal.K.MONTHLY_PROMO_SCORE))
+    return f"""
+dates AS ({dates_sql}),
+anchors(ev, am, ad, dur, inten) AS (VALUES {_anchor_values()}),
+x AS (SELECT d, ev, dur, inten,
+             CAST(d - make_date(year(d), am, ad) AS INTEGER) AS df0,
+             CAST(d - make_date(year(d) + 1, am, ad) AS INTEGER) AS dfn,
+             CAST(d - make_date(year(d) - 1, am, ad) AS INTEGER) AS dfp, am, ad
+      FROM dates, anchors),
+c AS (SELECT d,
+        CAST(bool_or(2 * abs(df0) <= dur) AS INTEGER) AS is_promotional_period, {ev},
+        min(CASE WHEN df0 < 0 THEN -df0 END) AS ahead, min(-dfn) AS ahead_next,
+        coalesce(max(CASE WHEN df0 > 0 THEN df0 END), 0) AS behind,
+        coalesce(max(CASE WHEN dfp > 0 THEN dfp END), 0) AS behind_prev,
+        least(min(CASE WHEN df0 > 0 THEN df0 END), min(CASE WHEN dfp > 0 THEN dfp END)) AS since_last,
+        max(CASE WHEN 2 * abs(df0) <= dur THEN inten * greatest(0, 1 - abs(df0) / (dur / 2)) ELSE 0 END) AS peak
+      FROM x GROUP BY d)
+SELECT {D('d')} AS d, is_promotional_period, {', '.join(f'"{c}"' for c in CAL_EVENT_COLS)},
+       CAST(CASE WHEN least(coalesce(ahead, 365), 365) = 365 THEN least(ahead_next, 365)
+            ELSE least(coalesce(ahead, 365), 365) END AS INTEGER) AS days_to_next_promo,
+       CAST(least(CASE WHEN behind = 0 AND month(d) <= 6 THEN behind_prev ELSE behind END, 365) AS INTEGER)
+         AS days_from_last_promo,
+       CAST(least(since_last, 365) AS INTEGER) AS true_days_since_last_promo,
+       {R(f'least(greatest(peak, {season}), 1.0)')} AS promotional_intensity,
+       {R(f'CASE month(d) {score} ELSE 0.4 END')} AS monthly_promo_score, {seasons}
+FROM c"""
+
+
+@register("c1_calendar_daily", f"WITH {_calendar_sql('SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders UNION SELECT CAST(range AS DATE) FROM range(DATE 2000-01-01, DATE 2001-01-01, INTERVAL 1 DAY)'.replace('DATE 2000-01-01', chr(39) + '2000-01-01' + chr(39) + '::DATE').replace('DATE 2001-01-01', chr(39) + '2001-01-01' + chr(39) + '::DATE'))}")
+def c1_calendar_daily(spark, d):
+    dates = daily_calendar(spark, d)
+    return finalize(cal.calendar_features(dates, "d").select("d", *CAL_OUT))
+
+
+@register("c8_calendar_on_sales", with_base_ctes(_calendar_sql("SELECT DISTINCT sales_month AS d FROM base"), ""))
+def c8_calendar_on_sales(spark, d):
+    b = base(spark, d)
+    dates = b.select(F.col("sales_month").alias("d")).distinct()
+    return finalize(cal.calendar_features(dates, "d").select("d", *CAL_OUT))
