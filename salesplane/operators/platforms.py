@@ -156,13 +156,13 @@ def specialization(df: DataFrame) -> DataFrame:
                     flag(F.col("n") > 2).alias("store_diversification_strategy"))
 
 
-def entry_timing(tenured: DataFrame) -> DataFrame:
+def entry_timing(tenured: DataFrame, source: DataFrame | None = None) -> DataFrame:
     """A32 (per fact row, needs A25): platform q25 / q75 of tenure over fact rows.
 
     ``percentile`` per platform keeps one value->count map per platform; tenure
     is a small integer (months), so the map is bounded by the history length.
     """
-    q = tenured.groupBy("primary_platform").agg(
+    q = (source if source is not None else tenured).groupBy("primary_platform").agg(
         F.percentile("platform_tenure_months", 0.25).alias("tenure_q25"),
         F.percentile("platform_tenure_months", 0.75).alias("tenure_q75"))
     t = tenured.join(F.broadcast(q), "primary_platform", "left")

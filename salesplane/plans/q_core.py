@@ -348,3 +348,32 @@ def c8_calendar_on_sales(spark, d):
     b = base(spark, d)
     dates = b.select(F.col("sales_month").alias("d")).distinct()
     return finalize(cal.calendar_features(dates, "d").select("d", *CAL_OUT))
+
+
+# ---------------------------------------------------------------- flagship ---
+
+@register("flagship_share_trend", with_base_ctes(f"""
+bs AS (SELECT b.primary_platform, b.brand_name, sum(sales_quantity) / any_value(pt) AS share
+       FROM base b JOIN (SELECT primary_platform, sum(sales_quantity) AS pt FROM base GROUP BY 1) p
+            USING (primary_platform) GROUP BY 1, 2)""", f"""
+SELECT {KEYS_SQL}, {R('sales_quantity')} AS sales_quantity,
+       {R(f'coalesce(lag(sales_quantity) OVER ({WE}), 0)')} AS sales_lag_1,
+       {R(f'avg(sales_quantity) OVER {_f(3)}')} AS sales_rolling_mean_3,
+       {R(f'CASE WHEN count(*) OVER {_f(6)} < 2 THEN 0 ELSE coalesce(regr_slope(sales_quantity, rn) OVER {_f(6)}, 0) END')}
+         AS sales_trend_6m,
+       {R('share')} AS brand_platform_market_share
+FROM (SELECT *, CAST(row_number() OVER ({WE}) AS DOUBLE) AS rn FROM base) b
+JOIN bs USING (primary_platform, brand_name)"""))
+def flagship_share_trend(spark, d):
+    """Entity lags, rolling mean and 6-row trend, joined to the brand's share of its platform."""
+    from ..operators.behaviour import brand_share_in_platform, join_back
+    b = base(spark, d)
+    w = tp.entity_window()
+    b = b.withColumn("_rn", F.row_number().over(w).cast("double"))
+    feats = b.select(*KEYS, "sales_quantity",
+                     F.coalesce(F.lag("sales_quantity").over(w), F.lit(0.0)).alias("sales_lag_1"),
+                     F.avg("sales_quantity").over(tp.frame(3)).alias("sales_rolling_mean_3"),
+                     F.coalesce(F.regr_slope("sales_quantity", "_rn").over(tp.frame(6)), F.lit(0.0))
+                     .alias("sales_trend_6m"))
+    share = brand_share_in_platform(b).select("primary_platform", "brand_name", "brand_platform_market_share")
+    return finalize(join_back(feats, share, ["primary_platform", "brand_name"]))

@@ -35,6 +35,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b = b.master(master)
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
+    if master and master.startswith("local") and not (extra or {}).get("spark.driver.memory"):
+        b = b.config("spark.driver.memory", os.environ.get("SALESPLANE_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
