@@ -42,7 +42,12 @@ def _interp(sorted_pairs, base, n, p):
 
 def quantiles(df: DataFrame, column: str, probs, exact_limit: int = 2_000_000,
               eps: float = 1e-6) -> list:
-    """Exact linear-interpolation quantiles of a numeric column (NULLs ignored)."""
+    """Exact linear-interpolation quantiles of a numeric column (NULLs ignored).
+
+    A row count decides the method: within ``exact_limit`` rows one exact
+    ``percentile`` pass runs (its value map is bounded by ``exact_limit``);
+    above it the bracketed method of the module docstring is used.
+    """
     probs = list(probs)
     x = F.col(column).cast("double")
     base = df.select(x.alias("x")).where(F.col("x").isNotNull())
@@ -78,6 +83,17 @@ def quantile(df: DataFrame, column: str, p: float, **kw):
     return quantiles(df, column, [p], **kw)[0]
 
 
+def sorted_quantile(arr, p: float):
+    """Linear-interpolation quantile of a sorted array column (NULL when empty)."""
+    n = F.size(arr)
+    pos = (n - 1) * F.lit(p)
+    lo = F.floor(pos).cast("int")
+    hi = F.ceil(pos).cast("int")
+    vlo = F.element_at(arr, lo + 1)
+    vhi = F.element_at(arr, hi + 1)
+    return F.when(n > 0, vlo + (pos - lo) * (vhi - vlo))
+
+
 def scalars(df: DataFrame, **aggs) -> dict:
     """One-pass global aggregates returned as Python scalars (a single row)."""
     row = df.agg(*[e.alias(k) for k, e in aggs.items()]).first()

@@ -30,6 +30,27 @@ def join_back(df: DataFrame, table: DataFrame, keys, broadcast: bool = False) ->
     return df.join(F.broadcast(t) if broadcast else t, on=keys, how="left")
 
 
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def attach(df: DataFrame, tables, keys, max_broadcast_bytes: int | None = None) -> DataFrame:
+    """Join several aggregate tables that share one key to the fact with a single join.
+
+    The tables are first joined to each other (all are small: one row per key),
+    persisted, and counted; the combined table is broadcast only when its
+    counted size (rows x columns x 8 bytes + row overhead) is under the limit,
+    otherwise both sides are shuffled on the key (and AQE splits skewed keys).
+    """
+    from functools import reduce
+    keys = list(keys)
+    t = reduce(lambda a, b: a.join(b.drop(*[c for c in b.columns if c in a.columns and c not in keys]),
+                                   keys, "full"), tables).persist()
+    n = t.count()
+    limit = DEFAULT_BROADCAST_BYTES if max_broadcast_bytes is None else max_broadcast_bytes
+    est = n * (8 * len(t.columns) + 48)
+    return join_back(df, t, keys, broadcast=est <= limit)
+
+
 def _tiers(c, q_lo, q_hi, names):
     """<= q_lo, (q_lo, q_hi], > q_hi  -> three flags."""
     x = F.col(c)
@@ -51,7 +72,7 @@ def store_behaviour(df: DataFrame) -> DataFrame:
         F.avg("unit_price").alias("store_price_mean"),
         F.stddev_samp("unit_price").alias("store_price_std"),
         F.count_distinct("brand_name").alias("store_brand_count"),
-        F.count_distinct("product_code").alias("store_product_count"))
+        F.count_distinct("product_code").alias("store_product_count")).persist()
     t = t.select("*",
                  (F.col("store_sales_std") / (F.col("store_sales_mean") + 1)).alias("store_sales_cv"),
                  (F.col("store_sales_max") - F.col("store_sales_min")).alias("store_sales_range"),
@@ -81,7 +102,7 @@ def brand_analysis(df: DataFrame) -> DataFrame:
         F.stddev_samp("unit_price").alias("brand_price_std"),
         F.count_distinct("store_name").alias("brand_store_count"),
         F.count_distinct("primary_platform").alias("brand_platform_count"),
-        F.count_distinct("product_code").alias("brand_product_count"))
+        F.count_distinct("product_code").alias("brand_product_count")).persist()
     p = F.col("brand_price_mean")
     t = t.select("*",
                  (F.col("brand_sales_total") / F.lit(tot["tq"])).alias("brand_market_share_quantity"),
@@ -100,7 +121,7 @@ def store_brand_diversity(df: DataFrame) -> DataFrame:
     """A3: per entity, product diversity and tiers."""
     t = df.groupBy(*ENTITY).agg(F.count_distinct("product_code").alias("product_diversity_count"),
                                 F.sum("sales_quantity").alias("sb_total_quantity"),
-                                cents_sum("sales_amount").alias("sb_total_amount"))
+                                cents_sum("sales_amount").alias("sb_total_amount")).persist()
     q33, q67 = quantiles(t, "product_diversity_count", [0.33, 0.67])
     return t.select("*", *_tiers("product_diversity_count", q33, q67,
                                  ["product_diversity_low", "product_diversity_medium", "product_diversity_high"]),
@@ -170,7 +191,7 @@ def performance_categories(df: DataFrame) -> DataFrame:
     """A10: high / steady / volatile / low performers per entity."""
     t = df.groupBy(*ENTITY).agg(F.avg("sales_quantity").alias("entity_sales_mean"),
                                 F.stddev_samp("sales_quantity").alias("entity_sales_std"))
-    t = t.withColumn("entity_sales_cv", F.col("entity_sales_std") / (F.col("entity_sales_mean") + 1))
+    t = t.withColumn("entity_sales_cv", F.col("entity_sales_std") / (F.col("entity_sales_mean") + 1)).persist()
     q33, q67 = quantiles(t, "entity_sales_mean", [0.33, 0.67])
     (med,) = quantiles(t, "entity_sales_cv", [0.5])
     m, cv = F.col("entity_sales_mean"), F.col("entity_sales_cv")

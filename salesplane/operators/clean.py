@@ -76,10 +76,21 @@ def add_unit_price(df: DataFrame, median: float | None = None) -> DataFrame:
 
 
 def base_setup(df: DataFrame, high_price_q: float = 0.95) -> DataFrame:
-    """Step 1: P4 unit price, P8 log target, P9 quality flags."""
+    """Step 1: P4 unit price, P8 log target, P9 quality flags.
+
+    The input is persisted first: the median and the q95 are global scalars
+    (actions), and without it each would re-run the upstream joins.
+    """
+    df = df.persist()
     if "unit_price" not in df.columns:
-        df = add_unit_price(df)
-    q95 = quantile(df, "unit_price", high_price_q)
+        df = df.withColumn("unit_price", safe_div("sales_amount", "sales_quantity"))
+        n_missing = df.where(F.col("unit_price").isNull()).count()
+        med, q95 = quantiles(df, "unit_price", [0.5, high_price_q])
+        df = df.withColumn("unit_price", F.coalesce(F.col("unit_price"), F.lit(med).cast("double")))
+        if n_missing:  # the fill changes the distribution the q95 is taken over
+            q95 = quantile(df, "unit_price", high_price_q)
+    else:
+        q95 = quantile(df, "unit_price", high_price_q)
     return df.select(
         "*",
         F.log1p("sales_quantity").alias("sales_quantity_log"),
@@ -106,7 +117,7 @@ def fill_missing_values(df: DataFrame) -> DataFrame:
     is_score = lambda c: any(s in c for s in ("_score", "_index"))
     aggs = [F.max(c).alias(f"max__{c}") for c in ints]
     aggs += [F.percentile(c, 0.5).alias(f"med__{c}") for c in nums if is_score(c) and not is_ratio(c)]
-    stats = df.agg(*aggs).first().asDict() if aggs else {}
+    stats = _chunked_agg(df, aggs)
     out = []
     for c in df.columns:
         if c not in nums:
@@ -122,6 +133,14 @@ def fill_missing_values(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def _chunked_agg(df: DataFrame, aggs, chunk: int = 80) -> dict:
+    """Global aggregates in chunks, keeping each generated method under the JVM size limit."""
+    out = {}
+    for i in range(0, len(aggs), chunk):
+        out.update(df.agg(*aggs[i:i + chunk]).first().asDict())
+    return out
+
+
 def drop_temp_columns(df: DataFrame) -> DataFrame:
     """P13."""
     return df.drop(*[c for c in df.columns if "_temp_" in c or "_intermediate_" in c])
@@ -131,7 +150,7 @@ def ensure_dtypes(df: DataFrame) -> DataFrame:
     """Binary ints/bools and _count/_nunique/_rank -> int, double -> float."""
     ints = [f.name for f in df.schema.fields
             if isinstance(f.dataType, (T.IntegerType, T.LongType, T.BooleanType))]
-    mx = df.agg(*[F.max(F.col(c).cast("long")).alias(c) for c in ints]).first().asDict() if ints else {}
+    mx = _chunked_agg(df, [F.max(F.col(c).cast("long")).alias(c) for c in ints])
     out = []
     for f in df.schema.fields:
         c = F.col(f.name)

@@ -56,7 +56,7 @@ def platform_brand_flags(df: DataFrame, k: int = 15, pairs=None) -> DataFrame:
 def store_brand_strength(df: DataFrame) -> DataFrame:
     """Per (store, brand): active months * mean quantity, / (max + 1e-6)."""
     t = df.groupBy("store_name", "brand_name").agg(
-        (F.count_distinct("sales_month") * F.avg("sales_quantity")).alias("sb_relationship_strength"))
+        (F.count_distinct("sales_month") * F.avg("sales_quantity")).alias("sb_relationship_strength")).persist()
     mx = t.agg(F.max("sb_relationship_strength")).first()[0]
     return t.select("store_name", "brand_name",
                     (F.col("sb_relationship_strength") / F.lit(mx + 1e-6)).alias("sb_relationship_score"))

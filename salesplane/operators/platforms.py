@@ -44,7 +44,7 @@ def platform_preference(df: DataFrame) -> DataFrame:
     performance ratio to the store's best platform, whole-table fallback."""
     sp = df.groupBy("store_name", "primary_platform").agg(F.sum("sales_quantity").alias("mp_sales_total"))
     w = Window.partitionBy("store_name")
-    sp = sp.withColumn("_np", F.count("*").over(w)).withColumn("_mx", F.max("mp_sales_total").over(w))
+    sp = sp.withColumn("_np", F.count("*").over(w)).withColumn("_mx", F.max("mp_sales_total").over(w)).persist()
     multi = sp.where(F.col("_np") > 1)
     pref = argmax_key(multi, ["store_name"], "primary_platform", "mp_sales_total", "preferred_platform")
     t = sp.join(pref, "store_name", "left")

@@ -97,14 +97,14 @@ def store_quality(df: DataFrame) -> DataFrame:
     t = t.select(*STORE, (F.col("s") / (F.col("m") + 1)).alias("quality_consistency"),
                  (F.col("nb") * F.col("np")).cast("double").alias("quality_diversity"),
                  F.col("quality_longevity").cast("double").alias("quality_longevity"),
-                 "quality_volume")
+                 "quality_volume").persist()
     mets = ["quality_consistency", "quality_diversity", "quality_longevity", "quality_volume"]
     mm = t.agg(*[F.min(c).alias(f"mn_{c}") for c in mets], *[F.max(c).alias(f"mx_{c}") for c in mets]).first()
     score = (_minmax("quality_consistency", mm["mn_quality_consistency"], mm["mx_quality_consistency"], True) * 0.3
              + _minmax("quality_diversity", mm["mn_quality_diversity"], mm["mx_quality_diversity"]) * 0.2
              + _minmax("quality_longevity", mm["mn_quality_longevity"], mm["mx_quality_longevity"]) * 0.2
              + _minmax("quality_volume", mm["mn_quality_volume"], mm["mx_quality_volume"]) * 0.3)
-    t = t.select(*STORE, score.alias("store_quality_score"))
+    t = t.select(*STORE, score.alias("store_quality_score")).persist()
     q33, q67 = quantiles(t, "store_quality_score", [0.33, 0.67])
     s = F.col("store_quality_score")
     return t.select("*", flag(s > F.lit(q67)).alias("store_quality_high"),
@@ -125,7 +125,7 @@ def business_model(df: DataFrame) -> DataFrame:
         F.count_distinct("brand_name").alias("bm_brand_count"),
         F.count_distinct("product_code").alias("bm_product_count"),
         F.avg("unit_price").alias("bm_price_mean"), F.stddev_samp("unit_price").alias("bm_price_std"),
-        F.avg("sales_quantity").alias("bm_sales_mean"), F.sum("sales_quantity").alias("bm_sales_total"))
+        F.avg("sales_quantity").alias("bm_sales_mean"), F.sum("sales_quantity").alias("bm_sales_total")).persist()
     (v80,) = quantiles(t, "bm_sales_total", [0.8])
     p20, p80 = quantiles(t, "bm_price_mean", [0.2, 0.8])
     b = F.col("bm_brand_count")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.exprs import finite, flag, pct_change, safe_div
+from ..functions.stats import sorted_quantile
 
 ENTITY = ["primary_platform", "store_name", "brand_name"]
 ORDER = ["sales_month", "product_code"]
@@ -129,9 +130,14 @@ def lag_features(df: DataFrame, lags=LAGS, entity=ENTITY) -> DataFrame:
 
 
 def rolling_features(df: DataFrame, windows=ROLL, entity=ENTITY) -> DataFrame:
-    """Rolling mean/std/min/max/cv/median/q25/q75 (min_periods=1, std NULL -> 0)."""
+    """Rolling mean/std/min/max/cv/median/q25/q75 (min_periods=1, std NULL -> 0).
+
+    Moments and extremes are built-in frame aggregates; the three quantiles of
+    a frame come from one sorted frame array (k <= 12 values) instead of three
+    per-row ``percentile`` re-aggregations.
+    """
     q = F.col("sales_quantity")
-    cols = []
+    cols, tmp = [], []
     for k in windows:
         fr = frame(k, entity)
         mean = F.avg(q).over(fr)
@@ -140,27 +146,34 @@ def rolling_features(df: DataFrame, windows=ROLL, entity=ENTITY) -> DataFrame:
                  F.min(q).over(fr).alias(f"sales_rolling_min_{k}"),
                  F.max(q).over(fr).alias(f"sales_rolling_max_{k}"),
                  (std / (mean + 1)).alias(f"sales_rolling_cv_{k}"),
-                 F.percentile(q, 0.5).over(fr).alias(f"sales_rolling_median_{k}"),
-                 F.percentile(q, 0.25).over(fr).alias(f"sales_rolling_q25_{k}"),
-                 F.percentile(q, 0.75).over(fr).alias(f"sales_rolling_q75_{k}")]
-    return df.select("*", *cols)
+                 F.array_sort(F.collect_list(q).over(fr)).alias(f"_frame_{k}")]
+        tmp.append(f"_frame_{k}")
+    df = df.select("*", *cols)
+    qs = []
+    for k in windows:
+        arr = F.col(f"_frame_{k}")
+        qs += [sorted_quantile(arr, 0.5).alias(f"sales_rolling_median_{k}"),
+               sorted_quantile(arr, 0.25).alias(f"sales_rolling_q25_{k}"),
+               sorted_quantile(arr, 0.75).alias(f"sales_rolling_q75_{k}")]
+    return df.select("*", *qs).drop(*tmp)
 
 
 def momentum_features(df: DataFrame, entity=ENTITY) -> DataFrame:
     """Mom change (+-inf kept), abs change, OLS trend 3/6, acceleration,
-    volatility 3/6, momentum flags."""
+    volatility 3/6 (reused from the rolling std when present), momentum flags."""
     w = entity_window(entity)
     q = F.col("sales_quantity")
     prev = F.lag(q, 1).over(w)
     mom = F.coalesce(pct_change(q, prev), F.lit(0.0))
     df = df.withColumn("_rn", F.row_number().over(w).cast("double"))
     rn = F.col("_rn")
+    vol = [F.col(f"sales_rolling_std_{k}") if f"sales_rolling_std_{k}" in df.columns
+           else F.coalesce(F.stddev_samp(q).over(frame(k, entity)), F.lit(0.0)) for k in (3, 6)]
     df = df.select("*", mom.alias("sales_mom_change"),
                    F.coalesce(q - prev, F.lit(0.0)).alias("sales_mom_abs_change"),
                    *[F.coalesce(F.regr_slope(q, rn).over(frame(k, entity)), F.lit(0.0))
                      .alias(f"sales_trend_{k}m") for k in (3, 6)],
-                   *[F.coalesce(F.stddev_samp(q).over(frame(k, entity)), F.lit(0.0))
-                     .alias(f"sales_volatility_{k}m") for k in (3, 6)])
+                   vol[0].alias("sales_volatility_3m"), vol[1].alias("sales_volatility_6m"))
     m = F.col("sales_mom_change")
     accel = F.coalesce(_finite_diff(m, F.lag(m, 1).over(w)), F.lit(0.0))
     return df.select("*", accel.alias("sales_acceleration"),
@@ -168,6 +181,11 @@ def momentum_features(df: DataFrame, entity=ENTITY) -> DataFrame:
                      flag((m >= -0.1) & (m <= 0.1)).alias("momentum_stable")).drop("_rn")
 
 
+def rolling_and_momentum(df: DataFrame, windows=ROLL, entity=ENTITY) -> DataFrame:
+    """W3-W11 in one pass over the entity window (volatility reuses the rolling std)."""
+    return momentum_features(rolling_features(df, windows, entity), entity)
+
+
 def _finite_diff(cur, prev):
     """x - lag(x); inf - inf (NaN in pandas) -> NULL."""
     d = cur - prev
