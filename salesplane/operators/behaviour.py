@@ -105,10 +105,10 @@ def brand_analysis(df: DataFrame) -> DataFrame:
         F.count_distinct("product_code").alias("brand_product_count")).persist()
     p = F.col("brand_price_mean")
     t = t.select("*",
-                 (F.col("brand_sales_total") / F.lit(tot["tq"])).alias("brand_market_share_quantity"),
-                 (F.col("brand_amount_total") / F.lit(tot["ta"])).alias("brand_market_share_amount"),
-                 (F.col("brand_store_count") / F.lit(tot["ns"])).alias("brand_diversity_stores"),
-                 (F.col("brand_platform_count") / F.lit(tot["np"])).alias("brand_diversity_platforms"),
+                 safe_div(F.col("brand_sales_total"), F.lit(tot["tq"])).alias("brand_market_share_quantity"),
+                 safe_div(F.col("brand_amount_total"), F.lit(tot["ta"])).alias("brand_market_share_amount"),
+                 safe_div(F.col("brand_store_count"), F.lit(tot["ns"])).alias("brand_diversity_stores"),
+                 safe_div(F.col("brand_platform_count"), F.lit(tot["np"])).alias("brand_diversity_platforms"),
                  flag(p > F.lit(tot["mp"] * 1.2)).alias("brand_premium_indicator"),
                  flag(p < F.lit(tot["mp"] * 0.8)).alias("brand_budget_indicator"),
                  flag((p >= F.lit(tot["mp"] * 0.8)) & (p <= F.lit(tot["mp"] * 1.2))).alias("brand_mid_range_indicator"))
@@ -146,14 +146,14 @@ def platform_share(df: DataFrame) -> DataFrame:
     total = df.agg(F.sum("sales_quantity")).first()[0]
     p = df.groupBy("primary_platform").agg(F.sum("sales_quantity").alias("platform_total"))
     return p.select("primary_platform", "platform_total",
-                    (F.col("platform_total") / F.lit(total)).alias("platform_market_share"))
+                    safe_div(F.col("platform_total"), F.lit(total)).alias("platform_market_share"))
 
 
 def _share_in_platform(df: DataFrame, key: str, prefix: str) -> DataFrame:
     plat = df.groupBy("primary_platform").agg(F.sum("sales_quantity").alias("platform_total"))
     t = df.groupBy("primary_platform", key).agg(F.sum("sales_quantity").alias(f"{prefix}_platform_total"))
     t = t.join(F.broadcast(plat), "primary_platform", "inner")
-    share = (F.col(f"{prefix}_platform_total") / F.col("platform_total"))
+    share = safe_div(f"{prefix}_platform_total", "platform_total")
     return t.select("primary_platform", key, f"{prefix}_platform_total",
                     share.alias(f"{prefix}_platform_market_share"),
                     flag(share > 0.1).alias(f"dominant_{prefix}"),

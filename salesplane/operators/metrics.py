@@ -57,7 +57,9 @@ def floored_mape(y: Column, p: Column) -> Column:
 
 def naive_mape(y: Column, p: Column) -> Column:
     """E10."""
-    return F.avg(F.abs((y - p) / y)) * 100
+    e = F.abs(y - p)
+    ratio = F.when(y == 0, F.when(e == 0, F.lit(float("nan"))).otherwise(F.lit(float("inf")))).otherwise(e / F.abs(y))
+    return F.avg(ratio) * 100
 
 
 def metric_aggs(y="y_true", p="y_pred") -> list:
@@ -71,7 +73,7 @@ def metric_aggs(y="y_true", p="y_pred") -> list:
     sse = F.sum((yc - pc) * (yc - pc))
     sst = F.var_pop(yc) * n
     return [n.alias("n"), masked_mape(yc, pc).alias("mape"), F.avg(F.abs(yc - pc)).alias("mae"),
-            F.sqrt(F.avg((yc - pc) * (yc - pc))).alias("rmse"), (1 - sse / sst).alias("r2"),
+            F.sqrt(F.avg((yc - pc) * (yc - pc))).alias("rmse"), (1 - F.try_divide(sse, sst)).alias("r2"),
             evaluator_mape(yc, pc).alias("evaluator_mape"), floored_mape(yc, pc).alias("floored_mape"),
             naive_mape(yc, pc).alias("naive_mape"),
             safe_mape_log(F.log1p(yc), F.log1p(pc)).alias("safe_mape_log")]
@@ -118,5 +120,5 @@ def health_rules(mape: Column, std: Column) -> Column:
 
 def degradation(mape: Column, baseline: float) -> Column:
     """Ratio to a baseline MAPE, >2 alert, >1 warning."""
-    r = mape / F.lit(baseline)
+    r = F.try_divide(mape, F.lit(baseline))
     return F.when(r > 2, "alert").when(r > 1, "warning").otherwise("ok")

@@ -48,7 +48,7 @@ def platform_preference(df: DataFrame) -> DataFrame:
     multi = sp.where(F.col("_np") > 1)
     pref = argmax_key(multi, ["store_name"], "primary_platform", "mp_sales_total", "preferred_platform")
     t = sp.join(pref, "store_name", "left")
-    ratio = F.when(F.col("_np") > 1, F.col("mp_sales_total") / F.col("_mx")).otherwise(F.lit(1.0))
+    ratio = F.when(F.col("_np") > 1, F.try_divide(F.col("mp_sales_total"), F.col("_mx"))).otherwise(F.lit(1.0))
     t = t.select("store_name", "primary_platform", "preferred_platform",
                  flag(F.col("primary_platform") == F.col("preferred_platform")).alias("on_preferred_platform"),
                  ratio.alias("platform_performance_ratio"))
@@ -92,7 +92,7 @@ def platform_seasonal_index(df: DataFrame) -> DataFrame:
         F.sum("sales_quantity").alias("platform_month_total_sales"))
     pa = df.groupBy("primary_platform").agg(F.avg("sales_quantity").alias("platform_annual_avg"))
     t = pm.join(F.broadcast(pa), "primary_platform")  # one row per platform
-    idx = F.col("platform_month_avg_sales") / F.col("platform_annual_avg")
+    idx = F.try_divide(F.col("platform_month_avg_sales"), F.col("platform_annual_avg"))
     return t.select("primary_platform", "month", idx.alias("platform_seasonal_index"),
                     flag(idx > 1.2).alias("platform_peak_season"),
                     flag((idx >= 0.8) & (idx <= 1.2)).alias("platform_normal_season"),
@@ -104,7 +104,7 @@ def platform_promo_lift(df: DataFrame, promo_col="is_promotional_period") -> Dat
     t = df.groupBy("primary_platform").agg(
         F.avg(F.when(F.col(promo_col) == 1, F.col("sales_quantity"))).alias("promo_sales"),
         F.avg(F.when(F.col(promo_col) == 0, F.col("sales_quantity"))).alias("baseline_sales"))
-    lift = F.coalesce(F.col("promo_sales") / F.col("baseline_sales") - 1, F.lit(0.0))
+    lift = F.coalesce(F.try_divide(F.col("promo_sales"), F.col("baseline_sales")) - 1, F.lit(0.0))
     t = t.select("primary_platform", lift.alias("platform_promo_lift"))
     x = F.col("platform_promo_lift")
     return t.select("*", flag(x > 0.5).alias("platform_promo_highly_responsive"),
@@ -128,7 +128,7 @@ def store_rank_in_brand_platform(df: DataFrame) -> DataFrame:
     """Per (brand, platform, store): sales, share, dense rank and flags."""
     t = df.groupBy("brand_name", "primary_platform", "store_name").agg(F.sum("sales_quantity").alias("store_bp_sales"))
     w = Window.partitionBy("brand_name", "primary_platform")
-    t = t.select("*", (F.col("store_bp_sales") / F.sum("store_bp_sales").over(w)).alias("store_bp_market_share"),
+    t = t.select("*", F.try_divide(F.col("store_bp_sales"), F.sum("store_bp_sales").over(w)).alias("store_bp_market_share"),
                  F.dense_rank().over(w.orderBy(F.desc("store_bp_sales"))).alias("store_bp_rank"))
     r, s = F.col("store_bp_rank"), F.col("store_bp_market_share")
     return t.select("*", flag(r == 1).alias("store_bp_leader"), flag(r <= 3).alias("store_bp_top_3"),
@@ -192,7 +192,7 @@ def brand_platform_preference(df: DataFrame) -> DataFrame:
     bp = df.groupBy("brand_name", "primary_platform").agg(F.avg("sales_quantity").alias("bpm"))
     t = bp.join(b, "brand_name")
     return t.select("brand_name", "primary_platform", flag(F.col("np") > 1).alias("is_multi_platform_brand"),
-                    F.when(F.col("np") > 1, F.col("bpm") / F.col("ball")).otherwise(1.0)
+                    F.when(F.col("np") > 1, F.try_divide(F.col("bpm"), F.col("ball"))).otherwise(1.0)
                     .alias("platform_preference_score"))
 
 
@@ -200,7 +200,7 @@ def learned_monthly_intensity(df: DataFrame) -> DataFrame:
     """Per calendar month, mean / overall mean."""
     overall = df.agg(F.avg("sales_quantity")).first()[0]
     return df.groupBy(F.month("sales_month").alias("month")).agg(
-        (F.avg("sales_quantity") / F.lit(overall)).alias("monthly_intensity_learned"))
+        F.try_divide(F.avg("sales_quantity"), F.lit(overall)).alias("monthly_intensity_learned"))
 
 
 def brand_seasonal_index(df: DataFrame) -> DataFrame:
@@ -209,7 +209,7 @@ def brand_seasonal_index(df: DataFrame) -> DataFrame:
     t = df.groupBy("brand_name", F.month("sales_month").alias("month")).agg(
         F.sum("sales_quantity").alias("s"), F.count("sales_quantity").alias("n"))
     brand_mean = F.sum("s").over(w) / F.sum("n").over(w)
-    return t.select("brand_name", "month", ((F.col("s") / F.col("n")) / brand_mean).alias("brand_seasonal_index"))
+    return t.select("brand_name", "month", F.try_divide(F.col("s") / F.col("n"), brand_mean).alias("brand_seasonal_index"))
 
 
 def brand_promo_effectiveness(df: DataFrame, promo_col="is_promo_month") -> DataFrame:
@@ -224,7 +224,7 @@ def brand_promo_effectiveness(df: DataFrame, promo_col="is_promo_month") -> Data
 def yoy_growth_potential(df: DataFrame, target_year: int) -> DataFrame:
     """A42 (per fact row): in ``target_year``, months 4-12: q / entity-month mean, else 1."""
     w = Window.partitionBy(*ENTITY, F.month("sales_month"))
-    ratio = F.col("sales_quantity") / F.avg("sales_quantity").over(w)
+    ratio = F.try_divide(F.col("sales_quantity"), F.avg("sales_quantity").over(w))
     m = F.month("sales_month")
     return df.withColumn("yoy_growth_potential",
                          F.when((F.year("sales_month") == target_year) & (m >= 4) & (m <= 12), ratio)

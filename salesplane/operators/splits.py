@@ -40,8 +40,13 @@ def cutoff_windows(base_year: int):
             for k, m in enumerate([1, 4, 7, 10], start=1)]
 
 
-def tag_splits(df: DataFrame, windows, date_col: str = "sales_month") -> DataFrame:
-    """Long form: one output row per (row, split, role) membership."""
+def tag_splits(df: DataFrame, windows, date_col: str = "sales_month", drop_empty: bool = True) -> DataFrame:
+    """Long form: one output row per (row, split, role) membership.
+
+    ``drop_empty`` keeps only splits whose train and validation windows both
+    hold rows (the optional hold-out split exists only when its year does);
+    the decision reads one count per (split, role), at most 2 x splits rows.
+    """
     arr = F.array(*[F.struct(F.lit(k).alias("split_id"), F.lit(role).alias("role"), F.lit(lo).alias("lo"),
                              F.lit(hi).alias("hi"), F.lit(desc).alias("description"))
                     for k, ts, te, vs, ve, desc in windows
@@ -49,8 +54,13 @@ def tag_splits(df: DataFrame, windows, date_col: str = "sales_month") -> DataFra
     d = F.col(date_col)
     hits = F.filter(arr, lambda s: (d >= s["lo"]) & (d < s["hi"]))
     out = df.select("*", F.explode(hits).alias("_s"))
-    return out.select(*[c for c in df.columns], F.col("_s.split_id").alias("split_id"),
-                      F.col("_s.role").alias("role"), F.col("_s.description").alias("description"))
+    out = out.select(*[c for c in df.columns], F.col("_s.split_id").alias("split_id"),
+                     F.col("_s.role").alias("role"), F.col("_s.description").alias("description"))
+    if drop_empty:
+        roles = out.groupBy("split_id").agg(F.count_distinct("role").alias("n")).collect()
+        keep = [r["split_id"] for r in roles if r["n"] == 2]
+        out = out.where(F.col("split_id").isin(keep))
+    return out
 
 
 def split_summary(tagged: DataFrame, date_col: str = "sales_month") -> DataFrame:

@@ -161,7 +161,7 @@ def store_share_in_brand(df: DataFrame) -> DataFrame:
     t = df.groupBy("primary_platform", "brand_name", "store_name").agg(
         F.sum("sales_quantity").alias("store_brand_sales"))
     tot = F.sum("store_brand_sales").over(Window.partitionBy("primary_platform", "brand_name"))
-    t = t.withColumn("store_brand_share", F.col("store_brand_sales") / tot)
+    t = t.withColumn("store_brand_share", F.try_divide(F.col("store_brand_sales"), tot))
     return t.select("*", *_share_flags(F.col("store_brand_share"), "competitive"))
 
 
@@ -194,11 +194,11 @@ def store_behaviour_v1(df: DataFrame) -> DataFrame:
         F.avg("unit_price").alias("store_avg_price"))
     gm = t.agg(F.avg("store_avg_price")).first()[0]
     t = t.select("store_name", "primary_platform",
-                 F.coalesce(F.col("s") / F.col("m"), F.lit(0.0)).alias("store_sales_cv_v1"),
+                 F.coalesce(F.try_divide(F.col("s"), F.col("m")), F.lit(0.0)).alias("store_sales_cv_v1"),
                  (F.col("hi") - F.col("lo")).alias("store_sales_range_v1"),
                  F.try_divide(F.col("amt"), F.col("qty")).alias("store_revenue_per_unit"),
                  "store_brand_diversity",
-                 (F.col("store_avg_price") / F.lit(gm)).alias("store_price_premium"),
+                 F.try_divide(F.col("store_avg_price"), F.lit(gm)).alias("store_price_premium"),
                  (F.col("n") * F.col("m")).alias("store_size_metric"))
     edges = quantiles(t, "store_size_metric", [0.0, 0.2, 0.4, 0.6, 0.8, 1.0])
     uniq = sorted(set(edges))
@@ -216,5 +216,5 @@ def store_type_index(df: DataFrame, type_col="store_type_v1") -> DataFrame:
     """Per store type, mean quantity and mean price relative to the global means."""
     g = df.agg(F.avg("sales_quantity").alias("gq"), F.avg("unit_price").alias("gp")).first()
     return df.groupBy(type_col).agg(
-        (F.avg("sales_quantity") / F.lit(g["gq"])).alias("store_type_sales_index"),
-        (F.avg("unit_price") / F.lit(g["gp"])).alias("store_type_price_index"))
+        F.try_divide(F.avg("sales_quantity"), F.lit(g["gq"])).alias("store_type_sales_index"),
+        F.try_divide(F.avg("unit_price"), F.lit(g["gp"])).alias("store_type_price_index"))
