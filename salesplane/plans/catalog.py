@@ -23,5 +23,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all():
     """Import the modules that register queries."""
-    from . import q_core, q_dims, q_eval  # noqa: F401
+    from . import q_core, q_dims, q_eval, q_more  # noqa: F401
     return QUERIES, ORACLE
