@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The source pipeline reads whole yearly files in batch; it has no streams,
+watermarks, windows over event time or stateful operators, so none are
+provided here.  The batch operators are plain ``DataFrame -> DataFrame``
+functions and can be applied inside ``foreachBatch`` if a caller streams
+monthly files in.
+"""
