@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions.exprs import cents_sum, flag, safe_div
 from ..functions.stats import quantiles
+from . import dims
 
 ENTITY = ["primary_platform", "store_name", "brand_name"]
 STORE = ["primary_platform", "store_name"]
@@ -59,20 +60,15 @@ def _tiers(c, q_lo, q_hi, names):
             flag(x > hi).alias(names[2])]
 
 
-def store_behaviour(df: DataFrame) -> DataFrame:
+def store_behaviour(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """A1: per (platform, store)."""
-    t = df.groupBy(*STORE).agg(
-        F.avg("sales_quantity").alias("store_sales_mean"),
-        F.stddev_samp("sales_quantity").alias("store_sales_std"),
-        F.min("sales_quantity").alias("store_sales_min"),
-        F.max("sales_quantity").alias("store_sales_max"),
-        F.count("sales_quantity").alias("store_record_count"),
-        F.avg("sales_amount").alias("store_amount_mean"),
-        F.stddev_samp("sales_amount").alias("store_amount_std"),
-        F.avg("unit_price").alias("store_price_mean"),
-        F.stddev_samp("unit_price").alias("store_price_std"),
-        F.count_distinct("brand_name").alias("store_brand_count"),
-        F.count_distinct("product_code").alias("store_product_count")).persist()
+    s = stats if stats is not None else dims.store_stats(df)
+    t = s.select(*STORE, F.col("q_mean").alias("store_sales_mean"), F.col("q_std").alias("store_sales_std"),
+                 F.col("q_min").alias("store_sales_min"), F.col("q_max").alias("store_sales_max"),
+                 F.col("q_n").alias("store_record_count"), F.col("a_mean").alias("store_amount_mean"),
+                 F.col("a_std").alias("store_amount_std"), F.col("p_mean").alias("store_price_mean"),
+                 F.col("p_std").alias("store_price_std"), F.col("n_brand").alias("store_brand_count"),
+                 F.col("n_product").alias("store_product_count"))
     t = t.select("*",
                  (F.col("store_sales_std") / (F.col("store_sales_mean") + 1)).alias("store_sales_cv"),
                  (F.col("store_sales_max") - F.col("store_sales_min")).alias("store_sales_range"),
@@ -86,23 +82,18 @@ def store_behaviour(df: DataFrame) -> DataFrame:
                             ["store_size_small", "store_size_medium", "store_size_large"]))
 
 
-def brand_analysis(df: DataFrame) -> DataFrame:
+def brand_analysis(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """A2: per brand, shares of the whole market, diversity, price and sales tiers."""
     tot = df.agg(F.sum("sales_quantity").alias("tq"), cents_sum("sales_amount").alias("ta"),
                  F.count_distinct("store_name").alias("ns"),
                  F.count_distinct("primary_platform").alias("np"),
                  F.avg("unit_price").alias("mp")).first()
-    t = df.groupBy("brand_name").agg(
-        F.avg("sales_quantity").alias("brand_sales_mean"),
-        F.stddev_samp("sales_quantity").alias("brand_sales_std"),
-        F.sum("sales_quantity").alias("brand_sales_total"),
-        F.avg("sales_amount").alias("brand_amount_mean"),
-        cents_sum("sales_amount").alias("brand_amount_total"),
-        F.avg("unit_price").alias("brand_price_mean"),
-        F.stddev_samp("unit_price").alias("brand_price_std"),
-        F.count_distinct("store_name").alias("brand_store_count"),
-        F.count_distinct("primary_platform").alias("brand_platform_count"),
-        F.count_distinct("product_code").alias("brand_product_count")).persist()
+    s = stats if stats is not None else dims.brand_stats(df)
+    t = s.select("brand_name", F.col("q_mean").alias("brand_sales_mean"), F.col("q_std").alias("brand_sales_std"),
+                 F.col("q_sum").alias("brand_sales_total"), F.col("a_mean").alias("brand_amount_mean"),
+                 F.col("a_sum").alias("brand_amount_total"), F.col("p_mean").alias("brand_price_mean"),
+                 F.col("p_std").alias("brand_price_std"), F.col("n_store").alias("brand_store_count"),
+                 F.col("n_platform").alias("brand_platform_count"), F.col("n_product").alias("brand_product_count"))
     p = F.col("brand_price_mean")
     t = t.select("*",
                  safe_div(F.col("brand_sales_total"), F.lit(tot["tq"])).alias("brand_market_share_quantity"),
@@ -117,11 +108,11 @@ def brand_analysis(df: DataFrame) -> DataFrame:
                                  ["brand_performance_low", "brand_performance_medium", "brand_performance_high"]))
 
 
-def store_brand_diversity(df: DataFrame) -> DataFrame:
+def store_brand_diversity(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """A3: per entity, product diversity and tiers."""
-    t = df.groupBy(*ENTITY).agg(F.count_distinct("product_code").alias("product_diversity_count"),
-                                F.sum("sales_quantity").alias("sb_total_quantity"),
-                                cents_sum("sales_amount").alias("sb_total_amount")).persist()
+    s = stats if stats is not None else dims.entity_stats(df)
+    t = s.select(*ENTITY, F.col("n_product").alias("product_diversity_count"),
+                 F.col("q_sum").alias("sb_total_quantity"), F.col("a_sum").alias("sb_total_amount"))
     q33, q67 = quantiles(t, "product_diversity_count", [0.33, 0.67])
     return t.select("*", *_tiers("product_diversity_count", q33, q67,
                                  ["product_diversity_low", "product_diversity_medium", "product_diversity_high"]),
@@ -170,14 +161,11 @@ def brand_share_in_platform(df: DataFrame) -> DataFrame:
     return _share_in_platform(df, "brand_name", "brand")
 
 
-def loyalty(df: DataFrame) -> DataFrame:
+def loyalty(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Relationship duration (round(days/30.44)) and consistency per entity."""
-    t = df.groupBy(*ENTITY).agg(F.min("sales_month").alias("relationship_start"),
-                                F.max("sales_month").alias("relationship_end"),
-                                F.count("sales_month").alias("relationship_months"),
-                                F.sum("sales_quantity").alias("relationship_total_sales"))
-    dur = F.round(F.datediff("relationship_end", "relationship_start") / K.DAYS_PER_MONTH).cast("int")
-    t = t.withColumn("relationship_duration_months", dur)
+    s = stats if stats is not None else dims.entity_stats(df)
+    dur = F.round(F.datediff("last_month", "first_month") / K.DAYS_PER_MONTH).cast("int")
+    t = s.select(*ENTITY, F.col("n_rows").alias("relationship_months"), dur.alias("relationship_duration_months"))
     d = F.col("relationship_duration_months")
     cons = F.col("relationship_months") / (d + 1)
     return t.select(*ENTITY, "relationship_duration_months", cons.alias("relationship_consistency"),
@@ -187,11 +175,11 @@ def loyalty(df: DataFrame) -> DataFrame:
                     flag(cons > 0.8).alias("high_consistency_relationship"))
 
 
-def performance_categories(df: DataFrame) -> DataFrame:
+def performance_categories(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """A10: high / steady / volatile / low performers per entity."""
-    t = df.groupBy(*ENTITY).agg(F.avg("sales_quantity").alias("entity_sales_mean"),
-                                F.stddev_samp("sales_quantity").alias("entity_sales_std"))
-    t = t.withColumn("entity_sales_cv", F.col("entity_sales_std") / (F.col("entity_sales_mean") + 1)).persist()
+    s = stats if stats is not None else dims.entity_stats(df)
+    t = s.select(*ENTITY, F.col("q_mean").alias("entity_sales_mean"),
+                 (F.col("q_std") / (F.col("q_mean") + 1)).alias("entity_sales_cv"))
     q33, q67 = quantiles(t, "entity_sales_mean", [0.33, 0.67])
     (med,) = quantiles(t, "entity_sales_cv", [0.5])
     m, cv = F.col("entity_sales_mean"), F.col("entity_sales_cv")

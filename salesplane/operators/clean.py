@@ -104,7 +104,18 @@ def inverse_target(c="sales_quantity_log"):
     return F.expm1(F.col(c) if isinstance(c, str) else c)
 
 
-def fill_missing_values(df: DataFrame) -> DataFrame:
+def column_stats(df: DataFrame) -> dict:
+    """Integer-column maxima and _score/_index medians in one chunked aggregate pass."""
+    ints = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.IntegerType, T.LongType))]
+    nums = numeric_columns(df)
+    is_ratio = lambda c: any(s in c for s in ("_ratio", "_share", "_cv", "_pct"))
+    is_score = lambda c: any(s in c for s in ("_score", "_index"))
+    aggs = [F.max(c).alias(f"max__{c}") for c in ints]
+    aggs += [F.percentile(c, 0.5).alias(f"med__{c}") for c in nums if is_score(c) and not is_ratio(c)]
+    return _chunked_agg(df, aggs)
+
+
+def fill_missing_values(df: DataFrame, stats: dict | None = None) -> DataFrame:
     """Name-pattern fill, rules applied in order.
 
     1. integer columns whose max <= 1 -> 0;  2. _ratio/_share/_cv/_pct -> 0;
@@ -113,11 +124,9 @@ def fill_missing_values(df: DataFrame) -> DataFrame:
     """
     ints = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.IntegerType, T.LongType))]
     nums = numeric_columns(df)
-    is_ratio = lambda c: any(s in c for s in ("_ratio", "_share", "_cv", "_pct"))
-    is_score = lambda c: any(s in c for s in ("_score", "_index"))
-    aggs = [F.max(c).alias(f"max__{c}") for c in ints]
-    aggs += [F.percentile(c, 0.5).alias(f"med__{c}") for c in nums if is_score(c) and not is_ratio(c)]
-    stats = _chunked_agg(df, aggs)
+    is_ratio = lambda c: any(s in c for s in ("_ratio", "_share", "_cv", "_pct"))
+    is_score = lambda c: any(s in c for s in ("_score", "_index"))
+    stats = column_stats(df) if stats is None else stats
     out = []
     for c in df.columns:
         if c not in nums:
@@ -146,11 +155,20 @@ def drop_temp_columns(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if "_temp_" in c or "_intermediate_" in c])
 
 
-def ensure_dtypes(df: DataFrame) -> DataFrame:
-    """Binary ints/bools and _count/_nunique/_rank -> int, double -> float."""
+def ensure_dtypes(df: DataFrame, stats: dict | None = None) -> DataFrame:
+    """Binary ints/bools and _count/_nunique/_rank -> int, double -> float.
+
+    ``stats`` (from ``column_stats`` before the fill) saves a pass: filling
+    NULLs with 0 cannot lift a column's maximum above 1.
+    """
     ints = [f.name for f in df.schema.fields
             if isinstance(f.dataType, (T.IntegerType, T.LongType, T.BooleanType))]
-    mx = _chunked_agg(df, [F.max(F.col(c).cast("long")).alias(c) for c in ints])
+    if stats is not None and all(f"max__{c}" in stats for c in ints
+                                 if not isinstance(df.schema[c].dataType, T.BooleanType)):
+        mx = {c: (stats.get(f"max__{c}") if f"max__{c}" in stats else 1) for c in ints}
+        mx = {c: (0 if v is None else v) for c, v in mx.items()}
+    else:
+        mx = _chunked_agg(df, [F.max(F.col(c).cast("long")).alias(c) for c in ints])
     out = []
     for f in df.schema.fields:
         c = F.col(f.name)

@@ -12,13 +12,13 @@ from .stores import _share_flags, argmax_key
 ENTITY = ["primary_platform", "store_name", "brand_name"]
 
 
-def brand_presence(df: DataFrame) -> DataFrame:
+def brand_presence(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Per brand (``brand_platform_count`` also exposed as the _x/_y aliases)."""
-    t = df.groupBy("brand_name").agg(
-        F.count_distinct("primary_platform").alias("brand_platform_count"),
-        F.count_distinct("store_name").alias("brand_total_stores"),
-        F.sum("sales_quantity").alias("brand_cross_platform_sales"),
-        cents_sum("sales_amount").alias("brand_cross_platform_amount"))
+    from . import dims
+    s = stats if stats is not None else dims.brand_stats(df)
+    t = s.select("brand_name", F.col("n_platform").alias("brand_platform_count"),
+                 F.col("n_store").alias("brand_total_stores"), F.col("q_sum").alias("brand_cross_platform_sales"),
+                 F.col("a_sum").alias("brand_cross_platform_amount"))
     n = F.col("brand_platform_count")
     return t.select("*", flag(n > 1).alias("brand_multi_platform"), flag(n == 1).alias("brand_platform_exclusive"),
                     flag(n >= 3).alias("brand_omnichannel"))

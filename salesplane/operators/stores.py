@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions.exprs import contains_any, count_hits, flag
 from ..functions.stats import quantiles
+from . import dims
 
 STORE = ["primary_platform", "store_name"]
 
@@ -87,17 +88,13 @@ def _minmax(c, lo, hi, invert=False):
     return (1 - x) if invert else x
 
 
-def store_quality(df: DataFrame) -> DataFrame:
+def store_quality(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Consistency / diversity / longevity / volume scores, tiers and trust."""
-    t = df.groupBy(*STORE).agg(
-        F.avg("sales_quantity").alias("m"), F.stddev_samp("sales_quantity").alias("s"),
-        F.sum("sales_quantity").alias("quality_volume"),
-        F.count_distinct("brand_name").alias("nb"), F.count_distinct("product_code").alias("np"),
-        F.count_distinct("sales_month").alias("quality_longevity"))
-    t = t.select(*STORE, (F.col("s") / (F.col("m") + 1)).alias("quality_consistency"),
-                 (F.col("nb") * F.col("np")).cast("double").alias("quality_diversity"),
-                 F.col("quality_longevity").cast("double").alias("quality_longevity"),
-                 "quality_volume").persist()
+    s = stats if stats is not None else dims.store_stats(df)
+    t = s.select(*STORE, (F.col("q_std") / (F.col("q_mean") + 1)).alias("quality_consistency"),
+                 (F.col("n_brand") * F.col("n_product")).cast("double").alias("quality_diversity"),
+                 F.col("n_month").cast("double").alias("quality_longevity"),
+                 F.col("q_sum").alias("quality_volume"))
     mets = ["quality_consistency", "quality_diversity", "quality_longevity", "quality_volume"]
     mm = t.agg(*[F.min(c).alias(f"mn_{c}") for c in mets], *[F.max(c).alias(f"mx_{c}") for c in mets]).first()
     score = (_minmax("quality_consistency", mm["mn_quality_consistency"], mm["mx_quality_consistency"], True) * 0.3
@@ -119,13 +116,11 @@ def trust_verified(types: DataFrame) -> DataFrame:
                                             + F.col("store_type_supermarket")) > 0).alias("store_trust_verified"))
 
 
-def business_model(df: DataFrame) -> DataFrame:
+def business_model(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Brand breadth, volume and price position per (platform, store)."""
-    t = df.groupBy(*STORE).agg(
-        F.count_distinct("brand_name").alias("bm_brand_count"),
-        F.count_distinct("product_code").alias("bm_product_count"),
-        F.avg("unit_price").alias("bm_price_mean"), F.stddev_samp("unit_price").alias("bm_price_std"),
-        F.avg("sales_quantity").alias("bm_sales_mean"), F.sum("sales_quantity").alias("bm_sales_total")).persist()
+    s = stats if stats is not None else dims.store_stats(df)
+    t = s.select(*STORE, F.col("n_brand").alias("bm_brand_count"), F.col("p_mean").alias("bm_price_mean"),
+                 F.col("p_std").alias("bm_price_std"), F.col("q_sum").alias("bm_sales_total"))
     (v80,) = quantiles(t, "bm_sales_total", [0.8])
     p20, p80 = quantiles(t, "bm_price_mean", [0.2, 0.8])
     b = F.col("bm_brand_count")

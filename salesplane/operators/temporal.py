@@ -137,7 +137,7 @@ def rolling_features(df: DataFrame, windows=ROLL, entity=ENTITY) -> DataFrame:
     per-row ``percentile`` re-aggregations.
     """
     q = F.col("sales_quantity")
-    cols, tmp = [], []
+    cols = []
     for k in windows:
         fr = frame(k, entity)
         mean = F.avg(q).over(fr)
@@ -145,17 +145,18 @@ def rolling_features(df: DataFrame, windows=ROLL, entity=ENTITY) -> DataFrame:
         cols += [mean.alias(f"sales_rolling_mean_{k}"), std.alias(f"sales_rolling_std_{k}"),
                  F.min(q).over(fr).alias(f"sales_rolling_min_{k}"),
                  F.max(q).over(fr).alias(f"sales_rolling_max_{k}"),
-                 (std / (mean + 1)).alias(f"sales_rolling_cv_{k}"),
-                 F.array_sort(F.collect_list(q).over(fr)).alias(f"_frame_{k}")]
-        tmp.append(f"_frame_{k}")
+                 (std / (mean + 1)).alias(f"sales_rolling_cv_{k}")]
+    # one ordered frame array of the longest window; shorter windows are its tail
+    cols.append(F.collect_list(q).over(frame(max(windows), entity)).alias("_frame"))
     df = df.select("*", *cols)
+    arr, n = F.col("_frame"), F.size(F.col("_frame"))
     qs = []
     for k in windows:
-        arr = F.col(f"_frame_{k}")
-        qs += [sorted_quantile(arr, 0.5).alias(f"sales_rolling_median_{k}"),
-               sorted_quantile(arr, 0.25).alias(f"sales_rolling_q25_{k}"),
-               sorted_quantile(arr, 0.75).alias(f"sales_rolling_q75_{k}")]
-    return df.select("*", *qs).drop(*tmp)
+        srt = F.array_sort(F.slice(arr, F.greatest(n - k + 1, F.lit(1)), F.lit(k)))
+        qs += [sorted_quantile(srt, 0.5).alias(f"sales_rolling_median_{k}"),
+               sorted_quantile(srt, 0.25).alias(f"sales_rolling_q25_{k}"),
+               sorted_quantile(srt, 0.75).alias(f"sales_rolling_q75_{k}")]
+    return df.select("*", *qs).drop("_frame")
 
 
 def momentum_features(df: DataFrame, entity=ENTITY) -> DataFrame:
