@@ -150,13 +150,16 @@ def rolling_features(df: DataFrame, windows=ROLL, entity=ENTITY) -> DataFrame:
     cols.append(F.collect_list(q).over(frame(max(windows), entity)).alias("_frame"))
     df = df.select("*", *cols)
     arr, n = F.col("_frame"), F.size(F.col("_frame"))
+    # sorted tails as their own columns: each is reused by three quantiles
+    df = df.select("*", *[F.array_sort(F.slice(arr, F.greatest(n - k + 1, F.lit(1)), F.lit(k))).alias(f"_sorted_{k}")
+                          for k in windows])
     qs = []
     for k in windows:
-        srt = F.array_sort(F.slice(arr, F.greatest(n - k + 1, F.lit(1)), F.lit(k)))
+        srt = F.col(f"_sorted_{k}")
         qs += [sorted_quantile(srt, 0.5).alias(f"sales_rolling_median_{k}"),
                sorted_quantile(srt, 0.25).alias(f"sales_rolling_q25_{k}"),
                sorted_quantile(srt, 0.75).alias(f"sales_rolling_q75_{k}")]
-    return df.select("*", *qs).drop("_frame")
+    return df.select("*", *qs).drop("_frame", *[f"_sorted_{k}" for k in windows])
 
 
 def momentum_features(df: DataFrame, entity=ENTITY) -> DataFrame:
