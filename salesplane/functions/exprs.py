@@ -41,6 +41,12 @@ def pct_change(cur, prev) -> Column:
             .otherwise((cur - prev) / prev))
 
 
+def safe_corr(x, y) -> Column:
+    """Pearson r as an aggregate; NULL (not an ANSI error) when either side is constant."""
+    x, y = col(x).cast("double"), col(y).cast("double")
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def finite(c) -> Column:
     c = col(c)
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(INF))

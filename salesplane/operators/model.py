@@ -22,7 +22,8 @@ def baseline_predictions(tagged: DataFrame, y: str = "sales_quantity") -> DataFr
 
 def target_correlations(df: DataFrame, features, target: str = "sales_quantity_log") -> DataFrame:
     """|Pearson r| of each feature with the target in one aggregate pass, long form."""
-    row = df.agg(*[F.corr(f, target).alias(f) for f in features]).first()
+    from ..functions.exprs import safe_corr
+    row = df.agg(*[safe_corr(f, target).alias(f) for f in features]).first()
     spark = df.sparkSession
     return spark.createDataFrame([(f, None if row[f] is None else abs(float(row[f]))) for f in features],
                                  "feature string, abs_corr double")

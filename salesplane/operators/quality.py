@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exprs import safe_corr
 from .clean import numeric_columns
 
 
@@ -53,3 +54,29 @@ def required_columns(df: DataFrame, required) -> list:
 
 def is_string(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, T.StringType)
+
+
+def validate_features(df: DataFrame, features, target: str = "sales_quantity_log") -> DataFrame:
+    """Q3: per feature null ratio, infinities, zero variance, bias-corrected skew and
+    |corr| with the target, from one aggregate pass; flags follow the source rules
+    (null ratio > .1, |skew| > 3, |corr target| < .01)."""
+    aggs = []
+    for c in features:
+        x = F.col(c).cast("double")
+        aggs += [F.avg(x.isNull().cast("double")).alias(f"{c}|null_ratio"),
+                 F.count_if(F.abs(x) == float("inf")).cast("double").alias(f"{c}|infinite"),
+                 F.stddev_pop(x).alias(f"{c}|std"), F.skewness(x).alias(f"{c}|skew_pop"),
+                 F.count(x).cast("double").alias(f"{c}|n"), safe_corr(x, target).alias(f"{c}|corr_target")]
+    wide = df.agg(*aggs)
+    long = wide.unpivot([], [F.col(f"`{a}`") for a in wide.columns], "key", "value")
+    long = long.select(F.split("key", r"\|")[0].alias("feature"), F.split("key", r"\|")[1].alias("metric"), "value")
+    t = long.groupBy("feature").pivot("metric", ["null_ratio", "infinite", "std", "skew_pop", "n", "corr_target"]).agg(
+        F.first("value"))
+    n = F.col("n")
+    skew = F.when(n > 2, F.col("skew_pop") * F.sqrt(n * (n - 1)) / (n - 2))
+    return t.select("feature", "null_ratio", "infinite", skew.alias("skewness"),
+                    F.abs("corr_target").alias("abs_corr_target"),
+                    (F.coalesce(F.col("std"), F.lit(0.0)) == 0).cast("int").alias("zero_variance"),
+                    (F.col("null_ratio") > 0.1).cast("int").alias("high_null"),
+                    F.coalesce(F.abs(skew) > 3, F.lit(False)).cast("int").alias("high_skew"),
+                    F.coalesce(F.abs("corr_target") < 0.01, F.lit(False)).cast("int").alias("weak_target"))

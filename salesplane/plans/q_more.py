@@ -269,7 +269,8 @@ M11_COLS = ["sales_quantity", "sales_amount", "unit_price"]
     for a in M11_COLS for b in M11_COLS)))
 def m11_corr(spark, d):
     b = base(spark, d)
-    row = b.agg(*[F.corr(a, c).alias(f"{a}|{c}") for a in M11_COLS for c in M11_COLS]).first()
+    from ..functions.exprs import safe_corr
+    row = b.agg(*[safe_corr(a, c).alias(f"{a}|{c}") for a in M11_COLS for c in M11_COLS]).first()
     return finalize(spark.createDataFrame([(a, c, row[f"{a}|{c}"]) for a in M11_COLS for c in M11_COLS],
                                           "feature_a string, feature_b string, corr double"))
 
@@ -296,3 +297,77 @@ def a35_store_v1(spark, d):
     """A35 v1 store profile with quintile size labels (rows-only: the label binning
     follows a pandas quantile-cut convention with no direct SQL twin)."""
     return finalize(st.store_behaviour_v1(base(spark, d)))
+
+
+Q3_COLS = ["sales_amount", "sales_quantity", "unit_price", "has_high_price", "has_zero_sales"]
+
+
+def _q3_sql():
+    parts = []
+    for c in Q3_COLS:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"""SELECT '{c}' AS feature, avg(CAST({c} IS NULL AS DOUBLE)) AS null_ratio,
+       CAST(count_if(abs({x}) = 'Infinity'::DOUBLE) AS DOUBLE) AS infinite,
+       CASE WHEN count({x}) > 2 AND NOT isnan(skewness({x})) THEN skewness({x}) END AS skewness,
+       CASE WHEN NOT isnan(corr({x}, sales_quantity_log)) THEN abs(corr({x}, sales_quantity_log)) END AS ac,
+       coalesce(stddev_pop({x}), 0) = 0 AS zv FROM base""")
+    body = " UNION ALL ".join(parts)
+    return with_base_ctes(NOP, f"""
+SELECT feature, {R('null_ratio')} AS null_ratio, {R('infinite')} AS infinite, {R('skewness')} AS skewness,
+       {R('ac')} AS abs_corr_target, CAST(zv AS INTEGER) AS zero_variance, CAST(null_ratio > 0.1 AS INTEGER) AS high_null,
+       CAST(coalesce(abs(skewness) > 3, false) AS INTEGER) AS high_skew,
+       CAST(coalesce(ac < 0.01, false) AS INTEGER) AS weak_target FROM ({body})""")
+
+
+@register("q3_feature_validation", _q3_sql())
+def q3_validation(spark, d):
+    return finalize(qa.validate_features(base(spark, d), Q3_COLS))
+
+
+@register("x11_store_distribution", with_base_ctes(NOP, f"""
+SELECT primary_platform, count(DISTINCT store_name) AS stores,
+       count(DISTINCT CASE WHEN store_name IS NOT NULL THEN brand_name END) AS brands,
+       {R('sum(sales_quantity)')} AS quantity FROM base GROUP BY 1"""))
+def x11_store_distribution(spark, d):
+    b = base(spark, d)
+    return finalize(b.groupBy("primary_platform").agg(
+        F.count_distinct("store_name").alias("stores"),
+        F.count_distinct(F.when(F.col("store_name").isNotNull(), F.col("brand_name"))).alias("brands"),
+        F.sum("sales_quantity").alias("quantity")))
+
+
+@register("x12_competitive_landscape", with_base_ctes("""
+bp AS (SELECT brand_name, count(DISTINCT primary_platform) AS np FROM base GROUP BY 1)""", """
+SELECT CASE WHEN np >= 3 THEN '3+' ELSE CAST(np AS VARCHAR) END AS platform_reach, count(*) AS brands FROM bp GROUP BY 1"""))
+def x12_landscape(spark, d):
+    bp = base(spark, d).groupBy("brand_name").agg(F.count_distinct("primary_platform").alias("np"))
+    reach = F.when(F.col("np") >= 3, F.lit("3+")).otherwise(F.col("np").cast("string"))
+    return finalize(bp.groupBy(reach.alias("platform_reach")).agg(F.count("*").alias("brands")))
+
+
+@register("x16_split_monthly_means", with_base_ctes(TAGGED, f"""
+SELECT split_id, role, CAST(month(sales_month) AS INTEGER) AS month, {R('avg(sales_quantity)')} AS mean_quantity,
+       count(*) AS rows FROM tagged GROUP BY 1, 2, 3"""))
+def x16_split_means(spark, d):
+    t = tagged(spark, d)
+    return finalize(t.groupBy("split_id", "role", F.month("sales_month").alias("month")).agg(
+        F.avg("sales_quantity").alias("mean_quantity"), F.count("*").alias("rows")))
+
+
+@register("x17_test_characteristics", with_base_ctes(PRED_SQL, f"""
+SELECT split_id, {R('avg(y_true)')} AS mean, {R('quantile_cont(y_true, 0.5)')} AS median, {R('stddev_samp(y_true)')} AS std,
+       {R('min(y_true)')} AS min, {R('max(y_true)')} AS max FROM pred GROUP BY 1"""))
+def x17_test_chars(spark, d):
+    p = predictions(spark, d)
+    y = F.col("y_true")
+    return finalize(p.groupBy("split_id").agg(F.avg(y).alias("mean"), F.percentile(y, 0.5).alias("median"),
+                                              F.stddev_samp(y).alias("std"), F.min(y).alias("min"),
+                                              F.max(y).alias("max")))
+
+
+@register("pipeline_engineer_all")
+def pipeline_engineer_all(spark, d):
+    """The six-step feature build over the whole sales view (rows-only: ~330 columns)."""
+    from ..sources.tpch import sales_from_tpch
+    from .pipeline import engineer_all
+    return finalize(engineer_all(sales_from_tpch(spark, d)))
