@@ -268,3 +268,18 @@ def filter_period(df: DataFrame, start=None, end=None, years=None, months=None,
 
 def global_thresholds(df: DataFrame, column: str, probs) -> list:
     return quantiles(df, column, probs)
+
+
+def one_hot(df: DataFrame, column: str, levels=None, prefix: str | None = None) -> DataFrame:
+    """0/1 column per level (levels from a distinct aggregate when not given)."""
+    if levels is None:
+        levels = sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
+    p = prefix if prefix is not None else column
+    return df.select("*", *[flag(F.col(column) == lv).alias(f"{p}_{lv}") for lv in levels])
+
+
+def one_hot_to_label(df: DataFrame, columns, out: str, prefix: str = "") -> DataFrame:
+    """Label of the first column holding the row maximum (idxmax), prefix stripped."""
+    arr = F.array(*[F.col(c).cast("double") for c in columns])
+    names = F.array(*[F.lit(c[len(prefix):] if prefix and c.startswith(prefix) else c) for c in columns])
+    return df.withColumn(out, F.element_at(names, F.array_position(arr, F.array_max(arr)).cast("int")))

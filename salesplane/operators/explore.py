@@ -53,3 +53,18 @@ def top_rows(df: DataFrame, k: int = 5, col: str = "sales_quantity") -> DataFram
     """Top k rows by a column (a top-k report; ties by the row keys)."""
     return df.orderBy(F.desc(col), "sales_month", "primary_platform", "store_name", "brand_name",
                       "product_code").limit(k)
+
+
+def sales_patterns(df: DataFrame, by) -> DataFrame:
+    """Mean, median and count of quantity by any grouping
+    (month, top-brand flag, store type, promo flags, season)."""
+    q = F.col("sales_quantity")
+    return df.groupBy(*by).agg(F.avg(q).alias("mean_quantity"), F.percentile(q, 0.5).alias("median_quantity"),
+                               F.count(q).alias("rows"))
+
+
+def store_type_by_platform(df: DataFrame, type_col: str = "store_type") -> DataFrame:
+    """Store type x platform rows, quantity and stores."""
+    return df.groupBy(type_col, "primary_platform").agg(F.count("*").alias("rows"),
+                                                         F.sum("sales_quantity").alias("quantity"),
+                                                         F.count_distinct("store_name").alias("stores"))

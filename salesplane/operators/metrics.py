@@ -122,3 +122,61 @@ def degradation(mape: Column, baseline: float) -> Column:
     """Ratio to a baseline MAPE, >2 alert, >1 warning."""
     r = F.try_divide(mape, F.lit(baseline))
     return F.when(r > 2, "alert").when(r > 1, "warning").otherwise("ok")
+
+
+# --- FIXED VALUES: sanity and readiness thresholds ---------------------------
+SANITY = {"avg_mape_low": 5, "std_low": 2, "avg_mape_mid": 15, "perfect_share": 0.10}
+
+
+def sanity_flags(summary: DataFrame) -> DataFrame:
+    """Suspicious-result rules over an across-splits summary (needs mape_mean, mape_std)
+    and, when present, the share of perfect predictions."""
+    m, s = F.col("mape_mean"), F.col("mape_std")
+    cols = [flag(m < SANITY["avg_mape_low"]).alias("suspiciously_low_mape"),
+            flag((s < SANITY["std_low"]) & (m < SANITY["avg_mape_mid"])).alias("suspiciously_stable")]
+    if "perfect_share" in summary.columns:
+        cols.append(flag(F.col("perfect_share") > SANITY["perfect_share"]).alias("too_many_perfect"))
+    return summary.select("*", *cols)
+
+
+def business_ready(summary: DataFrame, expected_mape: float, notebook_mape: float | None = None) -> DataFrame:
+    """MAPE within expectation, std <= 5, and (optionally) within +5 / -2 points of a reference run."""
+    m, s = F.col("mape_mean"), F.col("mape_std")
+    cols = [flag(m <= expected_mape).alias("meets_expected"), flag(s <= 5).alias("consistent")]
+    if notebook_mape is not None:
+        cols.append(flag((m - notebook_mape <= 5) & (m - notebook_mape >= -2)).alias("matches_reference"))
+    return summary.select("*", *cols)
+
+
+def compare_models(a: DataFrame, b: DataFrame, name_a: str = "a", name_b: str = "b") -> DataFrame:
+    """Per split MAPE of two models, improvement in points and the winner."""
+    j = a.select("split_id", F.col("mape").alias(f"mape_{name_a}")).join(
+        b.select("split_id", F.col("mape").alias(f"mape_{name_b}")), "split_id")
+    imp = F.col(f"mape_{name_a}") - F.col(f"mape_{name_b}")
+    return j.select("*", imp.alias("improvement_points"),
+                    F.when(imp > 0, F.lit(name_b)).when(imp < 0, F.lit(name_a)).otherwise("tie").alias("winner"))
+
+
+def training_efficiency(run_log: DataFrame) -> DataFrame:
+    """Over a run log (split_id, epochs_trained, best_epoch, ...): epoch stats,
+    early-stop rate and the relative spread of the best epoch."""
+    return run_log.agg(F.avg("epochs_trained").alias("epochs_mean"), F.min("epochs_trained").alias("epochs_min"),
+                       F.max("epochs_trained").alias("epochs_max"),
+                       F.avg((F.col("best_epoch") < F.col("epochs_trained")).cast("double")).alias("early_stop_rate"),
+                       F.try_divide(F.stddev_pop("best_epoch"), F.avg("best_epoch")).alias("best_epoch_cv"))
+
+
+def recommendations(summary: DataFrame, platform_spread: float | None = None) -> DataFrame:
+    """Recommendation labels from the across-splits summary (and the platform MAPE spread)."""
+    m, s = F.col("mape_mean"), F.col("mape_std")
+    rec = (F.when(m > 30, "revisit features and target scaling").when(s > 5, "stabilise across periods")
+           .when(m > 15, "tune model capacity").otherwise("ready for hold-out evaluation"))
+    cols = [rec.alias("recommendation")]
+    if platform_spread is not None:
+        cols.append(F.lit(int(platform_spread > 10)).alias("platform_specific_models"))
+    return summary.select("*", *cols)
+
+
+def performance_table(per_split: DataFrame, rules: str = "trainer") -> DataFrame:
+    """One row per split with its grade."""
+    return per_split.select("*", grade(F.col("mape"), rules).alias("grade")).orderBy("split_id")

@@ -58,3 +58,23 @@ def feature_importances(model, features) -> list:
     """M19."""
     imp = model.stages[-1].featureImportances
     return sorted(zip(features, imp.toArray().tolist()), key=lambda t: -t[1])
+
+
+def vif(df: DataFrame, features) -> list:
+    """Variance inflation factors without intercept, VIF_j = G_jj * inv(G)_jj, from a
+    one-pass Gram matrix (k x k sums of products; only k^2 numbers reach the driver)."""
+    import numpy as np
+    k = len(features)
+    row = df.agg(*[F.sum(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"{i}_{j}")
+                   for i, a in enumerate(features) for j, b in enumerate(features) if j >= i]).first()
+    g = np.zeros((k, k))
+    for i in range(k):
+        for j in range(i, k):
+            g[i, j] = g[j, i] = row[f"{i}_{j}"]
+    inv = np.linalg.pinv(g)
+    return [(f, float(g[i, i] * inv[i, i])) for i, f in enumerate(features)]
+
+
+def top_correlated(corr: DataFrame, n: int = 10) -> DataFrame:
+    """K4: top-n features by |r| with the target (a top-k report, ties by name)."""
+    return corr.orderBy(F.desc_nulls_last("abs_corr"), "feature").limit(n)

@@ -80,3 +80,51 @@ def validate_features(df: DataFrame, features, target: str = "sales_quantity_log
                     (F.col("null_ratio") > 0.1).cast("int").alias("high_null"),
                     F.coalesce(F.abs(skew) > 3, F.lit(False)).cast("int").alias("high_skew"),
                     F.coalesce(F.abs("corr_target") < 0.01, F.lit(False)).cast("int").alias("weak_target"))
+
+
+def temporal_integrity(df: DataFrame, entity=("primary_platform", "store_name", "brand_name"),
+                       date_col: str = "sales_month", max_gap_days: int = 62) -> DataFrame:
+    """Q5 with a real order check: per entity, rows whose date precedes the previous
+    row's date in the stored (monotonically increasing id) order, plus gap counts."""
+    from pyspark.sql import Window
+    rid = F.monotonically_increasing_id()
+    d = df.select(*entity, date_col).withColumn("_rid", rid)
+    w = Window.partitionBy(*entity).orderBy("_rid")
+    d = d.withColumn("_back", (F.col(date_col) < F.lag(date_col).over(w)).cast("int"))
+    ws = Window.partitionBy(*entity).orderBy(date_col)
+    d = d.withColumn("_gap", F.datediff(F.col(date_col), F.lag(date_col).over(ws)))
+    return d.groupBy(*entity).agg(F.coalesce(F.sum("_back"), F.lit(0)).alias("out_of_order_rows"),
+                                  F.count_if(F.col("_gap") > max_gap_days).alias("gap_count"),
+                                  F.max("_gap").alias("max_gap_days"),
+                                  F.round(F.datediff(F.max(date_col), F.min(date_col)) / 30.44).alias("months_covered"))
+
+
+def summary_table(df: DataFrame, cols=None) -> DataFrame:
+    """Q7: count / mean / stddev / min / quartiles / max per numeric column (built-in summary)."""
+    cols = cols or numeric_columns(df)
+    return df.select(*cols).summary("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
+
+
+def training_input_checks(df: DataFrame, features, target: str = "sales_quantity_log") -> DataFrame:
+    """Q9/Q10: rows, target spread, and per-feature missing share / non-finite counts (one row per feature)."""
+    aggs = [F.count("*").alias("rows"), F.stddev_pop(target).alias("target_std")]
+    for c in features:
+        x = F.col(c).cast("double")
+        aggs += [F.avg(x.isNull().cast("double")).alias(f"{c}|missing"),
+                 F.count_if(F.isnan(x) | (F.abs(x) == float("inf"))).cast("double").alias(f"{c}|non_finite")]
+    wide = df.agg(*aggs)
+    long = wide.unpivot(["rows", "target_std"], [F.col(f"`{c}|{m}`") for c in features for m in ("missing", "non_finite")],
+                        "key", "value")
+    out = long.select("rows", "target_std", F.split("key", r"\|")[0].alias("feature"),
+                      F.split("key", r"\|")[1].alias("metric"), "value")
+    return out.withColumn("fails", ((F.col("metric") == "missing") & (F.col("value") > 0.1)
+                                    | (F.col("rows") == 0) | (F.coalesce(F.col("target_std"), F.lit(0.0)) == 0)).cast("int"))
+
+
+def high_outliers(df: DataFrame, column: str = "sales_quantity", q: float = 0.99) -> DataFrame:
+    """Q11: rows above the column's q-quantile (count and share)."""
+    from ..functions.stats import quantile
+    thr = quantile(df, column, q)
+    x = F.col(column)
+    return df.agg(F.lit(thr).alias("threshold"), F.count_if(x > thr).alias("outliers"),
+                  F.avg((x > thr).cast("double")).alias("outlier_share"))

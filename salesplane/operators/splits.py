@@ -73,3 +73,30 @@ def split_summary(tagged: DataFrame, date_col: str = "sales_month") -> DataFrame
     va = s.where(F.col("role") == "val").select("split_id", F.col("start").alias("_vmin"))
     ok = tr.join(va, "split_id").select("split_id", (F.col("_tmax") < F.col("_vmin")).cast("int").alias("ordered"))
     return s.join(ok, "split_id", "left")
+
+
+def gap_windows(train_end: date, test_start: date, test_end: date, start: date = date(1900, 1, 1)):
+    """L3: train before ``train_end``, test in [test_start, test_end) with a gap in between."""
+    return [(1, start, train_end, test_start, test_end, f"< {train_end} -> [{test_start}, {test_end})")]
+
+
+def month_holdout_windows(months):
+    """L4: consecutive months -> (train all but the last two, validate, test) as two splits."""
+    ms = sorted(months)
+    tr_end, val, test = ms[-2], ms[-2], ms[-1]
+    nxt = lambda d: date(d.year + (d.month // 12), d.month % 12 + 1, 1)
+    return [(1, ms[0], tr_end, val, nxt(val), "month hold-out: validation"),
+            (2, ms[0], tr_end, test, nxt(test), "month hold-out: test")]
+
+
+def holdout_year_windows(train_years, holdout_year: int):
+    """All training years -> the whole hold-out year."""
+    return [(1, date(min(train_years), 1, 1), date(max(train_years) + 1, 1, 1),
+             date(holdout_year, 1, 1), date(holdout_year + 1, 1, 1), f"hold-out {holdout_year}")]
+
+
+def random_split(df: DataFrame, fraction: float = 0.8, seed: int = 42, key_cols=None) -> DataFrame:
+    """Repeatable 80/20 split by a hash of the row key (independent of partitioning)."""
+    key_cols = key_cols or ["sales_month", "primary_platform", "store_name", "brand_name", "product_code"]
+    h = F.abs(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])) % 1_000_000 / 1_000_000.0
+    return df.withColumn("role", F.when(h < fraction, "train").otherwise("val"))
