@@ -371,3 +371,60 @@ def pipeline_engineer_all(spark, d):
     from ..sources.tpch import sales_from_tpch
     from .pipeline import engineer_all
     return finalize(engineer_all(sales_from_tpch(spark, d)))
+
+
+@register("x14_sales_by_month", with_base_ctes(NOP, f"""
+SELECT CAST(month(sales_month) AS INTEGER) AS month, {R('avg(sales_quantity)')} AS mean_quantity,
+       {R('quantile_cont(sales_quantity, 0.5)')} AS median_quantity, count(sales_quantity) AS rows FROM base GROUP BY 1"""))
+def x14_by_month(spark, d):
+    from ..operators import explore as xp
+    return finalize(xp.sales_patterns(base(spark, d), [F.month("sales_month").alias("month")]))
+
+
+@register("x18_promo_month_effect", with_base_ctes(NOP, f"""
+SELECT CAST(month(sales_month) IN (1, 6, 9, 11, 12) AS INTEGER) AS is_promo_month,
+       {R('avg(sales_quantity)')} AS mean_quantity, {R('quantile_cont(sales_quantity, 0.5)')} AS median_quantity,
+       count(sales_quantity) AS rows FROM base GROUP BY 1"""))
+def x18_promo(spark, d):
+    from ..operators import explore as xp
+    b = base(spark, d).withColumn("is_promo_month", F.month("sales_month").isin(1, 6, 9, 11, 12).cast("int"))
+    return finalize(xp.sales_patterns(b, ["is_promo_month"]))
+
+
+@register("q11_high_outliers", with_base_ctes("qq AS (SELECT quantile_cont(sales_quantity, 0.99) AS thr FROM base)", f"""
+SELECT {R('any_value(thr)')} AS threshold, count_if(sales_quantity > thr) AS outliers,
+       {R('avg(CAST(sales_quantity > thr AS DOUBLE))')} AS outlier_share FROM base, qq"""))
+def q11_outliers(spark, d):
+    return finalize(qa.high_outliers(base(spark, d)))
+
+
+@register("e22_performance_table", with_base_ctes(PRED_SQL + f""",
+ps AS (SELECT split_id, {_metric_sql()} FROM pred GROUP BY 1)""", """
+SELECT ps.*, CASE WHEN mape < 15 THEN 'Excellent' WHEN mape < 20 THEN 'Good' WHEN mape < 30 THEN 'Fair'
+                  ELSE 'Poor' END AS grade FROM ps"""))
+def e22_table(spark, d):
+    return finalize(mt.performance_table(mt.metrics_by(predictions(spark, d), ["split_id"])))
+
+
+HOLD = sp.holdout_year_windows([1999, 2000], 2001)
+
+
+@register("l6_holdout_year_summary", with_base_ctes(f"""
+win(split_id, role, lo, hi) AS (VALUES (1, 'train', DATE '{HOLD[0][1]}', DATE '{HOLD[0][2]}'),
+                                       (1, 'val', DATE '{HOLD[0][3]}', DATE '{HOLD[0][4]}'))""", f"""
+SELECT split_id, role, count(*) AS rows, {D('min(sales_month)')} AS start, {D('max(sales_month)')} AS "end",
+       count(DISTINCT sales_month) AS months
+FROM base JOIN win ON sales_month >= lo AND sales_month < hi GROUP BY 1, 2"""))
+def l6_holdout(spark, d):
+    return finalize(sp.split_summary(sp.tag_splits(base(spark, d), HOLD)).drop("ordered"))
+
+
+@register("k4_top_correlated_features", with_base_ctes(NOP, f"""
+SELECT feature, {R('abs_corr')} AS abs_corr FROM (
+  SELECT 'unit_price' AS feature, abs(corr(unit_price, sales_quantity_log)) AS abs_corr FROM base
+  UNION ALL SELECT 'sales_amount', abs(corr(sales_amount, sales_quantity_log)) FROM base
+  UNION ALL SELECT 'has_high_price', abs(corr(has_high_price, sales_quantity_log)) FROM base)
+ORDER BY abs_corr DESC, feature LIMIT 2"""))
+def k4_top(spark, d):
+    c = md.target_correlations(base(spark, d), ["unit_price", "sales_amount", "has_high_price"])
+    return finalize(md.top_correlated(c, 2))
