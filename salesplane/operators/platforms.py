@@ -77,9 +77,10 @@ def platform_loyalty(df: DataFrame) -> DataFrame:
 
 def platform_tenure(df: DataFrame) -> DataFrame:
     """A25 (per fact row): months since the entity's first month."""
-    first = F.min("sales_month").over(Window.partitionBy(*ENTITY))
-    ten = F.round(F.datediff(F.col("sales_month"), first) / K.DAYS_PER_MONTH).cast("int")
-    df = df.withColumn("platform_tenure_months", ten)
+    from .temporal import with_group_stats
+    df = with_group_stats(df, ENTITY, [F.min("sales_month").alias("_entry_month")])
+    ten = F.round(F.datediff(F.col("sales_month"), F.col("_entry_month")) / K.DAYS_PER_MONTH).cast("int")
+    df = df.withColumn("platform_tenure_months", ten).drop("_entry_month")
     t = F.col("platform_tenure_months")
     return df.select("*", flag(t <= 3).alias("platform_newcomer"), flag((t > 3) & (t <= 12)).alias("platform_experienced"),
                      flag(t > 12).alias("platform_veteran"))
@@ -223,12 +224,14 @@ def brand_promo_effectiveness(df: DataFrame, promo_col="is_promo_month") -> Data
 
 def yoy_growth_potential(df: DataFrame, target_year: int) -> DataFrame:
     """A42 (per fact row): in ``target_year``, months 4-12: q / entity-month mean, else 1."""
-    w = Window.partitionBy(*ENTITY, F.month("sales_month"))
-    ratio = F.try_divide(F.col("sales_quantity"), F.avg("sales_quantity").over(w))
-    m = F.month("sales_month")
+    from .temporal import with_group_stats
+    df = with_group_stats(df.withColumn("_moy", F.month("sales_month")), [*ENTITY, "_moy"],
+                          [F.avg("sales_quantity").alias("_em_mean")])
+    ratio = F.try_divide(F.col("sales_quantity"), F.col("_em_mean"))
+    m = F.col("_moy")
     return df.withColumn("yoy_growth_potential",
                          F.when((F.year("sales_month") == target_year) & (m >= 4) & (m <= 12), ratio)
-                         .otherwise(F.lit(1.0)))
+                         .otherwise(F.lit(1.0))).drop("_moy", "_em_mean")
 
 
 def top_brand_flag(df: DataFrame, k: int = 5) -> DataFrame:

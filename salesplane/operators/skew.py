@@ -61,6 +61,8 @@ def sequence_features(df: DataFrame, chunk_rows: int | None = None, halo: int =
             x = tp.lag_features(x, entity=ent)
         if "rolling_momentum" in blocks:
             x = tp.rolling_and_momentum(x, entity=ent)
+        if "advanced" in blocks:
+            x = tp.advanced_momentum(x, entity=ent)
         return x
 
     if not chunk_rows:

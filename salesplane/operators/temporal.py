@@ -37,6 +37,14 @@ def whole(entity=ENTITY):
     return Window.partitionBy(*entity)
 
 
+def with_group_stats(df: DataFrame, keys, aggs) -> DataFrame:
+    """Whole-group statistics as a grouped aggregate joined back (not an unordered
+    window): partial aggregation splits a hot group over many tasks, and the small
+    result is attached with a size-checked join."""
+    from .behaviour import attach
+    return attach(df, [df.groupBy(*keys).agg(*aggs)], keys)
+
+
 # ---------------------------------------------------------------- T blocks --
 
 def calendar_parts(df: DataFrame, date_col="sales_month", epoch=K.EPOCH_DATE) -> DataFrame:
@@ -202,12 +210,11 @@ def yoy_features(df: DataFrame, entity=ENTITY) -> DataFrame:
     q = F.col("sales_quantity")
     yoy = F.lag(q, 12).over(w)
     growth = F.coalesce((q - yoy) / (yoy + 1), F.lit(0.0))
-    wm = Window.partitionBy(*entity, F.month("sales_month"))
-    cons = F.when(F.count(q).over(wm) > 1,
-                  F.stddev_samp(q).over(wm) / (F.avg(q).over(wm) + 1)).otherwise(F.lit(0.0))
+    df = df.withColumn("_moy", F.month("sales_month"))
+    df = with_group_stats(df, [*entity, "_moy"], [
+        F.coalesce(F.when(F.count(q) > 1, F.stddev_samp(q) / (F.avg(q) + 1)), F.lit(0.0)).alias("seasonal_consistency")])
     df = df.select("*", yoy.alias("sales_yoy"), growth.alias("sales_yoy_growth"),
-                   F.coalesce(pct_change(q, yoy), F.lit(0.0)).alias("sales_yoy_pct_change"),
-                   F.coalesce(cons, F.lit(0.0)).alias("seasonal_consistency"))
+                   F.coalesce(pct_change(q, yoy), F.lit(0.0)).alias("sales_yoy_pct_change")).drop("_moy")
     g = F.col("sales_yoy_growth")
     return df.select("*", flag(g > 0.1).alias("yoy_trend_up"), flag(g < -0.1).alias("yoy_trend_down"),
                      flag((g >= -0.1) & (g <= 0.1)).alias("yoy_trend_stable"))
@@ -236,18 +243,19 @@ def advanced_momentum(df: DataFrame, entity=ENTITY) -> DataFrame:
 def spike_features(df: DataFrame, entity=ENTITY) -> DataFrame:
     """Entity z-score, spike flags, ma3 deviation, spike propensity."""
     q = F.col("sales_quantity")
-    we = whole(entity)
-    z = (q - F.avg(q).over(we)) / (F.coalesce(F.stddev_samp(q).over(we), F.lit(None)) + 1e-6)
-    ma3 = F.avg(q).over(frame(3, entity))
-    df = df.select("*", z.alias("sales_z_score"), ma3.alias("sales_ma_3"))
+    df = with_group_stats(df, entity, [F.avg(q).alias("_e_mean"), F.stddev_samp(q).alias("_e_std")])
+    z = (q - F.col("_e_mean")) / (F.col("_e_std") + 1e-6)
+    # the 3-row mean with min_periods=1 is the rolling mean of W3 when already present
+    ma3 = F.col("sales_rolling_mean_3") if "sales_rolling_mean_3" in df.columns else F.avg(q).over(frame(3, entity))
+    df = df.select("*", z.alias("sales_z_score"), ma3.alias("sales_ma_3")).drop("_e_mean", "_e_std")
     zc = F.col("sales_z_score")
     df = df.select("*", flag(zc > 2.5).alias("sales_spike_major"),
                    flag((zc > 1.5) & (zc <= 2.5)).alias("sales_spike_moderate"),
                    flag(zc < -2.5).alias("sales_drop_major"),
                    flag((zc < -1.5) & (zc >= -2.5)).alias("sales_drop_moderate"),
                    ((q - F.col("sales_ma_3")) / (F.col("sales_ma_3") + 1)).alias("sales_deviation_from_ma"))
-    prop = F.avg("sales_spike_major").over(we) + 0.5 * F.avg("sales_spike_moderate").over(we)
-    return df.withColumn("spike_propensity_score", prop)
+    return with_group_stats(df, entity, [
+        (F.avg("sales_spike_major") + 0.5 * F.avg("sales_spike_moderate")).alias("spike_propensity_score")])
 
 
 # ---------------------------------------------------------------- v1 windows --
@@ -281,13 +289,12 @@ def momentum_v1(df: DataFrame, entity=ENTITY) -> DataFrame:
 def spike_history(df: DataFrame, q95: float, q99: float, entity=ENTITY) -> DataFrame:
     """A43 + W24: global q95/q99 spike flags, per-entity spike totals, running propensity."""
     q = F.col("sales_quantity")
-    we = whole(entity)
     df = df.select("*", flag(q > F.lit(q99)).alias("is_extreme_spike"),
                    flag(q > F.lit(q95)).alias("is_major_spike"))
-    return df.select("*", F.sum("is_extreme_spike").over(we).alias("historical_extreme_spikes"),
-                     F.sum("is_major_spike").over(we).alias("historical_major_spikes"),
-                     (F.sum("is_major_spike").over(we) / F.row_number().over(entity_window(entity)))
-                     .alias("spike_propensity"))
+    df = with_group_stats(df, entity, [F.sum("is_extreme_spike").alias("historical_extreme_spikes"),
+                                       F.sum("is_major_spike").alias("historical_major_spikes")])
+    return df.withColumn("spike_propensity",
+                         F.col("historical_major_spikes") / F.row_number().over(entity_window(entity)))
 
 
 def strict_rolling_mean(df: DataFrame, k=3, entity=ENTITY) -> DataFrame:
