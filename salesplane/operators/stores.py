@@ -162,7 +162,7 @@ def store_share_in_brand(df: DataFrame) -> DataFrame:
 
 def platform_ranks(df: DataFrame, platforms=None) -> DataFrame:
     """Dense rank of store totals inside each platform, top 10 / top 50, one
-    column group per platform (NULL for rows of other platforms)."""
+    column group per platform (0 for rows of other platforms)."""
     t = df.groupBy(*STORE).agg(F.sum("sales_quantity").alias("platform_sales_total"))
     t = t.withColumn("_rank", F.dense_rank().over(
         Window.partitionBy("primary_platform").orderBy(F.desc("platform_sales_total"))))
@@ -171,10 +171,10 @@ def platform_ranks(df: DataFrame, platforms=None) -> DataFrame:
     cols = []
     for p in platforms:
         on = F.col("primary_platform") == p
-        r = F.when(on, F.col("_rank"))
+        r = F.when(on, F.col("_rank")).otherwise(F.lit(0))  # other platforms: 0, as after the final fill
         n = p.lower()
-        cols += [r.alias(f"{n}_sales_rank"), F.when(on, flag(F.col("_rank") <= 10)).alias(f"{n}_top_10_store"),
-                 F.when(on, flag(F.col("_rank") <= 50)).alias(f"{n}_top_50_store")]
+        cols += [r.alias(f"{n}_sales_rank"), flag(on & (F.col("_rank") <= 10)).alias(f"{n}_top_10_store"),
+                 flag(on & (F.col("_rank") <= 50)).alias(f"{n}_top_50_store")]
     return t.select(*STORE, *cols)
 
 

@@ -229,9 +229,9 @@ def _w29_sql():
     cols = []
     for p in PLATS:
         n = p.lower()
-        cols.append(f"CASE WHEN primary_platform = '{p}' THEN CAST(r AS INTEGER) END AS {n}_sales_rank")
-        cols.append(f"CASE WHEN primary_platform = '{p}' THEN {I('r <= 10')} END AS {n}_top_10_store")
-        cols.append(f"CASE WHEN primary_platform = '{p}' THEN {I('r <= 50')} END AS {n}_top_50_store")
+        cols.append(f"CASE WHEN primary_platform = '{p}' THEN CAST(r AS INTEGER) ELSE 0 END AS {n}_sales_rank")
+        cols.append(f"{I(f'primary_platform = {chr(39)}{p}{chr(39)} AND r <= 10')} AS {n}_top_10_store")
+        cols.append(f"{I(f'primary_platform = {chr(39)}{p}{chr(39)} AND r <= 50')} AS {n}_top_50_store")
     return q(True, f"""
 t AS (SELECT {ST}, sum(sales_quantity) AS tot FROM base GROUP BY ALL),
 u AS (SELECT *, dense_rank() OVER (PARTITION BY primary_platform ORDER BY tot DESC) AS r FROM t)""",

@@ -204,7 +204,7 @@ def q1_numeric_profile(spark, d):
 
 
 @register("u3_duplicate_rows", with_base_ctes("t AS (SELECT 1)", """
-SELECT sum(c) AS rows, count(*) AS distinct_rows, sum(c - 1) AS duplicate_rows
+SELECT CAST(sum(c) AS BIGINT) AS rows, count(*) AS distinct_rows, CAST(sum(c - 1) AS BIGINT) AS duplicate_rows
 FROM (SELECT count(*) AS c FROM base GROUP BY sales_month, primary_platform, store_name, brand_name, product_code,
       sales_amount, sales_quantity, unit_price, sales_quantity_log, has_missing_price, has_zero_sales, has_high_price)"""))
 def u3_duplicates(spark, d):

@@ -116,8 +116,9 @@ def a44_store_type_index(spark, d):
 
 
 @register("x2_missing_by_platform", with_base_ctes(NOP, """
-SELECT primary_platform, count_if(store_name IS NULL) AS missing_store_name,
-       count_if(brand_name IS NULL) AS missing_brand_name, count_if(product_code IS NULL) AS missing_product_code
+SELECT primary_platform, CAST(count_if(store_name IS NULL) AS BIGINT) AS missing_store_name,
+       CAST(count_if(brand_name IS NULL) AS BIGINT) AS missing_brand_name,
+       CAST(count_if(product_code IS NULL) AS BIGINT) AS missing_product_code
 FROM base GROUP BY 1"""))
 def x2_missing(spark, d):
     from ..operators import explore as xp
@@ -139,8 +140,9 @@ def x13_unique(spark, d):
 @register("q2_dataset_checks", with_base_ctes(NOP, f"""
 SELECT count(*) AS rows, count(DISTINCT primary_platform) AS platforms, count(DISTINCT sales_month) AS months,
        {D('min(sales_month)')} AS date_min, {D('max(sales_month)')} AS date_max, {R('avg(sales_quantity)')} AS mean_quantity,
-       sum(CAST(ROUND(sales_amount * 100) AS BIGINT)) AS total_amount_cents, count_if(sales_quantity < 0) AS negative_rows,
-       count_if(sales_quantity = 0) AS zero_rows, CAST(count_if(sales_quantity < 0) > 0 AS INTEGER) AS issue_negative,
+       CAST(sum(CAST(ROUND(sales_amount * 100) AS BIGINT)) AS BIGINT) AS total_amount_cents,
+       CAST(count_if(sales_quantity < 0) AS BIGINT) AS negative_rows,
+       CAST(count_if(sales_quantity = 0) AS BIGINT) AS zero_rows, CAST(count_if(sales_quantity < 0) > 0 AS INTEGER) AS issue_negative,
        CAST(count_if(sales_quantity = 0) > 0.1 * count(*) AS INTEGER) AS issue_many_zeros FROM base"""))
 def q2_checks(spark, d):
     return finalize(qa.dataset_checks(base(spark, d)))
@@ -150,10 +152,11 @@ def q2_checks(spark, d):
 qq AS (SELECT quantile_cont(sales_quantity, 0.25) AS q1, quantile_cont(sales_quantity, 0.75) AS q3,
               quantile_cont(unit_price, 0.25) AS p1, quantile_cont(unit_price, 0.75) AS p3 FROM base)""", f"""
 SELECT 'sales_quantity' AS column_name, {R('any_value(q1)')} AS q25, {R('any_value(q3)')} AS q75,
-       count_if(sales_quantity < q1 - 1.5 * (q3 - q1) OR sales_quantity > q3 + 1.5 * (q3 - q1)) AS outliers FROM base, qq
+       CAST(count_if(sales_quantity < q1 - 1.5 * (q3 - q1) OR sales_quantity > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS outliers
+FROM base, qq
 UNION ALL
 SELECT 'unit_price', {R('any_value(p1)')}, {R('any_value(p3)')},
-       count_if(unit_price < p1 - 1.5 * (p3 - p1) OR unit_price > p3 + 1.5 * (p3 - p1)) FROM base, qq"""))
+       CAST(count_if(unit_price < p1 - 1.5 * (p3 - p1) OR unit_price > p3 + 1.5 * (p3 - p1)) AS BIGINT) FROM base, qq"""))
 def q4_iqr(spark, d):
     b = base(spark, d)
     rows = []
@@ -167,7 +170,8 @@ def q4_iqr(spark, d):
 
 
 @register("e18_prediction_distribution", with_base_ctes(PRED_SQL, f"""
-SELECT split_id, count_if(y_pred < 1) AS near_zero, count_if(y_pred > 100000) AS extreme, count_if(y_pred < 0) AS negative,
+SELECT split_id, CAST(count_if(y_pred < 1) AS BIGINT) AS near_zero, CAST(count_if(y_pred > 100000) AS BIGINT) AS extreme,
+       CAST(count_if(y_pred < 0) AS BIGINT) AS negative,
        {R('min(y_pred)')} AS pred_min, {R('max(y_pred)')} AS pred_max FROM pred GROUP BY 1"""))
 def e18_dist(spark, d):
     p = predictions(spark, d)
@@ -392,7 +396,7 @@ def x18_promo(spark, d):
 
 
 @register("q11_high_outliers", with_base_ctes("qq AS (SELECT quantile_cont(sales_quantity, 0.99) AS thr FROM base)", f"""
-SELECT {R('any_value(thr)')} AS threshold, count_if(sales_quantity > thr) AS outliers,
+SELECT {R('any_value(thr)')} AS threshold, CAST(count_if(sales_quantity > thr) AS BIGINT) AS outliers,
        {R('avg(CAST(sales_quantity > thr AS DOUBLE))')} AS outlier_share FROM base, qq"""))
 def q11_outliers(spark, d):
     return finalize(qa.high_outliers(base(spark, d)))
