@@ -432,3 +432,32 @@ ORDER BY abs_corr DESC, feature LIMIT 2"""))
 def k4_top(spark, d):
     c = md.target_correlations(base(spark, d), ["unit_price", "sales_amount", "has_high_price"])
     return finalize(md.top_correlated(c, 2))
+
+
+def _x10_sql():
+    from .q_dims import _n1_sql
+    sql = _n1_sql()
+    head = sql[:sql.rindex("\nSELECT store_name, store_type,")]
+    return head + f"""
+SELECT store_type, primary_platform, count(*) AS rows, {R('sum(sales_quantity)')} AS quantity,
+       count(DISTINCT base.store_name) AS stores
+FROM base JOIN ty ON base.store_name IS NOT DISTINCT FROM ty.store_name GROUP BY 1, 2"""
+
+
+@register("x10_store_type_by_platform", _x10_sql())
+def x10_type_platform(spark, d):
+    from ..operators import explore as xp
+    b = base(spark, d)
+    types = st.store_types(b).select(F.col("store_name").alias("_t_store"), "store_type")
+    typed = b.join(types, b["store_name"].eqNullSafe(types["_t_store"])).drop("_t_store")
+    return finalize(xp.store_type_by_platform(typed))
+
+
+@register("x15_month_promo_pattern", with_base_ctes(NOP, f"""
+SELECT CAST(month(sales_month) AS INTEGER) AS month, CAST(month(sales_month) IN (1, 6, 9, 11, 12) AS INTEGER) AS is_promo_month,
+       {R('avg(sales_quantity)')} AS mean_quantity, {R('quantile_cont(sales_quantity, 0.5)')} AS median_quantity,
+       count(sales_quantity) AS rows FROM base GROUP BY 1, 2"""))
+def x15_pattern(spark, d):
+    from ..operators import explore as xp
+    b = base(spark, d).withColumn("is_promo_month", F.month("sales_month").isin(1, 6, 9, 11, 12).cast("int"))
+    return finalize(xp.sales_patterns(b, [F.month("sales_month").alias("month"), "is_promo_month"]))
