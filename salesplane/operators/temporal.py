@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.exprs import finite, flag, pct_change, safe_div
+from ..functions.exprs import finite, flag, pct_change
 from ..functions.stats import sorted_quantile
 
 ENTITY = ["primary_platform", "store_name", "brand_name"]

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import flag, pct_change
 from ..operators import calendar as cal
 from ..operators import encode as en
 from ..operators import interactions as ix
