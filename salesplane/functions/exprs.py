@@ -98,5 +98,5 @@ def count_hits(text: Column, needles) -> Column:
 
 
 def sanitize_name(name: str) -> str:
-    """Column-name form of a label: lower case, spaces -> _, parentheses dropped."""
+    """Column-name form of a label: lower case, spaces -> _, parentheses dropped."""
     return str(name).lower().replace(" ", "_").replace("(", "").replace(")", "")

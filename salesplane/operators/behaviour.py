@@ -24,7 +24,8 @@ STORE = ["primary_platform", "store_name"]
 
 
 def join_back(df: DataFrame, table: DataFrame, keys, broadcast: bool = False) -> DataFrame:
-    """Left equi-join of an aggregate back to the fact; colliding columns keep the fact's."""
+    """Left equi-join of an aggregate (or a small lookup table: the Spark form
+    of a dictionary map) back to the fact; colliding columns keep the fact's."""
     keys = list(keys)
     extra = [c for c in table.columns if c not in keys and c in df.columns]
     t = table.drop(*extra)
@@ -141,6 +142,7 @@ def platform_share(df: DataFrame) -> DataFrame:
 
 
 def _share_in_platform(df: DataFrame, key: str, prefix: str) -> DataFrame:
+    """Inner join of two aggregates (key totals and platform totals)."""
     plat = df.groupBy("primary_platform").agg(F.sum("sales_quantity").alias("platform_total"))
     t = df.groupBy("primary_platform", key).agg(F.sum("sales_quantity").alias(f"{prefix}_platform_total"))
     t = t.join(F.broadcast(plat), "primary_platform", "inner")
@@ -152,7 +154,7 @@ def _share_in_platform(df: DataFrame, key: str, prefix: str) -> DataFrame:
 
 
 def store_share_in_platform(df: DataFrame) -> DataFrame:
-    """A6 + A8 (store flags)."""
+    """A6 + A8 (store flags); J2 inner join of the two aggregates."""
     return _share_in_platform(df, "store_name", "store")
 
 

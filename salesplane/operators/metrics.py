@@ -84,8 +84,16 @@ def metrics_by(df: DataFrame, keys, y="y_true", p="y_pred") -> DataFrame:
     return df.groupBy(*keys).agg(*metric_aggs(y, p))
 
 
+def monitored_metrics(y: Column, p: Column):
+    """Training-monitor MAPE and RMSE on log inputs: expm1, clip [1, 1e6];
+    per-row APE clipped to [0, 1000] before averaging."""
+    yt, yp = clip(F.expm1(y), 1, 1e6), clip(F.expm1(p), 1, 1e6)
+    ape = clip(F.abs(yt - yp) / yt * 100, 0, 1000)
+    return F.avg(ape).alias("monitored_mape"), F.sqrt(F.avg((yt - yp) * (yt - yp))).alias("monitored_rmse")
+
+
 def across_splits(per_split: DataFrame, cols=("mape", "rmse", "r2")) -> DataFrame:
-    """Mean / std (ddof 0) / min / max across splits."""
+    """Mean / std (ddof 0) / min / max across splits (temporal performance)."""
     aggs = []
     for c in cols:
         aggs += [F.avg(c).alias(f"{c}_mean"), F.stddev_pop(c).alias(f"{c}_std"),

@@ -31,7 +31,8 @@ def target_correlations(df: DataFrame, features, target: str = "sales_quantity_l
 
 def fit_regressor(train: DataFrame, features, kind: str = "rf", label: str = "sales_quantity_log",
                   seed: int = 42, **params):
-    """Spark ML regressor on an assembled vector, log target."""
+    """Input assembly (``VectorAssembler``) and a Spark ML regressor on
+    the log target, fitted per split by the caller (one ``Pipeline.fit`` per split)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor

@@ -13,7 +13,7 @@ ENTITY = ["primary_platform", "store_name", "brand_name"]
 
 
 def brand_presence(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
-    """Per brand (``brand_platform_count`` also exposed as the _x/_y aliases)."""
+    """Per brand (``brand_platform_count`` also exposed as the _x/_y aliases)."""
     from . import dims
     s = stats if stats is not None else dims.brand_stats(df)
     t = s.select("brand_name", F.col("n_platform").alias("brand_platform_count"),
@@ -235,7 +235,8 @@ def yoy_growth_potential(df: DataFrame, target_year: int) -> DataFrame:
 
 
 def top_brand_flag(df: DataFrame, k: int = 5) -> DataFrame:
-    """Brand in the top k by row count (ties by name); one row per brand."""
+    """Brand in the top k by row count (ties by name) as a membership flag
+    (broadcast left join of the k-row key set); one row per brand."""
     counts = df.groupBy("brand_name").count()
     top = counts.orderBy(F.desc("count"), F.asc("brand_name")).limit(k).select("brand_name", F.lit(1).alias("_t"))
     return counts.join(F.broadcast(top), "brand_name", "left").select(

@@ -25,6 +25,8 @@ ROLL = [3, 6, 12]
 
 
 def entity_window(entity=ENTITY, order=ORDER):
+    """The sort before time-series work is a window ordering, never a
+    materialised sort; entities are grouped by their columns, not a concatenated key."""
     return Window.partitionBy(*entity).orderBy(*order)
 
 

@@ -52,3 +52,11 @@ def test_rules_and_temporal_integrity(spark):
                       ("2021-06", "P", "S", "B", "x", 1, 1)])
     t = qa.temporal_integrity(df.coalesce(1)).first()
     assert t["gap_count"] == 1 and t["out_of_order_rows"] >= 1
+
+
+def test_monitored_metrics_clip(spark):
+    import math
+    df = spark.createDataFrame([(math.log1p(9.0), math.log1p(0.0)), (math.log1p(2e6), math.log1p(1e6))], "y double, p double")
+    r = df.agg(*mt.monitored_metrics(F.col("y"), F.col("p"))).first()
+    # row 1: y=9, p=0 -> clipped to 1 -> |9-1|/9 = 88.9%; row 2: both clip to 1e6 -> 0
+    assert abs(r["monitored_mape"] - (8 / 9 * 100) / 2) < 1e-6
