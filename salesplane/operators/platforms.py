@@ -75,10 +75,10 @@ def platform_loyalty(df: DataFrame) -> DataFrame:
                     flag(F.col("first_platform") == F.col("last_platform")).alias("platform_stable"))
 
 
-def platform_tenure(df: DataFrame) -> DataFrame:
+def platform_tenure(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
     """A25 (per fact row): months since the entity's first month."""
     from .temporal import with_group_stats
-    df = with_group_stats(df, ENTITY, [F.min("sales_month").alias("_entry_month")])
+    df = with_group_stats(df, ENTITY, [F.min("sales_month").alias("_entry_month")], source)
     ten = F.round(F.datediff(F.col("sales_month"), F.col("_entry_month")) / K.DAYS_PER_MONTH).cast("int")
     df = df.withColumn("platform_tenure_months", ten).drop("_entry_month")
     t = F.col("platform_tenure_months")

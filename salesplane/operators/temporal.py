@@ -39,12 +39,14 @@ def whole(entity=ENTITY):
     return Window.partitionBy(*entity)
 
 
-def with_group_stats(df: DataFrame, keys, aggs) -> DataFrame:
+def with_group_stats(df: DataFrame, keys, aggs, source: DataFrame | None = None) -> DataFrame:
     """Whole-group statistics as a grouped aggregate joined back (not an unordered
     window): partial aggregation splits a hot group over many tasks, and the small
-    result is attached with a size-checked join."""
+    result is attached with a size-checked join.  ``source`` (default ``df``) is the
+    table aggregated: pass the persisted base so a wide derived frame is not recomputed."""
     from .behaviour import attach
-    return attach(df, [df.groupBy(*keys).agg(*aggs)], keys)
+    src = df if source is None else source
+    return attach(df, [src.groupBy(*keys).agg(*aggs)], keys)
 
 
 # ---------------------------------------------------------------- T blocks --
@@ -206,15 +208,17 @@ def _finite_diff(cur, prev):
     return F.when(~F.isnan(d), d)
 
 
-def yoy_features(df: DataFrame, entity=ENTITY) -> DataFrame:
+def yoy_features(df: DataFrame, entity=ENTITY, source: DataFrame | None = None) -> DataFrame:
     """W12 (lag 12 rows) and W13 (per entity and calendar month, std/(mean+1) if n>1)."""
     w = entity_window(entity)
     q = F.col("sales_quantity")
     yoy = F.lag(q, 12).over(w)
     growth = F.coalesce((q - yoy) / (yoy + 1), F.lit(0.0))
     df = df.withColumn("_moy", F.month("sales_month"))
+    src = (df if source is None else source).withColumn("_moy", F.month("sales_month"))
     df = with_group_stats(df, [*entity, "_moy"], [
-        F.coalesce(F.when(F.count(q) > 1, F.stddev_samp(q) / (F.avg(q) + 1)), F.lit(0.0)).alias("seasonal_consistency")])
+        F.coalesce(F.when(F.count(q) > 1, F.stddev_samp(q) / (F.avg(q) + 1)), F.lit(0.0)).alias("seasonal_consistency")],
+        src)
     df = df.select("*", yoy.alias("sales_yoy"), growth.alias("sales_yoy_growth"),
                    F.coalesce(pct_change(q, yoy), F.lit(0.0)).alias("sales_yoy_pct_change")).drop("_moy")
     g = F.col("sales_yoy_growth")
@@ -242,10 +246,13 @@ def advanced_momentum(df: DataFrame, entity=ENTITY) -> DataFrame:
     return df.select("*", tc.alias("trend_consistency_3m"), acc.alias("momentum_acceleration"))
 
 
-def spike_features(df: DataFrame, entity=ENTITY) -> DataFrame:
+def spike_features(df: DataFrame, entity=ENTITY, source: DataFrame | None = None) -> DataFrame:
     """Entity z-score, spike flags, ma3 deviation, spike propensity."""
     q = F.col("sales_quantity")
-    df = with_group_stats(df, entity, [F.avg(q).alias("_e_mean"), F.stddev_samp(q).alias("_e_std")])
+    src = df if source is None else source
+    stats = src.groupBy(*entity).agg(F.avg(q).alias("_e_mean"), F.stddev_samp(q).alias("_e_std"))
+    from .behaviour import attach
+    df = attach(df, [stats], entity)
     z = (q - F.col("_e_mean")) / (F.col("_e_std") + 1e-6)
     # the 3-row mean with min_periods=1 is the rolling mean of W3 when already present
     ma3 = F.col("sales_rolling_mean_3") if "sales_rolling_mean_3" in df.columns else F.avg(q).over(frame(3, entity))
@@ -256,8 +263,12 @@ def spike_features(df: DataFrame, entity=ENTITY) -> DataFrame:
                    flag(zc < -2.5).alias("sales_drop_major"),
                    flag((zc < -1.5) & (zc >= -2.5)).alias("sales_drop_moderate"),
                    ((q - F.col("sales_ma_3")) / (F.col("sales_ma_3") + 1)).alias("sales_deviation_from_ma"))
-    return with_group_stats(df, entity, [
-        (F.avg("sales_spike_major") + 0.5 * F.avg("sales_spike_moderate")).alias("spike_propensity_score")])
+    # propensity from the source rows: z per row via the small stats table, then an aggregate
+    zs = (q - F.col("_e_mean")) / (F.col("_e_std") + 1e-6)
+    flagged = src.select(*entity, "sales_quantity").join(stats, list(entity)).select(
+        *entity, flag(zs > 2.5).alias("_maj"), flag((zs > 1.5) & (zs <= 2.5)).alias("_mod"))
+    return with_group_stats(df, entity, [(F.avg("_maj") + 0.5 * F.avg("_mod")).alias("spike_propensity_score")],
+                            flagged)
 
 
 # ---------------------------------------------------------------- v1 windows --
