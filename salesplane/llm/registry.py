@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id
+from . import decontaminate, language_id, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": decontaminate.op1,
+    "op7_simhash_dedup": simhash.op7,
     "op9_language_id": language_id.op9,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_decontaminate": decontaminate.OP1_SQL,
+}
