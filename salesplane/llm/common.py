@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 from salesplane.session import ensure_checkpoint_dir
 
 
+#: Tables of up to so many short rows are broadcast, larger ones are shuffled.
+BROADCAST_ROWS = 500_000
+
+
+def if_small(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if its counted rows are few."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table, staged
+from .common import if_small, read_table, staged
 
 #: Words of a window and of the k-grams whose minimum is a window's fingerprint.
 WINDOW = 13
 GRAM = 5
 #: A document is contaminated from one hit word in so many on.
 SHARE = 20
-#: Tables of up to so many short rows are broadcast, larger ones are shuffled.
-BROADCAST_ROWS = 500_000
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -56,11 +54,6 @@ def _hashes(w: Column) -> Column:
     return F.transform(w, lambda x: F.xxhash64(x))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """``df``, marked for broadcast if its counted rows are few."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def benchmark_windows(bench: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, list[int]]:
     """Distinct windows of ``bench`` (item_id, text): (length, fp, words, items),
     and the lengths that occur, ``window`` at most.  Items without id or words
@@ -108,11 +101,11 @@ def find_hits(docs: DataFrame, bench: DataFrame, window: int = WINDOW, gram: int
 
     met = (base.select("key", F.explode("prints").alias("p"))
            .select("key", F.col("p.length").alias("length"), F.explode("p.fps").alias("fp"))
-           .join(_small(known.select("length", "fp").distinct()), ["length", "fp"]).distinct()
+           .join(if_small(known.select("length", "fp").distinct()), ["length", "fp"]).distinct()
            .groupBy("key").agg(F.collect_list(F.struct("length", "fp")).alias("met")))
     met = staged(met)
 
-    again = docs.select(text_key(F.col("text")).alias("key"), "text").join(_small(met), "key")
+    again = docs.select(text_key(F.col("text")).alias("key"), "text").join(if_small(met), "key")
     w = words(F.col("text"))
 
     def spans(w, met, n):
@@ -126,7 +119,7 @@ def find_hits(docs: DataFrame, bench: DataFrame, window: int = WINDOW, gram: int
 
     found = (again.select("key", F.explode(let(w, lambda w: F.flatten(F.array(
         *[spans(w, F.col("met"), n) for n in lengths])))).alias("s")).select("key", "s.*").distinct()
-             .join(_small(known.groupBy("length", "words").agg(F.flatten(F.collect_list("items")).alias("items"))),
+             .join(if_small(known.groupBy("length", "words").agg(F.flatten(F.collect_list("items")).alias("items"))),
                    ["length", "words"]))
     hits = (found.groupBy("key").agg(F.collect_list(F.struct("at", "length")).alias("spans"),
                                      F.collect_set("items").alias("items"))
@@ -157,7 +150,7 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
     rows, hits = find_hits(docs, bench)
     bad = staged(rows.join(staged(hits), "key").where(_is_contaminated()).select("key").distinct())
     return (docs.withColumn("_key", text_key(F.col("text")))
-            .join(_small(bad), F.col("_key") == F.col("key"), "left_anti").drop("_key"))
+            .join(if_small(bad), F.col("_key") == F.col("key"), "left_anti").drop("_key"))
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

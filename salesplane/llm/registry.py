@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, simhash
+from . import decontaminate, language_id, packing, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontaminate.op1,
+    "op5_packing": packing.op5,
+    "op6_pii": pii.op6,
     "op7_simhash_dedup": simhash.op7,
     "op9_language_id": language_id.op9,
 }

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import min_doc_components, read_table, staged
+from .common import if_small, min_doc_components, read_table, staged
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -178,6 +178,14 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, radius: int = MAX_B
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def drop_near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is their component's smallest, all columns
+    kept; rows without a doc_id stay."""
+    gone = staged(near_duplicates(docs.select("doc_id", "text"), k, radius)
+                  .where("doc_id != component_id").select(F.col("doc_id").alias("_gone")))
+    return docs.join(if_small(gone), docs["doc_id"] == F.col("_gone"), "left_anti")
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
