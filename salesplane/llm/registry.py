@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embedding_dedup, html_text, language_id, packing, pii, simhash
+from . import decontaminate, embedding_dedup, html_text, language_id, packing, pii, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontaminate.op1,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": packing.op5,
     "op6_pii": pii.op6,
     "op7_simhash_dedup": simhash.op7,
+    "op8_secret_scan": secret_scan.op8,
     "op9_language_id": language_id.op9,
     "op10_embedding_dedup": embedding_dedup.op10,
 }
