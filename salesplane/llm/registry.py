@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embedding_dedup, html_text, language_id, packing, pii, secret_scan, simhash
+from . import decontaminate, embedding_dedup, html_text, language_id, packing, pii, secret_scan, simhash, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontaminate.op1,
     "op3_html_text": html_text.op3,
+    "op4_suffix_dedup": suffix_dedup.op4,
     "op5_packing": packing.op5,
     "op6_pii": pii.op6,
     "op7_simhash_dedup": simhash.op7,
