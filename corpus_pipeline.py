@@ -10,7 +10,7 @@ from salesplane.llm.common import read_table, staged
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language can't be told (no letters, narrow margin)."""
-    return language_id.identify(docs).where("not rejected").select(*docs.columns)
+    return language_id.keep_identified(docs, language_id.learn(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

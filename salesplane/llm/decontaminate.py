@@ -148,9 +148,8 @@ def scan(docs: DataFrame, bench: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text is not contaminated, all columns kept."""
     rows, hits = find_hits(docs, bench)
-    bad = staged(rows.join(staged(hits), "key").where(_is_contaminated()).select("key").distinct())
-    return (docs.withColumn("_key", text_key(F.col("text")))
-            .join(if_small(bad), F.col("_key") == F.col("key"), "left_anti").drop("_key"))
+    bad = staged(rows.join(staged(hits), "key").where(_is_contaminated()).select(F.col("key").alias("__bad")).distinct())
+    return docs.join(if_small(bad), text_key(docs["text"]) == F.col("__bad"), "left_anti")
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,39 +90,49 @@ def _classifier(dictionaries: list[tuple[str, bytes]]):
     return best
 
 
+def _guess(dictionaries: list[tuple[str, bytes]]):
+    @F.pandas_udf("struct<lang_pred:string,score:double>")
+    def guess(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        best = _classifier(dictionaries)
+        for s in texts:
+            yield pd.DataFrame([best(t) for t in s], columns=["lang_pred", "score"])
+
+    return guess
+
+
 def predict_language(docs: DataFrame, dictionaries: list[tuple[str, bytes]],
                      min_margin: float = MIN_MARGIN) -> DataFrame:
-    """Add lang_pred, score, rejected to ``docs``.
+    """(doc_id, lang_pred, score, rejected) for every row of ``docs`` (doc_id, text).
 
     Each whole text's letters are compressed, block by block, against every
     language's dictionaries; the smallest size wins, ties go to the more frequent
-    language.  ``score`` is one minus best size over second-best size.  ``rejected`` is true for ``und``
-    (null text or no letter, score 0, or nothing was learned) and for margins
-    under ``min_margin``.  The dictionaries are bounded by MAX_LANGS *
-    DICT_BYTES.  Input columns named like the outputs are replaced.
+    language.  ``score`` is one minus best size over second-best size.
+    ``rejected`` is true for ``und`` (null text or no letter, score 0, or nothing
+    was learned) and for margins under ``min_margin``.  The dictionaries are
+    bounded by MAX_LANGS * DICT_BYTES.  Repeated rows stay; other columns are not
+    read.
     """
-    @F.pandas_udf("struct<lang_pred:string,score:double>")
-    def guess(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        best = _classifier(dictionaries)
-        for s in texts:
-            yield pd.DataFrame([best(t) for t in s], columns=["lang_pred", "score"])
+    return (docs.select("doc_id", _guess(dictionaries)("text").alias("g")).select("doc_id", "g.lang_pred", "g.score")
+            .withColumn("rejected", (F.col("lang_pred") == UNDETERMINED) | (F.col("score") < min_margin)))
+
 
-    out = ("lang_pred", "score", "rejected")
-    return (docs.select(*[docs[c] for c in docs.columns if c not in out], guess(docs["text"]).alias("_g"))
-            .withColumn("lang_pred", F.col("_g.lang_pred")).withColumn("score", F.col("_g.score"))
-            .withColumn("rejected", (F.col("lang_pred") == UNDETERMINED) | (F.col("score") < min_margin)).drop("_g"))
+def keep_identified(docs: DataFrame, dictionaries: list[tuple[str, bytes]], min_margin: float = MIN_MARGIN) -> DataFrame:
+    """The rows of ``docs`` that predict_language doesn't reject, all columns kept."""
+    g = F.col("__guess")
+    return (docs.withColumn("__guess", _guess(dictionaries)("text"))
+            .where((g["lang_pred"] != UNDETERMINED) & (g["score"] >= min_margin)).drop("__guess"))
 
 
 def held_out() -> "F.Column":
     return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
 
 
-def identify(docs: DataFrame) -> DataFrame:
-    """Train on the rows not held out, predict every row of ``docs``."""
-    known = train_dictionaries(docs.where(~held_out()))
-    return predict_language(docs, known)
+def learn(docs: DataFrame) -> list[tuple[str, bytes]]:
+    """Dictionaries from the rows of ``docs`` that are not held out."""
+    return train_dictionaries(docs.where(~held_out()))
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return identify(docs).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+    return (predict_language(docs, learn(docs))
+            .select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected"))

@@ -6,10 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embedding_dedup, html_text, language_id, packing, pii, secret_scan, simhash, suffix_dedup
+from . import (
+    decontaminate,
+    embedding_dedup,
+    html_text,
+    language_id,
+    license_scan,
+    packing,
+    pii,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": decontaminate.op1,
+    "op2_license_scan": license_scan.op2,
     "op3_html_text": html_text.op3,
     "op4_suffix_dedup": suffix_dedup.op4,
     "op5_packing": packing.op5,
@@ -22,4 +34,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_decontaminate": decontaminate.OP1_SQL,
+    "op2_license_scan": license_scan.OP2_SQL,
 }

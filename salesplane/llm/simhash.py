@@ -182,8 +182,8 @@ def drop_near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, radius: int =
     """The rows of ``docs`` whose doc_id is their component's smallest, all columns
     kept; rows without a doc_id stay."""
     gone = staged(near_duplicates(docs.select("doc_id", "text"), k, radius)
-                  .where("doc_id != component_id").select(F.col("doc_id").alias("_gone")))
-    return docs.join(if_small(gone), docs["doc_id"] == F.col("_gone"), "left_anti")
+                  .where("doc_id != component_id").select(F.col("doc_id").alias("__gone")))
+    return docs.join(if_small(gone), docs["doc_id"] == F.col("__gone"), "left_anti")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
