@@ -17,14 +17,20 @@ from .common import read_table, staged
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a task remembers; beyond that it starts anew.
-CACHE_WORDS = 1 << 19
+#: Text parts whose ids a task remembers; beyond that it starts anew.
+CACHE_PARTS = 1 << 20
 #: Rows ranked together in one window group.
 RANK_ROWS = 1_000
 
-# The vocabulary's normalizer turns white space into spaces and its pre-tokenizer
-# drops them, so a text's ids are its white-space-separated parts' ids in turn.
+# The vocabulary's normalizer composes and lower-cases characters and turns white
+# space into spaces; its pre-tokenizer drops these and then cuts between letters
+# and other characters, but for contractions and special tokens.  So a text's
+# ids are those of its parts in turn: white-space-separated ones always, runs of
+# letters and of other characters in plain texts (Latin-1 without apostrophe, bar
+# and letter-like signs), which lower() treats as the normalizer does.
 _PART = re.compile(r"[^ \t\n\r]+")
+_PLAIN = re.compile(r"[\x00-&(-{}-\xa9\xab-\xb4\xb6-\xb9\xbb-\xff]*+")
+_PLAIN_PART = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+|[^ \t\n\ra-z\xdf-\xf6\xf8-\xff]+")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -33,22 +39,39 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others
+    for the characters from 256 on."""
+    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in kept)}
+
+
 def _encoder(path: str):
     """text -> its ids as little-endian unsigned 32-bit integers."""
     from tokenizers import Tokenizer
 
-    tok, known = Tokenizer.from_file(path), {}
+    tok, letters = Tokenizer.from_file(path), _byte_letters()
+    model = tok.model
+
+    class Ids(dict):
+        def __missing__(self, part: str) -> bytes:
+            if _PLAIN_PART.fullmatch(part) and part.isalpha():  # one pre-token as it is
+                word = part if part.isascii() else part.encode().decode("latin-1").translate(letters)
+                ids = [t.id for t in model.tokenize(word)]
+            else:
+                ids = tok.encode(part, add_special_tokens=False).ids
+            self[part] = out = np.array(ids, "<u4").tobytes()
+            return out
+
+    known = Ids()
 
     def encode(text: str | None) -> bytes:
-        parts = _PART.findall(text) if text else []
-        new = list({p for p in parts if p not in known})
-        if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(set(parts))
-            for p in new:
-                known[p] = np.array(tok.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join([known[p] for p in parts])
+        if not text:
+            return b""
+        if len(known) > CACHE_PARTS:
+            known.clear()
+        parts = _PLAIN_PART.findall(text.lower()) if _PLAIN.fullmatch(text) else _PART.findall(text)
+        return b"".join(map(known.__getitem__, parts))
 
     return encode
 
