@@ -24,7 +24,7 @@ from .common import if_small, read_table, staged
 WINDOW = 400
 GRAM = 128
 #: Contexts of one anchor hash in one shard, and bytes of one suffix array.
-SHARD_CONTEXTS = 512
+SHARD_CONTEXTS = 4096
 SHARD_BYTES = 1 << 21
 _CHUNK_BITS = 19
 _LANES = 1 << 14
