@@ -124,7 +124,7 @@ def keep_identified(docs: DataFrame, dictionaries: list[tuple[str, bytes]], min_
 
 
 def held_out() -> "F.Column":
-    return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
 
 
 def learn(docs: DataFrame) -> list[tuple[str, bytes]]:
