@@ -81,10 +81,17 @@ def index_clip(c, lo=0, hi=100, shift=0):
 
 
 def fit_year_map(train: DataFrame, by=("split_id",), col="year") -> DataFrame:
-    """M3 fit: training years -> dense index (1-based); unseen years map to 0 on apply."""
+    """M3 fit: training years -> 0-based dense index."""
     from pyspark.sql import Window
-    ys = train.select(*by, F.col(col)).distinct()
-    return ys.withColumn("year_index", F.dense_rank().over(Window.partitionBy(*by).orderBy(col)))
+    ys = train.select(*by, F.col(col)).where(F.col(col).isNotNull()).distinct()
+    return ys.withColumn("year_index", F.dense_rank().over(Window.partitionBy(*by).orderBy(col)) - 1)
+
+
+def apply_year_map(df: DataFrame, year_map: DataFrame, by=("split_id",), col="year") -> DataFrame:
+    """M3 apply: the fitted index; unseen or null years get 0.  The map has one row
+    per split and training year."""
+    return (df.join(F.broadcast(year_map), [*by, col], "left")
+            .withColumn("year_index", F.coalesce("year_index", F.lit(0))))
 
 
 def target_encode(train: DataFrame, key: str, y: str, k: float = 1.0, s: float = 1.0, by=("split_id",)) -> DataFrame:

@@ -86,10 +86,10 @@ def metrics_by(df: DataFrame, keys, y="y_true", p="y_pred") -> DataFrame:
 
 def monitored_metrics(y: Column, p: Column):
     """Training-monitor MAPE and RMSE on log inputs: expm1, clip [1, 1e6];
-    per-row APE clipped to [0, 1000] before averaging."""
+    errors are divided by y + 1 and the mean, not the rows, is clipped to [0, 1000]."""
     yt, yp = clip(F.expm1(y), 1, 1e6), clip(F.expm1(p), 1, 1e6)
-    ape = clip(F.abs(yt - yp) / yt * 100, 0, 1000)
-    return F.avg(ape).alias("monitored_mape"), F.sqrt(F.avg((yt - yp) * (yt - yp))).alias("monitored_rmse")
+    mape = clip(F.avg(F.abs(yt - yp) / (yt + 1.0)) * 100, 0, 1000)
+    return mape.alias("monitored_mape"), F.sqrt(F.avg((yt - yp) * (yt - yp))).alias("monitored_rmse")
 
 
 def across_splits(per_split: DataFrame, cols=("mape", "rmse", "r2")) -> DataFrame:
@@ -101,16 +101,29 @@ def across_splits(per_split: DataFrame, cols=("mape", "rmse", "r2")) -> DataFram
     return per_split.agg(*aggs)
 
 
-# --- FIXED VALUES: grade thresholds (excellent, good, fair) by rule set -----
-GRADE_RULES = {"trainer": (15, 20, 30), "phase3": (10, 20, 30), "fixed": (15, 25, 40), "notebook": (5, 10, 20)}
-GRADE_LABELS = ("Excellent", "Good", "Fair", "Poor")
+# --- FIXED VALUES: grade bounds, whether a bound belongs to the better grade,
+# and labels, by rule set ------------------------------------------------------
+GRADE_RULES = {
+    "trainer": ((15, 20, 30), True, ("EXCELLENT", "GOOD", "FAIR", "POOR")),
+    "phase3": ((10, 20, 30), True, ("EXCELLENT", "GOOD", "FAIR", "POOR")),
+    "fixed": ((15, 25, 40), False, ("EXCELLENT", "GOOD", "MODERATE", "POOR")),
+    "notebook": ((5, 10, 20), True, ("EXCELLENT", "USABLE", "BARELY USABLE", "POOR")),
+}
+CONSISTENT_STD = 3
 
 
 def grade(mape: Column, rules: str = "trainer") -> Column:
     """E12."""
-    a, b, c = GRADE_RULES[rules]
-    return (F.when(mape < a, GRADE_LABELS[0]).when(mape < b, GRADE_LABELS[1])
-            .when(mape < c, GRADE_LABELS[2]).otherwise(GRADE_LABELS[3]))
+    bounds, inclusive, labels = GRADE_RULES[rules]
+    out = F.lit(labels[-1])
+    for bound, label in reversed(list(zip(bounds, labels))):
+        out = F.when(mape <= bound if inclusive else mape < bound, F.lit(label)).otherwise(out)
+    return out
+
+
+def consistency_grade(std: Column) -> Column:
+    """Spread of the MAPE across splits."""
+    return F.when(std <= CONSISTENT_STD, "CONSISTENT").otherwise("INCONSISTENT")
 
 
 def prediction_distribution(df: DataFrame, p="y_pred") -> DataFrame:
@@ -120,16 +133,17 @@ def prediction_distribution(df: DataFrame, p="y_pred") -> DataFrame:
                   F.count_if(x < 0).alias("negative"), F.min(x).alias("pred_min"), F.max(x).alias("pred_max"))
 
 
-def health_rules(mape: Column, std: Column) -> Column:
-    """MAPE health labels."""
-    return (F.when(mape > 50, "critical").when(mape > 30, "warning").when(std > 5, "unstable")
-            .when(mape < 10, "excellent").otherwise("ok"))
+def health_rules(mape: Column, std: Column) -> list[Column]:
+    """MAPE level and spread across splits, judged independently."""
+    level = (F.when(mape > 50, "very_high").when(mape > 30, "high").when(mape < 10, "suspiciously_low")
+             .otherwise("reasonable"))
+    return [level.alias("mape_health"), F.when(std > 5, "high_variance").otherwise("consistent").alias("std_health")]
 
 
 def degradation(mape: Column, baseline: float) -> Column:
-    """Ratio to a baseline MAPE, >2 alert, >1 warning."""
-    r = F.try_divide(mape, F.lit(baseline))
-    return F.when(r > 2, "alert").when(r > 1, "warning").otherwise("ok")
+    """Points above a baseline MAPE; over 2 alert, over 1 warning."""
+    d = mape - baseline
+    return F.when(d > 2.0, "alert").when(d > 1.0, "warning").otherwise("stable")
 
 
 # --- FIXED VALUES: sanity and readiness thresholds ---------------------------
@@ -148,12 +162,18 @@ def sanity_flags(summary: DataFrame) -> DataFrame:
 
 
 def business_ready(summary: DataFrame, expected_mape: float, notebook_mape: float | None = None) -> DataFrame:
-    """MAPE within expectation, std <= 5, and (optionally) within +5 / -2 points of a reference run."""
+    """MAPE within expectation, std <= 5, business readiness (MAPE <= 20 and std <= 5)
+    and, against a reference run, worse (over 5 points), better (over 2 points) or
+    comparable; only worse fails the validation."""
     m, s = F.col("mape_mean"), F.col("mape_std")
-    cols = [flag(m <= expected_mape).alias("meets_expected"), flag(s <= 5).alias("consistent")]
+    passed = (m <= expected_mape) & (s <= 5)
+    cols = [flag(m <= expected_mape).alias("meets_expected"), flag(s <= 5).alias("consistent"),
+            flag((m <= 20) & (s <= 5)).alias("business_ready")]
     if notebook_mape is not None:
-        cols.append(flag((m - notebook_mape <= 5) & (m - notebook_mape >= -2)).alias("matches_reference"))
-    return summary.select("*", *cols)
+        d = m - notebook_mape
+        passed = passed & (d <= 5)
+        cols.append(F.when(d > 5, "worse").when(d < -2, "better").otherwise("comparable").alias("against_reference"))
+    return summary.select("*", *cols, flag(passed).alias("validation_passed"))
 
 
 def compare_models(a: DataFrame, b: DataFrame, name_a: str = "a", name_b: str = "b") -> DataFrame:
@@ -165,24 +185,30 @@ def compare_models(a: DataFrame, b: DataFrame, name_a: str = "a", name_b: str =
                     F.when(imp > 0, F.lit(name_b)).when(imp < 0, F.lit(name_a)).otherwise("tie").alias("winner"))
 
 
+MAX_EPOCHS = 100
+
+
 def training_efficiency(run_log: DataFrame) -> DataFrame:
-    """Over a run log (split_id, epochs_trained, best_epoch, ...): epoch stats,
-    early-stop rate and the relative spread of the best epoch."""
-    return run_log.agg(F.avg("epochs_trained").alias("epochs_mean"), F.min("epochs_trained").alias("epochs_min"),
-                       F.max("epochs_trained").alias("epochs_max"),
-                       F.avg((F.col("best_epoch") < F.col("epochs_trained")).cast("double")).alias("early_stop_rate"),
-                       F.try_divide(F.stddev_pop("best_epoch"), F.avg("best_epoch")).alias("best_epoch_cv"))
+    """Over a run log (split_id, epochs_trained, best_epoch): mean epochs, mean best
+    epoch, share of runs stopped before MAX_EPOCHS, relative spread of the best epoch."""
+    return run_log.agg(F.avg("epochs_trained").alias("average_epochs_used"), F.avg("best_epoch").alias("average_best_epoch"),
+                       F.avg((F.col("epochs_trained") < MAX_EPOCHS).cast("double")).alias("early_stopping_rate"),
+                       F.try_divide(F.stddev_pop("best_epoch"), F.avg("best_epoch")).alias("training_stability"))
 
 
-def recommendations(summary: DataFrame, platform_spread: float | None = None) -> DataFrame:
-    """Recommendation labels from the across-splits summary (and the platform MAPE spread)."""
+def recommendations(summary: DataFrame) -> DataFrame:
+    """Array of recommendations from mape_mean, mape_std and, where present,
+    early_stopping_rate and platform_spread (largest minus smallest platform MAPE)."""
     m, s = F.col("mape_mean"), F.col("mape_std")
-    rec = (F.when(m > 30, "revisit features and target scaling").when(s > 5, "stabilise across periods")
-           .when(m > 15, "tune model capacity").otherwise("ready for hold-out evaluation"))
-    cols = [rec.alias("recommendation")]
-    if platform_spread is not None:
-        cols.append(F.lit(int(platform_spread > 10)).alias("platform_specific_models"))
-    return summary.select("*", *cols)
+    rules = [(m <= 15, "ready_for_production"), ((m > 15) & (m <= 20), "suitable_for_business_use"),
+             (m > 20, "needs_improvement"), (s > CONSISTENT_STD, "check_overfitting")]
+    if "early_stopping_rate" in summary.columns:
+        r = F.col("early_stopping_rate")
+        rules += [(r > 0.8, "fewer_epochs"), (r < 0.2, "more_epochs")]
+    if "platform_spread" in summary.columns:
+        rules.append((F.col("platform_spread") > 10, "tune_by_platform"))
+    found = F.array_compact(F.array(*[F.when(c, F.lit(x)) for c, x in rules]))
+    return summary.select("*", found.alias("recommendations"))
 
 
 def performance_table(per_split: DataFrame, rules: str = "trainer") -> DataFrame:

@@ -83,20 +83,20 @@ def validate_features(df: DataFrame, features, target: str = "sales_quantity_log
 
 
 def temporal_integrity(df: DataFrame, entity=("primary_platform", "store_name", "brand_name"),
-                       date_col: str = "sales_month", max_gap_days: int = 62) -> DataFrame:
-    """Q5 with a real order check: per entity, rows whose date precedes the previous
-    row's date in the stored (monotonically increasing id) order, plus gap counts."""
+                       date_col: str = "sales_month", max_gap_days: int = 62, order_col: str | None = None) -> DataFrame:
+    """Q5: per entity, gaps between dates, longest gap and months covered; with
+    ``order_col`` (the order the rows were stored in; a table has none of its own)
+    also the rows whose date precedes that of the row before."""
     from pyspark.sql import Window
-    rid = F.monotonically_increasing_id()
-    d = df.select(*entity, date_col).withColumn("_rid", rid)
-    w = Window.partitionBy(*entity).orderBy("_rid")
-    d = d.withColumn("_back", (F.col(date_col) < F.lag(date_col).over(w)).cast("int"))
     ws = Window.partitionBy(*entity).orderBy(date_col)
-    d = d.withColumn("_gap", F.datediff(F.col(date_col), F.lag(date_col).over(ws)))
-    return d.groupBy(*entity).agg(F.coalesce(F.sum("_back"), F.lit(0)).alias("out_of_order_rows"),
-                                  F.count_if(F.col("_gap") > max_gap_days).alias("gap_count"),
-                                  F.max("_gap").alias("max_gap_days"),
-                                  F.round(F.datediff(F.max(date_col), F.min(date_col)) / 30.44).alias("months_covered"))
+    d = df.withColumn("_gap", F.datediff(F.col(date_col), F.lag(date_col).over(ws)))
+    aggs = [F.count_if(F.col("_gap") > max_gap_days).alias("gap_count"), F.max("_gap").alias("max_gap_days"),
+            F.round(F.datediff(F.max(date_col), F.min(date_col)) / 30.44).alias("months_covered")]
+    if order_col:
+        w = Window.partitionBy(*entity).orderBy(order_col)
+        d = d.withColumn("_back", F.col(date_col) < F.lag(date_col).over(w))
+        aggs.insert(0, F.count_if("_back").alias("out_of_order_rows"))
+    return d.groupBy(*entity).agg(*aggs)
 
 
 def summary_table(df: DataFrame, cols=None) -> DataFrame:

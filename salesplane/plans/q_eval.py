@@ -114,13 +114,15 @@ def e2_error_dist(spark, d):
 @register("e11_across_splits", with_base_ctes(PRED_SQL + f""",
 ps AS (SELECT split_id, {_metric_sql()} FROM pred GROUP BY 1)""", f"""
 SELECT {', '.join(f"{R(f'avg({c})')} AS {c}_mean, {R(f'stddev_pop({c})')} AS {c}_std, {R(f'min({c})')} AS {c}_min, {R(f'max({c})')} AS {c}_max" for c in ('mape', 'rmse', 'r2'))},
-       CASE WHEN avg(mape) < 15 THEN 'Excellent' WHEN avg(mape) < 20 THEN 'Good' WHEN avg(mape) < 30 THEN 'Fair'
-            ELSE 'Poor' END AS grade
+       CASE WHEN avg(mape) <= 15 THEN 'EXCELLENT' WHEN avg(mape) <= 20 THEN 'GOOD' WHEN avg(mape) <= 30 THEN 'FAIR'
+            ELSE 'POOR' END AS grade,
+       CASE WHEN stddev_pop(mape) <= 3 THEN 'CONSISTENT' ELSE 'INCONSISTENT' END AS consistency_grade
 FROM ps"""))
 def e11_across_splits(spark, d):
     per = mt.metrics_by(predictions(spark, d), ["split_id"])
     out = mt.across_splits(per)
-    return finalize(out.withColumn("grade", mt.grade(F.col("mape_mean"), "trainer")))
+    return finalize(out.withColumn("grade", mt.grade(F.col("mape_mean"), "trainer"))
+                    .withColumn("consistency_grade", mt.consistency_grade(F.col("mape_std"))))
 
 
 @register("m1_quantile_buckets", with_base_ctes(TAGGED + f""",
@@ -185,7 +187,7 @@ def m14_random_forest(spark, d):
     for k, *_ in WINDOWS:
         tr = t.where((F.col("split_id") == k) & (F.col("role") == "train"))
         va = t.where((F.col("split_id") == k) & (F.col("role") == "val"))
-        model = md.fit_regressor(tr, feats, "rf", numTrees=20, maxDepth=5)
+        model = md.fit_regressor(tr, feats, "rf", numTrees=50, maxDepth=5)
         outs.append(md.predict_original_scale(model, va).select("split_id", "y_true", "y_pred"))
     allp = outs[0]
     for o in outs[1:]:

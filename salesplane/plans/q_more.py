@@ -69,15 +69,28 @@ def i2_promo_interactions(spark, d):
 STORE_ORDER = ["sales_month", "primary_platform", "brand_name", "product_code"]
 
 
-@register("w27_store_pct_change", with_base_ctes(NOP, f"""
+def _w27_sql():
+    case = " ".join(f"WHEN {' OR '.join(f'contains(store_name, {chr(39)}{x}{chr(39)})' for x in subs)} THEN '{lab}'"
+                    for subs, lab in st.K.STORE_TYPE_RULES_V1)
+    return with_base_ctes(f"""typed AS (SELECT *, CASE WHEN store_name IS NULL THEN '{st.K.STORE_TYPE_V1_NULL}' {case}
+                                 ELSE '{st.K.STORE_TYPE_V1_OTHER}' END AS store_type_v1 FROM base)""", f"""
 SELECT {KEYS_SQL}, {R('CASE WHEN isfinite(pc) THEN pc ELSE 0 END')} AS store_pct_change
 FROM (SELECT *, CASE WHEN lag(sales_quantity) OVER w IS NULL THEN NULL
                      WHEN lag(sales_quantity) OVER w = 0 THEN (CASE WHEN sales_quantity > 0 THEN 'Infinity'::DOUBLE
                           WHEN sales_quantity < 0 THEN '-Infinity'::DOUBLE END)
                      ELSE (sales_quantity - lag(sales_quantity) OVER w) / lag(sales_quantity) OVER w END AS pc
-      FROM base WINDOW w AS (PARTITION BY store_name ORDER BY {', '.join(STORE_ORDER)}))"""))
+      FROM typed WINDOW w AS (PARTITION BY store_type_v1, brand_name ORDER BY {', '.join(W27_ORDER)}))""")
+
+
+W27_ORDER = ["sales_month", "primary_platform", "store_name", "product_code"]
+
+
+@register("w27_store_pct_change", _w27_sql())
 def w27_store_pct(spark, d):
-    out = tp.group_pct_change(base(spark, d), "sales_quantity", ["store_name"], "store_pct_change", STORE_ORDER)
+    """The store is identified by store type and brand."""
+    b = base(spark, d)
+    b = b.join(st.store_type_v1(b).select("store_name", "store_type_v1"), "store_name")
+    out = tp.group_pct_change(b, "sales_quantity", ["store_type_v1", "brand_name"], "store_pct_change", W27_ORDER)
     return finalize(out.select(*KEYS, "store_pct_change"))
 
 
@@ -244,12 +257,17 @@ def l2_cutoff(spark, d):
     return finalize(s)
 
 
-@register("m3_year_index", with_base_ctes(TAGGED, f"""
-SELECT split_id, year, CAST(dense_rank() OVER (PARTITION BY split_id ORDER BY year) AS INTEGER) AS year_index
-FROM (SELECT DISTINCT split_id, CAST(year(sales_month) AS INTEGER) AS year FROM tagged WHERE role = 'train')"""))
+@register("m3_year_index", with_base_ctes(TAGGED, """
+SELECT t.split_id, t.role, t.year, coalesce(CAST(m.year_index AS INTEGER), 0) AS year_index, t.rows
+FROM (SELECT split_id, role, CAST(year(sales_month) AS INTEGER) AS year, count(*) AS rows FROM tagged GROUP BY ALL) t
+LEFT JOIN (SELECT split_id, year, dense_rank() OVER (PARTITION BY split_id ORDER BY year) - 1 AS year_index
+           FROM (SELECT DISTINCT split_id, CAST(year(sales_month) AS INTEGER) AS year FROM tagged WHERE role = 'train')) m
+     ON t.split_id = m.split_id AND t.year = m.year"""))
 def m3_year(spark, d):
-    t = tagged(spark, d).where(F.col("role") == "train").withColumn("year", F.year("sales_month"))
-    return finalize(en.fit_year_map(t))
+    t = tagged(spark, d).withColumn("year", F.year("sales_month"))
+    rows = t.groupBy("split_id", "role", "year").agg(F.count("*").alias("rows"))
+    return finalize(en.apply_year_map(rows, en.fit_year_map(t.where(F.col("role") == "train")))
+                    .select("split_id", "role", "year", "year_index", "rows"))
 
 
 @register("m6_minmax_fit", with_base_ctes(TAGGED, f"""
@@ -400,8 +418,8 @@ def q11_outliers(spark, d):
 
 @register("e22_performance_table", with_base_ctes(PRED_SQL + f""",
 ps AS (SELECT split_id, {_metric_sql()} FROM pred GROUP BY 1)""", """
-SELECT ps.*, CASE WHEN mape < 15 THEN 'Excellent' WHEN mape < 20 THEN 'Good' WHEN mape < 30 THEN 'Fair'
-                  ELSE 'Poor' END AS grade FROM ps"""))
+SELECT ps.*, CASE WHEN mape <= 15 THEN 'EXCELLENT' WHEN mape <= 20 THEN 'GOOD' WHEN mape <= 30 THEN 'FAIR'
+                  ELSE 'POOR' END AS grade FROM ps"""))
 def e22_table(spark, d):
     return finalize(mt.performance_table(mt.metrics_by(predictions(spark, d), ["split_id"])))
 
