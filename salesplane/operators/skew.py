@@ -15,9 +15,12 @@ processed independently, each carrying a copy of the previous chunk's last
 3. the unchanged window features run partitioned by (entity, _chunk);
 4. halo copies are dropped.
 
-The result equals the unchunked computation row for row.  Whole-entity
-statistics (z-scores, entity means) are not frame-bounded and are computed as
-grouped aggregates joined back, which partial aggregation already splits.
+The result equals the unchunked computation row for row, null keys included
+(keys are matched null-safely), and it is the only path at every size.
+Whole-entity statistics (z-scores, entity means, seasonal consistency) are not
+frame-bounded and are computed as grouped aggregates joined back, which partial
+aggregation already splits.  The one window left on a raw key numbers the rows
+of an (entity, month), as many as the products an entity sold in a month.
 """
 
 from __future__ import annotations
@@ -27,19 +30,26 @@ from pyspark.sql import functions as F
 
 from . import temporal as tp
 
+#: Rows of an entity that one task orders, and rows that a frame looks back.
+CHUNK_ROWS = 200_000
+HALO = 12
+
 ENTITY = tp.ENTITY
 
 
 def with_row_index(df: DataFrame, entity=ENTITY) -> DataFrame:
     """Add ``_idx``: 0-based position of the row in its entity's (month, product) order."""
-    cnt = df.groupBy(*entity, "sales_month").agg(F.count("*").alias("_n"))
+    keys = [*entity, "sales_month"]
     w = Window.partitionBy(*entity).orderBy("sales_month")
-    cnt = cnt.withColumn("_off", F.sum("_n").over(w) - F.col("_n")).drop("_n")
-    within = F.row_number().over(Window.partitionBy(*entity, "sales_month").orderBy("product_code")) - 1
-    return df.join(cnt, [*entity, "sales_month"]).withColumn("_idx", F.col("_off") + within).drop("_off")
+    cnt = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    cnt = cnt.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], (F.sum("_n").over(w) - F.col("_n")).alias("_off"))
+    within = F.row_number().over(Window.partitionBy(*keys).orderBy("product_code")) - 1
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return (df.withColumn("_within", within).join(cnt, same)
+            .withColumn("_idx", F.col("_off") + F.col("_within")).drop("_off", "_within", *[f"_k{i}" for i in range(len(keys))]))
 
 
-def chunk_with_halo(df: DataFrame, chunk_rows: int, halo: int = 12, entity=ENTITY) -> DataFrame:
+def chunk_with_halo(df: DataFrame, chunk_rows: int = CHUNK_ROWS, halo: int = HALO, entity=ENTITY) -> DataFrame:
     """Each row in its own chunk, plus a flagged copy in every later chunk j whose
     first ``halo`` predecessors include it (j * chunk_rows - halo <= idx)."""
     d = with_row_index(df, entity)
@@ -53,26 +63,18 @@ def chunk_with_halo(df: DataFrame, chunk_rows: int, halo: int = 12, entity=ENTIT
     return main.unionByName(copy)
 
 
-def sequence_features(df: DataFrame, chunk_rows: int | None = None, halo: int = 12, entity=ENTITY,
-                      blocks=("lags", "rolling_momentum")) -> DataFrame:
-    """W1 lags and W3-W11 rolling / momentum, optionally chunked for skewed entities."""
-    def apply(x, ent):
-        if "lags" in blocks:
-            x = tp.lag_features(x, entity=ent)
-        if "rolling_momentum" in blocks:
-            x = tp.rolling_and_momentum(x, entity=ent)
-        if "advanced" in blocks:
-            x = tp.advanced_momentum(x, entity=ent)
-        return x
-
-    if not chunk_rows:
-        return apply(df, entity)
-    c = chunk_with_halo(df, chunk_rows, halo, entity)
-    out = apply(c, [*entity, "_chunk"])
+def chunked(df: DataFrame, features, chunk_rows: int = CHUNK_ROWS, halo: int = HALO, entity=ENTITY) -> DataFrame:
+    """``features(rows, entity)`` evaluated per (entity, chunk); its lags and frames
+    may look back ``halo`` rows in all."""
+    out = features(chunk_with_halo(df, chunk_rows, halo, entity), [*entity, "_chunk"])
     return out.where(~F.col("_halo")).drop("_chunk", "_halo", "_idx")
 
 
-def hot_entities(df: DataFrame, share: float = 0.01, entity=ENTITY) -> DataFrame:
-    """Entities holding more than ``share`` of all rows (a small aggregate)."""
-    total = df.count()
-    return df.groupBy(*entity).count().where(F.col("count") > share * total)
+def sequence_features(df: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """W1 lags, W3-W11 rolling and momentum, W12 year over year, W14-W16, in one
+    chunked pass."""
+    def features(x, ent):
+        x = tp.yoy_lags(tp.lag_features(x, entity=ent), entity=ent)
+        return tp.advanced_momentum(tp.rolling_and_momentum(x, entity=ent), entity=ent)
+
+    return chunked(df, features, chunk_rows)

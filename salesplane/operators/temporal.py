@@ -208,24 +208,27 @@ def _finite_diff(cur, prev):
     return F.when(~F.isnan(d), d)
 
 
-def yoy_features(df: DataFrame, entity=ENTITY, source: DataFrame | None = None) -> DataFrame:
-    """W12 (lag 12 rows) and W13 (per entity and calendar month, std/(mean+1) if n>1)."""
-    w = entity_window(entity)
+def yoy_lags(df: DataFrame, entity=ENTITY) -> DataFrame:
+    """Change against 12 rows before, and its trend flags."""
     q = F.col("sales_quantity")
-    yoy = F.lag(q, 12).over(w)
+    yoy = F.lag(q, 12).over(entity_window(entity))
     growth = F.coalesce((q - yoy) / (yoy + 1), F.lit(0.0))
-    df = df.withColumn("_moy", F.month("sales_month"))
-    src = (df if source is None else source).withColumn("_moy", F.month("sales_month"))
-    df = with_group_stats(df, [*entity, "_moy"], [
-        F.coalesce(F.when(F.count(q) > 1, F.stddev_samp(q) / (F.avg(q) + 1)), F.lit(0.0)).alias("seasonal_consistency")],
-        src)
     df = df.select("*", yoy.alias("sales_yoy"), growth.alias("sales_yoy_growth"),
-                   F.coalesce(pct_change(q, yoy), F.lit(0.0)).alias("sales_yoy_pct_change")).drop("_moy")
+                   F.coalesce(pct_change(q, yoy), F.lit(0.0)).alias("sales_yoy_pct_change"))
     g = F.col("sales_yoy_growth")
     return df.select("*", flag(g > 0.1).alias("yoy_trend_up"), flag(g < -0.1).alias("yoy_trend_down"),
                      flag((g >= -0.1) & (g <= 0.1)).alias("yoy_trend_stable"))
 
 
+def seasonal_consistency(df: DataFrame, entity=ENTITY, source: DataFrame | None = None) -> DataFrame:
+    """Per entity and calendar month, std / (mean + 1) if there are two rows."""
+    q = F.col("sales_quantity")
+    src = (df if source is None else source).withColumn("_moy", F.month("sales_month"))
+    return with_group_stats(df.withColumn("_moy", F.month("sales_month")), [*entity, "_moy"], [
+        F.coalesce(F.when(F.count(q) > 1, F.stddev_samp(q) / (F.avg(q) + 1)), F.lit(0.0)).alias("seasonal_consistency")],
+        src).drop("_moy")
+
+
 def advanced_momentum(df: DataFrame, entity=ENTITY) -> DataFrame:
     """momentum_{2,3,6}m, trend_consistency_3m, momentum_acceleration.
 

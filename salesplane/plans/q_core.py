@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import calendar as cal
+from ..operators import skew
 from ..operators import temporal as tp
 from ..sources.tpch import daily_calendar
 from .base import D, R, base, finalize, sales, sales_cte, with_base, with_base_ctes
@@ -55,7 +56,7 @@ SELECT {D('sales_month')} AS sales_month, {E}, product_code, {', '.join(_lag_sql
 FROM base WINDOW w AS ({WE})"""))
 def w1_lags(spark, d):
     b = base(spark, d)
-    out = tp.lag_features(b)
+    out = skew.chunked(b, lambda x, e: tp.lag_features(x, entity=e))
     return finalize(out.select("sales_month", *tp.ENTITY, "product_code",
                                *[f"{p}_lag_{k}" for k in tp.LAGS for p in ("sales", "amount", "price")]))
 
@@ -82,7 +83,7 @@ ROLL_COLS = [f"sales_rolling_{s}_{k}" for k in tp.ROLL
 SELECT {D('sales_month')} AS sales_month, {E}, product_code, {', '.join(_roll_sql(k) for k in tp.ROLL)}
 FROM base WINDOW {', '.join(f'w{k} AS ({WE} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)' for k in tp.ROLL)}"""))
 def w3_rolling(spark, d):
-    out = tp.rolling_features(base(spark, d))
+    out = skew.chunked(base(spark, d), lambda x, e: tp.rolling_features(x, entity=e))
     return finalize(out.select("sales_month", *tp.ENTITY, "product_code", *ROLL_COLS))
 
 
@@ -120,7 +121,7 @@ SELECT {KEYS_SQL}, {R('mom')} AS sales_mom_change, {R('absch')} AS sales_mom_abs
        CAST(mom > 0.1 AS INTEGER) AS momentum_up, CAST(mom < -0.1 AS INTEGER) AS momentum_down,
        CAST(mom >= -0.1 AND mom <= 0.1 AS INTEGER) AS momentum_stable FROM s"""))
 def w6_momentum(spark, d):
-    out = tp.momentum_features(base(spark, d))
+    out = skew.chunked(base(spark, d), lambda x, e: tp.momentum_features(x, entity=e))
     return finalize(out.select(*KEYS, *MOM_COLS, *MOM_FLAGS))
 
 
@@ -145,7 +146,8 @@ FROM (SELECT *, coalesce((sales_quantity - y) / (y + 1), 0) AS g,
                             ELSE 0 END, 0) AS sc
             FROM base WINDOW wm AS (PARTITION BY {E}, month(sales_month))))"""))
 def w12_yoy(spark, d):
-    out = tp.yoy_features(base(spark, d))
+    b = base(spark, d)
+    out = tp.seasonal_consistency(skew.chunked(b, lambda x, e: tp.yoy_lags(x, entity=e)), source=b)
     return finalize(out.select(*KEYS, "sales_yoy", "sales_yoy_growth", "sales_yoy_pct_change",
                                "seasonal_consistency", "yoy_trend_up", "yoy_trend_down", "yoy_trend_stable"))
 
@@ -163,7 +165,7 @@ FROM (SELECT *,
                    coalesce({_pct_sql('sales_quantity', f'lag(sales_quantity, 6) OVER ({WE})')}, 0) AS m6
             FROM base))"""))
 def w14_momentum_advanced(spark, d):
-    out = tp.advanced_momentum(tp.momentum_features(base(spark, d)))
+    out = skew.chunked(base(spark, d), lambda x, e: tp.advanced_momentum(tp.momentum_features(x, entity=e), entity=e))
     return finalize(out.select(*KEYS, "momentum_2m", "momentum_3m", "momentum_6m",
                                "trend_consistency_3m", "momentum_acceleration"))
 
@@ -182,7 +184,8 @@ FROM (SELECT *, CAST(coalesce(z > 2.5, false) AS INTEGER) AS sales_spike_major,
                       / (stddev_samp(sales_quantity) OVER (PARTITION BY {E}) + 1e-6) AS z,
                    avg(sales_quantity) OVER {_f(3)} AS ma3 FROM base))"""))
 def w17_spikes(spark, d):
-    out = tp.spike_features(base(spark, d))
+    b = base(spark, d)
+    out = tp.spike_features(skew.chunked(b, lambda x, e: tp.rolling_features(x, [3], entity=e)), source=b)
     return finalize(out.select(*KEYS, "sales_z_score", "sales_ma_3", "sales_spike_major",
                                "sales_spike_moderate", "sales_drop_major", "sales_drop_moderate",
                                "sales_deviation_from_ma", "spike_propensity_score"))
@@ -192,7 +195,7 @@ def w17_spikes(spark, d):
 SELECT {KEYS_SQL}, {', '.join(f"{R(f'lag(sales_quantity, {k}) OVER ({WE})')} AS sales_lag_v1_{k}" for k in (1, 2, 3))}
 FROM base"""))
 def w2_lags_v1(spark, d):
-    out = tp.lags_v1(base(spark, d))
+    out = skew.chunked(base(spark, d), lambda x, e: tp.lags_v1(x, entity=e))
     return finalize(out.select(*KEYS, *[f"sales_lag_v1_{k}" for k in (1, 2, 3)]))
 
 
@@ -214,7 +217,7 @@ FROM (SELECT *, avg(sales_quantity) OVER {_f(3)} AS m3, avg(sales_quantity) OVER
              {', '.join(f"coalesce({_pct_sql('sales_quantity', f'lag(sales_quantity, {k}) OVER ({WE})')}, 0) AS p{k}" for k in (1, 3, 6))}
       FROM base)"""))
 def w20_momentum_v1(spark, d):
-    out = tp.momentum_v1(base(spark, d))
+    out = skew.chunked(base(spark, d), lambda x, e: tp.momentum_v1(x, entity=e))
     return finalize(out.select(*KEYS, *V1_MOM))
 
 
@@ -222,7 +225,7 @@ def w20_momentum_v1(spark, d):
 SELECT {KEYS_SQL}, {R(f'CASE WHEN count(sales_quantity) OVER {_f(3)} = 3 THEN avg(sales_quantity) OVER {_f(3)} ELSE 0 END')}
        AS rolling_mean_3_strict FROM base"""))
 def w25_strict(spark, d):
-    out = tp.strict_rolling_mean(base(spark, d))
+    out = skew.chunked(base(spark, d), lambda x, e: tp.strict_rolling_mean(x, entity=e))
     return finalize(out.select(*KEYS, "rolling_mean_3_strict"))
 
 
@@ -368,12 +371,15 @@ def flagship_share_trend(spark, d):
     """Entity lags, rolling mean and 6-row trend, joined to the brand's share of its platform."""
     from ..operators.behaviour import brand_share_in_platform, join_back
     b = base(spark, d)
-    w = tp.entity_window()
-    b = b.withColumn("_rn", F.row_number().over(w).cast("double"))
-    feats = b.select(*KEYS, "sales_quantity",
-                     F.coalesce(F.lag("sales_quantity").over(w), F.lit(0.0)).alias("sales_lag_1"),
-                     F.avg("sales_quantity").over(tp.frame(3)).alias("sales_rolling_mean_3"),
-                     F.coalesce(F.regr_slope("sales_quantity", "_rn").over(tp.frame(6)), F.lit(0.0))
-                     .alias("sales_trend_6m"))
+
+    def features(x, entity):
+        w = tp.entity_window(entity)
+        x = x.withColumn("_rn", F.row_number().over(w).cast("double"))  # the slope doesn't depend on where it starts
+        return x.select("*", F.coalesce(F.lag("sales_quantity").over(w), F.lit(0.0)).alias("sales_lag_1"),
+                        F.avg("sales_quantity").over(tp.frame(3, entity)).alias("sales_rolling_mean_3"),
+                        F.coalesce(F.regr_slope("sales_quantity", "_rn").over(tp.frame(6, entity)), F.lit(0.0))
+                        .alias("sales_trend_6m"))
+
+    feats = skew.chunked(b, features).select(*KEYS, "sales_quantity", "sales_lag_1", "sales_rolling_mean_3", "sales_trend_6m")
     share = brand_share_in_platform(b).select("primary_platform", "brand_name", "brand_platform_market_share")
     return finalize(join_back(feats, share, ["primary_platform", "brand_name"]))

@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from conftest import SF
-from salesplane.operators import temporal as tp
+from salesplane.operators import skew
 from salesplane.plans.base import base
 from salesplane.sources import files
 from salesplane.sources.tpch import sales_from_tpch
@@ -23,13 +23,12 @@ def test_source_scans_read_only_needed_columns(spark):
     assert "o_totalprice" not in plan and "l_discount" not in plan and "p_retailprice" not in plan
 
 
-def test_window_features_share_one_entity_exchange(spark):
-    b = base(spark, SF)
-    df = tp.rolling_and_momentum(tp.lag_features(b))
-    plan = _plan(df)
-    top = plan.split("InMemoryTableScan")[0]          # the window stage above the cached base
-    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", top)
-    assert len(exchanges) == 1 and "primary_platform" in exchanges[0] and "brand_name" in exchanges[0]
+def test_ordered_features_run_on_chunks(spark):
+    plan = skew.sequence_features(base(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    windows = [w for w in plan.splitlines() if re.search(r"\bWindow \[", w)]
+    framed = [w for w in windows if re.search(r"lag\(|avg\(|stddev|collect_list|regr_slope", w)]
+    assert framed and all("_chunk" in w for w in framed)
+    assert all("_chunk" in w or "_n#" in w or "row_number" in w for w in windows)
 
 
 def test_snapshot_year_filter_prunes_partitions(spark, tmp_path):

@@ -7,6 +7,11 @@ from salesplane.plans.base import base
 from salesplane.sources import files
 
 
+def _counts(df, cols):
+    import collections
+    return collections.Counter(tuple(r) for r in df.select(*cols).collect())
+
+
 def _rows(df, cols):
     return sorted(tuple(r) for r in df.select(*cols).collect())
 
@@ -15,8 +20,9 @@ def test_chunked_windows_equal_unchunked(spark):
     b = base(spark, SF)
     cols = [*tp.KEYS] if hasattr(tp, "KEYS") else ["sales_month", *tp.ENTITY, "product_code"]
     feats = ["sales_lag_1", "sales_lag_12", "amount_lag_6", "sales_rolling_mean_12", "sales_rolling_q75_6",
-             "sales_trend_6m", "sales_mom_change", "sales_acceleration"]
-    plain = skew.sequence_features(b)
+             "sales_trend_6m", "sales_mom_change", "sales_acceleration", "sales_yoy_growth", "momentum_6m",
+             "trend_consistency_3m", "momentum_acceleration"]
+    plain = tp.advanced_momentum(tp.rolling_and_momentum(tp.yoy_lags(tp.lag_features(b))))
     chunked = skew.sequence_features(b, chunk_rows=5)
     assert chunked.count() == b.count()
     a = _rows(plain.select(*cols, *[F.round(c, 9).alias(c) for c in feats]), [*cols, *feats])
@@ -24,6 +30,19 @@ def test_chunked_windows_equal_unchunked(spark):
     assert a == c
 
 
+def test_rows_with_null_keys_stay(spark):
+    b = base(spark, SF).limit(60)
+    for c in ("primary_platform", "store_name", "brand_name", "sales_month"):
+        b = b.unionByName(b.limit(9).withColumn(c, F.lit(None).cast(b.schema[c].dataType)))
+    b = b.dropDuplicates([*tp.ENTITY, 'sales_month', 'product_code']).persist()
+    cols = ["sales_lag_1", "sales_lag_12", "sales_rolling_mean_3", "sales_yoy_growth", "momentum_3m"]
+    keys = ["sales_month", *tp.ENTITY, "product_code", "sales_quantity"]
+    exp = _counts(tp.advanced_momentum(tp.rolling_and_momentum(tp.yoy_lags(tp.lag_features(b)))), [*keys, *cols])
+    assert _counts(skew.sequence_features(b, chunk_rows=3), [*keys, *cols]) == exp
+    assert _counts(skew.sequence_features(b), [*keys, *cols]) == exp and sum(exp.values()) == b.count()
+    b.unpersist()
+
+
 def test_snapshot_and_package_round_trip(spark, tmp_path):
     b = base(spark, SF).drop("secondary_platform")
     meta = files.save_snapshot(b, str(tmp_path / "snap"), str(tmp_path / "snap.json"))
