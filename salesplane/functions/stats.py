@@ -1,14 +1,11 @@
 """Global statistics that must be exact but stay distributed.
 
 ``percentile`` (exact, linear interpolation) keeps a value->count map in the
-final task: fine for a table with one row per store or brand, unbounded for a
-fact column at cluster scale.  ``quantiles`` therefore switches, above
-``exact_limit`` rows, to a bracketed exact method: an approximate quantile
-sketch (rank error <= eps * n) finds a narrow value bracket around each wanted
-rank, one pass counts the rows below it, and only the distinct values inside
-the bracket (with their counts) are brought back.  The result is the same
-linear-interpolation quantile as ``percentile``; only O(eps * n) distinct
-values ever reach the driver.
+final task, unbounded for a fact column.  ``quantiles`` narrows a bracket around
+the wanted ranks instead: while the bracket holds more than ``limit`` distinct
+values, one aggregate counts its rows in ``bins`` equal steps and the bracket
+shrinks to the steps that hold the ranks.  At most ``limit`` + 1 values or
+``bins`` counts reach the driver at a time, at every size of input.
 """
 
 from __future__ import annotations
@@ -19,63 +16,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _interp(sorted_pairs, base, n, p):
-    """Linear-interpolation quantile from (value, count) pairs that start at rank ``base``."""
-    pos = p * (n - 1)
-    lo, hi = math.floor(pos), math.ceil(pos)
-
-    def at(rank):
-        r = base
-        for v, c in sorted_pairs:
-            if rank < r + c:
-                return v
-            r += c
-        return None
-
-    vlo, vhi = at(lo), at(hi)
-    if vlo is None or vhi is None:
-        return None
-    if lo == hi:
-        return float(vlo)
-    return float(vlo) + (pos - lo) * (float(vhi) - float(vlo))
-
-
-def quantiles(df: DataFrame, column: str, probs, exact_limit: int = 2_000_000,
-              eps: float = 1e-6) -> list:
-    """Exact linear-interpolation quantiles of a numeric column (NULLs ignored).
-
-    A row count decides the method: within ``exact_limit`` rows one exact
-    ``percentile`` pass runs (its value map is bounded by ``exact_limit``);
-    above it the bracketed method of the module docstring is used.
-    """
-    probs = list(probs)
-    x = F.col(column).cast("double")
-    base = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    n = base.count()
-    if n == 0:
-        return [None] * len(probs)
-    if n <= exact_limit:
-        row = base.agg(F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")).first()
-        return [float(v) for v in row["q"]]
+def _at(pairs, below, rank):
+    """The value of ``rank`` among sorted (value, count) pairs that start at rank ``below``."""
+    for v, c in pairs:
+        below += c
+        if rank < below:
+            return v
+    return None
+
+
+def _narrowed(inside: DataFrame, lo: int, hi: int, below: int, bins: int):
+    """(rows below, least, greatest) of the steps that hold the ranks ``lo`` and ``hi``."""
+    x, inf = F.col("x"), float("inf")
+    r = inside.where(F.abs("x") < inf).agg(F.min("x"), F.max("x")).first()
+    a, b = (r[0], r[1]) if r[0] is not None else (0.0, 0.0)
+    width = b / bins - a / bins  # no overflow
+    step = F.least(F.floor((x / bins - F.lit(a) / bins) / width * bins), F.lit(bins - 1)) if width > 0 else F.lit(0)
+    step = F.when(x == -inf, F.lit(-1)).when(x == inf, F.lit(bins)).otherwise(step)
+    rows = inside.groupBy(step.alias("s")).agg(F.count("*").alias("n"), F.min("x").alias("a"), F.max("x").alias("b")).collect()
+    found = []
+    for r in sorted(rows, key=lambda r: r["s"]):
+        if below + r["n"] > lo and below <= hi:
+            found.append((below, r["a"], r["b"]))
+        below += r["n"]
+    return found[0][0], found[0][1], found[-1][2]
+
+
+def quantiles(df: DataFrame, column: str, probs, limit: int = 10_000, bins: int = 4096) -> list:
+    """Exact linear-interpolation quantiles of a numeric column (NULL and NaN ignored)."""
+    base = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+
+    def values(rows):
+        return sorted((r["x"], r["count"]) for r in rows.groupBy("x").count().limit(limit + 1).collect())
+
+    whole = values(base)
+    if not whole:
+        return [None] * len(list(probs))
+    n = sum(c for _, c in whole) if len(whole) <= limit else base.count()
     out = []
-    approx = base.approxQuantile("x", [max(0.0, p - 3 * eps) for p in probs]
-                                 + [min(1.0, p + 3 * eps) for p in probs], eps)
-    k = len(probs)
-    for i, p in enumerate(probs):
-        lo_v, hi_v = approx[i], approx[k + i]
-        while True:
-            below = base.where(F.col("x") < lo_v).count()
-            pairs = (base.where((F.col("x") >= lo_v) & (F.col("x") <= hi_v))
-                     .groupBy("x").count().orderBy("x").collect())
-            inside = sum(r["count"] for r in pairs)
-            pos = p * (n - 1)
-            if below <= math.floor(pos) and below + inside > math.ceil(pos):
-                out.append(_interp([(r["x"], r["count"]) for r in pairs], below, n, p))
-                break
-            # sketch bracket missed (cannot happen within its guarantee): widen
-            lo_v, hi_v = base.approxQuantile("x", [max(0.0, p - 30 * eps), min(1.0, p + 30 * eps)],
-                                             eps)
-            eps *= 10
+    for p in probs:
+        pos = p * (n - 1)
+        lo, hi = math.floor(pos), math.ceil(pos)
+        pairs, inside, below = whole, base, 0
+        while len(pairs) > limit:
+            below, a, b = _narrowed(inside, lo, hi, below, bins)
+            inside = base.where((F.col("x") >= a) & (F.col("x") <= b))
+            pairs = values(inside)
+        vlo, vhi = _at(pairs, below, lo), _at(pairs, below, hi)
+        out.append(float(vlo) if lo == hi else float(vlo) + (pos - lo) * (float(vhi) - float(vlo)))
     return out
 
 

@@ -105,14 +105,15 @@ def inverse_target(c="sales_quantity_log"):
 
 
 def column_stats(df: DataFrame) -> dict:
-    """Integer-column maxima and _score/_index medians in one chunked aggregate pass."""
+    """Integer-column maxima in one chunked aggregate pass, _score/_index medians as
+    exact distributed quantiles."""
     ints = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.IntegerType, T.LongType))]
     nums = numeric_columns(df)
     is_ratio = lambda c: any(s in c for s in ("_ratio", "_share", "_cv", "_pct"))
     is_score = lambda c: any(s in c for s in ("_score", "_index"))
     aggs = [F.max(c).alias(f"max__{c}") for c in ints]
-    aggs += [F.percentile(c, 0.5).alias(f"med__{c}") for c in nums if is_score(c) and not is_ratio(c)]
-    return _chunked_agg(df, aggs)
+    medians = {f"med__{c}": quantiles(df, c, [0.5])[0] for c in nums if is_score(c) and not is_ratio(c)}
+    return {**_chunked_agg(df, aggs), **medians}
 
 
 def fill_missing_values(df: DataFrame, stats: dict | None = None) -> DataFrame:

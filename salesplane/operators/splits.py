@@ -98,5 +98,5 @@ def holdout_year_windows(train_years, holdout_year: int):
 def random_split(df: DataFrame, fraction: float = 0.8, seed: int = 42, key_cols=None) -> DataFrame:
     """Repeatable 80/20 split by a hash of the row key (independent of partitioning)."""
     key_cols = key_cols or ["sales_month", "primary_platform", "store_name", "brand_name", "product_code"]
-    h = F.abs(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])) % 1_000_000 / 1_000_000.0
+    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols]), F.lit(1_000_000)) / 1_000_000.0
     return df.withColumn("role", F.when(h < fraction, "train").otherwise("val"))

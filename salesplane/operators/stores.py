@@ -186,13 +186,13 @@ def store_behaviour_v1(df: DataFrame) -> DataFrame:
         F.count("sales_quantity").alias("n"), F.min("sales_quantity").alias("lo"),
         F.max("sales_quantity").alias("hi"), F.sum("sales_amount").alias("amt"),
         F.sum("sales_quantity").alias("qty"), F.count_distinct("brand_name").alias("store_brand_diversity"),
-        F.avg("unit_price").alias("store_avg_price"))
+        F.count_distinct("product_code").alias("store_product_diversity"), F.avg("unit_price").alias("store_avg_price"))
     gm = t.agg(F.avg("store_avg_price")).first()[0]
     t = t.select("store_name", "primary_platform",
                  F.coalesce(F.try_divide(F.col("s"), F.col("m")), F.lit(0.0)).alias("store_sales_cv_v1"),
                  (F.col("hi") - F.col("lo")).alias("store_sales_range_v1"),
                  F.try_divide(F.col("amt"), F.col("qty")).alias("store_revenue_per_unit"),
-                 "store_brand_diversity",
+                 "store_brand_diversity", "store_product_diversity",
                  F.try_divide(F.col("store_avg_price"), F.lit(gm)).alias("store_price_premium"),
                  (F.col("n") * F.col("m")).alias("store_size_metric"))
     edges = quantiles(t, "store_size_metric", [0.0, 0.2, 0.4, 0.6, 0.8, 1.0])

@@ -38,6 +38,12 @@ def base(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFrame:
     return df
 
 
+def forget(spark: SparkSession) -> None:
+    """Drop every persisted table, so that the next query starts cold."""
+    _BASE.clear()
+    spark.catalog.clearCache()
+
+
 def finalize(df: DataFrame) -> DataFrame:
     """Output normal form for the oracle: doubles rounded by ``r6``, dates as text."""
     cols = []
@@ -67,7 +73,7 @@ _SALES_SELECT = """
   SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS sales_month,
          c_mktsegment AS primary_platform,
          CAST(NULL AS VARCHAR) AS secondary_platform,
-         n_name AS store_name, p_brand AS brand_name,
+         {names},
          CAST(l_partkey AS VARCHAR) AS product_code,
          CAST(SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS sales_amount,
          SUM(l_quantity) AS sales_quantity
@@ -76,17 +82,16 @@ _SALES_SELECT = """
        JOIN supplier ON l_suppkey = s_suppkey
        JOIN nation ON s_nationkey = n_nationkey
        JOIN part ON l_partkey = p_partkey
-  {where}
   GROUP BY ALL"""
 
-_SPARSE_WHERE = """WHERE (n_nationkey % 3 = 0
-         OR (CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 0 WHEN 'BUILDING' THEN 1 WHEN 'FURNITURE' THEN 2
-                               WHEN 'HOUSEHOLD' THEN 3 WHEN 'MACHINERY' THEN 4 END) = n_nationkey % 5)
-        AND CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) % (1 + n_nationkey % 4) = 0"""
+_NAMES = "n_name AS store_name, p_brand AS brand_name"
+_SPARSE_NAMES = """CASE WHEN n_nationkey % 3 = 0 THEN n_name ELSE n_name || ' ' || c_mktsegment END AS store_name,
+         CASE WHEN CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) % (1 + n_nationkey % 4) = 0 THEN p_brand
+              ELSE p_brand || ' ' || n_name END AS brand_name"""
 
 
 def sales_cte(sparse: bool = False, name: str = "sales") -> str:
-    return f"{name} AS ({_SALES_SELECT.format(where=_SPARSE_WHERE if sparse else '')})"
+    return f"{name} AS ({_SALES_SELECT.format(names=_SPARSE_NAMES if sparse else _NAMES)})"
 
 
 def base_cte(sparse: bool = False) -> str:

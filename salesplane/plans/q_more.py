@@ -310,10 +310,20 @@ def m16_linear(spark, d):
     return finalize(mt.metrics_by(allp, ["split_id"]))
 
 
-@register("a35_store_behaviour_v1")
+@register("a35_store_behaviour_v1", with_base_ctes("""
+g AS (SELECT store_name, primary_platform, avg(sales_quantity) AS m, stddev_samp(sales_quantity) AS s, count(sales_quantity) AS n,
+             min(sales_quantity) AS lo, max(sales_quantity) AS hi, sum(sales_amount) AS amt, sum(sales_quantity) AS qty,
+             count(DISTINCT brand_name) AS store_brand_diversity, count(DISTINCT product_code) AS store_product_diversity,
+             avg(unit_price) AS p FROM base GROUP BY 1, 2),
+e AS (SELECT list_sort(list_distinct(list_concat([min(n * m)], quantile_cont(n * m, [0.2, 0.4, 0.6, 0.8]), [max(n * m)]))) AS edges FROM g)""", f"""
+SELECT store_name, primary_platform, {R('CASE WHEN m <> 0 AND s IS NOT NULL THEN s / m ELSE 0 END')} AS store_sales_cv_v1,
+       {R('hi - lo')} AS store_sales_range_v1, {R('CASE WHEN qty <> 0 THEN amt / qty END')} AS store_revenue_per_unit,
+       store_brand_diversity, store_product_diversity, {R('p / (SELECT avg(p) FROM g)')} AS store_price_premium,
+       {R('n * m')} AS store_size_metric,
+       ['Micro', 'Small', 'Medium', 'Large', 'Mega'][greatest(len(list_filter(edges, lambda x: x < n * m)), 1)] AS store_size_category
+FROM g, e"""))
 def a35_store_v1(spark, d):
-    """A35 v1 store profile with quintile size labels (rows-only: the label binning
-    follows a pandas quantile-cut convention with no direct SQL twin)."""
+    """A35 v1 store profile with quintile size labels (right-closed bins between the distinct quintile edges)."""
     return finalize(st.store_behaviour_v1(base(spark, d)))
 
 

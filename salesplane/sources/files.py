@@ -11,7 +11,6 @@ are stored as their date windows, never as copies of the data.
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,7 +138,3 @@ def _write_json(spark: SparkSession, path: str, obj) -> None:
     out = fs.create(p, True)
     out.write(bytearray(json.dumps(obj, indent=2, default=str).encode("utf-8")))
     out.close()
-
-
-def local_path(path: str) -> str:
-    return os.path.abspath(path)

@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import cents_sum
 
-PLATFORM_ORDER = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -40,7 +37,13 @@ def _line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_from_tpch(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFrame:
-    """Canonical sales fact (FIXTURES F3; ``sparse=True`` gives F4)."""
+    """Canonical sales fact (FIXTURES F3).
+
+    ``sparse=True`` names stores and brands from more columns, every row kept:
+    stores of two nations in three sell on one platform only (nation and
+    platform), and brands are a store's own label but for every first to fourth
+    number, so single-platform stores and all levels of competition occur.
+    """
     lines = _line_facts(spark, sf_dir)
     agg = (lines.groupBy(
         F.trunc(F.col("l_shipdate").cast("date"), "MM").alias("sales_month"),
@@ -52,16 +55,15 @@ def sales_from_tpch(spark: SparkSession, sf_dir: str, sparse: bool = False) -> D
              F.sum("l_quantity").alias("sales_quantity")))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     out = agg.join(part, agg.l_partkey == part.p_partkey)
+    store, brand = F.col("store_name"), F.col("p_brand")
     if sparse:
-        pi = F.array_position(F.array(*[F.lit(p) for p in PLATFORM_ORDER]),
-                              F.col("primary_platform")) - 1
-        nk = F.col("_nk")
-        bn = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
-        out = out.where(((nk % 3 == 0) | (pi == nk % 5)) & (bn % (1 + nk % 4) == 0))
+        nk, bn = F.col("_nk"), F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
+        brand = F.when(bn % (1 + nk % 4) == 0, brand).otherwise(F.concat_ws(" ", brand, store))
+        store = F.when(nk % 3 == 0, store).otherwise(F.concat_ws(" ", store, "primary_platform"))
     return out.select(
         "sales_month", "primary_platform",
         F.lit(None).cast("string").alias("secondary_platform"),
-        "store_name", F.col("p_brand").alias("brand_name"),
+        store.alias("store_name"), brand.alias("brand_name"),
         F.col("l_partkey").cast("string").alias("product_code"),
         "sales_amount", "sales_quantity")
 

@@ -40,8 +40,20 @@ def test_metric_edge_rules(spark):
     assert cats[1] == "Excellent (<5%)" and cats[4] == "Excellent (<5%)"
 
 
-def test_bracketed_quantiles_equal_exact(spark):
-    b = base(spark, SF)
-    exact = quantiles(b, "unit_price", [0.1, 0.5, 0.95])
-    bracket = quantiles(b, "unit_price", [0.1, 0.5, 0.95], exact_limit=10, eps=1e-3)
-    assert all(abs(x - y) < 1e-9 for x, y in zip(exact, bracket))
+def test_quantiles_are_exact_however_narrow_the_bracket(spark):
+    import duckdb
+    import numpy as np
+    rng = np.random.default_rng(0)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.95, 1.0]
+    columns = {"price": [r[0] for r in base(spark, SF).select("unit_price").collect()],
+               "heavy": [float(v) for v in rng.pareto(0.3, 700)] + [0.0] * 90, "two": [1.0] * 5 + [2.0], "one": [3.5],
+               "tiny": [float(v) for v in np.nextafter(1e300, np.inf) + np.arange(60) * 1.5e284]}
+    for name, v in columns.items():
+        df = spark.createDataFrame([(x,) for x in v] + [(None,)], "x double")
+        exp = duckdb.sql(f"SELECT quantile_cont(x, {probs}) FROM (SELECT unnest({v}::DOUBLE[]) AS x)").fetchall()[0][0]
+        assert quantiles(df, "x", probs) == exp, name
+        assert quantiles(df, "x", probs, limit=7, bins=5) == exp, name
+    assert quantiles(spark.createDataFrame([(None,)], "x double"), "x", [0.5]) == [None]
+    inf = float("inf")
+    far = spark.createDataFrame([(x,) for x in (-inf, -1e308, 0.0, 1e308, inf)], "x double")
+    assert quantiles(far, "x", [0.0, 0.25, 0.5, 0.75, 1.0], limit=1, bins=3) == [-inf, -1e308, 0.0, 1e308, inf]
