@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import r6
 from ..operators.clean import base_setup
-from ..sources.tpch import sales_from_tpch
+from ..sources.tpch import STORE_KINDS, sales_from_tpch
 
 
 def sales(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFrame:
@@ -85,7 +85,8 @@ _SALES_SELECT = """
   GROUP BY ALL"""
 
 _NAMES = "n_name AS store_name, p_brand AS brand_name"
-_SPARSE_NAMES = """CASE WHEN n_nationkey % 3 = 0 THEN n_name ELSE n_name || ' ' || c_mktsegment END AS store_name,
+_KIND = f"[{', '.join(repr(k) for k in STORE_KINDS)}][n_nationkey % {len(STORE_KINDS)} + 1]"
+_SPARSE_NAMES = f"""n_name || CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE ' ' || c_mktsegment END || ' ' || {_KIND} AS store_name,
          CASE WHEN CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) % (1 + n_nationkey % 4) = 0 THEN p_brand
               ELSE p_brand || ' ' || n_name END AS brand_name"""
 

@@ -134,14 +134,14 @@ FROM t, qq"""))(lambda spark, d: finalize(bh.performance_categories(base(spark,
 
 def _n1_sql():
     parts = []
-    for ty, w, kws in cal.K.STORE_TYPE_KEYWORDS if False else st.K.STORE_TYPE_KEYWORDS:
+    for ty, w, kws in st.K.STORE_TYPE_KEYWORDS:
         hits = " + ".join(f"CAST(contains(lower(coalesce(store_name, '')), '{k.lower()}') AS INTEGER)" for k in kws)
         parts.append((ty, w, f"(({hits}) * {w})"))
     arr = "[" + ", ".join(p[2] for p in parts) + "]"
     types = "[" + ", ".join(f"'{p[0]}'" for p in parts) + "]"
     weights = "[" + ", ".join(str(float(p[1])) for p in parts) + "]"
     onehot = ", ".join(f"{I(f'store_type = {chr(39)}{p[0]}{chr(39)}')} AS store_type_{p[0]}" for p in parts)
-    return q(False, f"""
+    return q(True, f"""
 s AS (SELECT DISTINCT store_name FROM base),
 sc AS (SELECT store_name, {arr} AS sc FROM s),
 ty AS (SELECT store_name, CASE WHEN list_max(sc) > 0 THEN {types}[list_position(sc, list_max(sc))]
@@ -150,7 +150,7 @@ SELECT store_name, store_type, {onehot}, {R(f'{weights}[list_position({types}, s
 FROM ty""")
 
 
-register("n1_store_types", _n1_sql())(lambda spark, d: finalize(st.store_types(base(spark, d))))
+register("n1_store_types", _n1_sql())(lambda spark, d: finalize(st.store_types(base(spark, d, True))))
 
 
 def _n3_sql():
@@ -159,13 +159,13 @@ def _n3_sql():
     labels = [lab for _, lab in st.K.STORE_TYPE_RULES_V1] + [st.K.STORE_TYPE_V1_OTHER, st.K.STORE_TYPE_V1_NULL]
     onehot = ", ".join(f"{I(f'store_type_v1 = {chr(39)}{lab}{chr(39)}')} AS store_type_v1_{lab.lower().replace(' ', '_')}"
                        for lab in labels)
-    return q(False, f"""
+    return q(True, f"""
 t AS (SELECT store_name, CASE WHEN store_name IS NULL THEN '{st.K.STORE_TYPE_V1_NULL}' {case}
                               ELSE '{st.K.STORE_TYPE_V1_OTHER}' END AS store_type_v1
       FROM (SELECT DISTINCT store_name FROM base))""", f"SELECT store_name, store_type_v1, {onehot} FROM t")
 
 
-register("n3_store_type_v1", _n3_sql())(lambda spark, d: finalize(st.store_type_v1(base(spark, d))))
+register("n3_store_type_v1", _n3_sql())(lambda spark, d: finalize(st.store_type_v1(base(spark, d, True))))
 
 register("a11_multi_platform", q(True, """
 sp AS (SELECT store_name, primary_platform, sum(sales_quantity) AS q FROM base GROUP BY 1, 2)""", f"""

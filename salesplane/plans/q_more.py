@@ -79,7 +79,7 @@ FROM (SELECT *, CASE WHEN lag(sales_quantity) OVER w IS NULL THEN NULL
                      WHEN lag(sales_quantity) OVER w = 0 THEN (CASE WHEN sales_quantity > 0 THEN 'Infinity'::DOUBLE
                           WHEN sales_quantity < 0 THEN '-Infinity'::DOUBLE END)
                      ELSE (sales_quantity - lag(sales_quantity) OVER w) / lag(sales_quantity) OVER w END AS pc
-      FROM typed WINDOW w AS (PARTITION BY store_type_v1, brand_name ORDER BY {', '.join(W27_ORDER)}))""")
+      FROM typed WINDOW w AS (PARTITION BY store_type_v1, brand_name ORDER BY {', '.join(W27_ORDER)}))""", True)
 
 
 W27_ORDER = ["sales_month", "primary_platform", "store_name", "product_code"]
@@ -88,7 +88,7 @@ W27_ORDER = ["sales_month", "primary_platform", "store_name", "product_code"]
 @register("w27_store_pct_change", _w27_sql())
 def w27_store_pct(spark, d):
     """The store is identified by store type and brand."""
-    b = base(spark, d)
+    b = base(spark, d, True)
     b = b.join(st.store_type_v1(b).select("store_name", "store_type_v1"), "store_name")
     out = tp.group_pct_change(b, "sales_quantity", ["store_type_v1", "brand_name"], "store_pct_change", W27_ORDER)
     return finalize(out.select(*KEYS, "store_pct_change"))
@@ -104,7 +104,7 @@ SELECT store_name, CAST(store_type IN ('flagship', 'official', 'supermarket') AS
 
 @register("a14_trust_verified", _a14_sql())
 def a14_trust(spark, d):
-    return finalize(st.trust_verified(st.store_types(base(spark, d))))
+    return finalize(st.trust_verified(st.store_types(base(spark, d, True))))
 
 
 def _a44_sql():
@@ -114,12 +114,12 @@ def _a44_sql():
 SELECT CASE WHEN store_name IS NULL THEN '{st.K.STORE_TYPE_V1_NULL}' {case} ELSE '{st.K.STORE_TYPE_V1_OTHER}' END
          AS store_type_v1,
        {R('avg(sales_quantity) / any_value(gq)')} AS store_type_sales_index,
-       {R('avg(unit_price) / any_value(gp)')} AS store_type_price_index FROM base, g GROUP BY 1""")
+       {R('avg(unit_price) / any_value(gp)')} AS store_type_price_index FROM base, g GROUP BY 1""", True)
 
 
 @register("a44_store_type_index", _a44_sql())
 def a44_store_type_index(spark, d):
-    b = base(spark, d)
+    b = base(spark, d, True)
     b = b.join(st.store_type_v1(b).select("store_name", "store_type_v1"), "store_name")
     return finalize(st.store_type_index(b))
 
@@ -471,7 +471,7 @@ FROM base JOIN ty ON base.store_name IS NOT DISTINCT FROM ty.store_name GROUP BY
 @register("x10_store_type_by_platform", _x10_sql())
 def x10_type_platform(spark, d):
     from ..operators import explore as xp
-    b = base(spark, d)
+    b = base(spark, d, True)
     types = st.store_types(b).select(F.col("store_name").alias("_t_store"), "store_type")
     typed = b.join(types, b["store_name"].eqNullSafe(types["_t_store"])).drop("_t_store")
     return finalize(xp.store_type_by_platform(typed))

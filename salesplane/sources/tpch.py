@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import cents_sum
 
+#: Store kinds in names of the sparse view: words that the store-type rules know.
+STORE_KINDS = ("官方旗舰店", "旗舰店", "专卖店", "超市", "official", "经销商", "global", "corner")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -41,8 +45,9 @@ def sales_from_tpch(spark: SparkSession, sf_dir: str, sparse: bool = False) -> D
 
     ``sparse=True`` names stores and brands from more columns, every row kept:
     stores of two nations in three sell on one platform only (nation and
-    platform), and brands are a store's own label but for every first to fourth
-    number, so single-platform stores and all levels of competition occur.
+    platform) and carry a kind, and brands are a store's own label but for every
+    first to fourth number, so single-platform stores, all levels of competition
+    and several store types occur.
     """
     lines = _line_facts(spark, sf_dir)
     agg = (lines.groupBy(
@@ -59,7 +64,8 @@ def sales_from_tpch(spark: SparkSession, sf_dir: str, sparse: bool = False) -> D
     if sparse:
         nk, bn = F.col("_nk"), F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
         brand = F.when(bn % (1 + nk % 4) == 0, brand).otherwise(F.concat_ws(" ", brand, store))
-        store = F.when(nk % 3 == 0, store).otherwise(F.concat_ws(" ", store, "primary_platform"))
+        kind = F.array(*[F.lit(k) for k in STORE_KINDS])[F.pmod(nk, F.lit(len(STORE_KINDS))).cast("int")]
+        store = F.when(nk % 3 == 0, F.concat_ws(" ", store, kind)).otherwise(F.concat_ws(" ", store, "primary_platform", kind))
     return out.select(
         "sales_month", "primary_platform",
         F.lit(None).cast("string").alias("secondary_platform"),
