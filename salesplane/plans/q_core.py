@@ -38,6 +38,7 @@ SELECT {D('sales_month')} AS sales_month, {E}, product_code,
        {_cols(['unit_price', 'sales_quantity_log'])},
        has_missing_price, has_zero_sales, has_high_price FROM base"""))
 def p_base_setup(spark, d):
+    """P4 unit price, P8 log target, P9 quality flags."""
     b = base(spark, d)
     return finalize(b.select("sales_month", *tp.ENTITY, "product_code", "unit_price",
                              "sales_quantity_log", "has_missing_price", "has_zero_sales", "has_high_price"))
@@ -83,6 +84,7 @@ ROLL_COLS = [f"sales_rolling_{s}_{k}" for k in tp.ROLL
 SELECT {D('sales_month')} AS sales_month, {E}, product_code, {', '.join(_roll_sql(k) for k in tp.ROLL)}
 FROM base WINDOW {', '.join(f'w{k} AS ({WE} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)' for k in tp.ROLL)}"""))
 def w3_rolling(spark, d):
+    """W3-W5."""
     out = skew.chunked(base(spark, d), lambda x, e: tp.rolling_features(x, entity=e))
     return finalize(out.select("sales_month", *tp.ENTITY, "product_code", *ROLL_COLS))
 
@@ -121,6 +123,7 @@ SELECT {KEYS_SQL}, {R('mom')} AS sales_mom_change, {R('absch')} AS sales_mom_abs
        CAST(mom > 0.1 AS INTEGER) AS momentum_up, CAST(mom < -0.1 AS INTEGER) AS momentum_down,
        CAST(mom >= -0.1 AND mom <= 0.1 AS INTEGER) AS momentum_stable FROM s"""))
 def w6_momentum(spark, d):
+    """W6-W11."""
     out = skew.chunked(base(spark, d), lambda x, e: tp.momentum_features(x, entity=e))
     return finalize(out.select(*KEYS, *MOM_COLS, *MOM_FLAGS))
 
@@ -146,6 +149,7 @@ FROM (SELECT *, coalesce((sales_quantity - y) / (y + 1), 0) AS g,
                             ELSE 0 END, 0) AS sc
             FROM base WINDOW wm AS (PARTITION BY {E}, month(sales_month))))"""))
 def w12_yoy(spark, d):
+    """W12-W13."""
     b = base(spark, d)
     out = tp.seasonal_consistency(skew.chunked(b, lambda x, e: tp.yoy_lags(x, entity=e)), source=b)
     return finalize(out.select(*KEYS, "sales_yoy", "sales_yoy_growth", "sales_yoy_pct_change",
@@ -165,6 +169,7 @@ FROM (SELECT *,
                    coalesce({_pct_sql('sales_quantity', f'lag(sales_quantity, 6) OVER ({WE})')}, 0) AS m6
             FROM base))"""))
 def w14_momentum_advanced(spark, d):
+    """W14-W16."""
     out = skew.chunked(base(spark, d), lambda x, e: tp.advanced_momentum(tp.momentum_features(x, entity=e), entity=e))
     return finalize(out.select(*KEYS, "momentum_2m", "momentum_3m", "momentum_6m",
                                "trend_consistency_3m", "momentum_acceleration"))
@@ -184,6 +189,7 @@ FROM (SELECT *, CAST(coalesce(z > 2.5, false) AS INTEGER) AS sales_spike_major,
                       / (stddev_samp(sales_quantity) OVER (PARTITION BY {E}) + 1e-6) AS z,
                    avg(sales_quantity) OVER {_f(3)} AS ma3 FROM base))"""))
 def w17_spikes(spark, d):
+    """W17-W19, A34."""
     b = base(spark, d)
     out = tp.spike_features(skew.chunked(b, lambda x, e: tp.rolling_features(x, [3], entity=e)), source=b)
     return finalize(out.select(*KEYS, "sales_z_score", "sales_ma_3", "sales_spike_major",
@@ -217,6 +223,7 @@ FROM (SELECT *, avg(sales_quantity) OVER {_f(3)} AS m3, avg(sales_quantity) OVER
              {', '.join(f"coalesce({_pct_sql('sales_quantity', f'lag(sales_quantity, {k}) OVER ({WE})')}, 0) AS p{k}" for k in (1, 3, 6))}
       FROM base)"""))
 def w20_momentum_v1(spark, d):
+    """W20-W24."""
     out = skew.chunked(base(spark, d), lambda x, e: tp.momentum_v1(x, entity=e))
     return finalize(out.select(*KEYS, *V1_MOM))
 
