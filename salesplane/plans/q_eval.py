@@ -76,9 +76,13 @@ def _metric_sql(y="y_true", p="y_pred"):
         R(f"least(avg(abs({ly} - {lp}) / ({ly} + 1.0)) * 100, 1000.0)") + " AS safe_mape_log"])
 
 
+def m13_metrics(spark, d):
+    """M13 baselines scored by E3-E5, E7, E9, E10."""
+    return finalize(mt.metrics_by(predictions(spark, d), ["split_id"]))
+
+
 register("m13_baseline_metrics_by_split", with_base_ctes(PRED_SQL, f"""
-SELECT split_id, {_metric_sql()} FROM pred GROUP BY split_id"""))(
-    lambda spark, d: finalize(mt.metrics_by(predictions(spark, d), ["split_id"])))
+SELECT split_id, {_metric_sql()} FROM pred GROUP BY split_id"""))(m13_metrics)
 
 register("e14_metrics_by_split_platform", with_base_ctes(PRED_SQL, f"""
 SELECT split_id, primary_platform, {_metric_sql()} FROM pred GROUP BY 1, 2"""))(

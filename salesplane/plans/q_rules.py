@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import clean as cl
 from ..operators import metrics as mt
-from .base import R, finalize, with_base_ctes
+from ..operators import quality as qa
+from ..operators import temporal as tp
+from .base import D, R, base, finalize, with_base, with_base_ctes
 from .catalog import register
 from .q_eval import PRED_SQL, _metric_sql, predictions
 
@@ -104,3 +107,62 @@ SELECT {R('m')} AS mape_mean, {R('s')} AS mape_std,
 def e25_health(spark, d):
     out = summary(spark, d)
     return finalize(out.select("mape_mean", "mape_std", *mt.health_rules(F.col("mape_mean"), F.col("mape_std"))))
+
+
+@register("e17_sanity_flags", with_base_ctes(PER_SPLIT + """,
+pf AS (SELECT avg(CAST(abs(y_pred - y_true) < 1 AS DOUBLE)) AS share FROM pred)""", f"""
+SELECT {R('m')} AS mape_mean, {R('s')} AS mape_std, {R('share')} AS perfect_share, CAST(m < 5 AS INTEGER) AS suspiciously_low_mape,
+       CAST(s < 2 AND m < 15 AS INTEGER) AS suspiciously_stable, CAST(share > 0.1 AS INTEGER) AS too_many_perfect FROM su, pf"""))
+def e17_sanity(spark, d):
+    perfect = mt.row_errors(predictions(spark, d)).agg(F.avg(F.col("is_perfect").cast("double")).alias("perfect_share"))
+    return finalize(mt.sanity_flags(summary(spark, d).crossJoin(perfect)))  # two one-row tables
+
+
+@register("e19_compare_baselines", with_base_ctes(PRED_SQL + f""",
+a AS (SELECT split_id, {_metric_sql(p="y_pred_mean")} FROM pred GROUP BY 1), b AS (SELECT split_id, {_metric_sql()} FROM pred GROUP BY 1)""", f"""
+SELECT split_id, {R('a.mape')} AS mape_mean, {R('b.mape')} AS mape_platform, {R('a.mape - b.mape')} AS improvement_points,
+       CASE WHEN a.mape > b.mape THEN 'platform' WHEN a.mape < b.mape THEN 'mean' ELSE 'tie' END AS winner FROM a JOIN b USING (split_id)"""))
+def e19_compare(spark, d):
+    p = predictions(spark, d)
+    a, b = (mt.metrics_by(p, ["split_id"], p=c).withColumn("mape", F.floor(F.col("mape") * 1e6 + 0.5) / 1e6) for c in ("y_pred_mean", "y_pred"))
+    return finalize(mt.compare_models(a, b, "mean", "platform"))
+
+
+E = "primary_platform, store_name, brand_name"
+
+
+@register("q5_temporal_integrity", with_base(f"""
+SELECT {E}, CAST(count_if(b) AS BIGINT) AS out_of_order_rows, CAST(count_if(g > 62) AS BIGINT) AS gap_count, coalesce(max(g), 0) AS max_gap_days,
+       CAST(round((max(sales_month) - min(sales_month)) / 30.44) AS DOUBLE) AS months_covered
+FROM (SELECT {E}, sales_month, sales_month < lag(sales_month) OVER (PARTITION BY {E} ORDER BY pos) AS b,
+             CAST(sales_month - lag(sales_month) OVER (PARTITION BY {E} ORDER BY sales_month) AS INTEGER) AS g
+      FROM (SELECT *, product_code || strftime(sales_month, '%Y%m') AS pos FROM base)) GROUP BY ALL"""))
+def q5_integrity(spark, d):
+    """Q5, the stored order being product by product."""
+    b = base(spark, d).withColumn("pos", F.concat("product_code", F.date_format("sales_month", "yyyyMM")))
+    return finalize(qa.temporal_integrity(b, order_col="pos").withColumn("max_gap_days", F.coalesce("max_gap_days", F.lit(0))))
+
+
+PLATFORMS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@register("n7_one_hot", with_base(f"""
+SELECT product_code, count(*) AS rows, {', '.join(f"CAST(count_if(primary_platform = '{p}') AS BIGINT) AS platform_{p}" for p in PLATFORMS)},
+       CAST(count(*) AS BIGINT) AS decoded FROM base GROUP BY 1"""))
+def n7_one_hot(spark, d):
+    """N7 encoding and N6 decoding back to the label."""
+    cols = [f"platform_{p}" for p in PLATFORMS]
+    x = cl.one_hot_to_label(cl.one_hot(base(spark, d), "primary_platform", PLATFORMS, "platform"), cols, "label", "platform_")
+    return finalize(x.groupBy("product_code").agg(
+        F.count("*").alias("rows"), *[F.sum(F.col(c).cast("long")).alias(c) for c in cols],
+        F.count_if(F.col("label") == F.col("primary_platform")).alias("decoded")))
+
+
+@register("w30_forward_fill", with_base(f"""
+SELECT {D('sales_month')} AS sales_month, {E}, product_code, {R('last_value(u IGNORE NULLS) OVER w')} AS unit_price
+FROM (SELECT *, CASE WHEN CAST(product_code AS BIGINT) % 3 <> 0 THEN unit_price END AS u FROM base)
+WINDOW w AS (PARTITION BY {E} ORDER BY sales_month, product_code ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""))
+def w30_ffill(spark, d):
+    """W30 over unit prices of which every third product's are missing."""
+    b = base(spark, d).withColumn("unit_price", F.when(F.col("product_code").cast("long") % 3 != 0, F.col("unit_price")))
+    return finalize(tp.forward_fill(b, ["unit_price"]).select("sales_month", *tp.ENTITY, "product_code", "unit_price"))
