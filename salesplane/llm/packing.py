@@ -18,7 +18,7 @@ CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 #: Text parts whose ids a task remembers; beyond that it starts anew.
-CACHE_PARTS = 1 << 20
+CACHE_PARTS = 1 << 19
 #: Rows ranked together in one window group.
 RANK_ROWS = 1_000
 
