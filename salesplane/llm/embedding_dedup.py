@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import min_doc_components, read_table, staged
+from .common import hash_sample, min_doc_components, read_table, staged
 
 THRESHOLD = 0.95
 #: Bounds of the k-means fit: distinct vectors sampled, cells, rounds.
@@ -69,7 +69,7 @@ def _links(reps: DataFrame, dims: int, n: int, threshold: float) -> DataFrame:
     """(id, other, links) of the distinct vectors ``reps`` (embedding, id, copies)
     of ``dims`` components: a row with ``links`` for each vector, and links
     (id, other) that connect what is linked."""
-    sample = reps.orderBy(F.xxhash64("embedding"), "id").limit(SAMPLE).select("embedding").toPandas()
+    sample = hash_sample(reps.select("embedding"), ["embedding"], SAMPLE, n).toPandas()
     x = _matrix(sample["embedding"])
     centroids = spherical_kmeans(x, int(min(MAX_CELLS, max(1, round(np.sqrt(n))))))
     margin = fit_margin(x, threshold)

@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import hash_sample, read_table
 
 #: Bound of the training sample: rows taken per language and dictionary bytes.
 SAMPLE_ROWS = 400
@@ -45,11 +45,12 @@ def train_dictionaries(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS,
     counts = ids.groupBy("lang").count().limit(MAX_LANGS + 1).collect()
     if len(counts) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
-    langs = [r["lang"] for r in sorted(counts, key=lambda r: (-r["count"], r["lang"]))]
+    counts = sorted(((r["count"], r["lang"]) for r in counts), key=lambda x: (-x[0], x[1]))
+    langs = [lang for _, lang in counts]
     picked = []
-    for lang in langs:
-        rows = (ids.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
-        picked += [r[0] for r in rows.select("doc_id").collect()]
+    for n, lang in counts:
+        rows = hash_sample(ids.where(F.col("lang") == lang).select("doc_id"), ["doc_id"], sample_rows, n)
+        picked += [r[0] for r in rows.collect()]
     if not picked:
         return []
     # The id list is bounded by MAX_LANGS * SAMPLE_ROWS.
