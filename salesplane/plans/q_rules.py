@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..operators import clean as cl
 from ..operators import metrics as mt
-from ..operators import quality as qa
 from ..operators import temporal as tp
 from .base import D, R, base, finalize, with_base, with_base_ctes
 from .catalog import register
@@ -131,18 +130,6 @@ def e19_compare(spark, d):
 E = "primary_platform, store_name, brand_name"
 
 
-@register("q5_temporal_integrity", with_base(f"""
-SELECT {E}, CAST(count_if(b) AS BIGINT) AS out_of_order_rows, CAST(count_if(g > 62) AS BIGINT) AS gap_count, coalesce(max(g), 0) AS max_gap_days,
-       CAST(round((max(sales_month) - min(sales_month)) / 30.44) AS DOUBLE) AS months_covered
-FROM (SELECT {E}, sales_month, sales_month < lag(sales_month) OVER (PARTITION BY {E} ORDER BY pos) AS b,
-             CAST(sales_month - lag(sales_month) OVER (PARTITION BY {E} ORDER BY sales_month) AS INTEGER) AS g
-      FROM (SELECT *, product_code || strftime(sales_month, '%Y%m') AS pos FROM base)) GROUP BY ALL"""))
-def q5_integrity(spark, d):
-    """Q5, the stored order being product by product."""
-    b = base(spark, d).withColumn("pos", F.concat("product_code", F.date_format("sales_month", "yyyyMM")))
-    return finalize(qa.temporal_integrity(b, order_col="pos").withColumn("max_gap_days", F.coalesce("max_gap_days", F.lit(0))))
-
-
 PLATFORMS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
