@@ -347,6 +347,19 @@ def test_randomness_is_uniform_on_random_tokens():
     assert secret_scan.randomness(np.zeros(32, int), 16) < 1e-6
 
 
+def test_one_key_among_thousands_of_ordinary_tokens(spark):
+    rng = random.Random(8)
+    words = ["build", "release", "windows", "server", "module", "index", "packet", "number", "update", "thread", "signal", "branch"]
+    prose = [" ".join(rng.choice(words) for _ in range(200)) for _ in range(300)]
+    slugs = [" ".join("-".join(rng.choice(words) for _ in range(4)) + f"-{rng.randint(1, 99)}" for _ in range(20)) for _ in range(250)]
+    key = "".join(rng.choice(secret_scan.ALPHABETS[5]) for _ in range(64))
+    for n in (20, 250):
+        model = secret_scan.train(docs_of(spark, prose + slugs[:n] + [f"key {key} end"]))
+        assert secret_scan.find_spans(f"key {key} end", model)[1] == [(4, 3, 68)], n
+        assert not any(secret_scan.find_spans(t, model)[1] for t in slugs + prose)
+
+
+
 def test_language_held_out_accuracy(spark):
     got = language_id.op9(spark, "/root/testdata/sf0.01").join(
         spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", F.length("text").alias("n")), "doc_id").toPandas()
