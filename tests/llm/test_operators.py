@@ -314,6 +314,18 @@ def test_components_on_chains_and_stars(spark):
     assert got == exp
 
 
+@pytest.mark.parametrize("sep", [", ", "\n", " ", ". "])
+def test_every_address_of_a_list_is_proposed(sep):
+    names = ["jane", "joe", "ann", "bob", "eve", "max", "tom", "sue", "kim", "lee"]
+    for n in (2, 10):
+        for form in ("{} [at] ex.com", "{}é@ex.com", "{} (at) mail (dot) org"):
+            items = [form.format(x) for x in names[:n]]
+            text = sep.join(items)
+            found = [text[a:b] for k, a, b in pii.proposals(text, []) if k == 0]
+            assert found == items, (form, n)
+
+
+
 def test_secret_base_spans():
     rng = random.Random(1)
     parts = ["token", "PassWord", "secret", "api_key", "APIKEY", '"', "'", " ", ":", "=", "AKIA", "a1b2c3d4", "ABCD0123", "0" * 20, "deadbeef" * 3, "é", "ſecret"]
