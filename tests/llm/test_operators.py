@@ -314,6 +314,21 @@ def test_components_on_chains_and_stars(spark):
     assert got == exp
 
 
+def test_copies_and_frequent_kinds_leave_rare_kinds_their_sample(spark):
+    rng = random.Random(6)
+    cards = []
+    while len(cards) < 40:
+        d = "4" + "".join(rng.choice("0123456789") for _ in range(15))
+        if pii.luhn(d):
+            cards.append(" ".join(d[i:i + 4] for i in range(0, 16, 4)))
+    texts = ["Our mail is info@copies.example.com today."] * 3000 + [f"Write to user{i}@host{i % 50}.example.com now." for i in range(3000)]
+    model = pii.train(docs_of(spark, texts + [f"Paid by card {c} today." for c in cards]), sample_spans=100)
+    assert model.thresholds[0] < 1 and model.thresholds[2] < 1
+    alone = pii.train(docs_of(spark, [texts[0]] + texts[3000:] + [f"Paid by card {c} today." for c in cards]), sample_spans=100)
+    assert model.thresholds == alone.thresholds
+
+
+
 @pytest.mark.parametrize("sep", [", ", "\n", " ", ". "])
 def test_every_address_of_a_list_is_proposed(sep):
     names = ["jane", "joe", "ann", "bob", "eve", "max", "tom", "sue", "kim", "lee"]
