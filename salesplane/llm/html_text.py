@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 
-_MARKUP = re.compile(
-    r"<!--(?:.*?--!?>|.*)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)"
-    r"([^>\"']*+(?:(?:\"[^\"]{0,8192}+\"|'[^']{0,8192}+')[^>\"']*+)*+)>", re.S)
+_MARKUP = re.compile(r"<!--(?:.*?--!?>|.*)|<[!?][^>]*>|<(/?)(?=[a-zA-Z])", re.S)
+_NAME_END = re.compile(r"[\s/>]")
+_SPECIAL = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,6 +68,48 @@ def _boilerplate(tag: str, attributes: str) -> bool:
     return False
 
 
+class _Next:
+    """Position of a pattern's next match, or the source's length; found once."""
+
+    def __init__(self, pattern: re.Pattern, source: str):
+        self.pattern, self.source, self.since, self.at = pattern, source, 0, -1
+
+    def __call__(self, at: int) -> int:
+        if not self.since <= at <= self.at:
+            m = self.pattern.search(self.source, at)
+            self.since, self.at = at, m.start() if m else len(self.source)
+        return self.at
+
+
+class _Tags:
+    """Ends of tags and of their names, quoted values of any length skipped.  What
+    a search that failed has passed is not passed again, so a page takes linear time."""
+
+    def __init__(self, source: str):
+        self.source, self.failed = source, set()
+        self.name_end, self.special = _Next(_NAME_END, source), _Next(_SPECIAL, source)
+
+    def find(self, at: int) -> tuple[int, int]:
+        """Ends of the name that begins at ``at`` and of its tag (its ``>``), or -1 for no tag."""
+        name = self.name_end(at)
+        end = self._end(name)
+        if end < 0 and (quote := self.special(at)) < name:
+            name, end = quote, self._end(quote)
+        return name, end
+
+    def _end(self, at: int) -> int:
+        quotes = []
+        while (i := self.special(at)) < len(self.source) and i not in self.failed:
+            if self.source[i] == ">":
+                return i
+            quotes.append(i)
+            at = self.source.find(self.source[i], i + 1) + 1
+            if not at:
+                break
+        self.failed.update(quotes)
+        return -1
+
+
 class _Page:
     """Elements in document order, and the texts and block borders between them."""
 
@@ -125,12 +167,19 @@ class _Page:
             self.events.append((self._open[-1], html.unescape(text) if "&" in text else text))
 
     def _read(self, source: str):
-        at, low = 0, None
-        for m in iter(lambda: _MARKUP.search(source, at), None):
-            self._text(source[at:m.start()])
-            at, tag = m.end(), m[2] and m[2].lower()
-            if not tag:
+        at, after, low, tags = 0, 0, None, _Tags(source)
+        for m in iter(lambda: _MARKUP.search(source, after), None):
+            if m[1] is None:
+                self._text(source[at:m.start()])
+                at = after = m.end()
+                continue
+            name, end = tags.find(m.end())
+            if end < 0:
+                after = m.end()
                 continue
+            self._text(source[at:m.start()])
+            tag, attributes, at = source[m.end():name].lower(), source[name:end], end + 1
+            after = at
             if m[1]:
                 if tag in self._names[1:]:
                     if tag in BLOCK or tag in ("td", "th", "a"):
@@ -140,14 +189,14 @@ class _Page:
                 elif tag == "p":
                     self.events.append((self._open[-1], None))
                 continue
-            self._start(tag, m[3])
-            if tag in RAW and not m[3].endswith("/"):
+            self._start(tag, attributes)
+            if tag in RAW and not attributes.endswith("/"):
                 low = low if low is not None else source.lower()
                 end = low.find(f"</{tag}", at) if len(low) == len(source) else -1
                 if end < 0:
                     found = re.compile(f"</{tag}", re.I).search(source, at)
                     end = found.start() if found else len(source)
-                at = end
+                at = after = end
         self._text(source[at:])
 
 

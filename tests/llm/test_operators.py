@@ -130,6 +130,16 @@ def test_long_and_deep_pages():
     assert html_text.main_text("<a title='x " + "<" * 20000).startswith("<a title")
 
 
+@pytest.mark.parametrize("quote", ["'", '"'])
+def test_attribute_values_of_any_length(quote):
+    uri = f"{quote}data:image/png;base64,{'iVBORw0K>Gg' * 10000}{quote}"
+    page = f"<body><div class=story><div><p>{L}</p><div data-props={uri}><p>{L}</p></div><img src={uri}><p>{L}</p></div></div></body>"
+    assert html_text.main_text(page) == "\n".join([L] * 3)
+    for odd in ("<a " + quote, "<a " + 2 * quote, "<a ", "<a" + quote, "<a '\" "):
+        html_text.main_text(odd * 50000)  # in linear time
+
+
+
 def test_pages_are_their_articles(spark):
     import html
     for r in html_text.op3(spark, SF).join(spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html"), "page_id").collect():
