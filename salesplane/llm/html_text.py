@@ -40,22 +40,32 @@ _BOILERPLATE = re.compile(
     r"recommended|recommendations|widget|widgets|toolbar|pagination|pager|search|skip|copyright|legal|disclaimer)$")
 _NOT_AN_ARTICLE = frozenset("comment comments reply respond ad ads advert advertisement sponsored promo related teaser".split())
 _ARTICLE_PARTS = frozenset("article content entry post story".split())
+#: First parts of words that say how a wrapper looks or behaves, not what it is.
+_MODIFIERS = frozenset("has no with without is show hide".split())
+_COMMENTS = frozenset("comment comments commentlist respond disqus replies".split())
 _TOKEN = re.compile(r"[A-Za-z]+")
+#: Why an element is dropped: for what it is, or by a name that wrappers may have too.
+CERTAIN, BY_NAME = 1, 2
+#: Share of a page's plain characters over which an element isn't dropped by name;
+#: long sidebars beside short articles hold more than half.
+MOST = 0.9
 
 
-def _boilerplate(tag: str, attributes: str) -> bool:
+def _boilerplate(tag: str, attributes: str) -> int:
+    """CERTAIN, BY_NAME or 0."""
     if tag in DROPPED:
-        return True
+        return CERTAIN
     if not attributes or tag in ("html", "body"):
-        return False
+        return 0
+    named = 0
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return CERTAIN
         if name == "role" and value.lower() in DROPPED_ROLES:
-            return True
+            return CERTAIN
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return CERTAIN
         if name in ("class", "id"):
             for word in value.split():
                 parts = [p.lower() for p in _TOKEN.findall(re.sub(r"([a-z])([A-Z])", r"\1-\2", word))]
@@ -63,9 +73,13 @@ def _boilerplate(tag: str, attributes: str) -> bool:
                     continue
                 if parts and parts[-1] == "header" and parts[0] in _ARTICLE_PARTS:
                     continue
+                if parts and parts[0] in _MODIFIERS:
+                    continue
                 if parts and (_BOILERPLATE.match(parts[0]) or _BOILERPLATE.match(parts[-1]) or _BOILERPLATE.match("".join(parts))):
-                    return True
-    return False
+                    if _COMMENTS.intersection(parts):
+                        return CERTAIN
+                    named = BY_NAME
+    return named
 
 
 class _Next:
@@ -114,12 +128,33 @@ class _Page:
     """Elements in document order, and the texts and block borders between them."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.drop, self.first, self.last = ["html"], [-1], [False], [0], [0]
+        self.tag, self.parent, self.why, self.first, self.last = ["html"], [-1], [0], [0], [0]
         self.events: list[tuple[int, str | None]] = []  # (element, text), or None where a block begins or ends
         self._open, self._names = [0], ["html"]
         self._read(source)
         while self._open:
             self._close()
+        self.drop = self._dropped()
+
+    def _dropped(self) -> list[bool]:
+        """Elements to drop, with all they hold; not by name one that holds most
+        of the page's plain characters: there the text density decides."""
+        n = len(self.tag)
+        sure, link, plain = [False] * n, [False] * n, [0] * n
+        for i in range(1, n):
+            up = self.parent[i]
+            sure[i] = sure[up] or self.why[i] == CERTAIN
+            link[i] = link[up] or self.tag[i] == "a"
+        if BY_NAME in self.why:
+            for i, text in self.events:
+                if text is not None and not sure[i] and not link[i]:
+                    plain[i] += len("".join(text.split()))
+            for i in range(n - 1, 0, -1):
+                plain[self.parent[i]] += plain[i]
+        drop = [False] * n
+        for i in range(1, n):
+            drop[i] = drop[self.parent[i]] or sure[i] or self.why[i] == BY_NAME and plain[i] <= MOST * plain[0]
+        return drop
 
     def _close(self):
         i = self._open.pop()
@@ -147,11 +182,11 @@ class _Page:
         up, i = self._open[-1], len(self.tag)
         self.tag.append(tag)
         self.parent.append(up)
-        drop = self.drop[up] or _boilerplate(tag, attributes)
-        if not drop and (tag == "header" or self.tag[up] == "header") and tag not in HEADINGS:
+        why = _boilerplate(tag, attributes)
+        if not why and (tag == "header" or self.tag[up] == "header") and tag not in HEADINGS:
             # Of a header only headings stay, and these within an article only.
-            drop = not any(n in ("article", "main") for n in self._names)
-        self.drop.append(drop)
+            why = 0 if any(n in ("article", "main") for n in self._names) else CERTAIN
+        self.why.append(why)
         if tag in ("br", "td", "th"):
             self.events.append((i, " "))
         elif tag in BLOCK:
@@ -280,7 +315,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     Each whole page is parsed leniently; elements that never belong to an article
     (menus, footers, sidebars, forms, notices, adverts, comments, scripts) leave
-    the tree; every other element gets its link-adjusted characters per tag, the
+    the tree, but an element with such a name only (comments apart) stays if it
+    holds most of the page's plain characters; every other element gets its link-adjusted characters per tag, the
     subtree with the largest sum of child densities is chosen, and the thinnest
     element on its path to the body is the threshold for what else is content.
     The outermost ``article`` (or else ``main``) around

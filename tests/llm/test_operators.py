@@ -130,6 +130,14 @@ def test_long_and_deep_pages():
     assert html_text.main_text("<a title='x " + "<" * 20000).startswith("<a title")
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "with-sidebar", "no-sidebar", "no-comments", "has-cookie-notice", "hasSidebar",
+                                  "layout-sidebar", "header-layout", "social"])
+def test_wrappers_named_after_boilerplate_keep_the_article(name):
+    side = "<div class=sidebar><p>Other words.</p></div><div class=comments>" + f"<p>{L}</p>" * 9 + "</div>"
+    page = f"<body><div class='{name}'><div><p>{L}</p><p>{L}</p><p>{L}</p></div>{side}</div></body>"
+    assert html_text.main_text(page) == "\n".join([L] * 3)
+
+
 @pytest.mark.parametrize("quote", ["'", '"'])
 def test_attribute_values_of_any_length(quote):
     uri = f"{quote}data:image/png;base64,{'iVBORw0K>Gg' * 10000}{quote}"
