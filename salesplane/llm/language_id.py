@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import hash_sample, read_table
+from .common import _HASH_SPACE, if_small, read_table, staged
 
 #: Bound of the training sample: rows taken per language and dictionary bytes.
 SAMPLE_ROWS = 400
@@ -18,7 +18,8 @@ DICT_BYTES = 1 << 16
 #: Texts are encoded in blocks of so many bytes, so that the dictionary, not the
 #: text's own beginning, stays what a block is compressed with.
 BLOCK = 4096
-MAX_LANGS = 64
+#: Languages whose coders a task holds at a time.
+GROUP_LANGS = 64
 #: A prediction is rejected when the best and second-best sizes differ by less.
 MIN_MARGIN = 0.002
 UNDETERMINED = "und"
@@ -38,31 +39,30 @@ def train_dictionaries(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS,
     Per language the ``sample_rows`` rows of smallest doc_id hash are read, in
     that order; the letters of their texts fill a dictionary of at most
     ``dict_bytes``.  Rows with null or empty text or null lang are not used.
-    More than ``MAX_LANGS`` languages raise an error.
+    Every label gets a dictionary, however many there are.
     """
     ok = labelled.where(F.col("lang").isNotNull() & (F.length("text") > 0))
     ids = ok.select("doc_id", "lang")
-    counts = ids.groupBy("lang").count().limit(MAX_LANGS + 1).collect()
-    if len(counts) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    counts = sorted(((r["count"], r["lang"]) for r in counts), key=lambda x: (-x[0], x[1]))
-    langs = [lang for _, lang in counts]
-    picked = []
-    for n, lang in counts:
-        rows = hash_sample(ids.where(F.col("lang") == lang).select("doc_id"), ["doc_id"], sample_rows, n)
-        picked += [r[0] for r in rows.collect()]
-    if not picked:
+    counts = sorted(((r["count"], r["lang"]) for r in ids.groupBy("lang").count().collect()), key=lambda x: (-x[0], x[1]))
+    if not counts:
         return []
-    # The id list is bounded by MAX_LANGS * SAMPLE_ROWS.
-    wanted = labelled.sparkSession.createDataFrame([(i,) for i in picked], "doc_id long")
-    texts = (ok.select("doc_id", "lang", "text").join(F.broadcast(wanted), "doc_id", "left_semi")
-             .select("lang", F.xxhash64("doc_id").alias("h"), "doc_id",
-                     F.substring("text", 1, dict_bytes).alias("text")).collect())
-    out = []
-    for lang in langs:
-        own = [letters(r["text"]) for r in sorted((r for r in texts if r["lang"] == lang),
-                                                  key=lambda r: (r["h"], r["doc_id"]))]
-        out.append((lang, b" ".join(own)[:dict_bytes]))
+    # As hash_sample: rows beyond a hash that some four times as many fall under
+    # are dropped first, so no language's window grows with the input.
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(_HASH_SPACE))
+    limits = labelled.sparkSession.createDataFrame(
+        [(lang, int(min(1, (4 * sample_rows + 100) / n) * _HASH_SPACE)) for n, lang in counts], "lang string, below long")
+    first = Window.partitionBy("lang").orderBy("h", "doc_id")
+    picked = staged(ids.withColumn("h", h).join(if_small(limits), "lang").where("h < below")
+                    .withColumn("i", F.row_number().over(first)).where(F.col("i") <= sample_rows).select("doc_id").distinct())
+    texts = (ok.select("doc_id", "lang", "text").join(if_small(picked), "doc_id", "left_semi")
+             .select("lang", F.xxhash64("doc_id").alias("h"), "doc_id", F.substring("text", 1, dict_bytes).alias("text")))
+
+    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = [letters(t) for t in pdf.sort_values(["h", "doc_id"], kind="stable")["text"]]
+        return pd.DataFrame({"lang": pdf["lang"][:1], "raw": [b" ".join(own)[:dict_bytes]]})
+
+    raws = {r["lang"]: bytes(r["raw"]) for r in texts.groupBy("lang").applyInPandas(fill, "lang string, raw binary").collect()}
+    out = [(lang, raws.get(lang, b"")) for _, lang in counts]
     return [(lang, raw) for lang, raw in out if len(raw) >= 8]
 
 
@@ -77,26 +77,42 @@ def _coder(raw: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=d, compression_params=params)
 
 
-def _classifier(dictionaries: list[tuple[str, bytes]]):
-    coders = [(rank, lang, _coder(raw)) for rank, (lang, raw) in enumerate(dictionaries)]
+def _batch_classifier(dictionaries: list[tuple[str, bytes]], group: int = GROUP_LANGS):
+    """Function from texts to their (language, score).  Coders are made for
+    ``group`` languages at a time; the two smallest sizes are kept across groups."""
+    groups = [range(i, min(i + group, len(dictionaries))) for i in range(0, len(dictionaries), group)]
+
+    def coders(ranks: range) -> list[tuple[int, zstandard.ZstdCompressor]]:
+        return [(rank, _coder(dictionaries[rank][1])) for rank in ranks]
+
+    only = coders(groups[0]) if len(groups) == 1 else None
 
-    def best(text: str | None) -> tuple[str, float]:
-        raw = letters(text) if text else b""
-        if not raw or not coders:
-            return UNDETERMINED, 0.0
-        blocks = [raw[i:i + BLOCK] for i in range(0, len(raw), BLOCK)]
-        sizes = sorted((sum(len(c.compress(b)) for b in blocks), rank, lang) for rank, lang, c in coders)
-        return sizes[0][2], 1.0 - sizes[0][0] / sizes[1][0] if len(sizes) > 1 else 1.0
+    def best(texts: list[str | None]) -> list[tuple[str, float]]:
+        raws = [letters(t) if t else b"" for t in texts]
+        least: list[list[tuple[int, int]]] = [[] for _ in raws]
+        for ranks in groups:
+            own = only or coders(ranks)
+            for i, raw in enumerate(raws):
+                if raw:
+                    blocks = [raw[k:k + BLOCK] for k in range(0, len(raw), BLOCK)]
+                    least[i] = sorted(least[i] + [(sum(len(c.compress(b)) for b in blocks), rank) for rank, c in own])[:2]
+        return [(UNDETERMINED, 0.0) if not x else
+                (dictionaries[x[0][1]][0], 1.0 - x[0][0] / x[1][0] if len(x) > 1 else 1.0) for x in least]
 
     return best
 
 
+def _classifier(dictionaries: list[tuple[str, bytes]]):
+    best = _batch_classifier(dictionaries)
+    return lambda text: best([text])[0]
+
+
 def _guess(dictionaries: list[tuple[str, bytes]]):
     @F.pandas_udf("struct<lang_pred:string,score:double>")
     def guess(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        best = _classifier(dictionaries)
+        best = _batch_classifier(dictionaries)
         for s in texts:
-            yield pd.DataFrame([best(t) for t in s], columns=["lang_pred", "score"])
+            yield pd.DataFrame(best(list(s)), columns=["lang_pred", "score"])
 
     return guess
 
@@ -110,7 +126,7 @@ def predict_language(docs: DataFrame, dictionaries: list[tuple[str, bytes]],
     language.  ``score`` is one minus best size over second-best size.
     ``rejected`` is true for ``und`` (null text or no letter, score 0, or nothing
     was learned) and for margins under ``min_margin``.  The dictionaries are
-    bounded by MAX_LANGS * DICT_BYTES.  Repeated rows stay; other columns are not
+    DICT_BYTES at most for each language.  Repeated rows stay; other columns are not
     read.
     """
     return (docs.select("doc_id", _guess(dictionaries)("text").alias("g")).select("doc_id", "g.lang_pred", "g.score")

@@ -430,3 +430,17 @@ def test_embedding_links_and_recall(spark):
     exp = groups(n, zip(*np.nonzero(np.triu(hit, 1)))) + [n + i for i in range(6)] + [n + 6, n + 6]
     assert got["component_id"].tolist() == exp
     assert (got["kept"] == (got["vec_id"] == got["component_id"])).all()
+
+
+def test_any_number_of_language_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    stray = docs.where("text is not null").limit(1).select(F.explode(F.sequence(F.lit(10**9), F.lit(10**9 + 79))).alias("doc_id"), "text")
+    many = docs.unionByName(stray.select(F.col("doc_id").cast("long"), F.lit("word another thing").alias("text"),
+                                         F.concat(F.lit("x"), "doc_id").alias("lang")))
+    dicts = language_id.train_dictionaries(many)
+    assert len(dicts) == 80 + docs.where("length(text) > 0").select("lang").dropna().distinct().count()
+    texts = [r["text"] for r in docs.limit(40).collect()]
+    whole = language_id._batch_classifier(dicts, len(dicts))(texts)
+    assert whole == language_id._batch_classifier(dicts, 7)(texts)
+    assert [tuple(r) for r in language_id.predict_language(docs_of(spark, texts), dicts).orderBy("doc_id").select("lang_pred", "score").collect()] == whole
+    assert dict(language_id.train_dictionaries(docs)).items() <= dict(dicts).items()
