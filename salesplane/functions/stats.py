@@ -4,7 +4,8 @@
 final task, unbounded for a fact column.  ``quantiles`` narrows a bracket around
 the wanted ranks instead: while the bracket holds more than ``limit`` distinct
 values, one aggregate counts its rows in ``bins`` equal steps and the bracket
-shrinks to the steps that hold the ranks.  At most ``limit`` + 1 values or
+shrinks to the step that holds the ranks; ranks in two steps
+are these steps' greatest and least value.  At most ``limit`` + 1 values or
 ``bins`` counts reach the driver at a time, at every size of input.
 """
 
@@ -26,7 +27,7 @@ def _at(pairs, below, rank):
 
 
 def _narrowed(inside: DataFrame, lo: int, hi: int, below: int, bins: int):
-    """(rows below, least, greatest) of the steps that hold the ranks ``lo`` and ``hi``."""
+    """(rows below, least, greatest) of each step that holds the ranks ``lo`` and ``hi``."""
     x, inf = F.col("x"), float("inf")
     r = inside.where(F.abs("x") < inf).agg(F.min("x"), F.max("x")).first()
     a, b = (r[0], r[1]) if r[0] is not None else (0.0, 0.0)
@@ -39,7 +40,7 @@ def _narrowed(inside: DataFrame, lo: int, hi: int, below: int, bins: int):
         if below + r["n"] > lo and below <= hi:
             found.append((below, r["a"], r["b"]))
         below += r["n"]
-    return found[0][0], found[0][1], found[-1][2]
+    return found
 
 
 def quantiles(df: DataFrame, column: str, probs, limit: int = 10_000, bins: int = 4096) -> list:
@@ -59,7 +60,12 @@ def quantiles(df: DataFrame, column: str, probs, limit: int = 10_000, bins: int
         lo, hi = math.floor(pos), math.ceil(pos)
         pairs, inside, below = whole, base, 0
         while len(pairs) > limit:
-            below, a, b = _narrowed(inside, lo, hi, below, bins)
+            found = _narrowed(inside, lo, hi, below, bins)
+            if len(found) == 2:  # neighbours: the lower step's last row, the upper one's first
+                (below, _, a), (above, b, _) = found
+                pairs = [(a, above - below), (b, 1)]
+                break
+            below, a, b = found[0]
             inside = base.where((F.col("x") >= a) & (F.col("x") <= b))
             pairs = values(inside)
         vlo, vhi = _at(pairs, below, lo), _at(pairs, below, hi)

@@ -57,3 +57,11 @@ def test_quantiles_are_exact_however_narrow_the_bracket(spark):
     inf = float("inf")
     far = spark.createDataFrame([(x,) for x in (-inf, -1e308, 0.0, 1e308, inf)], "x double")
     assert quantiles(far, "x", [0.0, 0.25, 0.5, 0.75, 1.0], limit=1, bins=3) == [-inf, -1e308, 0.0, 1e308, inf]
+
+
+def test_quantile_between_two_narrow_groups_ends(spark):
+    import duckdb
+    v = [i / 40 for i in range(40)] + [1e6 + i / 40 for i in range(40)]
+    df = spark.createDataFrame([(x,) for x in v], "x double")
+    exp = duckdb.sql(f"SELECT quantile_cont(x, [0.25, 0.5]) FROM (SELECT unnest({v}::DOUBLE[]) AS x)").fetchall()[0][0]
+    assert quantiles(df, "x", [0.25, 0.5], limit=10, bins=8) == exp
