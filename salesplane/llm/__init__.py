@@ -1,6 +1,6 @@
 """Training-data pipeline operators: decontamination, licence scans, HTML
 extraction, exact-substring and near-duplicate removal, packing, PII, secrets,
-language identification.  Nothing outside this subpackage imports it."""
+language identification, hard negatives, spelling variants.  Nothing outside this subpackage imports it."""
 
 import sys
 

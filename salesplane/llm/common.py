@@ -37,6 +37,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_key(text: "F.Column") -> "F.Column":
+    """128 bits of the text's SHA-256; copies share it."""
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it
     back: cuts lineage, survives lost executors, computes ``df`` exactly once.

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     decontaminate,
     embedding_dedup,
+    hard_negatives,
     html_text,
     language_id,
     license_scan,
@@ -16,6 +17,8 @@ from . import (
     pii,
     secret_scan,
     simhash,
+    spelling,
+    substring_dedup,
     suffix_dedup,
 )
 
@@ -30,9 +33,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": secret_scan.op8,
     "op9_language_id": language_id.op9,
     "op10_embedding_dedup": embedding_dedup.op10,
+    "op11_hard_negatives": hard_negatives.op11,
+    "op12_substring_dedup": substring_dedup.op12,
+    "op13_spelling_variants": spelling.op13,
 }
 
 ORACLES: dict[str, str] = {
     "op1_decontaminate": decontaminate.OP1_SQL,
     "op2_license_scan": license_scan.OP2_SQL,
+    "op11_hard_negatives": hard_negatives.OP11_SQL,
+    "op12_substring_dedup": substring_dedup.OP12_SQL,
 }
