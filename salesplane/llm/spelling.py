@@ -59,7 +59,7 @@ def word_counts(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int =
         total: Counter = Counter()
 
         def rows() -> pd.DataFrame:
-            return pd.DataFrame({"word": list(total), "n": list(total.values())}).astype({"n": "int64"})
+            return pd.DataFrame({"word": pd.Series(list(total), dtype=object), "n": pd.Series(list(total.values()), dtype="int64")})
 
         for pdf in batches:
             for doc_id, text in zip(pdf["doc_id"].astype("Int64"), pdf["text"]):

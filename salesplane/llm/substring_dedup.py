@@ -170,7 +170,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
         def rows(keys: list[bytes], texts: list[np.ndarray]) -> pd.DataFrame:
             t, s, e, a = contexts_of(texts, window, rounds)
             c = [_digest(texts[i][x:y + window]) for i, x, y in zip(t.tolist(), s.tolist(), e.tolist())]
-            return pd.DataFrame({"key": [keys[i] for i in t.tolist()], "s": s.astype(np.int32), "e": e.astype(np.int32),
+            return pd.DataFrame({"key": pd.Series([keys[i] for i in t.tolist()], dtype=object), "s": s.astype(np.int32), "e": e.astype(np.int32),
                                  "a": a, "c": np.array(c, np.int64)})
 
         for pdf in batches:
