@@ -8,10 +8,12 @@ symbol goes its reach: the words that decide that it stands there.  Equal window
 hold the same symbols whose reach lies within them.
 
 A window is anchored at the symbol of the highest round within it (of these, the
-one of smallest name).  Windows of a text that share an anchor form one context.
-Spark counts the anchors' names over all texts: a name that occurs once holds no
-repeat.  Shared names reveal the repeats: contexts of equal words are repeated
-whole, and where contexts of one name differ, their windows are named and counted.
+one of smallest name).  The anchor's name takes in the half window of words that
+begins at the symbol or, where the window ends before, the one that ends there.
+Windows of a text that share an anchor form one context.  Spark counts the
+anchors' names over all texts: a name that occurs once holds no repeat.  Shared
+names reveal the repeats: contexts of equal words are repeated whole, and where
+contexts of one name differ, their windows are named and counted.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import if_small, read_table, staged, text_key
 
 WINDOW = 35
-ROUNDS = 6
+ROUNDS = 4
 #: Words that are parsed together, and words whose names a task remembers.
 SEGMENT = 1 << 18
 KNOWN_WORDS = 1 << 19
@@ -151,10 +153,19 @@ def contexts_of(texts: list[np.ndarray], window: int = WINDOW, rounds: int = ROU
         todo = todo[lo > hi]
         if not len(todo):
             break
-    cut = np.flatnonzero((where[1:] != where[:-1]) | (part[1:] != part[:-1])) + 1
+    # A window holds ``ahead`` words from its anchor on, or ``back`` words before it.
+    ahead = window // 2 + 1
+    back = window - ahead + 1
+    symbol = where // (rounds + 1)
+    behind = symbol + ahead > pos + window
+    cut = np.flatnonzero((where[1:] != where[:-1]) | (behind[1:] != behind[:-1]) | (part[1:] != part[:-1])) + 1
     first, last = np.concatenate([[0], cut]), np.concatenate([cut, [len(part)]]) - 1
+    name, behind = name[first] + behind[first].astype(_U), behind[first]
+    begin_at = symbol[first] - np.where(behind, back, 0)
+    for k in range(max(ahead, back)):
+        name = np.where(k < np.where(behind, back, ahead), _mix(name + words[np.minimum(begin_at + k, len(words) - 1)]), name)
     base = np.array(shift)[part[first]]
-    return np.array(owner)[part[first]], base + off[first], base + off[last], name[first].view(np.int64)
+    return np.array(owner)[part[first]], base + off[first], base + off[last], name.view(np.int64)
 
 
 def _digest(words: np.ndarray) -> int:
@@ -187,12 +198,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
     # A window has its words and the white space between them.
     texts = docs.select(text_key(F.col("text")).alias("key"), "text").where(F.octet_length("text") >= 2 * window - 1)
     found = staged(texts.mapInPandas(parse, "key binary, s int, e int, a long, c long"))
-    anchors = staged(found.groupBy("a").agg(F.count("*").alias("n"), (F.min("c") != F.max("c")).alias("mixed"))
-                     .where("n > 1").select("a", "mixed"))
+    anchors = staged(found.groupBy("a").count().where("count > 1").select("a"))
     live = staged(found.join(if_small(anchors), "a"))
 
-    same = live.groupBy("a", "c", "mixed").agg(F.count("*").alias("n"), F.min(F.struct("key", "s", "e")).alias("at"))
-    same = staged(same)
+    same = staged(live.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(F.struct("key", "s", "e")).alias("at")))
+    mixed = staged(same.groupBy("a").count().where("count > 1").select("a"))
     whole = same.where("n > 1").select("a", "c", F.lit(0).alias("lo"), (F.col("at.e") - F.col("at.s")).alias("hi"))
 
     def name_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -208,7 +218,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
                     out = []
             yield pd.DataFrame(out, columns=["a", "c", "off", "h"])
 
-    cuts = staged(same.where("mixed").select("a", "c", "at.*").groupBy(F.col("key").alias("same"))
+    cuts = staged(same.join(if_small(mixed), "a").select("a", "c", "at.*").groupBy(F.col("key").alias("same"))
                   .agg(F.collect_list(F.struct("a", "c", "s", "e")).alias("cuts")))
     windows = staged(texts.join(cuts, F.col("key") == F.col("same")).select("text", "cuts")
                      .mapInPandas(name_windows, "a long, c long, off int, h long"))
