@@ -196,7 +196,6 @@ def trie(words: DataFrame, range_words: int = RANGE_WORDS) -> tuple[DataFrame, D
 def _advance(states: DataFrame, edges: DataFrame) -> DataFrame:
     """The states that the edges lead to, with the word that ends there."""
     label, pos = F.col("label"), F.col("pos")
-    rest = F.expr("substring(word, pos + 1)")
     size, left = F.length(label), F.length("word") - pos
     tail = F.expr("substring(label, 2)")
 
@@ -206,16 +205,19 @@ def _advance(states: DataFrame, edges: DataFrame) -> DataFrame:
     def words_from(start: int, length: Column) -> Column:
         return F.col("word").substr(pos + start + 1, length)
 
+    states = states.withColumn("next", F.expr("substring(word, pos + 1, 1)"))
+    along = (states.where("next != ''").join(edges, (states["node"] == edges["from"]) & (F.col("next") == F.col("letter")))
+             .where(words_from(0, size) == label)
+             .select("word", (pos + size).cast("int").alias("pos"), F.col("child").alias("node"), "edits", "ends"))
     one = F.lit(1)
-    own = F.startswith(rest, label)
-    branch = (F.col("edits") == 0) & ~own
     ways = F.array(
-        F.when(own, to(pos + size, F.col("edits"))),
-        F.when(branch & (left >= size) & (words_from(1, size - 1) == tail), to(pos + size, one)),
-        F.when(branch & (left >= size - 1) & (words_from(0, size - 1) == tail), to(pos + size - 1, one)),
-        F.when(branch & (left > size) & (words_from(1, size) == label), to(pos + size + 1, one)))
-    return (states.join(edges, "node").select("word", "child", "ends", F.explode(F.array_compact(ways)).alias("to"))
-            .select("word", "to.pos", F.col("child").alias("node"), "to.edits", "ends"))
+        F.when((left >= size) & (words_from(1, size - 1) == tail), to(pos + size, one)),
+        F.when((left >= size - 1) & (words_from(0, size - 1) == tail), to(pos + size - 1, one)),
+        F.when((left > size) & (words_from(1, size) == label), to(pos + size + 1, one)))
+    branch = (states.where("edits = 0").join(edges, F.col("node") == F.col("from")).where("next != letter")
+              .select("word", "child", "ends", F.explode(F.array_compact(ways)).alias("to"))
+              .select("word", "to.pos", F.col("child").alias("node"), "to.edits", "ends"))
+    return along.unionByName(branch)
 
 
 def neighbours(words: DataFrame, range_words: int = RANGE_WORDS) -> DataFrame:
@@ -229,7 +231,8 @@ def neighbours(words: DataFrame, range_words: int = RANGE_WORDS) -> DataFrame:
     one_less = (F.col("edits") == 0) & (F.col("pos") == F.length("word") - 1) & F.col("ends").isNotNull()
     for turn in (lambda c: c, F.reverse):
         edges, frontier = trie(words.select(turn(F.col("word")).alias("word")), range_words)
-        edges = if_small(staged(edges))
+        edges = staged(edges.select(F.col("node").alias("from"), F.substring("label", 1, 1).alias("letter"), "label", "child", "ends"))
+        edges = if_small(edges)
         ends = edges.where("ends is not null").select(F.col("child").alias("node"), "ends").distinct()
         first = frontier.where(F.col("pos") == F.length("word") - 1)
         states = staged(frontier.withColumn("edits", F.lit(0)).withColumn("ends", F.lit(None).cast("string"))

@@ -8,8 +8,8 @@ symbol goes its reach: the words that decide that it stands there.  Equal window
 hold the same symbols whose reach lies within them.
 
 A window is anchored at the symbol of the highest round within it (of these, the
-one of smallest name).  The anchor's name takes in the half window of words that
-begins at the symbol or, where the window ends before, the one that ends there.
+one of smallest name; a third of a window has to follow its start).  The anchor's
+name takes in the third of a window of words that begins at the symbol.
 Windows of a text that share an anchor form one context.  Spark counts the
 anchors' names over all texts: a name that occurs once holds no repeat.  Shared
 names reveal the repeats: contexts of equal words are repeated whole, and where
@@ -141,10 +141,11 @@ def contexts_of(texts: list[np.ndarray], window: int = WINDOW, rounds: int = ROU
     part = np.repeat(np.arange(len(parts)), starts)
     off = np.arange(len(part)) - np.repeat(np.cumsum(starts) - starts, starts)
     pos = begin[part] + off
+    ahead = max(1, window // 3)
     where, name, todo = np.full(len(pos), -1, np.int64), np.zeros(len(pos), _U), np.arange(len(pos))
     for r in range(rounds, -1, -1):
         sym, p = levels[r], pos[todo]
-        lo, hi = np.searchsorted(sym["lo"], p, "left"), np.searchsorted(sym["hi"], p + window, "right") - 1
+        lo, hi = np.searchsorted(sym["lo"], p, "left"), np.searchsorted(np.maximum(sym["hi"], sym["start"] + ahead), p + window, "right") - 1
         own = np.flatnonzero(lo <= hi)
         if len(own):
             best = _least(sym["name"], lo[own], hi[own])
@@ -153,17 +154,11 @@ def contexts_of(texts: list[np.ndarray], window: int = WINDOW, rounds: int = ROU
         todo = todo[lo > hi]
         if not len(todo):
             break
-    # A window holds ``ahead`` words from its anchor on, or ``back`` words before it.
-    ahead = window // 2 + 1
-    back = window - ahead + 1
-    symbol = where // (rounds + 1)
-    behind = symbol + ahead > pos + window
-    cut = np.flatnonzero((where[1:] != where[:-1]) | (behind[1:] != behind[:-1]) | (part[1:] != part[:-1])) + 1
+    cut = np.flatnonzero((where[1:] != where[:-1]) | (part[1:] != part[:-1])) + 1
     first, last = np.concatenate([[0], cut]), np.concatenate([cut, [len(part)]]) - 1
-    name, behind = name[first] + behind[first].astype(_U), behind[first]
-    begin_at = symbol[first] - np.where(behind, back, 0)
-    for k in range(max(ahead, back)):
-        name = np.where(k < np.where(behind, back, ahead), _mix(name + words[np.minimum(begin_at + k, len(words) - 1)]), name)
+    name, symbol = name[first], where[first] // (rounds + 1)
+    for k in range(ahead):
+        name = _mix(name + words[symbol + k])
     base = np.array(shift)[part[first]]
     return np.array(owner)[part[first]], base + off[first], base + off[last], name.view(np.int64)
 
