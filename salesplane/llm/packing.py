@@ -55,7 +55,7 @@ def _encoder(path: str):
 
     class Ids(dict):
         def __missing__(self, part: str) -> bytes:
-            if _PLAIN_PART.fullmatch(part) and part.isalpha():  # one pre-token as it is
+            if _PLAIN_PART.fullmatch(part) and part.isalpha() and part == part.lower():  # one pre-token as it is
                 word = part if part.isascii() else part.encode().decode("latin-1").translate(letters)
                 ids = [t.id for t in model.tokenize(word)]
             else:
