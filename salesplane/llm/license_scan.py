@@ -58,15 +58,21 @@ def terms(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0)), F.array().cast("array<string>"))
 
 
-def term_idf(texts: DataFrame, vocabulary: list[str]) -> tuple[dict[str, float], float]:
-    """(idf of each of ``vocabulary``, idf of any other term), counted over all rows
-    of ``texts`` (text).  A term outside the templates weighs like one that no
-    text holds, so it can only lower a cosine."""
+def term_idf(texts: DataFrame, vocabulary: list[str]) -> tuple[dict[str, float], int]:
+    """(idf of each of ``vocabulary``, number of texts), counted over all rows of
+    ``texts`` (text)."""
     known = F.array(*[F.lit(t) for t in vocabulary])
     counts = {r["t"]: r["count"] for r in texts.select(F.explode(F.array_intersect(terms(F.col("text")), known)).alias("t"))
               .groupBy("t").count().collect()}  # at most len(vocabulary) rows
     n = texts.count()
-    return {t: math.log((n + 1) / (counts.get(t, 0) + 1)) + 1 for t in vocabulary}, math.log(n + 1) + 1
+    return {t: math.log((n + 1) / (counts.get(t, 0) + 1)) + 1 for t in vocabulary}, n
+
+
+def other_idf(texts: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """(term, idf) of the terms ``wanted`` (term), counted over all ``n`` rows of ``texts`` (text)."""
+    held = texts.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
+    return (held.join(if_small(wanted), "term", "left_semi").groupBy("term").count()
+            .select("term", (F.log(F.lit(float(n + 1)) / (F.col("count") + 1)) + 1).alias("idf")))
 
 
 def anchor_terms(weights: list[dict[str, float]], threshold: float) -> list[str]:
@@ -90,7 +96,7 @@ def notice_scores(files: DataFrame, templates=TEMPLATES, threshold: float = THRE
     spark = files.sparkSession
     counts = [Counter(re.findall(_TERM, t.lower())) for _, t in templates]
     vocabulary = sorted(set().union(*counts))
-    idf, other_idf = term_idf(files, vocabulary)
+    idf, n = term_idf(files, vocabulary)
     weights = [{t: k * idf[t] for t, k in c.items()} for c in counts]
     anchors = anchor_terms(weights, threshold)
     # Both tables are bounded by the templates.
@@ -107,10 +113,10 @@ def notice_scores(files: DataFrame, templates=TEMPLATES, threshold: float = THRE
     units = (files.where(holds).select("key", F.posexplode(pieces).alias("unit", "piece"))
              .select("key", "unit", terms(F.col("piece")).alias("terms"))
              .where(F.arrays_overlap("terms", F.array(*[F.lit(t) for t in anchors]))))
-    weighed = (units.select("key", "unit", F.explode("terms").alias("term")).groupBy("key", "unit", "term").count()
-               .join(known, "term", "left")
-               .select("key", "unit", "term", (F.col("count") * F.coalesce("idf", F.lit(other_idf))).alias("w")))
-    weighed = staged(weighed)
+    counted = staged(units.select("key", "unit", F.explode("terms").alias("term")).groupBy("key", "unit", "term").count())
+    others = staged(counted.select("term").distinct().join(known, "term", "left_anti"))
+    every = staged(known.unionByName(other_idf(files.select("text"), others, n)))
+    weighed = staged(counted.join(if_small(every), "term").select("key", "unit", "term", (F.col("count") * F.col("idf")).alias("w")))
     norms = weighed.groupBy("key", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = (weighed.join(vectors, "term").groupBy("key", "unit", "template", "license")
             .agg(F.sum(F.col("w") * F.col("weight")).alias("dot")))
@@ -187,8 +193,8 @@ tt AS (SELECT template, license, term, count(*) AS tf FROM (SELECT template, lic
 vocab AS (SELECT DISTINCT term FROM tt),
 n AS (SELECT count(*) AS n FROM documents WHERE text IS NOT NULL),
 df AS (SELECT term, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{_TERM}')) AS term FROM documents)
-       WHERE term IN (SELECT term FROM vocab) GROUP BY term),
-idf AS (SELECT term, ln((n + 1) / (coalesce(df, 0) + 1)) + 1 AS idf FROM vocab LEFT JOIN df USING (term), n),
+       GROUP BY term),
+idf AS (SELECT term, ln((n + 1) / (coalesce(df, 0) + 1)) + 1 AS idf FROM vocab FULL JOIN df USING (term), n),
 vec AS (SELECT template, license, term, tf * idf AS w, sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS norm
         FROM tt JOIN idf USING (term)),
 u AS (SELECT DISTINCT doc_id, piece FROM (
@@ -196,7 +202,7 @@ u AS (SELECT DISTINCT doc_id, piece FROM (
         SELECT doc_id, unnest(regexp_split_to_array(text, '\n\s*\n')) FROM f UNION ALL SELECT doc_id, text FROM f) WHERE piece IS NOT NULL),
 ut AS (SELECT doc_id, piece, term, count(*) AS tf FROM (SELECT doc_id, piece, unnest(regexp_extract_all(lower(piece), '{_TERM}')) AS term FROM u)
        GROUP BY ALL),
-uw AS (SELECT doc_id, piece, term, tf * coalesce(idf, ln(n + 1) + 1) AS w FROM ut LEFT JOIN idf USING (term), n),
+uw AS (SELECT doc_id, piece, term, tf * idf AS w FROM ut JOIN idf USING (term)),
 un AS (SELECT doc_id, piece, sqrt(sum(w * w)) AS norm FROM uw GROUP BY ALL),
 dots AS (SELECT doc_id, piece, template, license, sum(uw.w * vec.w / vec.norm) AS dot FROM uw JOIN vec USING (term) GROUP BY ALL),
 sc AS (SELECT doc_id, license, floor(dot / norm * 1e6 + 0.5) / 1e6 AS score FROM dots JOIN un USING (doc_id, piece)),
