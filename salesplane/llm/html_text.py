@@ -42,6 +42,9 @@ _NOT_AN_ARTICLE = frozenset("comment comments reply respond ad ads advert advert
 _ARTICLE_PARTS = frozenset("article content entry post story".split())
 #: First parts of words that say how a wrapper looks or behaves, not what it is.
 _MODIFIERS = frozenset("has no with without is show hide".split())
+#: Second parts of names such as share-buttons; within an article only these make a
+#: compound name one of the list's (social-history and share-price are content).
+_HOLDERS = frozenset("area bar block box button buttons container form icons items link links list section wrapper".split())
 _COMMENTS = frozenset("comment comments commentlist respond disqus replies".split())
 _TOKEN = re.compile(r"[A-Za-z]+")
 #: Why an element is dropped: for what it is, or by a name that wrappers may have too.
@@ -51,7 +54,19 @@ CERTAIN, BY_NAME = 1, 2
 MOST = 0.9
 
 
-def _boilerplate(tag: str, attributes: str) -> int:
+def _named(parts: list[str], within: bool) -> bool:
+    """Whether the parts of a class or id word name boilerplate; ``within`` an article
+    a compound name does so as a whole only."""
+    if not parts:
+        return False
+    if _BOILERPLATE.match("".join(parts)):
+        return True
+    if within:
+        return bool(_BOILERPLATE.match(parts[0])) and all(_BOILERPLATE.match(p) or p in _HOLDERS for p in parts)
+    return bool(_BOILERPLATE.match(parts[0]) or _BOILERPLATE.match(parts[-1]))
+
+
+def _boilerplate(tag: str, attributes: str, within: bool = False) -> int:
     """CERTAIN, BY_NAME or 0."""
     if tag in DROPPED:
         return CERTAIN
@@ -75,7 +90,7 @@ def _boilerplate(tag: str, attributes: str) -> int:
                     continue
                 if parts and parts[0] in _MODIFIERS:
                     continue
-                if parts and (_BOILERPLATE.match(parts[0]) or _BOILERPLATE.match(parts[-1]) or _BOILERPLATE.match("".join(parts))):
+                if _named(parts, within):
                     if _COMMENTS.intersection(parts):
                         return CERTAIN
                     named = BY_NAME
@@ -182,7 +197,7 @@ class _Page:
         up, i = self._open[-1], len(self.tag)
         self.tag.append(tag)
         self.parent.append(up)
-        why = _boilerplate(tag, attributes)
+        why = _boilerplate(tag, attributes, "article" in self._names or "main" in self._names)
         if not why and (tag == "header" or self.tag[up] == "header") and tag not in HEADINGS:
             # Of a header only headings stay, and these within an article only.
             why = 0 if any(n in ("article", "main") for n in self._names) else CERTAIN
