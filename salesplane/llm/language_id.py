@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,7 +24,9 @@ GROUP_LANGS = 64
 #: A prediction is rejected when the best and second-best sizes differ by less.
 MIN_MARGIN = 0.002
 UNDETERMINED = "und"
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+# Number signs such as the superscript two are word characters, not letters.
+_NOT_LETTERS = re.compile(r"[\W\d_" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha()
+                                              and not c.isdecimal()) + "]+")
 
 
 def letters(text: str) -> bytes:
