@@ -9,13 +9,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hash_sample, min_doc_components, read_table, staged
+from .common import hash_sample, if_small, min_doc_components, read_table, staged
 
 THRESHOLD = 0.95
 #: Bounds of the k-means fit: distinct vectors sampled, cells, rounds.
 SAMPLE = 16_384
 MAX_CELLS = 4096
 ROUNDS = 8
+#: Vector lengths for which cells are fitted.
+MAX_FITS = 4
 #: Standard deviations by which a pair may straddle a border between cells.
 MARGIN_Z = 5.0
 #: Vectors of one cell that one task compares with all the cell's members.
@@ -52,7 +54,7 @@ def fit_margin(x: np.ndarray, threshold: float, z: float = MARGIN_Z) -> float:
     centroids on one side.  r * sqrt(2) would hold for every pair but prunes
     nothing in many dimensions.
     """
-    spread = np.linalg.eigvalsh(np.cov(x.T)) if len(x) > 1 else np.ones(1)
+    spread = np.linalg.eigvalsh(np.atleast_2d(np.cov(x.T))) if len(x) > 1 else np.ones(1)
     spread = np.clip(spread, 0, None)
     dims = spread.sum() ** 2 / max((spread ** 2).sum(), 1e-300) if spread.sum() > 0 else 1.0
     r = np.sqrt(max(0.0, 2 - 2 * threshold))
@@ -65,9 +67,9 @@ def valid_vector() -> "F.Column":
     return F.coalesce(F.col("vec_id").isNotNull() & (F.size(e) > 0) & finite & F.exists(e, lambda v: v != 0), F.lit(False))
 
 
-def _links(reps: DataFrame, dims: int, n: int, threshold: float) -> DataFrame:
+def _links(reps: DataFrame, n: int, threshold: float) -> DataFrame:
     """(id, other, links) of the distinct vectors ``reps`` (embedding, id, copies)
-    of ``dims`` components: a row with ``links`` for each vector, and links
+    of one length: a row with ``links`` for each vector, and links
     (id, other) that connect what is linked."""
     sample = hash_sample(reps.select("embedding"), ["embedding"], SAMPLE, n).toPandas()
     x = _matrix(sample["embedding"])
@@ -104,6 +106,28 @@ def _links(reps: DataFrame, dims: int, n: int, threshold: float) -> DataFrame:
                                     "member": np.repeat([0, 1], [len(own), len(row)]), "id": out["id"].to_numpy(),
                                     "copies": out["copies"].to_numpy(), "embedding": out["embedding"].to_numpy()})
 
+    dealt = reps.mapInPandas(deal, _dealt_schema(reps))
+    return _compared(dealt, threshold)
+
+
+def _dealt_schema(reps: DataFrame) -> str:
+    kind = reps.schema["embedding"].dataType.simpleString()
+    return f"cell int, part int, member int, id long, copies long, embedding {kind}"
+
+
+def _rare_links(reps: DataFrame, lengths: DataFrame, threshold: float) -> DataFrame:
+    """As _links, for vectors of the ``lengths`` (dims, count), all lengths in one
+    pass: each is one cell, whose vectors are all compared, in blocks."""
+    parts = F.ceil(F.col("count") / BLOCK).cast("int")
+    rows = reps.join(if_small(lengths), F.size("embedding") == F.col("dims")).withColumn("parts", parts)
+    lead = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    dealt = (rows.select(F.col("dims").alias("cell"), lead.alias("part"), F.lit(0).alias("member"), "id", "copies", "embedding")
+             .unionByName(rows.select(F.col("dims").alias("cell"), every.alias("part"), F.lit(1).alias("member"), "id", "copies", "embedding")))
+    return _compared(dealt, threshold)
+
+
+def _compared(dealt: DataFrame, threshold: float) -> DataFrame:
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Over rows sorted by (cell, part, member): the leads of a part are held,
         its members stream past them."""
@@ -121,15 +145,16 @@ def _links(reps: DataFrame, dims: int, n: int, threshold: float) -> DataFrame:
                 if key is None or (keys[lo] != key).any():
                     if ids is not None:
                         yield counted()
-                    key, x, ids, links, label = keys[lo], np.empty((0, dims)), np.empty(0, np.int64), np.empty(0, np.int64), None
+                    key, x, ids, links, label = keys[lo], None, np.empty(0, np.int64), np.empty(0, np.int64), None
                 own = pdf.iloc[lo:hi]
                 leads, members = own[own["member"] == 0], own[own["member"] == 1]
                 if len(leads):
-                    x = np.concatenate([x, _matrix(leads["embedding"])])
+                    own_x = _matrix(leads["embedding"])
+                    x = own_x if x is None else np.concatenate([x, own_x])
                     ids = np.concatenate([ids, leads["id"].to_numpy(np.int64)])
                     links = np.concatenate([links, leads["copies"].to_numpy(np.int64) - 1])
                     label = np.arange(len(ids))
-                if not len(x):
+                if x is None:
                     continue
                 for at in range(0, len(members), BLOCK):
                     block = members.iloc[at:at + BLOCK]
@@ -148,8 +173,6 @@ def _links(reps: DataFrame, dims: int, n: int, threshold: float) -> DataFrame:
         if ids is not None:
             yield counted()
 
-    kind = reps.schema["embedding"].dataType.simpleString()
-    dealt = reps.mapInPandas(deal, f"cell int, part int, member int, id long, copies long, embedding {kind}")
     return (dealt.repartition("cell", "part").sortWithinPartitions("cell", "part", "member")
             .mapInPandas(compare, "id long, other long, links long"))
 
@@ -164,19 +187,22 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     vectors and all whose similarity to it lies within a margin of their best.
     Vectors that are null, empty, zero or hold null or non-finite components, and
     rows without vec_id, link with nothing and are kept; vectors of different
-    lengths are not compared (16 lengths at most).  Each row counts as a vector,
+    lengths are not compared (the MAX_FITS most frequent lengths have cells of their
+    own; vectors of each other length are all compared, in blocks).  Each row counts as a vector,
     so repeated rows link with each other.
     """
     spark = vectors.sparkSession
     rows = vectors.select("vec_id", "embedding")
     reps = staged(rows.where(valid_vector()).groupBy("embedding")
                   .agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")))
-    sizes = reps.groupBy(F.size("embedding").alias("dims")).count().limit(17).collect()
-    if len(sizes) > 16:
-        raise ValueError("vectors of more than 16 lengths")
+    lengths = staged(reps.groupBy(F.size("embedding").alias("dims")).count())
+    sizes = lengths.orderBy(F.col("count").desc(), "dims").limit(MAX_FITS + 1).collect()
     found = spark.createDataFrame([], "id long, other long, links long")
-    for r in sizes:
-        found = found.unionByName(_links(reps.where(F.size("embedding") == r["dims"]), r["dims"], r["count"], threshold))
+    for r in sizes[:MAX_FITS]:
+        found = found.unionByName(_links(reps.where(F.size("embedding") == r["dims"]), r["count"], threshold))
+    if len(sizes) > MAX_FITS:
+        rare = lengths.where(~F.col("dims").isin([r["dims"] for r in sizes[:MAX_FITS]]))
+        found = found.unionByName(_rare_links(reps, rare, threshold))
     found = staged(found)
     parts = min_doc_components(found.where("links < 0").select(F.col("id").alias("u"), F.col("other").alias("v")))
     counts = found.where("links >= 0").select("id", "links")
