@@ -7,13 +7,14 @@ values, one aggregate counts its rows in ``bins`` equal steps and the bracket
 shrinks to the step that holds the ranks; ranks in two steps
 are these steps' greatest and least value.  At most ``limit`` + 1 values or
 ``bins`` counts reach the driver at a time, at every size of input.
+``group_quantiles`` does so for many groups and columns at once, on the executors.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -77,6 +78,67 @@ def quantile(df: DataFrame, column: str, p: float, **kw):
     return quantiles(df, column, [p], **kw)[0]
 
 
+def group_quantiles(df: DataFrame, keys, columns, probs, limit: int = 10_000, bins: int = 1024) -> DataFrame:
+    """Exact linear-interpolation quantiles of every (group, column): ``keys``,
+    ``column``, ``n`` and ``q``, an array in the order of ``probs``.
+
+    All groups, columns and ranks are narrowed together: a pass counts, for each
+    bracket with more than ``limit`` rows, its rows in ``bins`` equal steps, and
+    each rank moves into its step.  The number of passes depends on the values'
+    spread only.  No bracket or bin list reaches the driver, and no task holds more
+    than ``limit`` values or ``bins`` counts of a bracket in order.  Null keys are a
+    group; NULL and NaN values are ignored; groups without values give no row.
+    """
+    from ..session import cut_lineage
+
+    x, inf = F.col("x"), float("inf")
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), (F.col(c).cast("double") + 0.0).alias("x")) for c in columns])
+    long = (df.select(*keys, F.explode(pairs).alias("_v")).select(F.struct(*keys, F.col("_v.column")).alias("g"), F.col("_v.x").alias("x"))
+            .where(x.isNotNull() & ~F.isnan(x)))
+    finite = F.when(F.abs(x) < inf, x)
+    stats = cut_lineage(long.groupBy("g").agg(F.count("*").alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"),
+                                              F.min(finite).alias("flo"), F.max(finite).alias("fhi")))
+
+    def pos(p):
+        return F.lit(float(p)) * (F.col("n") - 1)
+
+    wanted = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(pos(p)), F.ceil(pos(p))) for p in probs])))
+    ranks = stats.select("g", F.explode(wanted).alias("rank"), "lo", "hi", "flo", "fhi", F.lit(0).cast("long").alias("below"), F.col("n").alias("inside"))
+    bracket = ["g", "lo", "hi"]
+    here = F.col("rank") - F.col("below")
+    in_step = (here < F.col("upto")) & (here >= F.col("upto") - F.col("c"))
+    in_order = Window.partitionBy(*bracket)
+    is_wide = (F.col("inside") > limit) & (F.col("lo") < F.col("hi"))
+    while True:
+        wide = ranks.where(is_wide)
+        if wide.isEmpty():
+            break
+        width = F.col("fhi") / 2 - F.col("flo") / 2
+        step = (F.when(x == -inf, -1).when(x == inf, bins)
+                .when(width > 0, F.least(F.floor((x / 2 - F.col("flo") / 2) / F.nullif(width, F.lit(0.0)) * bins), F.lit(bins - 1)))
+                .otherwise(F.when(x == F.col("lo"), 0).otherwise(bins - 1)))
+        inside = long.join(wide.select(*bracket, "flo", "fhi").distinct(), "g").where((x >= F.col("lo")) & (x <= F.col("hi")))
+        counts = (inside.groupBy(*bracket, step.alias("step")).agg(F.count("*").alias("c"), F.min(x).alias("a"), F.max(x).alias("b"))
+                  .withColumn("upto", F.sum("c").over(in_order.orderBy("step"))))
+        moved = wide.join(counts, bracket).where(in_step).select(
+            "g", "rank", F.col("a").alias("lo"), F.col("b").alias("hi"), F.col("a").alias("flo"), F.col("b").alias("fhi"),
+            (F.col("below") + F.col("upto") - F.col("c")).alias("below"), F.col("c").alias("inside"))
+        ranks = cut_lineage(ranks.where(~is_wide).unionByName(moved))
+    narrow = ranks.where("lo < hi")
+    values = (long.join(narrow.select(*bracket).distinct(), "g").where((x >= F.col("lo")) & (x <= F.col("hi")))
+              .groupBy(*bracket, "x").agg(F.count("*").alias("c")).withColumn("upto", F.sum("c").over(in_order.orderBy("x"))))
+    found = (narrow.join(values, bracket).where(in_step).select("g", "rank", "x")
+             .unionByName(ranks.where("lo = hi").select("g", "rank", F.col("lo").alias("x"))))
+    found = found.groupBy("g").agg(F.map_from_entries(F.collect_list(F.struct("rank", "x"))).alias("at"))
+
+    def value(p):
+        low, high = F.col("at")[F.floor(pos(p))], F.col("at")[F.ceil(pos(p))]
+        return F.when(low == high, low).otherwise(low + (pos(p) - F.floor(pos(p))) * (high - low))
+
+    return (stats.select("g", "n").join(found, "g")
+            .select("g.*", "n", F.array(*[value(p) for p in probs]).alias("q")))
+
+
 def sorted_quantile(arr, p: float):
     """Linear-interpolation quantile of a sorted array column (NULL when empty)."""
     n = F.size(arr)

@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.stats import group_quantiles
+
 
 def fit_quantile_edges(train: DataFrame, col: str, bins: int = 50, by=("split_id",)) -> DataFrame:
     """M1 fit: unique quantile edges (0..1 in ``bins`` steps) of the non-zero training values."""
     probs = [i / bins for i in range(bins + 1)]
-    t = train.where(F.col(col) != 0).groupBy(*by).agg(
-        F.array_distinct(F.percentile(F.col(col), F.array(*[F.lit(p) for p in probs]))).alias("edges"))
-    return t
+    return group_quantiles(train.where(F.col(col) != 0), list(by), [col], probs).select(*by, F.array_distinct("q").alias("edges"))
 
 
 def apply_buckets(df: DataFrame, edges: DataFrame, col: str, out: str, clip_max: int = 51, by=("split_id",)) -> DataFrame:
@@ -27,11 +27,8 @@ def apply_buckets(df: DataFrame, edges: DataFrame, col: str, out: str, clip_max:
 
 def fit_robust(train: DataFrame, cols, by=("split_id",)) -> DataFrame:
     """M4 fit: median and IQR (exact, linear) per column; IQR 0 -> 1."""
-    aggs = []
-    for c in cols:
-        q = F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        aggs.append(q.alias(f"_q_{c}"))
-    t = train.groupBy(*by).agg(*aggs)
+    q = group_quantiles(train, list(by), list(cols), [0.25, 0.5, 0.75])
+    t = q.groupBy(*by).agg(*[F.max(F.when(F.col("column") == c, F.col("q"))).alias(f"_q_{c}") for c in cols])
     out = [*by]
     for c in cols:
         iqr = F.col(f"_q_{c}")[2] - F.col(f"_q_{c}")[0]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import cents_sum
+from ..functions.stats import group_quantiles
 
 
 def platform_year_coverage(df: DataFrame) -> DataFrame:
@@ -44,9 +45,9 @@ def month_platform_pivot(df: DataFrame, platforms) -> DataFrame:
 
 def quantity_percentiles(df: DataFrame) -> DataFrame:
     """X8."""
-    p = F.percentile("sales_quantity", F.array(F.lit(0.9), F.lit(0.95), F.lit(0.99)))
-    return df.agg(p.alias("p")).select(F.col("p")[0].alias("p90"), F.col("p")[1].alias("p95"),
-                                       F.col("p")[2].alias("p99"))
+    q = F.col("q")
+    return group_quantiles(df, [], ["sales_quantity"], [0.9, 0.95, 0.99, 1.0]).select(
+        q[0].alias("p90"), q[1].alias("p95"), q[2].alias("p99"), q[3].alias("max"))
 
 
 def top_rows(df: DataFrame, k: int = 5, col: str = "sales_quantity") -> DataFrame:
@@ -58,9 +59,12 @@ def top_rows(df: DataFrame, k: int = 5, col: str = "sales_quantity") -> DataFram
 def sales_patterns(df: DataFrame, by) -> DataFrame:
     """Mean, median and count of quantity by any grouping
     (month, top-brand flag, store type, promo flags, season)."""
-    q = F.col("sales_quantity")
-    return df.groupBy(*by).agg(F.avg(q).alias("mean_quantity"), F.percentile(q, 0.5).alias("median_quantity"),
-                               F.count(q).alias("rows"))
+    rows = df.select(*by, "sales_quantity")
+    keys = [c for c in rows.columns if c != "sales_quantity"]
+    means = rows.groupBy(*keys).agg(F.avg("sales_quantity").alias("mean_quantity"), F.count("sales_quantity").alias("rows"))
+    medians = group_quantiles(rows, keys, ["sales_quantity"], [0.5]).select(F.struct(*keys).alias("_g"), F.col("q")[0].alias("median_quantity"))
+    return (means.withColumn("_g", F.struct(*keys)).join(medians, "_g", "left")
+            .select(*keys, "mean_quantity", "median_quantity", "rows"))
 
 
 def store_type_by_platform(df: DataFrame, type_col: str = "store_type") -> DataFrame:

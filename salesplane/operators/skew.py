@@ -37,22 +37,23 @@ HALO = 12
 ENTITY = tp.ENTITY
 
 
-def with_row_index(df: DataFrame, entity=ENTITY) -> DataFrame:
-    """Add ``_idx``: 0-based position of the row in its entity's (month, product) order."""
-    keys = [*entity, "sales_month"]
-    w = Window.partitionBy(*entity).orderBy("sales_month")
+def with_row_index(df: DataFrame, entity=ENTITY, order=tp.ORDER) -> DataFrame:
+    """Add ``_idx``: 0-based position of the row in its entity's ``order`` (by month first)."""
+    keys = [*entity, order[0]]
+    w = Window.partitionBy(*entity).orderBy(order[0])
     cnt = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     cnt = cnt.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], (F.sum("_n").over(w) - F.col("_n")).alias("_off"))
-    within = F.row_number().over(Window.partitionBy(*keys).orderBy("product_code")) - 1
+    within = F.row_number().over(Window.partitionBy(*keys).orderBy(*order[1:])) - 1
     same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
     return (df.withColumn("_within", within).join(cnt, same)
             .withColumn("_idx", F.col("_off") + F.col("_within")).drop("_off", "_within", *[f"_k{i}" for i in range(len(keys))]))
 
 
-def chunk_with_halo(df: DataFrame, chunk_rows: int = CHUNK_ROWS, halo: int = HALO, entity=ENTITY) -> DataFrame:
+def chunk_with_halo(df: DataFrame, chunk_rows: int = CHUNK_ROWS, halo: int = HALO, entity=ENTITY,
+                    order=tp.ORDER) -> DataFrame:
     """Each row in its own chunk, plus a flagged copy in every later chunk j whose
     first ``halo`` predecessors include it (j * chunk_rows - halo <= idx)."""
-    d = with_row_index(df, entity)
+    d = with_row_index(df, entity, order)
     idx = F.col("_idx")
     chunk = F.floor(idx / chunk_rows)
     main = d.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
@@ -63,10 +64,11 @@ def chunk_with_halo(df: DataFrame, chunk_rows: int = CHUNK_ROWS, halo: int = HAL
     return main.unionByName(copy)
 
 
-def chunked(df: DataFrame, features, chunk_rows: int = CHUNK_ROWS, halo: int = HALO, entity=ENTITY) -> DataFrame:
+def chunked(df: DataFrame, features, chunk_rows: int = CHUNK_ROWS, halo: int = HALO, entity=ENTITY,
+            order=tp.ORDER) -> DataFrame:
     """``features(rows, entity)`` evaluated per (entity, chunk); its lags and frames
     may look back ``halo`` rows in all."""
-    out = features(chunk_with_halo(df, chunk_rows, halo, entity), [*entity, "_chunk"])
+    out = features(chunk_with_halo(df, chunk_rows, halo, entity, order), [*entity, "_chunk"])
     return out.where(~F.col("_halo")).drop("_chunk", "_halo", "_idx")
 
 

@@ -309,8 +309,9 @@ def spike_history(df: DataFrame, q95: float, q99: float, entity=ENTITY) -> DataF
                    flag(q > F.lit(q95)).alias("is_major_spike"))
     df = with_group_stats(df, entity, [F.sum("is_extreme_spike").alias("historical_extreme_spikes"),
                                        F.sum("is_major_spike").alias("historical_major_spikes")])
-    return df.withColumn("spike_propensity",
-                         F.col("historical_major_spikes") / F.row_number().over(entity_window(entity)))
+    from .scans import running_number
+    return (running_number(df, "_number", entity)
+            .withColumn("spike_propensity", F.col("historical_major_spikes") / F.col("_number")).drop("_number"))
 
 
 def strict_rolling_mean(df: DataFrame, k=3, entity=ENTITY) -> DataFrame:
@@ -323,21 +324,21 @@ def strict_rolling_mean(df: DataFrame, k=3, entity=ENTITY) -> DataFrame:
 
 def group_diff(df: DataFrame, value: str, keys, out: str, order=ORDER) -> DataFrame:
     """Per-key diff or pct change (+-inf -> 0), NULL -> 0."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(out, F.coalesce(F.col(value) - F.lag(value, 1).over(w), F.lit(0.0)))
+    from .scans import previous
+    df = previous(df, value, "_before", keys, order)
+    return df.withColumn(out, F.coalesce(F.col(value) - F.col("_before"), F.lit(0.0))).drop("_before")
 
 
 def group_pct_change(df: DataFrame, value: str, keys, out: str, order=ORDER) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
-    pc = pct_change(F.col(value), F.lag(value, 1).over(w))
-    return df.withColumn(out, F.when(finite(pc), pc).otherwise(0.0))
+    from .scans import previous
+    pc = pct_change(F.col(value), F.col("_before"))
+    return previous(df, value, "_before", keys, order).withColumn(out, F.when(finite(pc), pc).otherwise(0.0)).drop("_before")
 
 
 def forward_fill(df: DataFrame, cols, entity=ENTITY) -> DataFrame:
     """Last non-null value so far within the entity."""
-    w = entity_window(entity).rowsBetween(Window.unboundedPreceding, 0)
-    return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in cols else F.col(c)
-                       for c in df.columns])
+    from .scans import last_known
+    return last_known(df, list(cols), entity)
 
 
 def fill_v1(df: DataFrame, entity=ENTITY) -> DataFrame:

@@ -256,7 +256,7 @@ def x6_pivot(spark, d):
 
 @register("x8_quantity_percentiles", with_base_ctes("t AS (SELECT 1)", f"""
 SELECT {R('quantile_cont(sales_quantity, 0.9)')} AS p90, {R('quantile_cont(sales_quantity, 0.95)')} AS p95,
-       {R('quantile_cont(sales_quantity, 0.99)')} AS p99 FROM base"""))
+       {R('quantile_cont(sales_quantity, 0.99)')} AS p99, {R('max(sales_quantity)')} AS max FROM base"""))
 def x8_percentiles(spark, d):
     return finalize(xp.quantity_percentiles(base(spark, d)))
 
