@@ -180,6 +180,34 @@ def m10_correlations(spark, d):
     return finalize(md.target_correlations(base(spark, d), ["unit_price", "sales_amount", "has_high_price"]))
 
 
+HOLDOUT_YEAR = BASE_YEAR + 2
+
+
+def _holdout_models(spark, d, kind):
+    """Models of all splits, saved in the shared checkpoint folder, reloaded, and the hold-out report."""
+    from uuid import uuid4
+
+    from ..operators import saved_models as sm
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    b = base(spark, d)
+    trained = sm.train_splits(b, WINDOWS, f"{spark.sparkContext.getCheckpointDir()}/models-{uuid4().hex}", kind)
+    return sm.holdout_report(spark, trained, b.where(F.year("sales_month") == HOLDOUT_YEAR))
+
+
+@register("m18_saved_ridge_holdout_year")
+def m18_saved_ridge(spark, d):
+    """Encoders and ridge of every split saved, reloaded and
+    applied to the hold-out year; a row for each split, failed ones included."""
+    return finalize(_holdout_models(spark, d, "ridge"))
+
+
+@register("m16_saved_elastic_net_holdout_year")
+def m16_saved_elastic_net(spark, d):
+    """M16 / M17 / M18 with the elastic net."""
+    return finalize(_holdout_models(spark, d, "elastic_net"))
+
+
 @register("m14_random_forest_holdout")
 def m14_random_forest(spark, d):
     """Per split, a random forest on calendar parts and price (log target),
