@@ -21,12 +21,9 @@ def baseline_predictions(tagged: DataFrame, y: str = "sales_quantity") -> DataFr
 
 
 def target_correlations(df: DataFrame, features, target: str = "sales_quantity_log") -> DataFrame:
-    """|Pearson r| of each feature with the target in one aggregate pass, long form."""
-    from ..functions.exprs import safe_corr
-    row = df.agg(*[safe_corr(f, target).alias(f) for f in features]).first()
-    spark = df.sparkSession
-    return spark.createDataFrame([(f, None if row[f] is None else abs(float(row[f]))) for f in features],
-                                 "feature string, abs_corr double")
+    """|Pearson r| of each feature with the target, long form."""
+    from .gram import target_correlations as correlated
+    return correlated(df, list(features), target)
 
 
 def fit_regressor(train: DataFrame, features, kind: str = "rf", label: str = "sales_quantity_log",
@@ -65,13 +62,9 @@ def vif(df: DataFrame, features) -> list:
     """Variance inflation factors without intercept, VIF_j = G_jj * inv(G)_jj, from a
     one-pass Gram matrix (k x k sums of products; only k^2 numbers reach the driver)."""
     import numpy as np
-    k = len(features)
-    row = df.agg(*[F.sum(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"{i}_{j}")
-                   for i, a in enumerate(features) for j, b in enumerate(features) if j >= i]).first()
-    g = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            g[i, j] = g[j, i] = row[f"{i}_{j}"]
+
+    from .gram import gram_matrix
+    g = gram_matrix(df, list(features))
     inv = np.linalg.pinv(g)
     return [(f, float(g[i, i] * inv[i, i])) for i, f in enumerate(features)]
 

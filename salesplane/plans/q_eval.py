@@ -171,15 +171,6 @@ def m9_target_encoding(spark, d):
     return finalize(en.target_encode(t, "brand_name", "sales_quantity"))
 
 
-@register("m10_target_correlations", with_base_ctes("t AS (SELECT 1)", f"""
-SELECT feature, {R('abs_corr')} AS abs_corr FROM (
-  SELECT 'unit_price' AS feature, abs(corr(unit_price, sales_quantity_log)) AS abs_corr FROM base
-  UNION ALL SELECT 'sales_amount', abs(corr(sales_amount, sales_quantity_log)) FROM base
-  UNION ALL SELECT 'has_high_price', abs(corr(has_high_price, sales_quantity_log)) FROM base)"""))
-def m10_correlations(spark, d):
-    return finalize(md.target_correlations(base(spark, d), ["unit_price", "sales_amount", "has_high_price"]))
-
-
 HOLDOUT_YEAR = BASE_YEAR + 2
 
 

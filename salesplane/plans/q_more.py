@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from ..operators import calendar as cal
 from ..operators import encode as en
+from ..operators import gram
 from ..operators import interactions as ix
 from ..operators import metrics as mt
 from ..operators import model as md
 from ..operators import quality as qa
+from ..operators import skew
 from ..operators import splits as sp
 from ..operators import stores as st
 from ..operators import temporal as tp
@@ -279,18 +281,47 @@ def m6_minmax(spark, d):
     return finalize(en.fit_minmax(t, ["sales_quantity", "unit_price"]))
 
 
-M11_COLS = ["sales_quantity", "sales_amount", "unit_price"]
+FLAGS = ["has_missing_price", "has_zero_sales", "has_high_price"]
+LAG_FEATURES = [f"{p}_lag_{k}" for k in tp.LAGS for p in ("sales", "amount", "price")]
+SCREENED = ["sales_amount", "unit_price", *FLAGS, "month", "quarter", "year", *LAG_FEATURES]
 
 
-@register("m11_correlation_matrix", with_base_ctes(NOP, " UNION ALL ".join(
-    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {R(f'corr({a}, {b})')} AS corr FROM base"
-    for a in M11_COLS for b in M11_COLS)))
+def screened_features(spark, d):
+    """Numeric columns of the fact, calendar parts and lags."""
+    rows = skew.chunked(base(spark, d), lambda x, e: tp.lag_features(x, entity=e))
+    m = F.col("sales_month")
+    return rows.select("sales_quantity", "sales_quantity_log", "sales_amount", "unit_price", *FLAGS, F.month(m).alias("month"),
+                       F.quarter(m).alias("quarter"), F.year(m).alias("year"), *LAG_FEATURES)
+
+
+_LAGS = ", ".join(f"coalesce(lag({c}, {k}) OVER w, 0) AS {p}_lag_{k}" for k in tp.LAGS
+                  for p, c in (("sales", "sales_quantity"), ("amount", "sales_amount"), ("price", "unit_price")))
+SCREENED_SQL = f"""screened AS (SELECT *, month(sales_month) AS month, quarter(sales_month) AS quarter, year(sales_month) AS year, {_LAGS}
+  FROM base WINDOW w AS (PARTITION BY primary_platform, store_name, brand_name ORDER BY sales_month, product_code))"""
+M11_COLS = ["sales_quantity", *SCREENED]
+
+
+def _corr_sql(pairs):
+    names = "[" + ", ".join(f"'{a}'" for a, _ in pairs) + "], [" + ", ".join(f"'{b}'" for _, b in pairs) + "]"
+    values = ", ".join(f"corr({a}, {b})" for a, b in pairs)
+    return f"""corrs AS (SELECT unnest(a) AS feature_a, unnest(b) AS feature_b, unnest(r) AS r
+  FROM (SELECT {names.replace('], [', '] AS a, [')} AS b, [{values}] AS r FROM screened)),
+cleaned AS (SELECT feature_a, feature_b, CASE WHEN isfinite(r) THEN r END AS r FROM corrs)"""
+
+
+@register("m11_correlation_matrix", with_base_ctes(SCREENED_SQL + ",\n" + _corr_sql([(a, b) for a in M11_COLS for b in M11_COLS]), f"""
+SELECT feature_a, feature_b, {R('r')} AS corr FROM cleaned"""))
 def m11_corr(spark, d):
-    b = base(spark, d)
-    from ..functions.exprs import safe_corr
-    row = b.agg(*[safe_corr(a, c).alias(f"{a}|{c}") for a in M11_COLS for c in M11_COLS]).first()
-    return finalize(spark.createDataFrame([(a, c, row[f"{a}|{c}"]) for a in M11_COLS for c in M11_COLS],
-                                          "feature_a string, feature_b string, corr double"))
+    """M11 over all numeric columns, calendar parts and lags."""
+    return finalize(gram.correlations(screened_features(spark, d), M11_COLS).drop("n"))
+
+
+@register("q3_high_correlation_pairs", with_base_ctes(SCREENED_SQL + ",\n" + _corr_sql(
+    [(a, b) for a in M11_COLS for b in M11_COLS if a < b]), f"""
+SELECT feature_a, feature_b, {R('r')} AS corr FROM cleaned WHERE abs(r) > 0.95"""))
+def q3_pairs(spark, d):
+    """Q3: pairs of features that tell the same."""
+    return finalize(gram.high_pairs(gram.correlations(screened_features(spark, d), M11_COLS)))
 
 
 @register("m16_linear_regression_holdout")
@@ -447,15 +478,28 @@ def l6_holdout(spark, d):
     return finalize(sp.split_summary(sp.tag_splits(base(spark, d), HOLD)).drop("ordered"))
 
 
-@register("k4_top_correlated_features", with_base_ctes(NOP, f"""
-SELECT feature, {R('abs_corr')} AS abs_corr FROM (
-  SELECT 'unit_price' AS feature, abs(corr(unit_price, sales_quantity_log)) AS abs_corr FROM base
-  UNION ALL SELECT 'sales_amount', abs(corr(sales_amount, sales_quantity_log)) FROM base
-  UNION ALL SELECT 'has_high_price', abs(corr(has_high_price, sales_quantity_log)) FROM base)
-ORDER BY abs_corr DESC, feature LIMIT 2"""))
+def _k4(n):
+    return with_base_ctes(SCREENED_SQL + ",\n" + _corr_sql([(f, "sales_quantity_log") for f in SCREENED]), f"""
+SELECT feature_a AS feature, {R('abs(r)')} AS abs_corr FROM cleaned ORDER BY abs(r) DESC NULLS LAST, feature LIMIT {n}""")
+
+
+@register("k4_top_correlated_features", _k4(10))
 def k4_top(spark, d):
-    c = md.target_correlations(base(spark, d), ["unit_price", "sales_amount", "has_high_price"])
-    return finalize(md.top_correlated(c, 2))
+    """K4: the ten features most correlated with the target."""
+    return finalize(md.top_correlated(md.target_correlations(screened_features(spark, d), SCREENED), 10))
+
+
+@register("k4_top20_correlated_features", _k4(20))
+def k4_top20(spark, d):
+    """K4 at twenty."""
+    return finalize(md.top_correlated(md.target_correlations(screened_features(spark, d), SCREENED), 20))
+
+
+@register("m10_target_correlations", with_base_ctes(SCREENED_SQL + ",\n" + _corr_sql([(f, "sales_quantity_log") for f in SCREENED]), f"""
+SELECT feature_a AS feature, {R('abs(r)')} AS abs_corr FROM cleaned"""))
+def m10_correlations(spark, d):
+    """Every screened feature with the target."""
+    return finalize(md.target_correlations(screened_features(spark, d), SCREENED))
 
 
 def _x10_sql():
