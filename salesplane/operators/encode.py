@@ -52,6 +52,33 @@ def fit_standard(train: DataFrame, cols, by=("split_id",)) -> DataFrame:
                     *[F.when(F.col(f"_s_{c}") == 0, 1.0).otherwise(F.col(f"_s_{c}")).alias(f"{c}__std") for c in cols])
 
 
+def standard_of(moments: DataFrame, cols, by=("split_id",)) -> DataFrame:
+    """M5 fit from ``splits.train_moments``: as fit_standard."""
+    return moments.select(*by, *[F.col(f"{c}__mean") for c in cols],
+                          *[F.when(F.col(f"{c}__std") == 0, 1.0).otherwise(F.col(f"{c}__std")).alias(f"{c}__std") for c in cols])
+
+
+def minmax_of(moments: DataFrame, cols, by=("split_id",)) -> DataFrame:
+    """M6 fit from ``splits.train_moments``: as fit_minmax."""
+    return moments.select(*by, *[F.col(f"{c}__min") for c in cols], *[F.col(f"{c}__max") for c in cols])
+
+
+def apply_minmax(df: DataFrame, fitted: DataFrame, cols, by=("split_id",)) -> DataFrame:
+    """M6 apply: (x - min) / (max - min), a range of 0 counts as 1."""
+    j = df.join(F.broadcast(fitted), list(by), "left")
+    span = {c: F.col(f"{c}__max") - F.col(f"{c}__min") for c in cols}
+    return j.select(*[c for c in df.columns if c not in cols],
+                    *[((F.col(c) - F.col(f"{c}__min")) / F.when(span[c] == 0, 1.0).otherwise(span[c])).alias(c) for c in cols])
+
+
+def target_encode_of(by_key: DataFrame, overall: DataFrame, key: str, y: str, k: float = 1.0, s: float = 1.0) -> DataFrame:
+    """M9 from ``splits.train_moments`` by ``key`` and over all: as target_encode."""
+    prior = overall.select("split_id", F.col(f"{y}__mean").alias("_prior"))
+    w = 1 / (1 + F.exp(-(F.col(f"{y}__n") - k) / s))
+    return (by_key.join(F.broadcast(prior), "split_id")
+            .select("split_id", key, (w * F.col(f"{y}__mean") + (1 - w) * F.col("_prior")).alias(f"{key}_te")))
+
+
 def apply_standard(df: DataFrame, fitted: DataFrame, cols, by=("split_id",)) -> DataFrame:
     j = df.join(F.broadcast(fitted), list(by), "left")
     return j.select(*[c for c in df.columns if c not in cols],

@@ -20,6 +20,18 @@ def baseline_predictions(tagged: DataFrame, y: str = "sales_quantity") -> DataFr
                       F.coalesce(F.col("_pm"), F.col("_gm")).alias("y_pred"))
 
 
+def expanding_baselines(df: DataFrame, windows, y: str = "sales_quantity") -> DataFrame:
+    """M13 from monthly partial moments: the result of ``baseline_predictions`` without
+    a copy of the training rows for each split.  A split needs training rows."""
+    from .splits import in_windows, train_moments
+    pm = train_moments(df, windows, [y], ["primary_platform"]).select("split_id", "primary_platform", F.col(f"{y}__mean").alias("_pm"))
+    gm = train_moments(df, windows, [y]).select("split_id", F.col(f"{y}__mean").alias("_gm"))
+    out = in_windows(df, windows, "val").join(F.broadcast(gm), "split_id").join(pm, ["split_id", "primary_platform"], "left")
+    return out.select("split_id", F.lit("val").alias("role"), "sales_month", "primary_platform", "store_name", "brand_name",
+                      "product_code", F.col(y).alias("y_true"), F.col("_gm").alias("y_pred_mean"),
+                      F.coalesce(F.col("_pm"), F.col("_gm")).alias("y_pred"))
+
+
 def target_correlations(df: DataFrame, features, target: str = "sales_quantity_log") -> DataFrame:
     """|Pearson r| of each feature with the target, long form."""
     from .gram import target_correlations as correlated

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -63,6 +63,42 @@ def tag_splits(df: DataFrame, windows, date_col: str = "sales_month", drop_empty
     return out
 
 
+def in_windows(df: DataFrame, windows, role: str, date_col: str = "sales_month") -> DataFrame:
+    """``df`` with split_id, a row for each of the windows of one ``role`` (train or val) that holds it."""
+    first, end = (1, 2) if role == "train" else (3, 4)
+    arr = F.array(*[F.struct(F.lit(w[0]).alias("split_id"), F.lit(w[first]).alias("lo"), F.lit(w[end]).alias("hi")) for w in windows])
+    d = F.col(date_col)
+    reach = (d >= F.lit(min(w[first] for w in windows))) & (d < F.lit(max(w[end] for w in windows)))
+    return (df.where(reach).select("*", F.explode(F.filter(arr, lambda s: (d >= s["lo"]) & (d < s["hi"]))).alias("_s"))
+            .select(*df.columns, F.col("_s.split_id").alias("split_id")))
+
+
+def train_moments(df: DataFrame, windows, cols, keys=(), date_col: str = "sales_month") -> DataFrame:
+    """Count, mean, population std, least and greatest value of ``cols`` over each
+    split's training rows, by ``keys``: (split_id, keys..., {col}__n, __mean, __std, __min, __max).
+
+    The fact is aggregated once, by month and ``keys``; what the expanding windows
+    add up are these partial moments, a row for each month and key, so no row of
+    the fact is copied for the splits it belongs to.  Null keys are a group.
+    """
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"_n_{c}"), F.sum(x).alias(f"_s_{c}"), F.var_pop(x).alias(f"_v_{c}"),
+                 F.min(x).alias(f"_a_{c}"), F.max(x).alias(f"_b_{c}")]
+    months = in_windows(df.groupBy(date_col, *keys).agg(*aggs), windows, "train", date_col)
+    whole = Window.partitionBy("split_id", *keys)  # at most a row for each month
+    mean = {c: F.try_divide(F.sum(f"_s_{c}").over(whole), F.sum(f"_n_{c}").over(whole)) for c in cols}
+    months = months.select("*", *[m.alias(f"_m_{c}") for c, m in mean.items()])
+    out = []
+    for c in cols:
+        n, away = F.col(f"_n_{c}"), F.try_divide(F.col(f"_s_{c}"), F.col(f"_n_{c}")) - F.col(f"_m_{c}")
+        out += [F.sum(n).alias(f"{c}__n"), F.first(f"_m_{c}").alias(f"{c}__mean"),
+                F.sqrt(F.try_divide(F.sum(n * (F.col(f"_v_{c}") + away * away)), F.sum(n))).alias(f"{c}__std"),
+                F.min(f"_a_{c}").alias(f"{c}__min"), F.max(f"_b_{c}").alias(f"{c}__max")]
+    return months.groupBy("split_id", *keys).agg(*out)
+
+
 def split_summary(tagged: DataFrame, date_col: str = "sales_month") -> DataFrame:
     """L7 + the integrity check: per split and role counts and periods; a split is
     kept only when both roles are non-empty and max(train) < min(val)."""

@@ -58,7 +58,7 @@ pred AS (SELECT v.split_id, v.role, v.sales_month, v.primary_platform, v.store_n
 
 
 def predictions(spark, d):
-    return md.baseline_predictions(tagged(spark, d))
+    return md.expanding_baselines(base(spark, d), WINDOWS)
 
 
 def _metric_sql(y="y_true", p="y_pred"):
@@ -156,8 +156,8 @@ SELECT split_id, {', '.join(f"{R(f'avg({c})')} AS {c}__mean" for c in ('sales_qu
        {', '.join(f"{R(f'CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END')} AS {c}__std" for c in ('sales_quantity', 'unit_price'))}
 FROM tagged WHERE role = 'train' GROUP BY 1"""))
 def m5_standard(spark, d):
-    t = tagged(spark, d).where(F.col("role") == "train")
-    return finalize(en.fit_standard(t, ["sales_quantity", "unit_price"]))
+    cols = ["sales_quantity", "unit_price"]
+    return finalize(en.standard_of(sp.train_moments(base(spark, d), WINDOWS, cols), cols))
 
 
 @register("m9_target_encoding_brand", with_base_ctes(TAGGED + """,
@@ -167,8 +167,39 @@ g AS (SELECT split_id, brand_name, avg(sales_quantity) AS m, count(sales_quantit
 SELECT split_id, brand_name, {R('(1 / (1 + exp(-(n - 1.0) / 1.0))) * m + (1 - 1 / (1 + exp(-(n - 1.0) / 1.0))) * prior')} AS brand_name_te
 FROM g JOIN pr USING (split_id)"""))
 def m9_target_encoding(spark, d):
-    t = tagged(spark, d).where(F.col("role") == "train")
-    return finalize(en.target_encode(t, "brand_name", "sales_quantity"))
+    b, y = base(spark, d), "sales_quantity"
+    return finalize(en.target_encode_of(sp.train_moments(b, WINDOWS, [y], ["brand_name"]), sp.train_moments(b, WINDOWS, [y]),
+                                        "brand_name", y))
+
+
+@register("m6_minmax_apply", with_base_ctes(TAGGED + """,
+mm AS (SELECT split_id, min(sales_quantity) AS a, max(sales_quantity) AS b, min(unit_price) AS c, max(unit_price) AS d
+       FROM tagged WHERE role = 'train' GROUP BY 1)""", f"""
+SELECT split_id, {D('sales_month')} AS sales_month, {E}, product_code,
+       {R('(sales_quantity - a) / CASE WHEN b = a THEN 1 ELSE b - a END')} AS sales_quantity,
+       {R('(unit_price - c) / CASE WHEN d = c THEN 1 ELSE d - c END')} AS unit_price
+FROM tagged JOIN mm USING (split_id) WHERE role = 'val'"""))
+def m6_minmax_apply(spark, d):
+    """M6: fitted on each split's training rows, applied to its validation rows."""
+    b, cols = base(spark, d), ["sales_quantity", "unit_price"]
+    fitted = en.minmax_of(sp.train_moments(b, WINDOWS, cols), cols)
+    rows = sp.in_windows(b, WINDOWS, "val").select("split_id", "sales_month", *E.split(", "), "product_code", *cols)
+    return finalize(en.apply_minmax(rows, fitted, cols))
+
+
+@register("m5_standard_apply", with_base_ctes(TAGGED + """,
+ms AS (SELECT split_id, avg(sales_quantity) AS a, stddev_pop(sales_quantity) AS b, avg(unit_price) AS c, stddev_pop(unit_price) AS d
+       FROM tagged WHERE role = 'train' GROUP BY 1)""", f"""
+SELECT split_id, {D('sales_month')} AS sales_month, {E}, product_code,
+       {R('(sales_quantity - a) / CASE WHEN b = 0 THEN 1 ELSE b END')} AS sales_quantity,
+       {R('(unit_price - c) / CASE WHEN d = 0 THEN 1 ELSE d END')} AS unit_price
+FROM tagged JOIN ms USING (split_id) WHERE role = 'val'"""))
+def m5_standard_apply(spark, d):
+    """M5: fitted on each split's training rows, applied to its validation rows."""
+    b, cols = base(spark, d), ["sales_quantity", "unit_price"]
+    fitted = en.standard_of(sp.train_moments(b, WINDOWS, cols), cols)
+    rows = sp.in_windows(b, WINDOWS, "val").select("split_id", "sales_month", *E.split(", "), "product_code", *cols)
+    return finalize(en.apply_standard(rows, fitted, cols))
 
 
 HOLDOUT_YEAR = BASE_YEAR + 2
