@@ -84,6 +84,24 @@ def metrics_by(df: DataFrame, keys, y="y_true", p="y_pred") -> DataFrame:
     return df.groupBy(*keys).agg(*metric_aggs(y, p))
 
 
+def platform_over_splits(df: DataFrame, y="y_true", p="y_pred", key="primary_platform") -> DataFrame:
+    """Safe MAPE of each (split, platform), then its mean, std (ddof 0), least, greatest
+    value and number of splits by platform."""
+    per = df.groupBy("split_id", key).agg(safe_mape_log(F.log1p(y), F.log1p(p)).alias("_m"))
+    m = F.col("_m")
+    return per.groupBy(key).agg(F.avg(m).alias("mean_mape"), F.stddev_pop(m).alias("std_mape"), F.min(m).alias("min_mape"),
+                                F.max(m).alias("max_mape"), F.count(m).alias("splits_analyzed"))
+
+
+def baseline_summary(baselines: DataFrame, cols, model_mape: float) -> DataFrame:
+    """Best baseline under 1000 (null if none), the model's improvement factor over
+    it (0 for a model MAPE of 0 or less) and the assessment."""
+    best = F.array_min(F.array_compact(F.array(*[F.when(F.col(c) < 1000, F.col(c)) for c in cols])))
+    factor = best / model_mape if model_mape > 0 else F.lit(0.0)
+    return baselines.select("*", best.alias("best_baseline_mape"), factor.alias("improvement_factor"),
+                            F.lit("Outstanding" if model_mape < 10 else "Excellent").alias("business_assessment"))
+
+
 def monitored_metrics(y: Column, p: Column):
     """Training-monitor MAPE and RMSE on log inputs: expm1, clip [1, 1e6];
     errors are divided by y + 1 and the mean, not the rows, is clipped to [0, 1000]."""

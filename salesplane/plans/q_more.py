@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.stats import group_quantiles
 from ..operators import calendar as cal
 from ..operators import encode as en
 from ..operators import gram
@@ -17,7 +18,7 @@ from ..operators import stores as st
 from ..operators import temporal as tp
 from .base import D, R, base, finalize, with_base_ctes
 from .catalog import register
-from .q_eval import PRED_SQL, TAGGED, _metric_sql, predictions, tagged
+from .q_eval import PRED_SQL, TAGGED, WINDOWS, _metric_sql, predictions, tagged
 
 E = "primary_platform, store_name, brand_name"
 KEYS = ["sales_month", *tp.ENTITY, "product_code"]
@@ -229,6 +230,93 @@ def k6_brands(spark, d):
         F.count("*").alias("samples"), F.avg("percentage_error").alias("mean_ape")))
 
 
+@register("k5_best10_predictions", with_base_ctes(PRED_SQL, f"""
+SELECT split_id, {KEYS_SQL}, {R('abs(y_pred - y_true) / (y_true + 1.0) * 100')} AS percentage_error FROM pred
+ORDER BY abs(y_pred - y_true) / (y_true + 1.0) * 100, split_id, sales_month, {E}, product_code LIMIT 10"""))
+def k5_best(spark, d):
+    """K5: the ten most exact predictions."""
+    e = mt.row_errors(predictions(spark, d))
+    return finalize(e.orderBy("percentage_error", "split_id", *KEYS).limit(10).select("split_id", *KEYS, "percentage_error"))
+
+
+@register("k6_top10_stores_mape", with_base_ctes(PRED_SQL + """,
+top AS (SELECT store_name FROM pred GROUP BY 1 ORDER BY count(*) DESC, store_name LIMIT 10)""", f"""
+SELECT store_name, count(*) AS samples, {R('avg(abs(y_pred - y_true) / (y_true + 1.0) * 100)')} AS mean_ape
+FROM pred WHERE store_name IN (SELECT store_name FROM top) GROUP BY 1"""))
+def k6_stores(spark, d):
+    """K6 for stores."""
+    e = mt.row_errors(predictions(spark, d))
+    top = [b for (b,) in ix.top_keys(e, ["store_name"], 10)]
+    return finalize(e.where(F.col("store_name").isin(top)).groupBy("store_name").agg(
+        F.count("*").alias("samples"), F.avg("percentage_error").alias("mean_ape")))
+
+
+@register("x9_top10_brands", with_base_ctes(NOP, """
+SELECT brand_name, count(*) AS n FROM base GROUP BY 1 ORDER BY n DESC, brand_name LIMIT 10"""))
+def x9_brands(spark, d):
+    """The ten brands with the most rows."""
+    return finalize(base(spark, d).groupBy("brand_name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "brand_name").limit(10))
+
+
+@register("x16_split_platform_means", with_base_ctes(TAGGED, f"""
+SELECT split_id, primary_platform, {R("avg(CASE WHEN role = 'train' THEN sales_quantity END)")} AS train_mean,
+       {R("avg(CASE WHEN role = 'val' THEN sales_quantity END)")} AS val_mean FROM tagged GROUP BY 1, 2"""))
+def x16_platform_means(spark, d):
+    """Platform means of training and validation rows side by side."""
+    b, y = base(spark, d), "sales_quantity"
+    train = sp.train_moments(b, WINDOWS, [y], ["primary_platform"]).select("split_id", "primary_platform", F.col(f"{y}__mean").alias("train_mean"))
+    val = sp.in_windows(b, WINDOWS, "val").groupBy("split_id", "primary_platform").agg(F.avg(y).alias("val_mean"))
+    return finalize(train.join(val, ["split_id", "primary_platform"], "full"))
+
+
+@register("x17_test_platform_share", with_base_ctes(PRED_SQL, f"""
+SELECT split_id, primary_platform, count(*) AS rows, {R('count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY split_id)')} AS share_percent
+FROM pred GROUP BY 1, 2"""))
+def x17_platform_share(spark, d):
+    """platforms' shares of the test rows."""
+    from pyspark.sql import Window
+    n = predictions(spark, d).groupBy("split_id", "primary_platform").agg(F.count("*").alias("rows"))
+    return finalize(n.withColumn("share_percent", F.col("rows") * 100.0 / F.sum("rows").over(Window.partitionBy("split_id"))))
+
+
+_CLIPPED = {c: f"least(greatest(exp(ln(1 + {c})) - 1, 0.1), 1e6)" for c in ("y_true", "y_pred")}
+
+
+@register("e14_platform_over_splits", with_base_ctes(PRED_SQL + f""",
+ps AS (SELECT primary_platform, least(avg(abs({_CLIPPED['y_true']} - {_CLIPPED['y_pred']}) / ({_CLIPPED['y_true']} + 1.0)) * 100, 1000.0) AS m
+       FROM pred GROUP BY split_id, primary_platform)""", f"""
+SELECT primary_platform, {R('avg(m)')} AS mean_mape, {R('stddev_pop(m)')} AS std_mape, {R('min(m)')} AS min_mape,
+       {R('max(m)')} AS max_mape, count(*) AS splits_analyzed FROM ps GROUP BY 1"""))
+def e14_over_splits(spark, d):
+    """Platform errors over the splits."""
+    return finalize(mt.platform_over_splits(predictions(spark, d)))
+
+
+for _key in ("brand_name", "store_name"):
+    register(f"e16_metrics_by_{_key.split('_')[0]}", with_base_ctes(PRED_SQL, f"""
+SELECT {_key}, {_metric_sql()} FROM pred GROUP BY 1"""))(
+        lambda spark, d, key=_key: finalize(mt.metrics_by(predictions(spark, d), [key])))
+
+#: The evaluator's assumed MAPE of the model.
+EXPECTED_MAPE = 4.86
+
+
+@register("e23_improvement_over_baselines", with_base_ctes(PRED_SQL + """,
+b AS (SELECT split_id,
+             avg(abs(least(greatest(y_true, 1), 1e6) - least(greatest(y_pred_mean, 1), 1e6)) / (least(greatest(y_true, 1), 1e6) + 1)) * 100 AS a,
+             avg(abs(least(greatest(y_true, 1), 1e6) - least(greatest(y_pred, 1), 1e6)) / (least(greatest(y_true, 1), 1e6) + 1)) * 100 AS c
+      FROM pred GROUP BY 1),
+m AS (SELECT *, least(CASE WHEN a < 1000 THEN a END, CASE WHEN c < 1000 THEN c END) AS best FROM b)""", f"""
+SELECT split_id, {R('a')} AS mean_baseline_mape, {R('c')} AS platform_baseline_mape, {R('best')} AS best_baseline_mape,
+       {R(f'best / {EXPECTED_MAPE}')} AS improvement_factor, 'Outstanding' AS business_assessment FROM m"""))
+def e23_improvement(spark, d):
+    """Best baseline under 1000, improvement factor and assessment."""
+    y = F.col("y_true")
+    t = predictions(spark, d).groupBy("split_id").agg(mt.evaluator_mape(y, F.col("y_pred_mean")).alias("mean_baseline_mape"),
+                                                      mt.evaluator_mape(y, F.col("y_pred")).alias("platform_baseline_mape"))
+    return finalize(mt.baseline_summary(t, ["mean_baseline_mape", "platform_baseline_mape"], EXPECTED_MAPE))
+
+
 @register("k7_best_worst_split", with_base_ctes(PRED_SQL + f""",
 ps AS (SELECT split_id, {_metric_sql()} FROM pred GROUP BY 1)""", """
 SELECT arg_min(split_id, (mape, split_id)) AS best_split, arg_max(split_id, (mape, -split_id)) AS worst_split FROM ps"""))
@@ -419,9 +507,9 @@ SELECT split_id, {R('avg(y_true)')} AS mean, {R('quantile_cont(y_true, 0.5)')} A
 def x17_test_chars(spark, d):
     p = predictions(spark, d)
     y = F.col("y_true")
-    return finalize(p.groupBy("split_id").agg(F.avg(y).alias("mean"), F.percentile(y, 0.5).alias("median"),
-                                              F.stddev_samp(y).alias("std"), F.min(y).alias("min"),
-                                              F.max(y).alias("max")))
+    medians = group_quantiles(p, ["split_id"], ["y_true"], [0.5]).select("split_id", F.col("q")[0].alias("median"))
+    return finalize(p.groupBy("split_id").agg(F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"), F.min(y).alias("min"),
+                                              F.max(y).alias("max")).join(medians, "split_id"))
 
 
 @register("pipeline_engineer_all")
