@@ -223,7 +223,7 @@ FROM (SELECT *, avg(sales_quantity) OVER {_f(3)} AS m3, avg(sales_quantity) OVER
              {', '.join(f"coalesce({_pct_sql('sales_quantity', f'lag(sales_quantity, {k}) OVER ({WE})')}, 0) AS p{k}" for k in (1, 3, 6))}
       FROM base)"""))
 def w20_momentum_v1(spark, d):
-    """W20-W24."""
+    """W20-W23."""
     out = skew.chunked(base(spark, d), lambda x, e: tp.momentum_v1(x, entity=e))
     return finalize(out.select(*KEYS, *V1_MOM))
 

@@ -381,6 +381,7 @@ SELECT {D('sales_month')} AS sales_month, {E}, product_code, is_extreme_spike, i
 FROM (SELECT base.*, CAST(sales_quantity > q99 AS INTEGER) AS is_extreme_spike,
              CAST(sales_quantity > q95 AS INTEGER) AS is_major_spike FROM base, qq)"""))
 def a43(spark, d):
+    """A43 / W24."""
     b = base(spark, d)
     q95, q99 = quantiles(b, "sales_quantity", [0.95, 0.99])
     out = tp.spike_history(b, q95, q99)
