@@ -1,5 +1,7 @@
 """Faults found by brute force, kept from coming back."""
 
+import collections
+import hashlib
 import random
 import time
 
@@ -7,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from salesplane.llm import embedding_dedup, html_text, language_id, license_scan, packing, secret_scan
+from salesplane.llm import embedding_dedup, html_text, language_id, license_scan, packing, secret_scan, suffix_dedup
 
 SF = "/root/testdata/sf0.01"
 
@@ -78,3 +80,25 @@ def test_notice_scores_do_not_depend_on_the_number_of_rows(spark):
 
     small, large = score(5), score(250)
     assert small[0] == large[0] == "MIT" and abs(small[1] - large[1]) < 0.03
+
+
+def test_removed_bytes_equal_those_of_plain_hashing(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs.select("doc_id", "text").collect()}
+    seen = collections.Counter(hash(t[i:i + 400]) for t in texts.values() for i in range(len(t) - 399))
+    want = {}
+    for k, t in texts.items():
+        gone, runs, removed, reach = [], 0, 0, -1
+        for i in range(len(t) - 399):
+            if seen[hash(t[i:i + 400])] > 1:
+                runs += i > reach
+                removed += i + 400 - max(i, reach)
+                gone.append((max(i, reach), i + 400))
+                reach = i + 400
+        kept, at = [], 0
+        for a, b in gone:
+            kept.append(t[at:a])
+            at = b
+        want[k] = (len(t), removed, runs, hashlib.sha256(b"".join([*kept, t[at:]])).hexdigest())
+    got = {r[0]: tuple(r)[1:] for r in suffix_dedup.deduplicate(docs).collect()}
+    assert got == want
