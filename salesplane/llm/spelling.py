@@ -6,7 +6,9 @@ range builds its edges, and nodes that lie on a border between ranges are kept i
 both, so the parts fit together.  Frontier states (word, pos, node, edits) join
 the edges level by level: a state without an edit follows its own word, and where
 another edge leaves its path takes the one edit there; a state with an edit must
-match each label.  States at the end of their word in a node that ends a word are
+match each label.  An edge tells how many letters words have below its child and
+which letters follow there, so a state that cannot reach a word's end is dropped
+where it arises.  States at the end of their word in a node that ends a word are
 its neighbours.
 
 Two words one edit apart agree in at least half their letters before or after the
@@ -38,36 +40,44 @@ FORM_RATIO = 2
 #: Words of a range whose edges are built together, and words counted together.
 RANGE_WORDS = 50_000
 COUNTED_WORDS = 300_000
-
-_RUN = re.compile("[A-Za-zÀ-ÿ]+")
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+#: Bits of an edge's masks; a word's rest of so many letters or more has the last one.
+MASK_BITS = 62
 
 
 def changed(doc_id: int | None, run: str) -> str:
     """The word of a lower-cased run; without doc_id it is the run."""
-    if doc_id is not None:
-        h = zlib.crc32(f"{doc_id}:{run}".encode())
-        if h % DROP_STEP == 0:
-            i = h % len(run)
-            return run[:i] + run[i + 1:]
-    return run
+    return run if doc_id is None else _dropped(zlib.crc32(f"{doc_id}:{run}".encode()), run)
+
+
+def _dropped(h: int, run: str) -> str:
+    if h % DROP_STEP:
+        return run
+    i = h % len(run)
+    return run[:i] + run[i + 1:]
 
 
 def word_counts(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT) -> DataFrame:
     """(word, n) of ``docs`` (doc_id, text).  A task adds up its words before they are shuffled."""
+    long_run = f"[a-zÀ-ÿ]{{{min_length},}}"  # a shorter run gives no word
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: Counter = Counter()
+        runs_of = re.compile(long_run).findall
 
         def rows() -> pd.DataFrame:
             return pd.DataFrame({"word": pd.Series(list(total), dtype=object), "n": pd.Series(list(total.values()), dtype="int64")})
 
         for pdf in batches:
             for doc_id, text in zip(pdf["doc_id"].astype("Int64"), pdf["text"]):
-                for run, k in Counter(_RUN.findall(text)).items():
-                    if len(run) >= min_length:
-                        word = changed(None if doc_id is pd.NA else doc_id, run.lower() if run.isascii() else run.translate(_LOWER))
+                # bytes.lower() changes A-Z only.
+                runs = Counter(runs_of(text.encode().lower().decode()))
+                if doc_id is not pd.NA:
+                    head = zlib.crc32(f"{doc_id}:".encode())
+                    for run in [r for r in runs if zlib.crc32(r.encode(), head) % DROP_STEP == 0]:
+                        word, k = changed(doc_id, run), runs.pop(run)
                         if len(word) >= min_length:
                             total[word] += k
+                total.update(runs)
                 if len(total) > COUNTED_WORDS:
                     yield rows()
                     total.clear()
@@ -143,6 +153,20 @@ def range_trie(words: list[str], of_first, of_last) -> tuple[list[int], list[int
     return depth, parent, word, ends
 
 
+def node_masks(words: list[str], depth: list[int], parent: list[int], word: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
+    """For each node, bit masks of the letters that words have below it (none: it
+    ends one) and of the letters that follow it."""
+    rest, letters, most = [0] * len(depth), [0] * len(depth), 1 << (MASK_BITS - 1)
+    for v in sorted(range(len(depth)), key=depth.__getitem__, reverse=True):
+        if ends[v] >= 0:
+            rest[v] |= 1
+        if (p := parent[v]) >= 0:
+            below = rest[v] << (depth[v] - depth[p])
+            rest[p] |= below if below < most else below & (most - 1) | most
+            letters[p] |= 1 << ord(words[word[v]][depth[p]]) % MASK_BITS
+    return rest, letters
+
+
 def _half(length: int) -> int:
     """Least number of letters before an edit that the trie of this direction finds."""
     return length // 2
@@ -151,8 +175,8 @@ def _half(length: int) -> int:
 def trie(words: DataFrame, range_words: int = RANGE_WORDS) -> tuple[DataFrame, DataFrame]:
     """(edges, frontier) of ``words`` (word; distinct, in any one direction).
 
-    edges: (node, label, child, ends): ``ends`` is the word that ends in the child,
-    or null.  frontier: each word at its first node at or beyond half its length:
+    edges: (node, label, child, ends, rest, letters): ``ends`` is the word that ends
+    in the child, or null; rest and letters are the child's masks.  frontier: each word at its first node at or beyond half its length:
     (word, pos, node).  Nodes are named by a hash of their prefix."""
     n = words.count()
     placed = staged(words.repartitionByRange(max(1, -(-n // range_words)), "word")
@@ -177,19 +201,22 @@ def trie(words: DataFrame, range_words: int = RANGE_WORDS) -> tuple[DataFrame, D
         own = sorted(pdf["word"])
         depth, parent, word, ends = range_trie(own, pdf["of_first"].iloc[0], pdf["of_last"].iloc[0])
         name = [xxhash.xxh3_64_intdigest(own[w][:d]) - (1 << 63) for d, w in zip(depth, word)]
-        out = [(name[p], own[w][depth[p]:d], name[v], own[e] if e >= 0 else None, -1)
+        rest, letters = node_masks(own, depth, parent, word, ends)
+        out = [(name[p], own[w][depth[p]:d], name[v], own[e] if e >= 0 else None, rest[v], letters[v], -1)
                for v, (d, p, w, e) in enumerate(zip(depth, parent, word, ends)) if p >= 0]
         for v, e in enumerate(ends):
             if e >= 0:
                 while parent[v] >= 0 and depth[parent[v]] >= _half(len(own[e])):
                     v = parent[v]
-                out.append((name[v], None, 0, own[e], depth[v]))
-        return pd.DataFrame(out, columns=["node", "label", "child", "ends", "pos"])
+                out.append((name[v], None, 0, own[e], 0, 0, depth[v]))
+        return pd.DataFrame(out, columns=["node", "label", "child", "ends", "rest", "letters", "pos"])
 
     built = staged(placed.join(if_small(borders), "part").groupBy("part")
-                   .applyInPandas(build, "node long, label string, child long, ends string, pos int"))
-    # A border's edges are built in several ranges; the one that holds the child's word knows it.
-    edges = built.where("pos < 0").groupBy("node", "label").agg(F.first("child").alias("child"), F.max("ends").alias("ends"))
+                   .applyInPandas(build, "node long, label string, child long, ends string, rest long, letters long, pos int"))
+    # A border's edges are built in several ranges; the one that holds the child's word knows it,
+    # and each knows the words of its own below the child.
+    edges = (built.where("pos < 0").groupBy("node", "label")
+             .agg(F.first("child").alias("child"), F.max("ends").alias("ends"), F.bit_or("rest").alias("rest"), F.bit_or("letters").alias("letters")))
     return edges, built.where("pos >= 0").select(F.col("ends").alias("word"), "pos", "node")
 
 
@@ -205,19 +232,23 @@ def _advance(states: DataFrame, edges: DataFrame) -> DataFrame:
     def words_from(start: int, length: Column) -> Column:
         return F.col("word").substr(pos + start + 1, length)
 
-    states = states.withColumn("next", F.expr("substring(word, pos + 1, 1)"))
-    along = (states.where("next != ''").join(edges, (states["node"] == edges["from"]) & (F.col("next") == F.col("letter")))
-             .where(words_from(0, size) == label)
-             .select("word", (pos + size).cast("int").alias("pos"), F.col("child").alias("node"), "edits", "ends"))
-    one = F.lit(1)
+    def has(mask: str, bit: Column) -> Column:
+        return F.col(mask).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bit.cast("int"))) != 0
+
+    own, fresh, one = F.col("next") == F.col("letter"), F.col("edits") == 0, F.lit(1)
     ways = F.array(
-        F.when((left >= size) & (words_from(1, size - 1) == tail), to(pos + size, one)),
-        F.when((left >= size - 1) & (words_from(0, size - 1) == tail), to(pos + size - 1, one)),
-        F.when((left > size) & (words_from(1, size) == label), to(pos + size + 1, one)))
-    branch = (states.where("edits = 0").join(edges, F.col("node") == F.col("from")).where("next != letter")
-              .select("word", "child", "ends", F.explode(F.array_compact(ways)).alias("to"))
-              .select("word", "to.pos", F.col("child").alias("node"), "to.edits", "ends"))
-    return along.unionByName(branch)
+        F.when(own & (words_from(0, size) == label), to(pos + size, F.col("edits"))),
+        F.when(~own & (left >= size) & (words_from(1, size - 1) == tail), to(pos + size, one)),
+        F.when(~own & (left >= size - 1) & (words_from(0, size - 1) == tail), to(pos + size - 1, one)),
+        F.when(~own & (left > size) & (words_from(1, size) == label), to(pos + size + 1, one)))
+    moved = (states.withColumn("next", F.expr("substring(word, pos + 1, 1)"))
+             .join(edges, (F.col("node") == F.col("from")) & (fresh | own))
+             .select("word", F.col("child").alias("node"), "ends", "rest", "letters", F.explode(F.array_compact(ways)).alias("to"))
+             .select("word", "to.pos", "node", "to.edits", "ends", "rest", "letters"))
+    # What is left of an edited word has to end below the node; an unedited word needs a way on.
+    after = has("letters", F.ascii(F.expr("substring(word, pos + 1, 1)")) % MASK_BITS)
+    edited = has("rest", F.least(left, F.lit(MASK_BITS - 1))) & ((left == 0) | after)
+    return moved.where(F.when(fresh, F.col("letters") != 0).otherwise(edited)).drop("rest", "letters")
 
 
 def neighbours(words: DataFrame, range_words: int = RANGE_WORDS) -> DataFrame:
@@ -231,15 +262,14 @@ def neighbours(words: DataFrame, range_words: int = RANGE_WORDS) -> DataFrame:
     one_less = (F.col("edits") == 0) & (F.col("pos") == F.length("word") - 1) & F.col("ends").isNotNull()
     for turn in (lambda c: c, F.reverse):
         edges, frontier = trie(words.select(turn(F.col("word")).alias("word")), range_words)
-        edges = staged(edges.select(F.col("node").alias("from"), F.substring("label", 1, 1).alias("letter"), "label", "child", "ends"))
-        edges = if_small(edges)
+        edges = staged(edges.select(F.col("node").alias("from"), F.substring("label", 1, 1).alias("letter"), "label", "child", "ends", "rest", "letters"))
         ends = edges.where("ends is not null").select(F.col("child").alias("node"), "ends").distinct()
         first = frontier.where(F.col("pos") == F.length("word") - 1)
         states = staged(frontier.withColumn("edits", F.lit(0)).withColumn("ends", F.lit(None).cast("string"))
                         .unionByName(first.join(ends, "node").withColumn("edits", F.lit(0)).select("word", "pos", "node", "edits", "ends")))
         while True:
             found.append(states.where(at_end | one_less).select(turn(F.col("word")).alias("word"), turn(F.col("ends")).alias("near")))
-            live = states.where((F.col("edits") == 0) | (F.col("pos") < F.length("word"))).drop("ends").distinct()
+            live = states.where((F.col("edits") == 0) | (F.col("pos") < F.length("word"))).drop("ends")
             if live.isEmpty():
                 break
             states = staged(_advance(live, edges))
