@@ -235,20 +235,23 @@ def _advance(states: DataFrame, edges: DataFrame) -> DataFrame:
     def has(mask: str, bit: Column) -> Column:
         return F.col(mask).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bit.cast("int"))) != 0
 
+    def fits(used: Column) -> Column:
+        """A word below the child has as many letters there as the state's word beyond these."""
+        return (left >= used) & has("rest", F.least(left - used, F.lit(MASK_BITS - 1)))
+
     own, fresh, one = F.col("next") == F.col("letter"), F.col("edits") == 0, F.lit(1)
     ways = F.array(
-        F.when(own & (words_from(0, size) == label), to(pos + size, F.col("edits"))),
-        F.when(~own & (left >= size) & (words_from(1, size - 1) == tail), to(pos + size, one)),
-        F.when(~own & (left >= size - 1) & (words_from(0, size - 1) == tail), to(pos + size - 1, one)),
-        F.when(~own & (left > size) & (words_from(1, size) == label), to(pos + size + 1, one)))
+        F.when(own & (fresh | fits(size)) & (words_from(0, size) == label), to(pos + size, F.col("edits"))),
+        F.when(~own & fits(size) & (words_from(1, size - 1) == tail), to(pos + size, one)),
+        F.when(~own & fits(size - 1) & (words_from(0, size - 1) == tail), to(pos + size - 1, one)),
+        F.when(~own & fits(size + 1) & (words_from(1, size) == label), to(pos + size + 1, one)))
     moved = (states.withColumn("next", F.expr("substring(word, pos + 1, 1)"))
              .join(edges, (F.col("node") == F.col("from")) & (fresh | own))
-             .select("word", F.col("child").alias("node"), "ends", "rest", "letters", F.explode(F.array_compact(ways)).alias("to"))
-             .select("word", "to.pos", "node", "to.edits", "ends", "rest", "letters"))
-    # What is left of an edited word has to end below the node; an unedited word needs a way on.
+             .select("word", F.col("child").alias("node"), "ends", "letters", F.explode(F.array_compact(ways)).alias("to"))
+             .select("word", "to.pos", "node", "to.edits", "ends", "letters"))
+    # An edited word's next letter has to follow the node; an unedited word needs a way on.
     after = has("letters", F.ascii(F.expr("substring(word, pos + 1, 1)")) % MASK_BITS)
-    edited = has("rest", F.least(left, F.lit(MASK_BITS - 1))) & ((left == 0) | after)
-    return moved.where(F.when(fresh, F.col("letters") != 0).otherwise(edited)).drop("rest", "letters")
+    return moved.where(F.when(fresh, F.col("letters") != 0).otherwise((left == 0) | after)).drop("letters")
 
 
 def neighbours(words: DataFrame, range_words: int = RANGE_WORDS) -> DataFrame:
