@@ -27,13 +27,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import if_small, read_table, staged, text_key
+from .common import discard, if_small, read_table, staged, text_key
 
 WINDOW = 35
 ROUNDS = 4
 #: Words that are parsed together, and words whose names a task remembers.
 SEGMENT = 1 << 18
 KNOWN_WORDS = 1 << 19
+#: Rows of 64 bits in the map of shared anchors.
+FILTER_WORDS = 1 << 20
 
 _U = np.uint64
 
@@ -167,6 +169,16 @@ def _digest(words: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(words.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def _maybe(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """``rows`` (a) without most of those whose ``a`` is not in ``names`` (a): a bit
+    map of the names, of at most FILTER_WORDS rows, drops them before a shuffle."""
+    word = F.pmod("a", F.lit(FILTER_WORDS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright("a", 32), F.lit(64)).cast("int"))
+    bits = staged(names.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")))
+    return (rows.withColumn("word", word).join(F.broadcast(bits), "word")
+            .where(F.col("bits").bitwiseAND(bit) != 0).drop("word", "bits"))
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
     """(key, spans): for each distinct text of ``docs`` (text) that holds repeated
     windows, the word ranges (first, end) they cover, overlapping."""
@@ -194,7 +206,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
     texts = docs.select(text_key(F.col("text")).alias("key"), "text").where(F.octet_length("text") >= 2 * window - 1)
     found = staged(texts.mapInPandas(parse, "key binary, s int, e int, a long, c long"))
     anchors = staged(found.groupBy("a").count().where("count > 1").select("a"))
-    live = staged(found.join(if_small(anchors), "a"))
+    live = staged(_maybe(found, anchors).join(if_small(anchors), "a"))
+    discard(found)
 
     same = staged(live.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(F.struct("key", "s", "e")).alias("at")))
     mixed = staged(same.groupBy("a").count().where("count > 1").select("a"))
