@@ -72,3 +72,49 @@ def store_type_by_platform(df: DataFrame, type_col: str = "store_type") -> DataF
     return df.groupBy(type_col, "primary_platform").agg(F.count("*").alias("rows"),
                                                          F.sum("sales_quantity").alias("quantity"),
                                                          F.count_distinct("store_name").alias("stores"))
+
+
+def store_flag_totals(df: DataFrame, groups: dict[str, DataFrame], all_label: str = "all") -> DataFrame:
+    """X11: (primary_platform, flag_group, flag, total): how many rows of ``df`` carry
+    each 0/1 flag, by platform and over all platforms (``all_label``).
+
+    ``groups`` names tables of flags, keyed by store_name or (primary_platform,
+    store_name).  Rows are counted by store first, so only one row a store is
+    joined; rows without a store, or without a row in a table, carry no flag.
+    """
+    keys = ["primary_platform", "store_name"]
+    t, flags = df.groupBy(*keys).agg(F.count("*").alias("n_rows")), []
+    for group, table in groups.items():
+        on = [k for k in keys if k in table.columns]
+        own = [c for c in table.columns if c not in keys]
+        t = t.join(table.select(*on, *own), on, "left")
+        flags += [(group, c) for c in own]
+    totals = t.rollup("primary_platform").agg(
+        F.grouping("primary_platform").alias("whole"),
+        *[F.coalesce(F.sum(F.col("n_rows") * F.col(c)), F.lit(0)).cast("long").alias(c) for _, c in flags])
+    rows = F.array(*[F.struct(F.lit(g).alias("flag_group"), F.lit(c).alias("flag"), F.col(c).alias("total")) for g, c in flags])
+    return (totals.select(F.when(F.col("whole") == 1, F.lit(all_label)).otherwise(F.col("primary_platform")).alias("primary_platform"),
+                          F.explode(rows).alias("r")).select("primary_platform", "r.*"))
+
+
+def _brand_store_sums(df: DataFrame) -> DataFrame:
+    return df.groupBy("primary_platform", "brand_name", "store_name").agg(F.sum("sales_quantity").alias("quantity"))
+
+
+def platform_landscape(df: DataFrame) -> DataFrame:
+    """Quantity, share of all quantity in per cent (two decimals), stores and
+    brands of each platform; from one row for each (platform, brand, store)."""
+    t = _brand_store_sums(df)
+    per = t.groupBy("primary_platform").agg(F.sum("quantity").alias("quantity"), F.count_distinct("store_name").alias("stores"),
+                                            F.count_distinct("brand_name").alias("brands"))
+    total = per.agg(F.sum("quantity").alias("total_quantity"))  # one row
+    share = F.floor(F.try_divide(F.col("quantity") * 100, F.col("total_quantity")) * 100 + 0.5) / 100
+    return per.join(F.broadcast(total)).select("primary_platform", "quantity", share.alias("share_pct"), "stores", "brands")
+
+
+def brand_reach(df: DataFrame) -> DataFrame:
+    """Brands sold (quantity over 0) on one, two, and three or more platforms; rows without a brand don't count."""
+    sold = (_brand_store_sums(df).where("brand_name is not null").groupBy("brand_name", "primary_platform")
+            .agg(F.sum("quantity").alias("q")).groupBy("brand_name").agg(F.count_if(F.col("q") > 0).alias("np")))
+    return sold.agg(F.count_if(F.col("np") == 1).alias("single_platform"), F.count_if(F.col("np") == 2).alias("dual_platform"),
+                    F.count_if(F.col("np") >= 3).alias("multi_platform"))

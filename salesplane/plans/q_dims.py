@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import behaviour as bh
 from ..operators import calendar as cal
+from ..operators import explore as ex
 from ..operators import interactions as ix
 from ..operators import platforms as pf
 from ..operators import stores as st
@@ -132,20 +133,26 @@ FROM t, qq"""))(lambda spark, d: finalize(bh.performance_categories(base(spark,
 
 # ------------------------------------------------------------ N, A11 - A17 ----
 
-def _n1_sql():
-    parts = []
+def _n1_types_sql():
+    """CTE ty (store_name, store_type) and the type and weight arrays."""
+    arr, types, weights = [], [], []
     for ty, w, kws in st.K.STORE_TYPE_KEYWORDS:
         hits = " + ".join(f"CAST(contains(lower(coalesce(store_name, '')), '{k.lower()}') AS INTEGER)" for k in kws)
-        parts.append((ty, w, f"(({hits}) * {w})"))
-    arr = "[" + ", ".join(p[2] for p in parts) + "]"
-    types = "[" + ", ".join(f"'{p[0]}'" for p in parts) + "]"
-    weights = "[" + ", ".join(str(float(p[1])) for p in parts) + "]"
-    onehot = ", ".join(f"{I(f'store_type = {chr(39)}{p[0]}{chr(39)}')} AS store_type_{p[0]}" for p in parts)
-    return q(True, f"""
+        arr.append(f"(({hits}) * {w})")
+        types.append(f"'{ty}'")
+        weights.append(str(float(w)))
+    types = f"[{', '.join(types)}]"
+    return f"""
 s AS (SELECT DISTINCT store_name FROM base),
-sc AS (SELECT store_name, {arr} AS sc FROM s),
+sc AS (SELECT store_name, [{', '.join(arr)}] AS sc FROM s),
 ty AS (SELECT store_name, CASE WHEN list_max(sc) > 0 THEN {types}[list_position(sc, list_max(sc))]
-                          ELSE '{st.K.STORE_TYPE_DEFAULT}' END AS store_type FROM sc)""", f"""
+                          ELSE '{st.K.STORE_TYPE_DEFAULT}' END AS store_type FROM sc)""", types, f"[{', '.join(weights)}]"
+
+
+def _n1_sql():
+    ctes, types, weights = _n1_types_sql()
+    onehot = ", ".join(f"{I(f'store_type = {chr(39)}{t}{chr(39)}')} AS store_type_{t}" for t, _, _ in st.K.STORE_TYPE_KEYWORDS)
+    return q(True, ctes, f"""
 SELECT store_name, store_type, {onehot}, {R(f'{weights}[list_position({types}, store_type)]')} AS store_type_score
 FROM ty""")
 
@@ -411,3 +418,90 @@ def i1_interactions(spark, d):
     out = ix.platform_interactions(b, PLATS)
     return finalize(out.select("sales_month", *E.split(", "), "product_code",
                                *[f"month_{p.lower()}_interaction" for p in PLATS]))
+
+
+# ------------------------------------------- X11, X12: whole reports; K2, K3: the columns ----
+
+TYPE_FLAGS = [f"store_type_{t}" for t, _, _ in st.K.STORE_TYPE_KEYWORDS]
+QUALITY_FLAGS = ["store_quality_high", "store_quality_medium", "store_quality_low"]
+RETAILER_FLAGS = ["bm_multi_brand_retailer", "bm_high_volume_retailer", "bm_premium_retailer", "bm_budget_retailer"]
+
+
+def _x11_sql():
+    ctes = _n1_types_sql()[0] + f""",
+c AS (SELECT {ST}, count(*) AS n, stddev_samp(sales_quantity) / (avg(sales_quantity) + 1) AS c,
+             CAST(count(DISTINCT brand_name) * count(DISTINCT product_code) AS DOUBLE) AS dv,
+             CAST(count(DISTINCT sales_month) AS DOUBLE) AS lg, sum(sales_quantity) AS vol,
+             count(DISTINCT brand_name) AS b, avg(unit_price) AS pm FROM base GROUP BY ALL),
+s1 AS (SELECT *, {_mm('c', True)} * 0.3 + {_mm('dv')} * 0.2 + {_mm('lg')} * 0.2 + {_mm('vol')} * 0.3 AS score
+       FROM (SELECT * FROM c) AS t),
+qq AS (SELECT quantile_cont(score, 0.33) AS q33, quantile_cont(score, 0.67) AS q67, quantile_cont(vol, 0.8) AS v80,
+              quantile_cont(pm, 0.2) AS p20, quantile_cont(pm, 0.8) AS p80 FROM s1),
+f AS (SELECT primary_platform, n, store_type, score, vol, b, pm, qq.* FROM s1 JOIN ty USING (store_name), qq)"""
+    conds = [("store_type", f, f"store_type = '{f.removeprefix('store_type_')}'") for f in TYPE_FLAGS]
+    conds += zip(["store_quality"] * 3, QUALITY_FLAGS, ["score > q67", "score > q33 AND score <= q67", "score <= q33"])
+    conds += zip(["business_model"] * 4, RETAILER_FLAGS, ["b >= 5", "vol > v80", "pm > p80", "pm < p20"])
+    return q(True, ctes, "\nUNION ALL\n".join(
+        f"SELECT coalesce(primary_platform, 'all') AS primary_platform, '{g}' AS flag_group, '{f}' AS flag, "
+        f"CAST(coalesce(sum(CASE WHEN {c} THEN n END), 0) AS BIGINT) AS total FROM f GROUP BY ROLLUP (primary_platform)"
+        for g, f, c in conds))
+
+
+@register("x11_store_flag_totals", _x11_sql())
+def x11_flag_totals(spark, d):
+    """X11: rows by store type, quality tier and business model, by platform and over all."""
+    b = base(spark, d, sparse=True)
+    return finalize(ex.store_flag_totals(b, {"store_type": st.store_types(b).select("store_name", *TYPE_FLAGS),
+                                             "store_quality": st.store_quality(b).select(*st.STORE, *QUALITY_FLAGS),
+                                             "business_model": st.business_model(b).select(*st.STORE, *RETAILER_FLAGS)}))
+
+
+@register("x12_platform_landscape", q(True, "t AS (SELECT sum(sales_quantity) AS total FROM base)", f"""
+SELECT primary_platform, {R('sum(sales_quantity)')} AS quantity,
+       {R('floor(sum(sales_quantity) * 100 / any_value(total) * 100 + 0.5) / 100')} AS share_pct,
+       count(DISTINCT store_name) AS stores, count(DISTINCT brand_name) AS brands FROM base, t GROUP BY 1"""))
+def x12_platforms(spark, d):
+    """Share of all quantity, stores and brands of each platform."""
+    return finalize(ex.platform_landscape(base(spark, d, sparse=True)))
+
+
+@register("x12_brand_reach", q(True, """
+m AS (SELECT brand_name, primary_platform, sum(sales_quantity) AS q FROM base GROUP BY ALL),
+r AS (SELECT brand_name, count(*) FILTER (WHERE q > 0) AS np FROM m GROUP BY 1)""", """
+SELECT count(*) FILTER (WHERE np = 1) AS single_platform, count(*) FILTER (WHERE np = 2) AS dual_platform,
+       count(*) FILTER (WHERE np >= 3) AS multi_platform FROM r"""))
+def x12_reach(spark, d):
+    """Brands sold on one, two, and three or more platforms."""
+    return finalize(ex.brand_reach(base(spark, d, sparse=True)))
+
+
+def _monthly_totals(df, prefix):
+    """Each prefixed column's total by month, as rows."""
+    cols = [c for c in df.columns if c.startswith(prefix)]
+    return (df.groupBy("sales_month").agg(*[F.sum(c).cast("long").alias(c) for c in cols])
+            .unpivot(["sales_month"], cols, "feature", "total"))
+
+
+def _label_sql(c):
+    return f"replace(replace(replace(lower({c}), ' ', '_'), '(', ''), ')', '')"
+
+
+@register("k2_seasonal_brand_columns", q(False, """
+top AS (SELECT brand_name AS tb FROM base GROUP BY 1 ORDER BY count(*) DESC, brand_name LIMIT 10)""", f"""
+SELECT {D('sales_month')} AS sales_month, 'seasonal_brand_' || {_label_sql('tb')} AS feature,
+       CAST(sum(CASE WHEN brand_name = tb THEN month(sales_month) ELSE 0 END) AS BIGINT) AS total FROM base, top GROUP BY 1, 2"""))
+def k2_columns(spark, d):
+    """K2: the seasonal_brand_* columns of all rows, added up by month."""
+    return finalize(_monthly_totals(ix.seasonal_brand(base(spark, d)), "seasonal_brand_"))
+
+
+@register("k3_platform_brand_columns", q(False, """
+top AS (SELECT primary_platform AS tp, brand_name AS tb FROM base GROUP BY 1, 2
+        ORDER BY count(*) DESC, primary_platform, brand_name LIMIT 15)""", f"""
+SELECT {D('sales_month')} AS sales_month,
+       'platform_brand_' || replace(lower(tp), ' ', '_') || '_' || {_label_sql('tb')} AS feature,
+       CAST(sum(CASE WHEN brand_name = tb AND primary_platform = tp THEN 1 ELSE 0 END) AS BIGINT) AS total
+FROM base, top GROUP BY 1, 2"""))
+def k3_columns(spark, d):
+    """K3: the platform_brand_* flags of all rows, added up by month."""
+    return finalize(_monthly_totals(ix.platform_brand_flags(base(spark, d)), "platform_brand_"))
