@@ -166,7 +166,7 @@ def contexts_of(texts: list[np.ndarray], window: int = WINDOW, rounds: int = ROU
 
 
 def _digest(words: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(words.tobytes(), digest_size=8).digest(), "little", signed=True)
+    return xxhash.xxh3_64_intdigest(words.data) - (1 << 63)
 
 
 def _maybe(rows: DataFrame, names: DataFrame) -> DataFrame:
