@@ -34,7 +34,7 @@ ROUNDS = 4
 #: Words that are parsed together, and words whose names a task remembers.
 SEGMENT = 1 << 18
 KNOWN_WORDS = 1 << 19
-#: Rows of 64 bits in the map of shared anchors.
+#: Rows of 64 bits in a map of hashes.
 FILTER_WORDS = 1 << 20
 
 _U = np.uint64
@@ -169,11 +169,11 @@ def _digest(words: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(words.data) - (1 << 63)
 
 
-def _maybe(rows: DataFrame, names: DataFrame) -> DataFrame:
-    """``rows`` (a) without most of those whose ``a`` is not in ``names`` (a): a bit
+def _maybe(rows: DataFrame, names: DataFrame, by: str) -> DataFrame:
+    """``rows`` without most of those whose ``by``, a hash, is not in ``names``: a bit
     map of the names, of at most FILTER_WORDS rows, drops them before a shuffle."""
-    word = F.pmod("a", F.lit(FILTER_WORDS))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright("a", 32), F.lit(64)).cast("int"))
+    word = F.pmod(by, F.lit(FILTER_WORDS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(by, 32), F.lit(64)).cast("int"))
     bits = staged(names.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")))
     return (rows.withColumn("word", word).join(F.broadcast(bits), "word")
             .where(F.col("bits").bitwiseAND(bit) != 0).drop("word", "bits"))
@@ -206,7 +206,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
     texts = docs.select(text_key(F.col("text")).alias("key"), "text").where(F.octet_length("text") >= 2 * window - 1)
     found = staged(texts.mapInPandas(parse, "key binary, s int, e int, a long, c long"))
     anchors = staged(found.groupBy("a").count().where("count > 1").select("a"))
-    live = staged(_maybe(found, anchors).join(if_small(anchors), "a"))
+    live = staged(_maybe(found, anchors, "a").join(if_small(anchors), "a"))
     discard(found)
 
     same = staged(live.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(F.struct("key", "s", "e")).alias("at")))
@@ -232,10 +232,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
                      .mapInPandas(name_windows, "a long, c long, off int, h long"))
     # A context holds no window twice, so a window in two contexts is one that repeats.
     shared = windows.groupBy("a", "h").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 != c1").select("a", "h")
-    single = windows.join(if_small(staged(shared)), ["a", "h"]).select("a", "c", F.col("off").alias("lo"), F.col("off").alias("hi"))
+    shared = staged(shared)
+    single = _maybe(windows, shared, "h").join(if_small(shared), ["a", "h"]).select("a", "c", F.col("off").alias("lo"), F.col("off").alias("hi"))
 
-    verdicts = staged(whole.unionByName(single).distinct())
-    return (live.join(if_small(verdicts), ["a", "c"])
+    verdicts = staged(whole.unionByName(single))
+    return (_maybe(live, verdicts, "c").join(if_small(verdicts), ["a", "c"])
             .select("key", (F.col("s") + F.col("lo")).alias("first"), (F.col("s") + F.col("hi") + window).alias("end"))
             .groupBy("key").agg(F.collect_set(F.struct("first", "end")).alias("spans")))
 
