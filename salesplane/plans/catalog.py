@@ -23,5 +23,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all():
     """Import the modules that register queries."""
-    from . import q_clean, q_core, q_dims, q_eval, q_more, q_rules  # noqa: F401
+    from . import q_clean, q_core, q_dims, q_eval, q_linear, q_more, q_rules  # noqa: F401
     return QUERIES, ORACLE

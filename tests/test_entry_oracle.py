@@ -9,7 +9,8 @@ from conftest import SF
 TABLES = "region nation customer supplier part orders lineitem".split()
 SUBSET = ["flagship_share_trend", "w1_lags", "w12_yoy", "w17_spikes", "c8_calendar_on_sales",
           "a1_store_behaviour", "a13_store_quality", "a21_platform_preference", "a29_store_rank_in_brand_platform",
-          "l1_split_summary", "m13_baseline_metrics_by_split", "x6_month_platform_pivot"]
+          "l1_split_summary", "m13_baseline_metrics_by_split", "x6_month_platform_pivot",
+          "m16_linear_coefficients", "j5_open_orders_by_month", "s14_committed_snapshot", "q1_integrity", "x13_levels"]
 
 
 def norm(df):

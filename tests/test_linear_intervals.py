@@ -134,3 +134,26 @@ def test_committed_snapshots(spark, tmp_path):
     (tmp_path / "snap/manifests/.00000002.json.crc").unlink(missing_ok=True)
     with pytest.raises(cm.SnapshotError):
         cm.read(spark, root, version=2, verify=True)
+
+
+def test_column_reports_and_input_checks(spark):
+    from salesplane.operators import quality as qa
+    rows = [("x", 1.0, D0), ("x", 1.0, D0), ("y", 0.0, None), (None, -2.0, date(2001, 5, 5)), ("z", float("inf"), D0), ("x", float("nan"), D0), ("y", None, D0)]
+    df = spark.createDataFrame(rows, "name string, v double, d date")
+    got = {(r["column_name"], r["metric"], r["text"] if r["metric"] == "level" else None): (r["value"], r["text"]) for r in qa.integrity_report(df).collect()}
+    assert got["*", "rows", None][0] == 7 and got["*", "duplicate_rows", None][0] == 1 and got["*", "total_missing", None][0] == 3
+    assert got["name", "level", "x"][0] == 3 and got["name", "unique_count", None][0] == 3 and got["v", "infinite", None][0] == 1
+    assert got["v", "zeros", None][0] == 1 and got["v", "negatives", None][0] == 1 and got["d", "last_day", None][1] == "2001-05-05"
+    assert ("name", "level", "x") not in {(r["column_name"], r["metric"], r["text"]) for r in qa.integrity_report(df, 2).collect()}
+    assert {r["metric"]: r["value"] for r in qa.integrity_report(df.limit(0)).where("column_name = '*'").collect()}["rows"] == 0
+    levels = {r["column_name"]: r.asDict() for r in qa.level_report(qa.value_counts(df, ["name", "d"]), 2, 2).collect()}
+    assert levels["name"] == {"column_name": "name", "unique_count": 3, "missing": 1, "first_values": "x, y", "levels": None}
+    assert levels["d"]["levels"] == "2000-01-01=5, 2001-05-05=1"
+    checks = {r["input"]: r for r in qa.prepared_input_checks(df, ["v"]).collect()}["v"]
+    assert (checks["present"], checks["nan"], checks["infinite"], checks["min"], checks["max"], checks["mean"], checks["fails"]) == (4, 2, 1, -2, 1, 0, 1)
+    ok = qa.training_issues(df.withColumn("y", F.col("d").cast("string").substr(6, 2).cast("double")), ["v"], [(1, D0, date(2001, 1, 1), date(2001, 5, 1), date(2001, 6, 1), "")],
+                            "y", ("name",), "d")
+    assert ok == {"issues": [], "passed": True}
+    bad = qa.training_issues(df.withColumn("y", F.lit(1.0)), ["v", "w"], WINDOWS[:1], "y", ("name", "store"), "d")
+    assert not bad["passed"] and bad["issues"] == ["missing required columns: store", "1 of 2 features missing: w", "split 1 has no val rows", "target has no spread"]
+    assert qa.training_issues(df, [], [], "v", ())["issues"][0] == "no splits"
