@@ -75,3 +75,27 @@ def test_csv_partitioned_export(spark, tmp_path):
     back = spark.read.option("header", "true").csv(str(tmp_path / "csv"))
     assert back.count() == b.count()
     assert back.select("primary_platform").distinct().count() == b.select("primary_platform").distinct().count()
+
+
+def test_side_outputs(spark, tmp_path):
+    from conftest import fact
+    df = fact(spark, [("2021-01", "A", "s", "b", "p", 5, 0), ("2021-02", "A", "s", "b", "p", 5, -1), ("2022-01", "B", "s", "b", "q", 5, 3)])
+    meta = files.save_snapshot(df, str(tmp_path / "snap"), str(tmp_path / "snap.json"))
+    assert meta["months_covered"] == {"2021": [1, 2], "2022": [1]} and meta["platform_names"] == ["A", "B"]
+    assert meta["issues"] == ["1 rows with negative sales", "1 rows with zero sales, over 10%"]
+    assert "negative sales" in (tmp_path / "snap.txt").read_text()
+    assert files.snapshot_summary(df.limit(0))["issues"] == []
+    files.save_package(df, str(tmp_path / "pkg"), ["unit_price", "x_lag_1"], {"price": ["unit_price"], "lags": ["x_lag_1"], "none": []}, [], {"version": 2}, csv=True)
+    listed = (tmp_path / "pkg/features.txt").read_text()
+    assert "price (1):" in listed and "all features (2):" in listed and "none" not in listed
+    assert "product_code: 2" in (tmp_path / "pkg/metadata.txt").read_text()
+    assert spark.read.option("header", "true").csv(str(tmp_path / "pkg/csv")).count() == 3
+    per = df.groupBy("primary_platform").count()
+    files.save_evaluation(per, str(tmp_path / "eval"))
+    assert spark.read.json(str(tmp_path / "eval/results")).count() == spark.read.option("header", "true").csv(str(tmp_path / "eval/summary")).count() == 2
+    for name, fmt in (("r.json", "json"), ("r.csv", "csv"), ("r.parquet", "parquet"), ("r.pkl", "parquet"), ("r", "json")):
+        out = files.save_results(per, str(tmp_path / name))
+        assert out.endswith("r.parquet" if name == "r.pkl" else name)
+        assert spark.read.format(fmt).option("header", "true").load(out).count() == 2
+    stamped = files.save_results(per, str(tmp_path / "t.csv"), timestamp=True)
+    assert stamped.startswith(str(tmp_path / "t_")) and stamped.endswith(".csv")
