@@ -130,7 +130,7 @@ def range_trie(words: list[str], of_first, of_last) -> tuple[list[int], list[int
         ends.append(e)
         return len(depth) - 1
 
-    path = [node(d, 0, -1) for d in sorted({0, *of_first})]
+    path = [node(int(d), 0, -1) for d in sorted({0, *of_first})]
 
     def leave(to: int, w: int) -> None:
         """Close the path's nodes deeper than ``to``, which becomes a node."""
@@ -148,7 +148,7 @@ def range_trie(words: list[str], of_first, of_last) -> tuple[list[int], list[int
         else:
             path.append(node(len(w), i, i))
     have = {depth[v] for v in path}
-    path = sorted(path + [node(d, len(words) - 1, -1) for d in {*of_last} - have], key=lambda v: depth[v])
+    path = sorted(path + [node(int(d), len(words) - 1, -1) for d in {*of_last} - have], key=lambda v: depth[v])
     leave(0, 0)
     return depth, parent, word, ends
 
