@@ -40,6 +40,6 @@ def last_known(df: DataFrame, cols, entity=ENTITY, order=ORDER, chunk_rows: int
 def previous(df: DataFrame, value: str, out: str, keys, order, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """The entity's value one row before."""
     def features(x, ent):
-        return x.withColumn(out, F.lag(value, 1).over(Window.partitionBy(*ent).orderBy("_idx")))
+        return x.withColumn(out, F.lag(value, 1).over(Window.partitionBy(*ent).orderBy(*order)))
 
     return chunked(df, features, chunk_rows, 1, list(keys), list(order))

@@ -99,3 +99,15 @@ def test_side_outputs(spark, tmp_path):
         assert spark.read.format(fmt).option("header", "true").load(out).count() == 2
     stamped = files.save_results(per, str(tmp_path / "t.csv"), timestamp=True)
     assert stamped.startswith(str(tmp_path / "t_")) and stamped.endswith(".csv")
+
+
+def test_month_chunks_need_no_row_numbers(spark):
+    rows = [(f"2020-{m:02d}", "p", "s", "b", f"c{i}", 1.0, m * 10.0 + i) for m in range(1, 7) for i in range(5)]
+    b = fact(spark, rows)
+    got = skew.chunk_with_halo(b, chunk_rows=10, halo=3)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and "Union" not in plan
+    for chunk, own in got.where("not _halo").groupBy("_chunk").count().collect():
+        assert own == 10
+        last = {r[0] for r in b.where(F.month("sales_month") == 2 * chunk).orderBy(F.desc("product_code")).limit(3).select("sales_quantity").collect()}
+        assert last <= {r[0] for r in got.where((F.col("_chunk") == chunk) & F.col("_halo")).select("sales_quantity").collect()}

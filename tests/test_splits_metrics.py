@@ -65,3 +65,16 @@ def test_quantile_between_two_narrow_groups_ends(spark):
     df = spark.createDataFrame([(x,) for x in v], "x double")
     exp = duckdb.sql(f"SELECT quantile_cont(x, [0.25, 0.5]) FROM (SELECT unnest({v}::DOUBLE[]) AS x)").fetchall()[0][0]
     assert quantiles(df, "x", [0.25, 0.5], limit=10, bins=8) == exp
+
+
+def test_quantiles_of_a_fact_column_do_not_group_its_values_first(spark):
+    import duckdb
+    v = [float(i * i % 997) + i / 7 for i in range(900)]
+    probs = [0.0, 0.5, 0.95, 1.0]
+    df = spark.createDataFrame([(x,) for x in v] + [(None,), (float("nan"),)], "x double")
+    exp = duckdb.sql(f"SELECT quantile_cont(x, {probs}) FROM (SELECT unnest({v}::DOUBLE[]) AS x)").fetchall()[0][0]
+    for limit, bins in ((10_000, 4096), (5, 4), (1, 2)):
+        assert quantiles(df, "x", probs, limit=limit, bins=bins, fact=True) == exp
+    inf = float("inf")
+    far = spark.createDataFrame([(x,) for x in (-inf, -1e308, 0.0, 1e308, inf)], "x double")
+    assert quantiles(far, "x", [0.0, 0.25, 0.5, 0.75, 1.0], limit=1, bins=3, fact=True) == [-inf, -1e308, 0.0, 1e308, inf]
