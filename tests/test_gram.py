@@ -36,3 +36,12 @@ def test_gram_matrix_equals_plain_products(spark):
     x = np.random.default_rng(2).normal(size=(200, 4)) + [0, 10, 1000, -5]
     df = spark.createDataFrame(x.tolist(), "a double, b double, c double, d double").repartition(5)
     np.testing.assert_allclose(gram.gram_matrix(df, list("abcd")), x.T @ x, rtol=1e-10)
+
+
+def test_shifts_near_the_means_spare_the_pass_over_the_rows(spark, monkeypatch):
+    x = np.random.default_rng(3).normal(size=(120, 3)) + 1e5
+    df = spark.createDataFrame(x.tolist(), "a double, b double, c double").repartition(4)
+    want = {(r[0], r[1]): r[2] for r in gram.correlations(df, list("abc")).collect()}
+    monkeypatch.setattr(gram, "_means", lambda *a, **k: 1 / 0)
+    got = {(r[0], r[1]): r[2] for r in gram.correlations(df, list("abc"), [1e5 + 2, 1e5 - 1, 1e5]).collect()}
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want) and len(got) == 9
