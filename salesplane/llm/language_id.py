@@ -24,14 +24,23 @@ GROUP_LANGS = 64
 #: A prediction is rejected when the best and second-best sizes differ by less.
 MIN_MARGIN = 0.002
 UNDETERMINED = "und"
-# Number signs such as the superscript two are word characters, not letters.
-_NOT_LETTERS = re.compile(r"[\W\d_" + "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha()
-                                              and not c.isdecimal()) + "]+")
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
+# Number signs such as the superscript two are word characters, not letters.  Classes with a
+# character beyond 16 bits are searched range by range, the others by a table.
+_NUMBER_SIGNS = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()]
+_SIGNS = re.compile("[" + "".join(c for c in _NUMBER_SIGNS if c <= "\uffff") + "]")
+_FAR = re.compile("[\U00010000-\U0010ffff]")
+_FAR_SIGNS = re.compile("[" + "".join(c for c in _NUMBER_SIGNS if c > "\uffff") + "]")
 
 
 def letters(text: str) -> bytes:
     """Lower-cased runs of letters, one space between them, as UTF-8."""
-    return _NOT_LETTERS.sub(" ", text.lower()).strip().encode("utf-8", "replace")
+    text = text.lower()
+    if not text.isascii():
+        text = _SIGNS.sub(" ", text)
+        if _FAR.search(text):
+            text = _FAR_SIGNS.sub(" ", text)
+    return _NOT_LETTERS.sub(" ", text).strip().encode("utf-8", "replace")
 
 
 def train_dictionaries(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS,

@@ -102,3 +102,13 @@ def test_removed_bytes_equal_those_of_plain_hashing(spark):
         want[k] = (len(t), removed, runs, hashlib.sha256(b"".join([*kept, t[at:]])).hexdigest())
     got = {r[0]: tuple(r)[1:] for r in suffix_dedup.deduplicate(docs).collect()}
     assert got == want
+
+
+def test_letters_of_accented_text_take_no_search_through_all_number_signs():
+    signs = [c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal()]
+    assert all(language_id.letters(f"É{c}b") == "é b".encode() for c in signs)
+    assert language_id.letters("𝔄b² _c٣\U00010400") == "𝔄b c \U00010428".encode()
+    text = "élève où Straße " * 40_000
+    start = time.process_time()
+    language_id.letters(text)
+    assert time.process_time() - start < 0.3  # 640,000 characters; 0.8 s when each is compared with every sign
