@@ -77,6 +77,26 @@ def _upper_tail(z: np.ndarray) -> np.ndarray:
     return 0.5 * np.array([math.erfc(x) for x in (z / math.sqrt(2)).tolist()])
 
 
+def _of_each(index: np.ndarray, upto: int, f) -> np.ndarray:
+    """``f(index)`` for whole numbers from 0 to ``upto``, each evaluated once."""
+    if len(index) < 1000:
+        return f(index)
+    values = np.flatnonzero(np.bincount(index, minlength=upto + 1))
+    table = np.empty(upto + 1)
+    table[values] = f(values)
+    return table[index]
+
+
+def _count_squares(v: np.ndarray, size: int) -> np.ndarray:
+    """Sum of the squared symbol counts of each column of ``v``."""
+    n, m = v.shape
+    if n <= 24 and m > 100:  # n and two for each pair of equal symbols
+        pairs = sum(np.add.reduce(v[k:] == v[:-k], 0, dtype=np.uint8).astype(np.int64) for k in range(1, n))
+        return n + 2 * pairs
+    seen = np.bincount((v + np.arange(m) * size).ravel(), minlength=m * size).reshape(m, size)
+    return np.einsum("ij,ij->i", seen, seen)
+
+
 def evidence(values: np.ndarray, size: int) -> np.ndarray:
     """Fisher's statistic against "independent and uniform over ``size`` symbols"
     of each row of ``values``; small for random ones.
@@ -86,20 +106,31 @@ def evidence(values: np.ndarray, size: int) -> np.ndarray:
     correlation.
     """
     m, n = values.shape
-    seen = np.bincount((values + np.arange(m)[:, None] * size).ravel(), minlength=m * size).reshape(m, size)
-    chi = ((seen - n / size) ** 2).sum(1) * size / n
-    p_chi = _upper_tail((chi - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n))
-    high = values >= size / 2
-    n1 = high.sum(1)
-    n0 = n - n1
-    mean = 2 * n0 * n1 / n + 1
-    var = (mean - 1) * (mean - 2) / (n - 1)
-    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(1)
-    p_runs = np.where(var > 0, 2 * _upper_tail(np.abs(runs - mean) / np.sqrt(np.where(var > 0, var, 1))), 1e-12)
-    d = values - values.mean(1, keepdims=True)
-    total = (d * d).sum(1)
-    corr = (d[:, 1:] * d[:, :-1]).sum(1) / np.where(total > 0, total, 1)
-    p_corr = np.where(total > 0, 2 * _upper_tail(np.abs(corr * math.sqrt(n))), 1e-12)
+    v = np.ascontiguousarray(values.T)  # steps along a row of values become whole-array operations
+
+    def chi_tail(squares):
+        return _upper_tail((squares * (size / n) - n - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n))
+
+    def runs_tail(index):
+        n1, runs = np.divmod(index, n + 1)
+        n0 = n - n1
+        mean = 2 * n0 * n1 / n + 1
+        var = (mean - 1) * (mean - 2) / (n - 1)
+        return np.where(var > 0, 2 * _upper_tail(np.abs(runs - mean) / np.sqrt(np.where(var > 0, var, 1))), 1e-12)
+
+    p_chi = _of_each(_count_squares(v, size), n * n, chi_tail)
+    high = v >= size / 2
+    n1 = np.add.reduce(high, 0, dtype=np.int64)
+    runs = 1 + np.add.reduce(high[1:] != high[:-1], 0, dtype=np.int64)
+    p_runs = _of_each(n1 * (n + 1) + runs, (n + 1) ** 2, runs_tail)
+    f = v.astype(np.float32)  # sums of whole numbers below 2 ** 24, so exact
+    total, squares, products = (np.add.reduce(x, 0).astype(float) for x in (f, f * f, f[1:] * f[:-1]))
+    mean = total / n
+    spread = squares - total * mean
+    near = products - mean * (2 * total - f[0] - f[-1]) + (n - 1) * mean * mean
+    varied = squares * n > total * total
+    corr = near / np.where(varied, spread, 1)
+    p_corr = np.where(varied, 2 * _upper_tail(np.abs(corr * math.sqrt(n))), 1e-12)
     return -np.log(np.maximum([p_chi, p_runs, p_corr], 1e-12)).sum(0)
 
 
@@ -179,11 +210,11 @@ def _ordinary(text: str) -> list[str]:
 def _table(size: int) -> np.ndarray:
     """Symbol of each ASCII character where ordinary words are written in ``size`` symbols."""
     if size == 16:
-        return np.arange(128) % 16
+        return np.arange(128, dtype=np.uint8) % 16
     alphabet = next(a for a in ALPHABETS if len(a) == size)
     rank = {c: i for i, c in enumerate(alphabet)}
     rank |= {c: rank[c.swapcase()] for c in _LOWER + _UPPER if c not in rank}
-    return np.array([rank.get(chr(i), i % size) for i in range(128)])
+    return np.array([rank.get(chr(i), i % size) for i in range(128)], np.uint8)
 
 
 _TABLES = {size: _table(size) for size in SIZES}
@@ -194,33 +225,28 @@ def decoy_counts(texts: Iterator[str]) -> dict[tuple[int, int, int], int]:
     their words run together, in an alphabet of both cases with capitals, in one
     with separators joined by these.
 
-    Each block of the longest length gives one decoy of every length; a text's
-    blocks take the alphabet sizes in turn, from one that the text decides."""
+    A text is written in every alphabet and cut, whole, into decoys of every length
+    it reaches; the last of a length ends with the text and may overlap the one before."""
     pieces: dict[tuple[int, int], list[np.ndarray]] = {}
     for text in texts:
         words = _ordinary(text)
         plain = "".join(words)
-        turn = zlib.crc32(plain.encode()) % len(SIZES)
         camel = "".join(w[:1].upper() + w[1:] for w in words)
         written = {62: camel, 64: "/".join(words), 66: "-".join(words)}
-        for k, size in enumerate(SIZES):
-            first = (k - turn) % len(SIZES)
+        for size in SIZES:
             codes = np.frombuffer(written.get(size, plain).encode(), np.uint8)
-            full = len(codes) // LENGTHS[-1]
-            blocks = codes[:full * LENGTHS[-1]].reshape(full, LENGTHS[-1])[first::len(SIZES)]
-            rest = codes[full * LENGTHS[-1]:] if full % len(SIZES) == first else codes[:0]
             for b, n in enumerate(LENGTHS):
-                if len(blocks):
-                    pieces.setdefault((size, b), []).append(blocks[:, :n])
-                if len(rest) >= n:
-                    pieces.setdefault((size, b), []).append(rest[None, :n])
+                full = len(codes) // n
+                if full:
+                    pieces.setdefault((size, b), []).append(codes[:full * n].reshape(full, n))
+                    if full * n < len(codes):
+                        pieces[size, b].append(codes[None, -n:])
     out: dict[tuple[int, int, int], int] = {}
     for (size, b), parts in pieces.items():
-        values = np.concatenate(parts)
-        for i in range(0, len(values), 4096):
-            steps = _null_step(evidence(_TABLES[size][values[i:i + 4096]], size))
-            for s, c in zip(*np.unique(steps, return_counts=True)):
-                out[size, b, int(s)] = out.get((size, b, int(s)), 0) + int(c)
+        values, rows = np.concatenate(parts), max(1, 65536 // LENGTHS[b])
+        found = np.concatenate([_null_step(evidence(_TABLES[size][values[i:i + rows]], size)) for i in range(0, len(values), rows)])
+        for s, c in zip(*np.unique(found, return_counts=True)):
+            out[size, b, int(s)] = int(c)
     return out
 
 

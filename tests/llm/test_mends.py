@@ -112,3 +112,25 @@ def test_letters_of_accented_text_take_no_search_through_all_number_signs():
     start = time.process_time()
     language_id.letters(text)
     assert time.process_time() - start < 0.3  # 640,000 characters; 0.8 s when each is compared with every sign
+
+
+def test_decoys_are_cut_from_whole_texts_in_every_alphabet():
+    text = " ".join(random.Random(5).choice(["lorem", "ipsum", "dolor", "sit", "amet", "elit"]) for _ in range(300))
+    plain = len(text.replace(" ", ""))
+    length = {size: len(text) if size in (64, 66) else plain for size in secret_scan.SIZES}
+    got = collections.Counter()
+    for (size, b, _), n in secret_scan.decoy_counts([text, "short text", ""]).items():
+        got[size, b] += n
+    assert got == {(size, b): -(-length[size] // n) for size in secret_scan.SIZES for b, n in enumerate(secret_scan.LENGTHS)}
+
+
+def test_evidence_is_the_same_for_one_and_for_many():
+    rng = np.random.default_rng(4)
+    for n in (16, 24, 32, 128):
+        for size in secret_scan.SIZES:
+            v = rng.integers(0, size, (1500, n)).astype(np.uint8)
+            v[::3] //= 3
+            v[0] = 1
+            many = secret_scan.evidence(v, size)
+            one = [secret_scan.evidence(v[i:i + 1].astype(int), size)[0] for i in range(0, 1500, 50)]
+            assert np.allclose(many[::50], one, rtol=1e-9)
