@@ -7,18 +7,23 @@ import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .boosting import BoostedTrees, calibrated_threshold
+from .boosting import BoostedTrees, binned, calibrated_threshold, weighted_cuts
 from .common import hash_sample, read_table, staged
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bound of the training sample, in distinct spans of a kind.
-SAMPLE_SPANS = 2000
+#: Kinds of up to so many distinct spans are halved in order, larger ones by hash.
+FEW_SPANS = 1000
+#: Training rows of equal bins that one task adds up.
+CELL_ROWS = 50_000
+#: Scores are counted in so many equal steps.
+SCORE_STEPS = 10_000
 #: Precision that a kind's threshold has to reach on the held-out half.
 PRECISION = 0.99
 MIN_PROBABILITY = 0.9
@@ -198,11 +203,76 @@ class PiiModel:
         return sorted(kept)
 
 
-def train(docs: DataFrame, sample_spans: int = SAMPLE_SPANS, precision: float = PRECISION) -> PiiModel | None:
-    """Learn from ``docs`` (text): distinct certain spans, of each kind the
-    ``sample_spans`` of smallest hash, each in one of its places rewritten to other
-    spellings (class 1) and to look-alikes (class 0).  Of each kind every second
-    span fits the trees and the others calibrate the thresholds; a kind of a
+def _halves(spans: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """``spans`` with ``fits`` and ``held``: by a bit of the hash; of kinds of few spans
+    every second one in the hash's order, a kind's only span both."""
+    few = [k for k, n in counts.items() if n <= FEW_SPANS]
+    h = F.xxhash64("kind", "span")
+    many = spans.where(~F.col("kind").isin(few)).withColumn("fits", h % 2 == 0).withColumn("held", h % 2 != 0)
+    i = F.row_number().over(Window.partitionBy("kind").orderBy(h, "span"))  # FEW_SPANS rows a kind
+    own = F.create_map(*[F.lit(x) for k in few for x in (k, counts[k])]) if few else F.lit(None)
+    own = spans.where(F.col("kind").isin(few)).select("*", (i % 2 == 1).alias("fits"), *(
+        [((i % 2 == 0) | (own[F.col("kind")] == 1)).alias("held")] if few else [F.lit(True).alias("held")]))
+    return many.unionByName(own)
+
+
+def _examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        out = []
+        for r in pdf.itertuples():
+            at = len(r.before)
+            for kind, surface, label in _variants(r.kind, r.span, random.Random(r.key)):
+                x = features(r.before + surface + r.after, kind, at, at + len(surface))
+                out.append((x, label, int(r.fits), int(r.held)))
+        yield pd.DataFrame(out, columns=["x", "y", "fits", "held"])
+
+
+def _unpacked(pdf: pd.DataFrame, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(pdf["bins"]), np.uint8).reshape(len(pdf), width).T
+
+
+def _fit(rows: DataFrame) -> BoostedTrees:
+    """Trees of all ``rows`` (x, y, fits: number of rows).  Rows of equal bins and class
+    are one cell; only sums and value counts leave the tasks, but for up to CELL_ROWS
+    cells, which the driver holds."""
+    # Features are counts, flags, shares of two counts and numbers below 10,000, so values are few.
+    width = len(rows.first()["x"])
+    seen = (rows.where("fits > 0").select(F.posexplode("x").alias("j", "v"), "fits")
+            .groupBy("j", "v").agg(F.sum("fits").alias("n")).toPandas())
+    cuts = [weighted_cuts(own["v"].to_numpy(), own["n"].to_numpy()) for _, own in seen.sort_values(["j", "v"]).groupby("j")]
+
+    @F.pandas_udf("binary")
+    def bins(x: pd.Series) -> pd.Series:
+        return pd.Series([r.tobytes() for r in np.ascontiguousarray(binned(np.stack(x), cuts).T)], dtype=object)
+
+    cells = staged(rows.where("fits > 0").groupBy(bins("x").alias("bins"), "y").agg(F.sum("fits").alias("fits")))
+    size = cells.agg(F.count("*").alias("n"), F.sum("fits").alias("fits"), F.sum(F.col("fits") * F.col("y")).alias("ones")).first()
+    if size["n"] <= CELL_ROWS:
+        own = cells.orderBy("bins", "y").toPandas()
+        part = _unpacked(own, width), own["y"].to_numpy(float), own["fits"].to_numpy(float)
+
+        def parts(sums):
+            return [sums(*part)]
+    else:
+        dealt = staged(cells.repartition(-(-size["n"] // CELL_ROWS)))
+
+        def parts(sums):
+            def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                out = sum(sums(_unpacked(p, width), p["y"].to_numpy(float), p["fits"].to_numpy(float)) for p in batches)
+                if not isinstance(out, int):
+                    yield pd.DataFrame({"shape": [list(out.shape)], "sums": [out.tobytes()]})
+
+            return [np.frombuffer(r["sums"]).reshape(r["shape"])
+                    for r in dealt.mapInPandas(add, "shape array<int>, sums binary").collect()]
+
+    return BoostedTrees().fit_cells(parts, cuts, size["ones"] / size["fits"])
+
+
+def train(docs: DataFrame, sample_spans: int | None = None, precision: float = PRECISION) -> PiiModel | None:
+    """Learn from ``docs`` (text): all distinct certain spans (if ``sample_spans`` is
+    given, of each kind only so many, of smallest hash), each in one of its places
+    rewritten to other spellings (class 1) and to look-alikes (class 0).  Half of each
+    kind's spans fits the trees and the others calibrate the thresholds; a kind of a
     single span does both.  None if there is no certain span."""
     def certain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -219,23 +289,27 @@ def train(docs: DataFrame, sample_spans: int = SAMPLE_SPANS, precision: float =
                    .mapInPandas(certain, "key string, kind int, before string, span string, after string")
                    .groupBy("kind", "span").agg(F.min(place).alias("place")).select("kind", "span", "place.*"))
     counts = {r["kind"]: r["count"] for r in spans.groupBy("kind").count().collect()}  # at most len(KINDS) rows
-    x, y, fits, held = [], [], [], []
-    for own in sorted(counts):
-        rows = hash_sample(spans.where(F.col("kind") == own), ["kind", "span"], sample_spans, counts[own]).collect()
-        for i, r in enumerate(rows):
-            rng = random.Random(r["key"])
-            for kind, surface, label in _variants(own, r["span"], rng):
-                at = len(r["before"])
-                x.append(features(r["before"] + surface + r["after"], kind, at, at + len(surface)))
-                y.append(label)
-                fits.append(i % 2 == 0)
-                held.append(i % 2 == 1 or len(rows) == 1)
-    if not x:
+    if not counts:
         return None
-    x, y, fits, held = np.array(x), np.array(y, float), np.array(fits), np.array(held)
-    trees = BoostedTrees().fit(x[fits], y[fits])
-    p = trees.predict(x[held])
-    limits = [calibrated_threshold(p[x[held][:, k] == 1], y[held][x[held][:, k] == 1], precision) for k in range(len(KINDS))]
+    if sample_spans is not None:
+        spans = staged(reduce(DataFrame.unionByName, [
+            hash_sample(spans.where(F.col("kind") == k), ["kind", "span"], sample_spans, n) for k, n in counts.items()]))
+        counts = {r["kind"]: r["count"] for r in spans.groupBy("kind").count().collect()}
+    rows = staged(_halves(spans, counts).mapInPandas(_examples, "x array<double>, y int, fits int, held int")
+                  .groupBy("x", "y").agg(F.sum("fits").alias("fits"), F.sum("held").alias("held")))
+    trees = _fit(rows)
+
+    @F.pandas_udf("int")
+    def step(x: pd.Series) -> pd.Series:
+        return pd.Series(np.floor(trees.predict(np.stack(x)) * SCORE_STEPS).astype("int32"))
+
+    kind = F.array_position(F.slice("x", 1, len(KINDS)), F.lit(1.0)).cast("int") - 1  # the first features
+    scored = (rows.where("held > 0").groupBy(kind.alias("kind"), step("x").alias("step"), "y")
+              .agg(F.sum("held").alias("n")).collect())  # at most 2 * len(KINDS) * (SCORE_STEPS + 1) rows
+    limits = []
+    for k in range(len(KINDS)):
+        own = np.array([(r["step"], r["y"], r["n"]) for r in scored if r["kind"] == k]).reshape(-1, 3)
+        limits.append(calibrated_threshold(own[:, 0] / SCORE_STEPS, own[:, 1], precision, own[:, 2]))
     return PiiModel(trees, [max(t, MIN_PROBABILITY) for t in limits])
 
 

@@ -1,6 +1,7 @@
 """Faults found by brute force, kept from coming back."""
 
 import collections
+import functools
 import hashlib
 import random
 import time
@@ -9,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from salesplane.llm import embedding_dedup, html_text, language_id, license_scan, packing, secret_scan, suffix_dedup
+from salesplane.llm import boosting, embedding_dedup, html_text, language_id, license_scan, packing, pii, secret_scan, suffix_dedup
 
 SF = "/root/testdata/sf0.01"
 
@@ -134,3 +135,49 @@ def test_evidence_is_the_same_for_one_and_for_many():
             many = secret_scan.evidence(v, size)
             one = [secret_scan.evidence(v[i:i + 1].astype(int), size)[0] for i in range(0, 1500, 50)]
             assert np.allclose(many[::50], one, rtol=1e-9)
+
+
+def test_trees_from_sums_equal_trees_from_rows():
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.integers(0, 2, 3000), rng.integers(0, 400, 3000), rng.random(3000).round(2)]).astype(float)
+    y = ((x[:, 1] > 150) ^ (x[:, 2] > 0.4) & (x[:, 0] == 1)).astype(float)
+    cuts = [boosting.weighted_cuts(*np.unique(x[:, j], return_counts=True)) for j in range(3)]
+    assert all(np.allclose(c, np.unique(np.quantile(x[:, j], np.linspace(0.05, 0.95, 19)))) for j, c in enumerate(cuts))
+    bins = boosting.binned(x, cuts)
+    plain = boosting.BoostedTrees(rounds=10).fit(x, y)
+    parts = [(bins[:, :900], y[:900], np.ones(900)), (bins[:, 900:], y[900:], np.ones(2100))]
+    summed = boosting.BoostedTrees(rounds=10).fit_cells(lambda sums: [sums(*p) for p in parts], cuts, y.mean())
+    assert np.allclose(plain.predict(x), summed.predict(x))
+
+
+def test_personal_data_is_learnt_from_every_span_in_any_number_of_parts(spark, monkeypatch):
+    texts = [f"mail user{i}@host{i % 50}.example.com now" for i in range(4501)] + ["from 10.0.0.7 it came"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    fit, seen = boosting.BoostedTrees.fit_cells, []
+
+    def spy(self, parts, cuts, share):
+        def counted(sums):
+            out = parts(sums)
+            seen.append((len(out), sum(out)[:, 0, :len(cuts[0]) + 1].sum()))
+            return out
+        return fit(self, counted, cuts, share)
+
+    monkeypatch.setattr(boosting.BoostedTrees, "fit_cells", spy)
+    monkeypatch.setattr(pii, "BoostedTrees", functools.partial(boosting.BoostedTrees, rounds=2))
+    h = spark.createDataFrame([(0, t.split()[1]) for t in texts[:-1]], "kind int, span string")
+    even = h.where("xxhash64(kind, span) % 2 = 0").count()
+    trees = pii.train(docs).trees
+    assert seen[0] == (1, 4 * even + 6)  # the spellings of each span of the fitting half, and of the only address
+    monkeypatch.setattr(pii, "CELL_ROWS", 8)
+    seen.clear()
+    again = pii.train(docs).trees
+    assert seen[0][0] > 1 and seen[0][1] == 4 * even + 6
+    x = np.random.default_rng(2).integers(0, 60, (500, len(pii.features("x", 0, 0, 1)))).astype(float)
+    assert np.allclose(again.predict(x), trees.predict(x))
+
+
+def test_a_few_spans_of_a_kind_fit_and_calibrate_in_turn(spark):
+    spans = spark.createDataFrame([(0, f"s{i}") for i in range(7)] + [(1, "a")] + [(2, f"t{i}") for i in range(3000)], "kind int, span string")
+    got = pii._halves(spans, {0: 7, 1: 1, 2: 3000}).collect()
+    count = lambda k: (sum(r.fits for r in got if r.kind == k), sum(r.held for r in got if r.kind == k))
+    assert count(0) == (4, 3) and count(1) == (1, 1) and sum(count(2)) == 3000 and min(count(2)) > 1300
