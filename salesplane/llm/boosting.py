@@ -79,16 +79,17 @@ class BoostedTrees:
         return self
 
     def _best_split(self, node, sizes):
-        """(feature, last bin of the lower side) of the largest gain, or None;
-        ``node`` has rows, gradient and curvature by feature and bin."""
+        """(feature, last bin of the lower side) of the largest gain, the first of equal
+        ones, or None; ``node`` has rows, gradient and curvature by feature and bin.
+        Sums of parts differ in their last bits, so nearly equal gains are equal."""
         best, at = (1e-6, None), 0
         rows, total_g, total_h = node[:, :sizes[0]].sum(1)
         for j, size in enumerate(sizes if rows >= 2 * self.min_rows else ()):
             n, gl, hl = np.cumsum(node[:, at:at + size], 1)[:, :-1]
             gain = gl * gl / (hl + 1.0) + (total_g - gl) ** 2 / (total_h - hl + 1.0) - total_g ** 2 / (total_h + 1.0)
             gain[(n < self.min_rows) | (rows - n < self.min_rows)] = 0
-            if len(gain) and gain.max() > best[0]:
-                best = (gain.max(), (j, int(gain.argmax())))
+            if len(gain) and gain.max() > best[0] * (1 + 1e-9):
+                best = (gain.max(), (j, int((gain >= gain.max() * (1 - 1e-9)).argmax())))
             at += size
         return best[1]
 
