@@ -27,6 +27,8 @@ NULL_STEPS, LEAST = 32, 1e-3
 #: p-values are counted on a logarithmic scale of so many steps a decade.
 STEPS = 10
 LENGTHS = (16, 20, 24, 32, 48, 64, 128)
+#: Symbols whose evidence is computed at a time, few enough for a core's cache.
+EVIDENCE_CELLS = 1 << 18
 
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -73,8 +75,50 @@ def encoding(token: str) -> int:
     return next(i for i, a in enumerate(_SETS) if used <= a)
 
 
+#: Cody's rational approximations of erf below 0.46875, and of exp(x * x) erfc(x) up to 4
+#: and beyond (Mathematics of Computation 23, 1969): numerators and denominators.
+_ERF = ((1.85777706184603153e-1, 3.16112374387056560, 1.13864154151050156e2, 3.77485237685302021e2, 3.20937758913846947e3),
+        (1.0, 2.36012909523441209e1, 2.44024637934444173e2, 1.28261652607737228e3, 2.84423683343917062e3))
+_NEAR = ((2.15311535474403846e-8, 5.64188496988670089e-1, 8.88314979438837594, 6.61191906371416295e1, 2.98635138197400131e2,
+          8.81952221241769090e2, 1.71204761263407058e3, 2.05107837782607147e3, 1.23033935479799725e3),
+         (1.0, 1.57449261107098347e1, 1.17693950891312499e2, 5.37181101862009858e2, 1.62138957456669019e3,
+          3.29079923573345963e3, 4.36261909014324716e3, 3.43936767414372164e3, 1.23033935480374942e3))
+_FAR = ((1.63153871373020978e-2, 3.05326634961232344e-1, 3.60344899949804439e-1, 1.25781726111229246e-1, 1.60837851487422766e-2,
+         6.58749161529837803e-4),
+        (1.0, 2.56852019228982242, 1.87295284992346725, 5.27905102951428412e-1, 6.05183413124413191e-2, 2.33520497626869185e-3))
+
+
+def _ratio(x: np.ndarray, of) -> np.ndarray:
+    out = []
+    for first, *others in of:
+        y = np.full_like(x, first)
+        for c in others:
+            y *= x
+            y += c
+        out.append(y)
+    return out[0] / out[1]
+
+
+def _erfc(x: np.ndarray) -> np.ndarray:
+    """``math.erfc`` of each value, to some units in the last place."""
+    if len(x) < 64:
+        return np.array([math.erfc(v) for v in x.tolist()])
+    y = np.abs(x)
+    out = np.exp(-y * y)
+    out *= _ratio(np.minimum(y, 4.0), _NEAR)
+    if (far := np.flatnonzero(y > 4)).size:
+        v = y[far]
+        w = 1 / (v * v)
+        out[far] = np.exp(-v * v) * (1 / math.sqrt(math.pi) - w * _ratio(w, _FAR)) / v
+    out = np.where(x < 0, 2 - out, out)
+    if (small := np.flatnonzero(y <= 0.46875)).size:
+        v = x[small]
+        out[small] = 1 - v * _ratio(v * v, _ERF)
+    return out
+
+
 def _upper_tail(z: np.ndarray) -> np.ndarray:
-    return 0.5 * np.array([math.erfc(x) for x in (z / math.sqrt(2)).tolist()])
+    return 0.5 * _erfc(z / math.sqrt(2))
 
 
 def _of_each(index: np.ndarray, upto: int, f) -> np.ndarray:
@@ -220,6 +264,15 @@ def _table(size: int) -> np.ndarray:
 _TABLES = {size: _table(size) for size in SIZES}
 
 
+def _written(words: list[str]) -> dict[int, np.ndarray]:
+    """Bytes of ASCII ``words`` as the alphabets of 62, 64 and 66 symbols write them, and (0) run together."""
+    joined = np.frombuffer("/".join(words).encode(), np.uint8)
+    apart = joined == ord("/")
+    first = np.concatenate([[True], apart[:-1]]) if len(joined) else apart
+    capital = joined - 32 * (first & (joined >= ord("a"))).astype(np.uint8)  # words have ASCII letters and digits only
+    return {0: joined[~apart], 62: capital[~apart], 64: joined, 66: np.where(apart, np.uint8(ord("-")), joined)}
+
+
 def decoy_counts(texts: Iterator[str]) -> dict[tuple[int, int, int], int]:
     """Decoys of ``texts`` by (alphabet size, length bin, step of the evidence):
     their words run together, in an alphabet of both cases with capitals, in one
@@ -227,29 +280,37 @@ def decoy_counts(texts: Iterator[str]) -> dict[tuple[int, int, int], int]:
 
     A text is written in every alphabet and cut, whole, into decoys of every length
     it reaches; the last of a length ends with the text and may overlap the one before."""
-    pieces: dict[tuple[int, int], list[np.ndarray]] = {}
+    writings: dict[int, list[np.ndarray]] = {}
     for text in texts:
-        words = _ordinary(text)
-        plain = "".join(words)
-        camel = "".join(w[:1].upper() + w[1:] for w in words)
-        written = {62: camel, 64: "/".join(words), 66: "-".join(words)}
-        for size in SIZES:
-            codes = np.frombuffer(written.get(size, plain).encode(), np.uint8)
-            for b, n in enumerate(LENGTHS):
-                full = len(codes) // n
-                if full:
-                    pieces.setdefault((size, b), []).append(codes[:full * n].reshape(full, n))
-                    if full * n < len(codes):
-                        pieces[size, b].append(codes[None, -n:])
+        for key, codes in _written(_ordinary(text)).items():
+            writings.setdefault(key, []).append(codes)
     out: dict[tuple[int, int, int], int] = {}
-    for (size, b), parts in pieces.items():
-        values, rows = np.concatenate(parts), max(1, 65536 // LENGTHS[b])
-        found = np.concatenate([_null_step(evidence(_TABLES[size][values[i:i + rows]], size)) for i in range(0, len(values), rows)])
-        for s, c in zip(*np.unique(found, return_counts=True)):
-            out[size, b, int(s)] = int(c)
+    for key, parts in writings.items():
+        codes, sizes = np.concatenate(parts), [s for s in SIZES if (s if s in writings else 0) == key]
+        lengths = np.array([len(x) for x in parts])
+        symbols = {size: _TABLES[size][codes] for size in sizes}
+        for b, n in enumerate(LENGTHS):
+            starts, rows = _piece_starts(lengths, n), EVIDENCE_CELLS // n
+            if not len(starts):
+                continue
+            for size, written in symbols.items():
+                cut = np.lib.stride_tricks.sliding_window_view(written, n)
+                found = np.concatenate([_null_step(evidence(cut[starts[i:i + rows]], size)) for i in range(0, len(starts), rows)])
+                for s, c in zip(*np.unique(found, return_counts=True)):
+                    out[size, b, int(s)] = int(c)
     return out
 
 
+def _piece_starts(lengths: np.ndarray, n: int) -> np.ndarray:
+    """Where pieces of ``n`` begin that cover each of the texts of ``lengths`` run together;
+    a text's last one ends with it, texts under ``n`` have none."""
+    at = np.cumsum(lengths) - lengths
+    count = np.where(lengths >= n, -(-lengths // n), 0)
+    text = np.repeat(np.arange(len(lengths)), count)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+    return at[text] + np.minimum(nth * n, lengths[text] - n)
+
+
 def train(docs: DataFrame, q: float = FALSE_DISCOVERIES) -> SecretModel | None:
     """Learn the null from decoys of all texts of ``docs`` (text), then the
     Benjamini-Hochberg limit from the p-values of every candidate in all texts.

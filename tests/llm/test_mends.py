@@ -181,3 +181,20 @@ def test_a_few_spans_of_a_kind_fit_and_calibrate_in_turn(spark):
     got = pii._halves(spans, {0: 7, 1: 1, 2: 3000}).collect()
     count = lambda k: (sum(r.fits for r in got if r.kind == k), sum(r.held for r in got if r.kind == k))
     assert count(0) == (4, 3) and count(1) == (1, 1) and sum(count(2)) == 3000 and min(count(2)) > 1300
+
+
+def test_decoys_are_cut_and_weighed_by_whole_arrays():
+    import math
+
+    import numpy as np
+
+    from salesplane.llm import secret_scan as ss
+    x = np.linspace(-7, 20, 5001)
+    want = np.array([math.erfc(v) for v in x])
+    assert np.allclose(ss._erfc(x), want, rtol=1e-12, atol=0)
+    words = ["abc", "Def", "7x", "zZ9"]
+    written = {k: bytes(v).decode() for k, v in ss._written(words).items()}
+    assert written == {0: "abcDef7xzZ9", 62: "AbcDef7xZZ9", 64: "abc/Def/7x/zZ9", 66: "abc-Def-7x-zZ9"}
+    assert all(len(v) == 0 for v in ss._written([]).values())
+    # whole pieces of 16 and a last one that ends with the text; shorter texts have none
+    assert ss._piece_starts(np.array([33, 15, 0, 16, 32]), 16).tolist() == [0, 16, 17, 48, 64, 80]
