@@ -7,6 +7,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,8 +28,8 @@ NULL_STEPS, LEAST = 32, 1e-3
 #: p-values are counted on a logarithmic scale of so many steps a decade.
 STEPS = 10
 LENGTHS = (16, 20, 24, 32, 48, 64, 128)
-#: Symbols whose evidence is computed at a time, few enough for a core's cache.
-EVIDENCE_CELLS = 1 << 18
+#: Symbols whose running sums are held at a time, and decoys weighed at a time.
+STRETCH, ROWS = 1 << 18, 1 << 14
 
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -36,6 +37,16 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+=*")
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _only(letters: str) -> bytes:
+    """Table for ``bytes.translate`` that turns all but the ASCII ``letters`` into spaces."""
+    return bytes(c if chr(c) in letters else 32 for c in range(256))
+
+
+_WORD_BYTES = _only(_DIGITS + _LOWER + _UPPER)
+_TOKEN_MARKS, _HEX_MARKS = (bytes(33 if c != 32 else 32 for c in _only(x))
+                            for x in (_DIGITS + _LOWER + _UPPER + "+/_-", _DIGITS + "abcdef"))
 #: Encodings, the most specific first.
 ALPHABETS = (_DIGITS + "abcdef", _DIGITS + "ABCDEF", _UPPER + "234567", _DIGITS + _LOWER, _DIGITS + _UPPER,
              _DIGITS + _UPPER + _LOWER, _UPPER + _LOWER + _DIGITS + "+/", _UPPER + _LOWER + _DIGITS + "-_",
@@ -45,6 +56,11 @@ _RANKS = tuple({c: i for i, c in enumerate(a)} for a in ALPHABETS)
 SIZES = sorted({len(a) for a in ALPHABETS})
 
 
+def _has_run(text: str, marks: bytes, n: int) -> bool:
+    """Whether ``n`` characters in a row are among the marked ones."""
+    return b"!" * n in text.encode(errors="replace").translate(marks)
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the certain patterns, by start and kind."""
     out = []
@@ -52,13 +68,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         out += [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if len(m[0]) >= 16]
-    out += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
+    if _has_run(text, _HEX_MARKS, 32):
+        out += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     return sorted(out)
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """Tokens with a digit and a letter that touch no certain span (``base``, by start)."""
     out, next_base, reach = [], 0, 0
+    if not _has_run(text, _TOKEN_MARKS, MIN_TOKEN):
+        return out
     for m in _TOKEN.finditer(text):
         while next_base < len(base) and base[next_base][0] < m.end():
             reach = max(reach, base[next_base][2])
@@ -121,23 +140,49 @@ def _upper_tail(z: np.ndarray) -> np.ndarray:
     return 0.5 * _erfc(z / math.sqrt(2))
 
 
-def _of_each(index: np.ndarray, upto: int, f) -> np.ndarray:
-    """``f(index)`` for whole numbers from 0 to ``upto``, each evaluated once."""
-    if len(index) < 1000:
-        return f(index)
-    values = np.flatnonzero(np.bincount(index, minlength=upto + 1))
-    table = np.empty(upto + 1)
-    table[values] = f(values)
-    return table[index]
+def _chi_tail(squares: np.ndarray, n: int, size: int) -> np.ndarray:
+    """Pearson's chi-squared test by the sum of squared symbol counts."""
+    return _upper_tail((squares * (size / n) - n - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n))
+
+
+def _runs_tail(n1: np.ndarray, runs: np.ndarray, n: int) -> np.ndarray:
+    """Wald-Wolfowitz test by the symbols of the alphabet's upper half and the runs of either half."""
+    n0 = n - n1
+    mean = 2 * n0 * n1 / n + 1
+    var = (mean - 1) * (mean - 2) / (n - 1)
+    return np.where(var > 0, 2 * _upper_tail(np.abs(runs - mean) / np.sqrt(np.where(var > 0, var, 1))), 1e-12)
+
+
+def _serial_tail(total: np.ndarray, squares: np.ndarray, products: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Test of the lag-one correlation by the symbols' sum, the sum of their squares,
+    that of neighbours' products, and the sum of the first and the last."""
+    mean = total / n
+    spread = squares - total * mean
+    near = products - mean * (2 * total - ends) + (n - 1) * mean * mean
+    varied = squares * n > total * total
+    corr = near / np.where(varied, spread, 1)
+    return np.where(varied, 2 * _upper_tail(np.abs(corr * math.sqrt(n))), 1e-12)
+
+
+def _log(p: np.ndarray) -> np.ndarray:
+    return np.log(np.maximum(p, 1e-12))
+
+
+@lru_cache(maxsize=128)
+def _log_tails(n: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithms of ``_chi_tail`` by the squares, and of ``_runs_tail`` by n1 * (n + 1) + runs."""
+    return _log(_chi_tail(np.arange(n * n + 1), n, size)), _log(_runs_tail(*np.divmod(np.arange((n + 1) ** 2), n + 1), n))
 
 
-def _count_squares(v: np.ndarray, size: int) -> np.ndarray:
-    """Sum of the squared symbol counts of each column of ``v``."""
-    n, m = v.shape
-    if n <= 24 and m > 100:  # n and two for each pair of equal symbols
-        pairs = sum(np.add.reduce(v[k:] == v[:-k], 0, dtype=np.uint8).astype(np.int64) for k in range(1, n))
-        return n + 2 * pairs
-    seen = np.bincount((v + np.arange(m) * size).ravel(), minlength=m * size).reshape(m, size)
+def _count_squares(rows: np.ndarray, size: int) -> np.ndarray:
+    """Sum of the squared symbol counts of each of ``rows``."""
+    m, n = rows.shape
+    if n <= 32 and m > 100:  # n and two for each pair of equal symbols
+        v, pairs = np.ascontiguousarray(rows.T), np.zeros(m, np.uint16)
+        for k in range(1, n):
+            pairs += np.add.reduce((v[k:] == v[:-k]).view(np.uint8), 0, dtype=np.uint8)
+        return n + 2 * pairs.astype(np.int64)
+    seen = np.bincount((rows + (np.arange(m) * size)[:, None]).ravel(), minlength=m * size).reshape(m, size)
     return np.einsum("ij,ij->i", seen, seen)
 
 
@@ -149,33 +194,41 @@ def evidence(values: np.ndarray, size: int) -> np.ndarray:
     Wald-Wolfowitz runs test about the alphabet's middle, and the lag-one serial
     correlation.
     """
-    m, n = values.shape
-    v = np.ascontiguousarray(values.T)  # steps along a row of values become whole-array operations
-
-    def chi_tail(squares):
-        return _upper_tail((squares * (size / n) - n - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n))
-
-    def runs_tail(index):
-        n1, runs = np.divmod(index, n + 1)
-        n0 = n - n1
-        mean = 2 * n0 * n1 / n + 1
-        var = (mean - 1) * (mean - 2) / (n - 1)
-        return np.where(var > 0, 2 * _upper_tail(np.abs(runs - mean) / np.sqrt(np.where(var > 0, var, 1))), 1e-12)
-
-    p_chi = _of_each(_count_squares(v, size), n * n, chi_tail)
+    n = values.shape[1]
+    v = values.T.astype(np.int64)
     high = v >= size / 2
-    n1 = np.add.reduce(high, 0, dtype=np.int64)
-    runs = 1 + np.add.reduce(high[1:] != high[:-1], 0, dtype=np.int64)
-    p_runs = _of_each(n1 * (n + 1) + runs, (n + 1) ** 2, runs_tail)
-    f = v.astype(np.float32)  # sums of whole numbers below 2 ** 24, so exact
-    total, squares, products = (np.add.reduce(x, 0).astype(float) for x in (f, f * f, f[1:] * f[:-1]))
-    mean = total / n
-    spread = squares - total * mean
-    near = products - mean * (2 * total - f[0] - f[-1]) + (n - 1) * mean * mean
-    varied = squares * n > total * total
-    corr = near / np.where(varied, spread, 1)
-    p_corr = np.where(varied, 2 * _upper_tail(np.abs(corr * math.sqrt(n))), 1e-12)
-    return -np.log(np.maximum([p_chi, p_runs, p_corr], 1e-12)).sum(0)
+    p_chi = _chi_tail(_count_squares(values, size), n, size)
+    p_runs = _runs_tail(high.sum(0), 1 + (high[1:] != high[:-1]).sum(0), n)
+    p_corr = _serial_tail(v.sum(0), (v * v).sum(0), (v[1:] * v[:-1]).sum(0), v[0] + v[-1], n)
+    return -_log(np.array([p_chi, p_runs, p_corr])).sum(0)
+
+
+class Pieces:
+    """Evidence of pieces of one sequence of symbols (uint8, below ``size``), equal
+    to that of their rows: what the tests add up along a piece is the difference of
+    two running sums, which pieces of all lengths share."""
+
+    def __init__(self, symbols: np.ndarray, size: int):
+        s = np.arange(size)
+        # Pieces of up to 255 symbols: 8 bits hold a count of them, 16 the sum of symbols below 128.
+        marks = (s >= size / 2) | s << 8 | s * s << 24
+        high, wide = symbols >= size / 2, symbols.astype(np.uint16)
+        near = (wide[1:] * wide[:-1]).astype(np.int32) << 8 | (high[1:] != high[:-1])
+        self.symbols, self.size = symbols, size
+        self.marks, self.near = np.zeros(len(symbols) + 1, np.int64), np.zeros(len(symbols), np.int64)
+        np.cumsum(np.take(marks, symbols), out=self.marks[1:])
+        np.cumsum(near, out=self.near[1:])
+
+    def evidence(self, starts: np.ndarray, n: int) -> np.ndarray:
+        """``evidence`` of the pieces of ``n`` symbols, up to 255, that begin at ``starts``."""
+        marks = self.marks[starts + n] - self.marks[starts]
+        near = self.near[starts + n - 1] - self.near[starts]
+        rows = np.lib.stride_tricks.sliding_window_view(self.symbols, n)[starts]
+        chi, runs = _log_tails(n, self.size)
+        corr = _serial_tail((marks >> 8 & 0xFFFF).astype(float), (marks >> 24).astype(float), (near >> 8).astype(float),
+                            rows[:, 0].astype(float) + rows[:, -1], n)
+        return -(chi[_count_squares(rows, self.size)]
+                 + runs[(marks & 0xFF) * (n + 1) + 1 + (near & 0xFF)] + _log(corr))
 
 
 def randomness(values: np.ndarray, size: int) -> float:
@@ -192,6 +245,10 @@ def _null_step(x: np.ndarray) -> np.ndarray:
     return np.floor(np.log(np.maximum(x, LEAST)) * NULL_STEPS).astype(int)
 
 
+#: Steps of the least and of the largest evidence.
+LEAST_STEP, MOST_STEP = _null_step(np.array([0.0, -3 * math.log(1e-12) + 1])).tolist()
+
+
 class Null:
     """Distribution of the decoys' evidence from its counts by step: exact down to
     the TAIL smallest, and below them the power law that these follow (Hill's
@@ -248,7 +305,7 @@ def _ordinary(text: str) -> list[str]:
             parts.append(text[at:a])
         at = max(at, b)
     parts.append(text[at:])
-    return re.findall("[A-Za-z0-9]+", " ".join(parts))
+    return " ".join(parts).encode(errors="replace").translate(_WORD_BYTES).decode("ascii").split()
 
 
 def _table(size: int) -> np.ndarray:
@@ -284,21 +341,20 @@ def decoy_counts(texts: Iterator[str]) -> dict[tuple[int, int, int], int]:
     for text in texts:
         for key, codes in _written(_ordinary(text)).items():
             writings.setdefault(key, []).append(codes)
-    out: dict[tuple[int, int, int], int] = {}
+    out = np.zeros((len(SIZES), len(LENGTHS), MOST_STEP - LEAST_STEP + 1), np.int64)
     for key, parts in writings.items():
         codes, sizes = np.concatenate(parts), [s for s in SIZES if (s if s in writings else 0) == key]
         lengths = np.array([len(x) for x in parts])
-        symbols = {size: _TABLES[size][codes] for size in sizes}
-        for b, n in enumerate(LENGTHS):
-            starts, rows = _piece_starts(lengths, n), EVIDENCE_CELLS // n
-            if not len(starts):
-                continue
-            for size, written in symbols.items():
-                cut = np.lib.stride_tricks.sliding_window_view(written, n)
-                found = np.concatenate([_null_step(evidence(cut[starts[i:i + rows]], size)) for i in range(0, len(starts), rows)])
-                for s, c in zip(*np.unique(found, return_counts=True)):
-                    out[size, b, int(s)] = int(c)
-    return out
+        starts = [_piece_starts(lengths, n) for n in LENGTHS]
+        for lo in range(0, len(codes), STRETCH):
+            begin = [x[slice(*np.searchsorted(x, [lo, lo + STRETCH]))] - lo for x in starts]
+            for size in sizes:
+                pieces = Pieces(np.take(_TABLES[size], codes[lo:lo + STRETCH + LENGTHS[-1]]), size)
+                for b, n in enumerate(LENGTHS):
+                    for i in range(0, len(begin[b]), ROWS):
+                        found = _null_step(pieces.evidence(begin[b][i:i + ROWS], n))
+                        out[SIZES.index(size), b] += np.bincount(found - LEAST_STEP, minlength=out.shape[2])
+    return {(SIZES[i], int(b), int(s) + LEAST_STEP): int(out[i, b, s]) for i, b, s in zip(*np.nonzero(out))}
 
 
 def _piece_starts(lengths: np.ndarray, n: int) -> np.ndarray:

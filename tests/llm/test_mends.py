@@ -198,3 +198,34 @@ def test_decoys_are_cut_and_weighed_by_whole_arrays():
     assert all(len(v) == 0 for v in ss._written([]).values())
     # whole pieces of 16 and a last one that ends with the text; shorter texts have none
     assert ss._piece_starts(np.array([33, 15, 0, 16, 32]), 16).tolist() == [0, 16, 17, 48, 64, 80]
+
+
+def test_decoys_weigh_as_their_own_symbols_do_with_one_tail_each(monkeypatch):
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choices("etaoinshrdluETA017", k=rng.randint(1, 9))) for _ in range(n)) for n in (0, 3, 40, 7000, 25_000)]
+    monkeypatch.setattr(secret_scan, "STRETCH", 1 << 16, raising=False)  # pieces begin in one stretch and end in the next
+    got, want = secret_scan.decoy_counts(texts), collections.Counter()
+    for written in map(secret_scan._written, map(secret_scan._ordinary, texts)):
+        for size in secret_scan.SIZES:
+            symbols = secret_scan._TABLES[size][written.get(size, written[0])]
+            for b, n in enumerate(secret_scan.LENGTHS):
+                starts = secret_scan._piece_starts(np.array([len(symbols)]), n)
+                if len(starts):
+                    found = secret_scan.evidence(symbols[starts[:, None] + np.arange(n)], size)
+                    want.update((size, b, int(s)) for s in secret_scan._null_step(found))
+    assert got == want
+    tail, weighed = secret_scan._upper_tail, []
+    monkeypatch.setattr(secret_scan, "_upper_tail", lambda z: weighed.append(len(z)) or tail(z))
+    assert secret_scan.decoy_counts(texts) == got
+    assert sum(weighed) == sum(got.values())  # symbol counts and runs are whole numbers, whose tails are known by now
+
+
+def test_texts_without_a_long_run_of_token_characters_lose_no_span():
+    rng = random.Random(2)
+    plain = secret_scan._HEX, secret_scan._TOKEN
+    for _ in range(3000):
+        text = "".join(rng.choice(["é", " ", "\U0001F600", "=", "-", "ab1" * 5, "0f" * 8, "F" * 15, "a1b2c3d4" * 4, "x"]) for _ in range(rng.randint(0, 6)))
+        assert [x for x in secret_scan.base_spans(text) if x[1] == 2] == [(m.start(), 2, m.end()) for m in plain[0].finditer(text)]
+        tokens = [m.span() for m in plain[1].finditer(text) if any(c in "0123456789" for c in m[0]) and any(c.isalpha() for c in m[0])]
+        assert secret_scan.candidates(text, []) == tokens
+        assert secret_scan._ordinary("\ud800" + text) == secret_scan._ordinary(" " + text)
