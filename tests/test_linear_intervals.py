@@ -8,10 +8,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
+from conftest import SF
 from salesplane.functions import constants as K
 from salesplane.operators import calendar as cal
 from salesplane.operators import intervals as iv
 from salesplane.operators import linear
+from salesplane.operators import splits as sp
+from salesplane.plans.base import base
 from salesplane.sources import committed as cm
 
 D0 = date(2000, 1, 1)
@@ -72,6 +76,22 @@ def test_linear_models_of_splits(spark):
     assert linear.fit_splits(df.limit(0), WINDOWS, FEATURES, "y", "day") == []
 
 
+def test_coefficients_come_from_the_whole_history(spark):
+    b = base(spark, SF)
+    rows = queries()["m16_linear_coefficients"](spark, SF).select("split_id", "train_rows").distinct().collect()
+    latest = b.agg(F.max("sales_month")).first()[0]
+    quarter = date(latest.year, latest.month - (latest.month - 1) % 3, 1)
+    assert max(r["train_rows"] for r in rows) == b.where(F.col("sales_month") < F.lit(quarter)).count()
+    first = b.agg(F.min("sales_month")).first()[0].year
+    assert [r["split_id"] for r in sorted(rows)] == list(range(1, 4 * (latest.year - first - 1) + quarter.month // 3 + 2))
+
+
+def test_no_windows_give_no_models(spark):
+    rows = spark.createDataFrame([(D0, 1.0, 2.0)], "sales_month date, a double, y double")
+    assert sp.windows_of(rows) == sp.windows_of(rows.limit(0)) == []
+    assert linear.fit_splits(rows, [], ["a"], "y") == []
+
+
 def test_interval_join_equals_nested_loops(spark):
     rng = random.Random(3)
     day = lambda: D0 + timedelta(days=rng.randrange(-400, 800))

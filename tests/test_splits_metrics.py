@@ -1,3 +1,5 @@
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from conftest import SF
@@ -21,6 +23,15 @@ def test_no_holdout_split_absent(spark):
     assert 5 not in {r["split_id"] for r in t.select("split_id").distinct().collect()}
 
 
+def test_history_windows_are_the_expanding_ones_carried_on():
+    assert sp.history_windows(date(1999, 3, 1), date(2001, 3, 1)) == sp.expanding_windows(1999)
+    more = sp.history_windows(date(1995, 1, 1), date(2001, 11, 1))
+    assert [w[0] for w in more] == list(range(1, 25)) and {w[1] for w in more} == {date(1995, 1, 1)}
+    assert more[-1][2:] == (date(2001, 10, 1), date(2001, 10, 1), date(2002, 1, 1), "1995_full+1996_full+1997_full+1998_full+1999_full+2000_full+2001_Q1Q2Q3 -> 2001_Q4")
+    assert all(a[4] == b[3] for a, b in zip(more, more[1:]))  # no quarter is left out
+    assert sp.history_windows(date(1995, 1, 1), date(1995, 12, 1)) == sp.history_windows(None, None) == []
+
+
 def test_baseline_predictions_cover_validation_rows(spark):
     t = sp.tag_splits(base(spark, SF), sp.expanding_windows(1999))
     p = md.baseline_predictions(t)
