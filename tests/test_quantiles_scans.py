@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from salesplane.functions.stats import group_quantiles
+from salesplane.functions.stats import group_quantiles, quantiles
 from salesplane.operators import scans
 
 from conftest import fact
@@ -45,6 +45,15 @@ def test_quantiles_with_infinite_values(spark):
     assert list(r["q"]) == [-inf, 2.0, 3.0, inf]
 
 
+@pytest.mark.parametrize("limit, fact_column", [(10_000, False), (3, False), (3, True)])
+def test_weighted_quantiles_equal_those_of_repeated_rows(spark, limit, fact_column):
+    rng = random.Random(limit)
+    rows = [(float(rng.choice([rng.randrange(9), rng.gauss(0, 50)])), rng.randrange(1, 6)) for _ in range(200)] + [(None, 3), (float("nan"), 2)]
+    got = quantiles(spark.createDataFrame(rows, "x double, w int"), "x", PROBS, limit, 4, fact_column, weight="w")
+    repeated = [x for x, w in rows if x is not None and x == x for _ in range(w)]
+    np.testing.assert_allclose(got, np.quantile(repeated, PROBS), rtol=1e-12, atol=1e-12)
+
+
 @pytest.mark.parametrize("chunk_rows", [1, 4, 1000])
 def test_two_level_scans_equal_plain_windows(spark, chunk_rows):
     rng = random.Random(chunk_rows)
